@@ -179,7 +179,7 @@ class _State:
 
     def __init__(self, pieces):
         cols: list[list] = [[], [], [], []]
-        self.pieces, self.words = [], []
+        self.pieces = []
         base = 0
         for ids, lens, data in pieces:
             (first, count, doc, key), _ = runs(lens, data)
@@ -240,17 +240,19 @@ def _pass3(st: _State, reply1: dict, reply2: dict, n: int):
     return live[gone], at, doc, keys3, least3, group3
 
 
-def covered(st: _State, reply1: dict, reply2: dict, reply3: dict, n: int) -> np.ndarray:
-    """Mask of the block's bytes under a window that a smaller document has."""
+def covered(st: _State, reply1: dict, reply2: dict, reply3: dict, n: int):
+    """(ids, lens, bytes, mask) of each piece; the mask marks bytes under a window that a smaller document has."""
     gone, at, doc, keys3, least3, group3 = _pass3(st, reply1, reply2, n)
     (before,) = _receive(reply3, keys3[0], n, 1)
-    hit = at[(doc > least3[group3]) | before[group3]]
-    edge = np.zeros(st.size + 1, np.int32)
-    np.add.at(edge, st.first[gone], 1)
-    np.add.at(edge, st.first[gone] + st.count[gone] - 1 + DEPTH, -1)
-    np.add.at(edge, hit, 1)
-    np.add.at(edge, hit + DEPTH, -1)
-    return np.cumsum(edge[:-1]) > 0
+    hit = np.sort(at[(doc > least3[group3]) | before[group3]])
+    first, end = st.first[gone], st.first[gone] + st.count[gone] - 1 + DEPTH
+    for base, ids, lens, data in st.pieces:
+        edge = np.zeros(len(data) + 1, np.int16)
+        for begin, past in ((first, end), (hit, hit + DEPTH)):
+            x, y = np.searchsorted(begin, (base, base + len(data)))
+            np.add.at(edge, begin[x:y] - base, 1)
+            np.add.at(edge, past[x:y] - base, -1)
+        yield ids, lens, data, np.cumsum(edge[:-1], dtype=np.int16) > 0
 
 
 def repeated_bytes(docs: DataFrame, emit, schema: str) -> DataFrame:
@@ -282,13 +284,11 @@ def repeated_bytes(docs: DataFrame, emit, schema: str) -> DataFrame:
     names = [f.split()[0] for f in schema.split(", ")]
 
     def finish(bid, pieces, got):
-        st = _State(pieces)
-        mask = covered(st, *got, n)
         rows: dict[str, list] = {k: [] for k in names}
-        for base, ids, lens, data in st.pieces:
+        for ids, lens, data, mask in covered(_State(pieces), *got, n):
             at = 0
             for i, length in zip(ids.tolist(), lens.tolist(), strict=True):
-                row = emit(None if i == NULL_ID else i, data[at : at + length], mask[base + at : base + at + length])
+                row = emit(None if i == NULL_ID else i, data[at : at + length], mask[at : at + length])
                 for k in names:
                     rows[k].append(row[k])
                 at += length
