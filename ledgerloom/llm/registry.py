@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from . import suffix_dedup
+from . import decontamination, fingerprints, suffix_dedup, token_output, warc
 
 
 def queries() -> dict:
     return {
+        "op1_decontamination": decontamination.op1_decontamination,
+        "op2_warc": warc.op2_warc,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+        "op5_fingerprints": fingerprints.op5_fingerprints,
+        "op7_token_output": token_output.op7_token_output,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_decontamination": decontamination.ORACLE_SQL,
+        "op2_warc": warc.ORACLE_SQL,
         "op3_suffix_dedup": suffix_dedup.ORACLE_SQL,
     }
