@@ -1,15 +1,63 @@
-"""From documents to sampled token ids: five stages, each reading what the one before wrote."""
+"""From documents to sampled token ids: five stages, each reading what the one before wrote.
+
+All but the last return the columns of ``documents``.  ``n_chars`` is set anew
+where a stage shortens texts.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import decontamination, ngram_join, quality, sentencepiece_codec, suffix_dedup
+from ledgerloom.llm.shared import materialize, read_table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, read_table(spark, sf_dir, "labels")).select(COLUMNS)
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that with the smallest doc_id."""
+    return ngram_join.keep_one(docs).select(COLUMNS)
+
+
+def repeated_passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 bytes and more that a smaller doc_id has are cut; documents of which nothing is left go."""
+    cut = suffix_dedup.dedup_texts(docs).withColumnRenamed("doc_id", "_id").withColumnRenamed("text", "_text")
+    joined = docs.drop("text", "n_chars").join(cut, docs["doc_id"].eqNullSafe(cut["_id"]))
+    return joined.where("_text <> ''").withColumn("text", F.col("_text")).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more is benchmark text go."""
+    return decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).select(COLUMNS)
+
+
+def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and distinct sampled segmentations with inclusion scores, as digests."""
+    import public_tokenizers
+
+    return sentencepiece_codec.digest(sentencepiece_codec.encode(docs, public_tokenizers.path("piece_bpe_32k.model")))
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("n-gram Jaccard join", near_duplicates_stage),
+    ("suffix-array dedup", repeated_passages_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("SentencePiece encoding and decoding", sentencepiece_stage),
+]
 
-STAGES: list = []
+#: Trained and tokenizer stages have no SQL; tests/llm holds brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

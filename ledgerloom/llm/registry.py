@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, suffix_dedup, token_output, warc
+from . import decontamination, fingerprints, html_text, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_output, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,14 +10,21 @@ def queries() -> dict:
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_warc": warc.op2_warc,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+        "op4_html_extraction": html_text.op4_html_extraction,
         "op5_fingerprints": fingerprints.op5_fingerprints,
+        "op6_ngram_join": ngram_join.op6_ngram_join,
         "op7_token_output": token_output.op7_token_output,
+        "op8_sentencepiece": sentencepiece_codec.op8_sentencepiece,
+        "op9_toxicity": toxicity.op9_toxicity,
+        "op10_quality": quality.op10_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    """Trained operators, the tokenizer's and HTML extraction have none; tests/llm holds brute-force versions."""
     return {
         "op1_decontamination": decontamination.ORACLE_SQL,
         "op2_warc": warc.ORACLE_SQL,
         "op3_suffix_dedup": suffix_dedup.ORACLE_SQL,
+        "op6_ngram_join": ngram_join.ORACLE_SQL,
     }
