@@ -223,10 +223,10 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of different groups that share enough prefix tokens, each once.
 
     For each token the largest group is only probed by the members of the
-    others; a pair is made at its first common prefix token.
+    others; of a pair's meetings at each common token only the count is kept.
     """
-    cols = ["v", "n", "n_core", "prefix", "matches", "comp"]
-    member = nodes.join(groups, "v", "left").withColumn("comp", F.coalesce("comp", "v")).select(*cols)
+    cols = ["v", "n", "n_core", "matches", "comp"]
+    member = nodes.join(groups, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
     tokens = member.select(F.explode("prefix").alias("token"), *cols)
     sizes = tokens.groupBy("token", "comp").agg(F.count("*").alias("k"))
     mixed = sizes.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("t"), F.count("*").alias("groups")).where("groups > 1").select("token", F.col("t.comp").alias("top"))
@@ -234,10 +234,9 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     a = held.where("comp <> top").select("token", "top", *(F.col(c).alias(f"a_{c}") for c in cols))
     b = held.select("token", *(F.col(c).alias(f"b_{c}") for c in cols))
     a, b = (x.withColumnRenamed(f"{s}_n_core", f"{s}_core") for x, s in ((a, "a"), (b, "b")))
-    common = F.array_intersect("a_prefix", "b_prefix")
     where = (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("top")) | (F.col("a_v") < F.col("b_v"))) & _possible(percent)
-    where &= (F.get(common, F.lit(0)) == F.col("token")) & (F.size(common) >= F.least("a_matches", "b_matches"))
-    return a.join(b, "token").where(where).select(F.col("a_v").alias("a"), F.col("b_v").alias("b"))
+    met = a.join(b, "token").where(where).groupBy(F.least("a_v", "b_v").alias("a"), F.greatest("a_v", "b_v").alias("b"))
+    return met.agg(F.count("*").alias("met"), F.first(F.least("a_matches", "b_matches")).alias("least")).where("met >= least").select("a", "b")
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
