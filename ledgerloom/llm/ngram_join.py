@@ -30,9 +30,11 @@ WORDS = 5
 #: Similarity as a percentage.
 PERCENT = 80
 MAX_MATCHES = 6
+#: Members of a group in one block, and shares in which blocks are dealt out.
+BLOCK, SHARES = 256, 1024
 LOW24 = np.uint64(2**24 - 1)
 
-SETS_SCHEMA = "doc_id long, n long, fp string, core binary, n_core long, prefix array<long>, matches int"
+SETS_SCHEMA = "doc_id long, n long, fp string, core binary, n_core long, prefix array<long>, lead int, matches int"
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _PINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -116,7 +118,7 @@ def _frequencies(blobs: list[bytes]) -> list[bytes]:
 
 
 def _prefix(s: np.ndarray, cls: np.ndarray, percent: int):
-    """(prefix tokens that others have, l) of a set with the frequency class of each token."""
+    """(prefix tokens that others have, how many of them are in the prefix for l = 1, l) of a set with the frequency class of each token."""
     order = np.lexsort((s, cls))
     c = cls[order]
     base = len(s) - (percent * len(s) + 99) // 100
@@ -126,7 +128,7 @@ def _prefix(s: np.ndarray, cls: np.ndarray, percent: int):
     picks = [cost[base + m - 1] * (1 + 8 / m) for m in range(1, most + 1)]
     m = int(np.argmin(picks)) + 1
     kept = order[: base + m]
-    return s[kept[cls[kept] > 0]], m
+    return s[kept[cls[kept] > 0]], int((c[: base + 1] > 0).sum()), m
 
 
 def candidate_sets(blocks: Blocks, percent: int = PERCENT) -> DataFrame:
@@ -152,11 +154,11 @@ def candidate_sets(blocks: Blocks, percent: int = PERCENT) -> DataFrame:
             at += len(s)
             core = s[c > 0]
             if len(s) and 100 * len(core) >= percent * len(s):
-                prefix, m = _prefix(s, c, percent)
-                if len(prefix) >= 1:
-                    info[key] = (core.tobytes(), len(core), prefix.view(np.int64).tolist(), m)
-        out = [(i if i != NULL_ID else None, int(k.split(".")[0], 16), k, *info.pop(k, (None, None, None, None))) for i, k in sorted(zip(st.ids, st.keys, strict=True))]
-        types = (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32())
+                prefix, lead, m = _prefix(s, c, percent)
+                if lead:
+                    info[key] = (core.tobytes(), len(core), prefix.view(np.int64).tolist(), lead, m)
+        out = [(i if i != NULL_ID else None, int(k.split(".")[0], 16), k, *info.pop(k, (None,) * 5)) for i, k in sorted(zip(st.ids, st.keys, strict=True))]
+        types = (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32())
         cols = zip(*out, strict=True) if out else [()] * len(types)
         return pa.table({f.split()[0]: pa.array(c, t) for f, c, t in zip(SETS_SCHEMA.split(", "), cols, types, strict=True)})
 
@@ -198,17 +200,16 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = sets.where("core is not null")
     one = named.groupBy("fp").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("k"), F.length("core").alias("l"))).alias("m")).select("fp", F.col("m.k").alias("k"))
     nodes = named.withColumn("k", F.coalesce("doc_id", F.lit(int(NULL_ID)))).join(one, ["fp", "k"]).dropDuplicates(["fp"])
-    nodes = materialize(nodes.select(F.col("fp").alias("v"), "n", "core", "n_core", "prefix", "matches"), "ngram-nodes")
+    nodes = materialize(nodes.select(F.col("fp").alias("v"), "n", "core", "n_core", "prefix", "lead", "matches"), "ngram-nodes")
 
-    tokens = nodes.select(F.explode("prefix").alias("token"), "v", "n", "n_core")
+    tokens = nodes.select(F.explode(F.slice("prefix", 1, F.col("lead"))).alias("token"), "v", "n", "n_core")
     head = tokens.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("n_core")).alias("own"), "v", "n", "n_core")).alias("h"), F.count("*").alias("many")).where("many > 1")
     star = tokens.join(head, "token").select(F.col("h.v").alias("a"), F.col("h.n").alias("a_n"), F.col("h.n_core").alias("a_core"), F.col("v").alias("b"), F.col("n").alias("b_n"), F.col("n_core").alias("b_core"))
     star = star.where((F.col("a") != F.col("b")) & _possible(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = materialize(verify(star, nodes, percent).select("a", "b"), "ngram-links")
     groups = connected_components(links)
 
-    rest = materialize(_across(nodes, groups, percent), "ngram-pairs")
-    more = verify(rest, nodes, percent).select("a", "b")
+    more = _across(nodes, groups, percent)
     groups = connected_components(links.union(more))
 
     least = F.min(F.coalesce("doc_id", F.lit(int(NULL_ID)))).alias("k")
@@ -220,23 +221,64 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups that share enough prefix tokens, each once.
+    """Links between different groups, one for each document and group it is linked with.
 
-    For each token the largest group is only probed by the members of the
-    others; of a pair's meetings at each common token only the count is kept.
+    A pair that shares l tokens of its l-prefixes shares one of the prefixes
+    for l = 1, so those tell which documents may be linked with which groups;
+    for each token the largest group is only probed by members of the others.
+    A group's members are then met in blocks, where pairs are first held to
+    their l common prefix tokens and the rest verified; no pair is a row.
     """
-    cols = ["v", "n", "n_core", "matches", "comp"]
-    member = nodes.join(groups, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
-    tokens = member.select(F.explode("prefix").alias("token"), *cols)
-    sizes = tokens.groupBy("token", "comp").agg(F.count("*").alias("k"))
+    cols = ["v", "n", "n_core", "comp"]
+    member = materialize(nodes.join(groups, "v", "left").withColumn("comp", F.coalesce("comp", "v")), "ngram-grouped")
+    tokens = member.select(F.explode(F.slice("prefix", 1, F.col("lead"))).alias("token"), *cols)
+    sizes = tokens.groupBy("token", "comp").agg(F.count("*").alias("k"), F.max("n_core").alias("most_core"), F.min("n").alias("least_n"))
     mixed = sizes.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("t"), F.count("*").alias("groups")).where("groups > 1").select("token", F.col("t.comp").alias("top"))
-    held = materialize(tokens.join(mixed, "token"), "ngram-mixed")
-    a = held.where("comp <> top").select("token", "top", *(F.col(c).alias(f"a_{c}") for c in cols))
-    b = held.select("token", *(F.col(c).alias(f"b_{c}") for c in cols))
-    a, b = (x.withColumnRenamed(f"{s}_n_core", f"{s}_core") for x, s in ((a, "a"), (b, "b")))
-    where = (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("top")) | (F.col("a_v") < F.col("b_v"))) & _possible(percent)
-    met = a.join(b, "token").where(where).groupBy(F.least("a_v", "b_v").alias("a"), F.greatest("a_v", "b_v").alias("b"))
-    return met.agg(F.count("*").alias("met"), F.first(F.least("a_matches", "b_matches")).alias("least")).where("met >= least").select("a", "b")
+    a = tokens.join(mixed, "token").where("comp <> top")
+    b = sizes.select("token", F.col("comp").alias("to"), "most_core", "least_n")
+    possible = (100 + percent) * F.least("n_core", "most_core") >= percent * (F.col("n") + F.col("least_n"))
+    probes = a.join(b, "token").where((F.col("comp") != F.col("to")) & ((F.col("to") == F.col("top")) | (F.col("comp") < F.col("to"))) & possible).select("v", "to").distinct()
+    blocks = member.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    held = member.join(blocks, "comp").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    sets = ["v", "n", "core", "prefix", "matches"]
+    asked = probes.join(blocks.withColumnRenamed("comp", "to"), "to").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = materialize(asked.join(member.select(*sets), "v").select(F.col("to").alias("comp"), "block", *sets), "ngram-probes")
+    share = F.pmod(F.hash("comp", "block"), F.lit(SHARES)).alias("share")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[str, str]] = []
+        members: dict[tuple, list[int]] = {}
+        for k, key in enumerate(zip(left["comp"].to_pylist(), left["block"].to_pylist(), strict=True)):
+            members.setdefault(key, []).append(k)
+        asks: dict[tuple, list[int]] = {}
+        for k, key in enumerate(zip(right["comp"].to_pylist(), right["block"].to_pylist(), strict=True)):
+            asks.setdefault(key, []).append(k)
+        lc, rc = ({c: t[c].combine_chunks() if t.num_rows else [] for c in sets} for t in (left, right))
+        for key, rows in asks.items():
+            own = members.get(key, [])
+            if not own:
+                continue
+            n = np.array([lc["n"][k].as_py() for k in own])
+            most = np.array([lc["matches"][k].as_py() for k in own])
+            stacks = []
+            for c in ("prefix", "core"):
+                parts = [np.frombuffer(lc[c][k].as_buffer(), np.uint64) if c == "core" else np.array(lc[c][k].as_py(), np.int64).view(np.uint64) for k in own]
+                stacks.append((np.concatenate(parts), np.repeat(np.arange(len(own)), [len(x) for x in parts])))
+            for k in rows:
+                ok = np.ones(len(own), bool)
+                for c, (flat, owner) in zip(("prefix", "core"), stacks, strict=True):
+                    mine = np.frombuffer(rc[c][k].as_buffer(), np.uint64) if c == "core" else np.sort(np.array(rc[c][k].as_py(), np.int64).view(np.uint64))
+                    hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+                    both = np.bincount(owner[hit], minlength=len(own))
+                    ok &= both >= np.minimum(most, rc["matches"][k].as_py()) if c == "prefix" else 100 * both >= percent * (n + rc["n"][k].as_py() - both)
+                    if not ok.any():
+                        break
+                if ok.any():
+                    found.append((rc["v"][k].as_py(), lc["v"][own[int(np.argmax(ok))]].as_py()))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.string()), "b": pa.array([f[1] for f in found], pa.string())})
+
+    left = held.select(share, "comp", "block", *sets).join(asked.select("comp", "block").distinct(), ["comp", "block"], "left_semi").select("share", "comp", "block", *sets)
+    return left.groupBy("share").cogroup(asked.select(share, "comp", "block", *sets).groupBy("share")).applyInArrow(meet, "a string, b string")
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
