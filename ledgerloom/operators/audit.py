@@ -99,6 +99,6 @@ def download_outcomes(fetched: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", longer_than: int = 50) -> DataFrame:
     """Lines over a length, and how many repeat an earlier line of their text."""
-    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), F.trim), lambda s: F.length(s) > longer_than)
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda s: F.trim(s)), lambda s: F.length(s) > longer_than)
     keys = F.transform(lines, lambda s: F.substring(F.md5(s), 1, 16))
     return docs.select(id_col, F.size(keys).cast("long").alias("n_lines"), (F.size(keys) - F.size(F.array_distinct(keys))).cast("long").alias("n_repeated"))

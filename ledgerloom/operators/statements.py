@@ -133,7 +133,7 @@ def table_rows(chunks: DataFrame, keep: list[str], text: str = "chunk") -> DataF
     """Lines with bars, cut in cells: (``keep``..., line, cells); rules and lines of under four parts are left out."""
     lines = chunks.select(*keep, F.posexplode(F.split(F.col(text), "\n")).alias("line", "_l")).withColumn("_l", F.trim("_l"))
     lines = lines.where(F.contains("_l", F.lit("|")) & ~F.startswith("_l", F.lit("|---")) & ~F.startswith("_l", F.lit("---")))
-    cells = lines.select(*keep, "line", F.transform(F.split("_l", r"\|"), F.trim).alias("cells"))
+    cells = lines.select(*keep, "line", F.transform(F.split("_l", r"\|"), lambda s: F.trim(s)).alias("cells"))
     return cells.where(F.size("cells") >= 4)
 
 
