@@ -97,7 +97,7 @@ def encode_json(value: Column) -> Column:
 
 def unfence(answer: Column) -> Column:
     """An answer without the fence lines around it."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(answer), r"^```[^\n]*\n", ""), r"```$", ""))
+    return F.regexp_replace(answer, r"^\s*```[^\n]*\n|\s*```\s*$", "")
 
 
 def redact(text: Column) -> Column:

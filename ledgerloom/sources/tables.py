@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .sinks import exists
 
@@ -47,7 +48,10 @@ def latest_snapshot(spark: SparkSession, pattern: str, columns: list[str]) -> Da
 
 
 def read_section(spark: SparkSession, store: str, section: str) -> DataFrame:
-    return spark.read.parquet(f"{store}/{section}").withColumns({c: F.col(c).cast("string") for c in ("collection_date", "collection_time")})
+    """All runs of a section; the folders' date and time are read as strings, with their leading zeros."""
+    path, folders = f"{store}/{section}", ("collection_date", "collection_time")
+    fields = [f for f in spark.read.parquet(path).schema if f.name not in folders]
+    return spark.read.schema(StructType([*fields, *(StructField(c, StringType()) for c in folders)])).parquet(path)
 
 
 def latest_collection(section: DataFrame, keys: list[str]) -> DataFrame:
