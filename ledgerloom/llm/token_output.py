@@ -13,9 +13,11 @@ import hashlib
 import re
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,42 +28,97 @@ END_ID = 1
 BLOCK_BYTES = 1 << 20
 #: The dictionary is trained on this many documents (smallest hash of doc_id), their first SAMPLE_CHARS characters each.
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 512, 4000, 64 << 10
-#: Distinct words whose ids a task remembers; then it forgets them all.
-CACHE_WORDS = 400_000
+#: Distinct words and letter runs whose ids a Python worker remembers; then it forgets them all.
+CACHE_WORDS = 900_000
 
 FRAME_SCHEMA = "doc_id long, n_tokens long, frame binary"
 BLOCK_SCHEMA = "shard int, block int, dict_sha256 string, total long, doc_ids binary, counts binary, offsets binary, frames binary"
 DOC_SCHEMA = "shard int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long"
 
-_SPACE = re.compile("[ \t\n\r]+")
+#: Marks before and after a run of letters, which the tokenizer cuts off.
+_MARKS = "[!-&(-/:;=?@\\[-`{}~]*"
+_WORD = re.compile(rf"({_MARKS})([^\W\d_]+)({_MARKS})")
+#: Letter runs encoded as one text.
+JOINED = 512
 
 
 class Encoder:
-    """Ids as little-endian bytes.  The tokenizer drops white space and merges nothing across it, so words between white space are encoded once and remembered."""
+    """Ids as little-endian bytes.
+
+    The tokenizer drops white space and merges nothing across it, so words
+    between ASCII white space are encoded once and remembered.  It also cuts letters
+    from marks, so a word is put together from its letters and its marks, and
+    many letter runs are encoded as one text, whose ids are split where a token
+    ends a word.  Where there are not as many ends as runs, the text is halved.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [_SPACE.split(t) for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        groups = [runs[at : at + JOINED] for at in range(0, len(runs), JOINED)]
+        while groups:
+            halves = []
+            for group, ids in zip(groups, self._ids([" ".join(g) for g in groups]), strict=True):
+                cuts = np.flatnonzero(self.ends[ids]) + 1
+                if len(group) == 1:
+                    self.known[group[0]] = ids.tobytes()
+                elif len(cuts) == len(group) and cuts[-1] == len(ids):
+                    raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                    self.known.update((w, raw[i:j]) for w, i, j in zip(group, at, at[1:], strict=False))
+                else:
+                    halves += [group[: len(group) // 2], group[len(group) // 2 :]]
+            groups = halves
+
+    def _learn(self, words: set[str]) -> None:
+        known, parts, odd = self.known, {}, []
+        for w in words:
+            if m := _WORD.fullmatch(w):
+                parts[w] = m.groups()
+            else:
+                odd.append(w)
+        marks = {p for before, _, after in parts.values() for p in (before, after)}
+        odd += [p for p in marks - words if p not in known]
+        for at in range(0, len(odd), 10_000):
+            known.update((w, ids.tobytes()) for w, ids in zip(odd[at : at + 10_000], self._ids(odd[at : at + 10_000]), strict=True))
+        self._learn_runs([r for r in {run for _, run, _ in parts.values()} if r not in known])
+        known.update((w, known[before] + known[run] + known[after]) for w, (before, run, after) in parts.items() if w != run)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        # words hold no line breaks: one string, split again, is far quicker than to_pylist()
+        distinct = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), "\n")[0].as_py().split("\n")[: len(coded.dictionary)]
+        if len(self.known) > CACHE_WORDS:
             self.known = {"": b""}
-            new = list({w for ws in words for w in ws if w})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in words]
+        self._learn({w for w in distinct if w not in self.known})
+        pieces = list(map(self.known.__getitem__, distinct))
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        pool, begins = np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        ids = pool[np.repeat(begins[codes] - ends[:-1], sizes[codes]) + np.arange(ends[-1])]
+        cuts = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)]
+
+
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One encoder a Python worker, whose later tasks know the words of its earlier ones."""
+    return Encoder(path)
 
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     sample = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text")).orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE_DOCS).collect()
-    ids = [b for b in Encoder(path).encode([r["text"] for r in sample]) if b]
+    ids = [b for b in encoder(path).encode(pa.array([r["text"] for r in sample], pa.string())) if b]
     try:
         return zstandard.train_dictionary(DICT_BYTES, ids).as_bytes()
     except zstandard.ZstdError:  # too few or too short samples
@@ -72,13 +129,13 @@ def encode_frames(docs: DataFrame, path: str, dictionary: bytes, end_id: int = E
     """doc_id, n_tokens and the compressed ids of each document, the end id appended (null text: only that)."""
 
     def run(batches):
-        enc = Encoder(path)
+        enc = encoder(path)
         c = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [b + end for b in enc.encode([t or "" for t in part.column(1).to_pylist()])]
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                ids = [b + end for b in enc.encode(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array([c.compress(b) for b in ids], pa.binary())], ["doc_id", "n_tokens", "frame"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FRAME_SCHEMA)
