@@ -117,7 +117,11 @@ def encoder(path: str) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
-    sample = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text")).orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE_DOCS).collect()
+    place = F.xxhash64("doc_id")
+    # hashes first: no task sends more texts than the sample has
+    last = docs.select(place.alias("place")).orderBy("place").limit(SAMPLE_DOCS).agg(F.max("place").alias("last")).first()["last"]
+    near = docs.where(place <= F.lit(last).cast("long")).select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"))
+    sample = near.orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE_DOCS).collect()
     ids = [b for b in encoder(path).encode(pa.array([r["text"] for r in sample], pa.string())) if b]
     try:
         return zstandard.train_dictionary(DICT_BYTES, ids).as_bytes()
