@@ -29,7 +29,7 @@ BLOCK_BYTES = 1 << 20
 #: The dictionary is trained on this many documents (smallest hash of doc_id), their first SAMPLE_CHARS characters each.
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 512, 4000, 64 << 10
 #: Distinct words and letter runs whose ids a Python worker remembers; then it forgets them all.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 700_000
 
 FRAME_SCHEMA = "doc_id long, n_tokens long, frame binary"
 BLOCK_SCHEMA = "shard int, block int, dict_sha256 string, total long, doc_ids binary, counts binary, offsets binary, frames binary"
