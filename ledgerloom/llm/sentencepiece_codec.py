@@ -2,15 +2,19 @@
 
 A text is cut before each run of word marks; no piece reaches across such a
 cut, so the lattice of a text is a chain of small lattices, one for each unit.
-Units are solved once and remembered: the BPE ids, and the NBEST likeliest
-segmentations with their normalised probabilities (as ``nbest_size`` does in
-the library).  Units over UNIT_CHARS characters are cut there for sampling.
+Units are solved once and remembered: the BPE ids, the NBEST likeliest
+segmentations with their probabilities in the whole lattice, and what all the
+others hold together.  Units over UNIT_CHARS characters have only the latter.
 
 Sampling is Gumbel top-k over the whole text's segmentations, from the root
 down: a prefix carries the largest perturbed log probability of its
 completions, which is an exact bound, so the search keeps the k+1 best
 prefixes of each length and finds just what best-first (A-star) search would:
 the k largest of all leaves.  These are distinct samples without replacement.
+The segmentations of a unit beside the NBEST are one child with their summed
+weight; where it is among the best, its own k+1 best leaves are found on the
+unit's lattice (sums to the end, noise on the edges) and take its place, so
+every segmentation can be drawn, each with its share.
 The (k+1)th value is the threshold for their inclusion scores
 ``1 - exp(-exp(log_prob - threshold))``.  Noise comes from a hash of the row's
 key and the place in the lattice, so a retried task samples the same.
@@ -18,8 +22,11 @@ key and the place in the lattice, so a retried task samples the same.
 
 from __future__ import annotations
 
+import math
+import random
 import re
 import zlib
+from heapq import heappop, heappush
 from itertools import chain, islice
 
 import numpy as np
@@ -30,13 +37,15 @@ from pyspark.sql import functions as F
 
 from .shared import read_table
 
-SAMPLES, NBEST, UNIT_CHARS = 2, 4, 32
+SAMPLES, NBEST, UNIT_CHARS = 2, 8, 32
 #: Texts sampled side by side, in characters.
 GROUP_CHARS = 8_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: log weight of a piece: -PIECE_COST - its rank / RANK_SCALE; of a byte piece -BYTE_COST.
 PIECE_COST, RANK_SCALE, BYTE_COST = 1.0, 8000.0, 6.0
-CACHE_UNITS = 500_000
+CACHE_UNITS = 400_000
+#: Characters of the units whose lattices are kept.
+LATTICE_CHARS = 60_000
 _UNIT = re.compile("▁+[^▁]*")
 SCHEMA = "doc_id long, ids binary, samples array<struct<ids: binary, log_prob: double, inclusion: double>>"
 
@@ -68,6 +77,8 @@ class Codec:
         self.text = [byte_of[k] if m.is_byte(k) else b"" if m.is_control(k) or m.is_unknown(k) else m.id_to_piece(k).replace("▁", " ").encode() for k in range(m.get_piece_size())]
         # ranks: the library's scores count merges; runs of word marks have none, and cost as the last
         weight = {p: -PIECE_COST - min(-min(m.get_score(k), 0.0), float(m.get_piece_size())) / RANK_SCALE for p, k in self.pieces.items()}
+        self.weight, self.longest = weight, max(map(len, weight))
+        self.random = random.Random()
         self.tables, self.seen = {}, {}
         for n in sorted({len(p) for p in self.pieces}):
             names = [p for p in self.pieces if len(p) == n]
@@ -91,7 +102,8 @@ class Codec:
         self.solved = 0
         self.groups: list[tuple] = []
         self.group_of, self.row_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.logp = np.zeros((0, NBEST))
+        self.logp = np.zeros((0, NBEST + 1))
+        self.names, self.lattices, self.lattice_chars = [], {}, 0
         self.best_ids, self.best_start, self.best_len = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.way_ids, self.way_start, self.way_len = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -139,7 +151,8 @@ class Codec:
         self.best_len, self.best_ids = np.concatenate([self.best_len, lens]), np.concatenate([self.best_ids, flat])
         size = np.fromiter(map(len, new), np.int64, len(new)) + 1
         order = np.argsort(np.where(size <= UNIT_CHARS, size, 0), kind="stable")
-        group, row, logp = np.empty(len(new), np.int64), np.empty(len(new), np.int64), np.empty((len(new), NBEST))
+        group, row, logp = np.empty(len(new), np.int64), np.empty(len(new), np.int64), np.full((len(new), NBEST + 1), -np.inf)
+        self.names += new
         cut = np.flatnonzero(np.diff(size[order])) + 1
         for same in np.split(order, cut):
             for at in range(0, len(same), 1024):
@@ -149,9 +162,8 @@ class Codec:
                     came, codes, share = self._nbest(us)
                     self.groups.append((came, codes))
                 else:
-                    ways = [self._long(u) for u in us]
-                    self.groups.append(([w for w, _ in ways], None))
-                    share = np.stack([s for _, s in ways])
+                    share = np.array([-np.inf] * NBEST + [0.0])
+                    self.groups.append((None, None))
                 group[part], row[part], logp[part] = len(self.groups) - 1, np.arange(len(part)), share
         self.group_of, self.row_of = np.concatenate([self.group_of, group]), np.concatenate([self.row_of, row])
         self.logp = np.concatenate([self.logp, logp])
@@ -160,7 +172,7 @@ class Codec:
         self.solved = len(self.index)
 
     def _nbest(self, us: list[str]):
-        """The NBEST likeliest segmentations of equally long units: how each place was reached, the units' characters, log shares."""
+        """The NBEST likeliest segmentations of equally long units: how each place was reached, the units' characters, log shares of each and of all the others."""
         n, w = len(us[0]), len(us)
         edge = np.full((w, n, n + 1), -np.inf, np.float32)
         chars = np.frombuffer("".join(us).encode("utf-32-le", "surrogatepass"), "<u4").reshape(w, n)
@@ -180,6 +192,7 @@ class Codec:
         best = np.full((w, n + 1, NBEST), -np.inf, np.float32)
         best[:, 0, 0] = 0
         came = np.zeros((w, n + 1, NBEST), np.int16)
+        rest = np.full((w, n + 1), -np.inf, np.float32)
         for j in range(1, n + 1):
             cand = (best[:, :j] + edge[:, :j, j, None]).reshape(w, -1)
             if j > 2:
@@ -188,6 +201,12 @@ class Codec:
                 top = np.take_along_axis(some, np.argsort(-np.take_along_axis(cand, some, 1), axis=1, kind="stable"), 1)
             else:
                 top = np.argsort(-cand, axis=1, kind="stable")[:, :NBEST]
+            left = cand.copy()
+            np.put_along_axis(left, top, -np.inf, 1)
+            left = np.concatenate([left, rest[:, :j] + edge[:, :j, j]], 1)
+            most = left.max(1)
+            some = np.flatnonzero(most > -np.inf)
+            rest[some, j] = most[some] + np.log(np.exp(left[some] - most[some, None]).sum(1))
             if top.shape[1] < NBEST:
                 top = np.pad(top, ((0, 0), (0, NBEST - top.shape[1])), mode="edge")
                 value = np.take_along_axis(cand, top, 1)
@@ -195,7 +214,7 @@ class Codec:
             else:
                 value = np.take_along_axis(cand, top, 1)
             best[:, j], came[:, j] = value, top
-        score = best[:, n].astype(np.float64)
+        score = np.concatenate([best[:, n], rest[:, n, None]], 1).astype(np.float64)
         top = score[:, :1] + np.log(np.exp(score - score[:, :1]).sum(1, keepdims=True))
         return came, chars.astype(np.uint32), score - top
 
@@ -210,11 +229,7 @@ class Codec:
                 continue
             unit, k = np.divmod(part, NBEST)
             came, chars = self.groups[self.group_of[unit[0]]]
-            if chars is None:
-                each = [np.frombuffer(came[r][c], "<u4") for r, c in zip(self.row_of[unit].tolist(), k.tolist(), strict=True)]
-                ids, lens = np.concatenate(each), np.array([len(e) for e in each])
-            else:
-                ids, lens = self._walk(came, chars, self.row_of[unit], k)
+            ids, lens = self._walk(came, chars, self.row_of[unit], k)
             self.way_start[part], self.way_len[part] = base + np.cumsum(lens) - lens, lens
             base += len(ids)
             flat.append(ids)
@@ -257,25 +272,96 @@ class Codec:
     def best(self, chain_: np.ndarray) -> bytes:
         return _gather(self.best_ids, self.best_start[chain_], self.best_len[chain_]).astype("<u4").tobytes()
 
-    def ways(self, places: np.ndarray) -> bytes:
-        return _gather(self.way_ids, self.way_start[places], self.way_len[places]).astype("<u4").tobytes()
-
-    def _long(self, u: str):
-        """A long unit is a chain of parts; its ways differ from the best in one part or none."""
-        ways = []
-        for k in range(0, len(u), UNIT_CHARS):
-            came, chars, share = self._nbest([u[k : k + UNIT_CHARS]])
-            some = np.flatnonzero(share[0] > -np.inf)
-            ways.append(([self._walk(came, chars, np.zeros(1, np.int64), np.array([x]))[0].astype("<u4").tobytes() for x in some], share[0]))
-        base = sum(s[0] for _, s in ways)
-        found = [(base, b"".join(w[0] for w, _ in ways))]
-        for k, (w, s) in enumerate(ways):
-            for alt in range(1, len(w)):
-                found.append((base - s[0] + s[alt], b"".join(x[0] for x, _ in ways[:k]) + w[alt] + b"".join(x[0] for x, _ in ways[k + 1 :])))
-            found = sorted(found, key=lambda f: -f[0])[:NBEST]
-        s = np.full(NBEST, -np.inf)
-        s[: len(found)] = [f[0] for f in found]
-        return [f[1] for f in found], s - (s[0] + np.log(np.exp(s - s[0]).sum()))
+    def ways(self, places: np.ndarray, rare: dict) -> bytes:
+        """The ids of ways, those at the places in ``rare`` spelt from the lattice."""
+        parts, at = [], 0
+        for t in [*sorted(rare), len(places)]:
+            p = places[at:t]
+            parts.append(_gather(self.way_ids, self.way_start[p], self.way_len[p]).astype("<u4").tobytes())
+            if t in rare:
+                parts.append(self._spell(*rare[t]))
+            at = t + 1
+        return b"".join(parts)
+
+    def _spell(self, unit: int, link) -> bytes:
+        """Ids of a segmentation, given as its last piece (the one before it, begin, end)."""
+        u, ids = "▁" + self.names[unit], []
+        while link:
+            link, i, j = link
+            one = self.pieces.get(u[i:j])
+            ids.append([one] if one is not None else self.bytes[list(u[i:j].encode("utf-8", "surrogatepass"))])
+        return np.concatenate(ids[::-1]).astype("<u4").tobytes()
+
+    def _lattice(self, unit: int):
+        """Of a unit: each place's edges as (end, log weight), log sums from each place to the end, and where the segmentations beside the NBEST leave those."""
+        if unit in self.lattices:
+            return self.lattices[unit]
+        u = "▁" + self.names[unit]
+        n, weight = len(u), self.weight
+        edges, past = [], [0.0] * (n + 1)
+        for i in range(n):
+            at = [(j, weight[u[i:j]]) for j in range(i + 1, min(n, i + self.longest) + 1) if u[i:j] in weight]
+            if not at or at[0][0] > i + 1:
+                at.insert(0, (i + 1, -BYTE_COST * len(u[i].encode("utf-8", "surrogatepass"))))
+            edges.append(at)
+        for i in range(n - 1, -1, -1):
+            to = [w + past[j] for j, w in edges[i]]
+            top = max(to)
+            past[i] = top + math.log(sum(math.exp(x - top) for x in to))
+        came, _ = self.groups[self.group_of[unit]]
+        if came is None:
+            starts = [(0.0, 0, ())]
+        else:
+            known, links = {}, {(): (0.0, 0, ())}
+            for k in np.flatnonzero(self.logp[unit, :NBEST] > -np.inf).tolist():
+                ends, j = [], n
+                while j:
+                    ends.append(j)
+                    j, k = divmod(int(came[self.row_of[unit], j, k]), NBEST)
+                ends.reverse()
+                for x, j in enumerate(ends):
+                    head = tuple(ends[:x])
+                    known.setdefault(head, set()).add(j)
+                    p, i, link = links[head]
+                    links[*head, j] = (p + next(w for e, w in edges[i] if e == j), j, (link, i, j))
+            starts = [(links[head][0] + w, j, (links[head][2], links[head][1], j)) for head, on in known.items() for j, w in edges[links[head][1]] if j not in on]
+        if self.lattice_chars > LATTICE_CHARS:
+            self.lattices, self.lattice_chars = {}, 0
+        self.lattice_chars += n
+        found = self.lattices[unit] = (edges, past, starts)
+        return found
+
+    def rest(self, unit: int, seed: int, limit: float, many: int) -> list[tuple]:
+        """Of the segmentations beside the NBEST, the best perturbed log probabilities, the largest being ``limit``: (it, log share, the segmentation)."""
+        edges, past, starts = self._lattice(unit)
+        n, total = len(edges), past[0]
+        self.random.seed(seed)
+        noise, count = self.random.random, 0
+        heap, found = [], []
+
+        def push(children, most):
+            nonlocal count
+            noisy = [p + past[j] - math.log(-math.log(noise() or 2.0**-54)) for p, j, _ in children]
+            top = max(noisy)
+            for (p, j, link), x in zip(children, noisy, strict=True):
+                below = math.exp(x - top)
+                if below < 1:
+                    v = most - (x - total) + math.log1p(-below)
+                    g = most - max(v, 0.0) - math.log1p(math.exp(-abs(v)))
+                else:
+                    g = most
+                count += 1
+                heappush(heap, (-g, count, p, j, link))
+
+        if starts:
+            push(starts, limit)
+        while heap and len(found) < many:
+            g, _, p, i, link = heappop(heap)
+            if i == n:
+                found.append((-g, p - total, link))
+            else:
+                push([(p + w, j, (link, i, j)) for j, w in edges[i]], -g)
+        return found
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.text.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
@@ -296,8 +382,13 @@ def _gumbel(seed: np.ndarray, step: int, lanes: int) -> np.ndarray:
     return -np.log(-np.log(((x >> np.uint64(41)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-23)))
 
 
-def sample_top_k(chains: list[np.ndarray], logp: np.ndarray, seeds: np.ndarray, k: int):
-    """For each chain of unit numbers: its k samples as (choice of each unit, log_prob, inclusion), largest first."""
+def sample_top_k(chains: list[np.ndarray], logp: np.ndarray, seeds: np.ndarray, k: int, rest=None):
+    """For each chain of unit numbers: its k samples as (choice of each unit, log_prob, inclusion, rare), largest first.
+
+    With ``rest`` the last column of ``logp`` is a unit's other segmentations
+    together, and ``rest(unit, seed, limit, many)`` finds the best of them;
+    ``rare`` has (unit, segmentation) for each place where one was drawn.
+    """
     order = sorted(range(len(chains)), key=lambda d: -len(chains[d]))
     lens = np.array([len(chains[d]) for d in order])
     width, b, nb = int(lens[0]) if len(lens) else 0, k + 1, logp.shape[1]
@@ -310,7 +401,7 @@ def sample_top_k(chains: list[np.ndarray], logp: np.ndarray, seeds: np.ndarray,
     active = np.searchsorted(-lens, -np.arange(1, width + 1), "right") if width else []
     flat = np.concatenate([chains[d] for d in order]) if width else np.zeros(0, np.int64)
     base = np.cumsum(lens) - lens
-    picks, rows = [], np.arange(len(order))[:, None]
+    picks, rows, drawn = [], np.arange(len(order))[:, None], {}
     for t in range(width):
         a = int(active[t])
         lp = logp[flat[base[:a] + t]]
@@ -324,16 +415,37 @@ def sample_top_k(chains: list[np.ndarray], logp: np.ndarray, seeds: np.ndarray,
             value = np.where(np.isfinite(child), phi[:a, :, None].repeat(nb, 2).reshape(a, b * nb) + cond.reshape(a, b * nb), -np.inf)
             best = np.argsort(-value, axis=1)[:, :b]
             row = rows[:a]
-            phi[:a] = child[row, best]
-            over[:a] = np.where(np.isfinite(phi[:a]), value[row, best] - phi[:a], -np.inf)
+            log_prob, g = child[row, best], value[row, best]
+            if rest is not None:
+                for r in np.flatnonzero(((best % nb == nb - 1) & (g > -np.inf)).any(1)).tolist():
+                    unit, kept = int(flat[base[r] + t]), []
+                    for p, x, y in zip(best[r].tolist(), g[r].tolist(), log_prob[r].tolist(), strict=True):
+                        if p % nb < nb - 1 or x == -np.inf:
+                            kept.append((x, y, p, None))
+                            continue
+                        was = float(phi[r, p // nb])
+                        key = (int(seed[r]) + (t * b + p // nb + 1) * int(MULTIPLIER)) % 2**64
+                        kept += [(was + x2, was + y2, p, link) for x2, y2, link in rest(unit, key, x - was, b)]
+                    kept.sort(key=lambda c: -c[0])
+                    for slot, (x, y, p, link) in enumerate(kept[:b]):
+                        g[r, slot], log_prob[r, slot], best[r, slot] = x, y, p
+                        if link is not None:
+                            drawn[t, r, slot] = unit, link
+            phi[:a] = log_prob
+            over[:a] = np.where(np.isfinite(phi[:a]), g - phi[:a], -np.inf)
         picks.append(best.astype(np.int16))
     choice = [np.zeros((n, k), np.int8) for n in lens]
+    rare: list = [[{} for _ in range(k)] for _ in order]
     g = np.where(np.isfinite(phi), phi + over, -np.inf)
     lane = np.tile(np.arange(k), (len(order), 1))
     for t in range(width - 1, -1, -1):
         a = int(active[t])
         p = picks[t][rows[:a], lane[:a]]
         way = p % nb
+        if drawn:
+            for r, s in np.argwhere(way == nb - 1).tolist():
+                if (t, r, int(lane[r, s])) in drawn:
+                    rare[r][s][t] = drawn[t, r, int(lane[r, s])]
         for d in range(a) if a <= 2 else ():
             choice[d][t] = way[d]
         if a > 2:
@@ -350,7 +462,7 @@ def sample_top_k(chains: list[np.ndarray], logp: np.ndarray, seeds: np.ndarray,
         found = []
         for s in range(k):
             if np.isfinite(g[r, s]):
-                found.append((choice[r][:, s], float(phi[r, s]), float(-np.expm1(-np.exp(np.clip(phi[r, s] - limit, -700, 700)))) if np.isfinite(limit) else 1.0))
+                found.append((choice[r][:, s], float(phi[r, s]), float(-np.expm1(-np.exp(np.clip(phi[r, s] - limit, -700, 700)))) if np.isfinite(limit) else 1.0, rare[r][s]))
         out[d] = found
     return out
 
@@ -371,12 +483,12 @@ def _encode(batches, path: str, samples: int):
             codec.learn()
             seeds = np.array([zlib.crc32(str(key).encode()) * 0x9E3779B97F4A7C15 % 2**64 for key in keys.to_pylist()], np.uint64)
             drawn, tops = np.zeros(len(codec.way_start), bool), []
-            for units, top in zip(chains, sample_top_k(chains, codec.logp, seeds, samples), strict=True):
-                tops.append([(units * NBEST + ways, p, q) for ways, p, q in top])
-                for places, _, _ in tops[-1]:
-                    drawn[places] = True
+            for units, top in zip(chains, sample_top_k(chains, codec.logp, seeds, samples, codec.rest), strict=True):
+                tops.append([(units * NBEST + ways, p, q, rare) for ways, p, q, rare in top])
+                for places, _, _, rare in tops[-1]:
+                    drawn[np.delete(places, list(rare)) if rare else places] = True
             codec.fill(drawn)
-            found = [[{"ids": codec.ways(places), "log_prob": p, "inclusion": q} for places, p, q in top] for top in tops]
+            found = [[{"ids": codec.ways(places, rare), "log_prob": p, "inclusion": q} for places, p, q, rare in top] for top in tops]
             yield pa.RecordBatch.from_arrays(
                 [keys, pa.array([codec.best(units) for units in chains], pa.binary()), pa.array(found, pa.list_(pa.struct([("ids", pa.binary()), ("log_prob", pa.float64()), ("inclusion", pa.float64())])))],
                 ["doc_id", "ids", "samples"],

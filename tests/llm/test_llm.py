@@ -201,6 +201,68 @@ def test_op8_samples_follow_the_lattice():
     assert all(tuple(a[0]) != tuple(b[0]) for a, b in found)
 
 
+@pytest.mark.parametrize("text", ["thanedble", "anedb the", "é" * 3 + "ing"])
+def test_op8_whole_lattice(text):
+    codec = sentencepiece_codec.Codec(public_tokenizers.path("piece_bpe_32k.model"))
+
+    def every(u):
+        if not u:
+            yield (), 0.0
+        for j in range(1, len(u) + 1):
+            if u[:j] in codec.pieces:
+                head, w = (codec.pieces[u[:j]],), codec.weight[u[:j]]
+            elif j == 1:
+                head, w = tuple(codec.bytes[list(u[0].encode())].tolist()), -sentencepiece_codec.BYTE_COST * len(u[0].encode())
+            else:
+                continue
+            for tail, x in every(u[j:]):
+                yield head + tail, w + x
+
+    p = dict(every("▁" + text.replace(" ", "▁")))
+    total = sum(map(np.exp, p.values()))
+    p = {ids: float(np.exp(w)) / total for ids, w in p.items()}
+    n = 6000
+    units = codec.chain(text)
+    codec.learn()
+    found = sentencepiece_codec.sample_top_k([units] * n, codec.logp, np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 2, codec.rest)
+    first, drawn = dict.fromkeys(p, 0), dict.fromkeys(p, 0)
+    places = lambda s: units * sentencepiece_codec.NBEST + s[0]
+    flags = np.zeros(len(codec.way_start), bool)
+    for s in itertools.chain.from_iterable(found):
+        flags[np.delete(places(s), list(s[3]))] = True
+    codec.fill(flags)
+    for f in found:
+        names = [tuple(np.frombuffer(codec.ways(places(s), s[3]), "<u4").tolist()) for s in f]
+        assert len(set(names)) == 2
+        first[names[0]] += 1
+        for name, s in zip(names, f, strict=True):
+            drawn[name] += 1
+            assert abs(s[1] - np.log(p[name])) < 1e-4
+    once = sum(q / (1 - q) for q in p.values())
+    for name, q in p.items():
+        assert abs(first[name] / n - q) < 5 * (q / n) ** 0.5 + 1e-3
+        assert abs(drawn[name] / n - (q + q * (once - q / (1 - q)))) < 5 * (2 * q / n) ** 0.5 + 1e-3
+    rare = sorted(p, key=p.get)[: -sentencepiece_codec.NBEST ** len(units)]
+    mass = sum(p[name] for name in rare)
+    assert abs(sum(first[name] for name in rare) / n - mass) < 5 * (mass / n) ** 0.5 + 1e-3
+
+
+def test_op8_long_units_are_whole():
+    codec = sentencepiece_codec.Codec(public_tokenizers.path("piece_bpe_32k.model"))
+    u = "internationalization" * 3
+    units = codec.chain(u)
+    codec.learn()
+    names, crossed = set(), False
+    for (a, b) in sentencepiece_codec.sample_top_k([units] * 50, codec.logp, np.arange(1, 51, dtype=np.uint64), 2, codec.rest):
+        for s in (a, b):
+            ids = np.frombuffer(codec.ways(units * sentencepiece_codec.NBEST + s[0], s[3]), "<u4")
+            assert codec.decode(ids) == u
+            ends = np.cumsum([len(codec.text[k]) for k in ids])
+            crossed |= 32 not in ends
+            names.add(ids.tobytes())
+    assert crossed and len(names) == 100
+
+
 def test_op9_held_out(spark):
     d = "/root/testdata/sf0.1"
     s = toxicity.op9_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").select("score", "toxic").toPandas()
