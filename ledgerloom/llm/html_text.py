@@ -4,8 +4,10 @@ Every text node hangs on a path of tags from the root.  For each path the text
 length and the punctuation are summed and divided by the number of its nodes;
 both ratios are smoothed over neighbouring paths (in page order), fused by
 their product, and paths of at least half the standard deviation are content.
-The article is the smallest container that holds most of the content; all its
-blocks are kept but those of navigation, adverts, forms, comments and the like.
+The article is the container outside which no content lies, or the article
+element that holds most of it; all its blocks are kept.  Names and tags of navigation, adverts, comments and the
+like only exclude further, and not where they enclose the article: half of the
+content of all articles, or of the page if it has none.
 """
 
 from __future__ import annotations
@@ -26,7 +28,10 @@ RAW = frozenset("script style noscript template textarea title iframe svg math s
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul caption br".split())
 CLOSES_P = BLOCK - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "head"}
 CONTAINER = frozenset("html body article main section div td center form details".split())
-DROP_TAG = frozenset("head nav aside footer form button dialog object canvas menu audio video fieldset".split()) | RAW
+DROP_TAG = frozenset("head nav aside footer button dialog object canvas menu audio video".split()) | RAW
+DROP_UNLESS_CONTENT = frozenset(["form", "fieldset"])
+#: Content characters outside links that an element with a dropped name must enclose to be kept, where no article tells.
+LEAST_CONTENT = 200
 DROP_WORD = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar sidebar side cookie cookies consent gdpr notice notices alert "
     "comment comments disqus reply replies respond share sharing social breadcrumb breadcrumbs footer related recommended popup modal overlay widget newsletter subscribe subscription login signup "
@@ -39,27 +44,22 @@ _PUNCT = re.compile(r"[.,;:!?…。、]")
 
 
 class _Node:
-    __slots__ = ("tag", "name", "parent", "drop", "path", "children", "score")
+    __slots__ = ("tag", "parent", "doubt", "drop", "path", "children", "score", "link", "within")
 
     def __init__(self, tag: str, name: str, parent):
-        self.tag, self.name, self.parent, self.children, self.score = tag, name, parent, [], 0.0
-        words = set(re.split(r"[^a-z]+", name)) if name else ()
-        inside = parent is not None and _within(parent)
-        self.drop = (parent is not None and parent.drop) or tag in DROP_TAG or bool(DROP_WORD & set(words)) and tag not in ("html", "body", "article", "main")
-        self.drop |= (tag == "header" or "header" in words and not words & {"article", "post", "entry", "title"} or "masthead" in words) and not inside
+        self.tag, self.parent, self.children, self.score = tag, parent, [], 0.0
+        words = set(re.split(r"[^a-z]+", name)) if name else set()
+        inside = parent is not None and parent.within
+        self.drop = (parent is not None and parent.drop) or tag in DROP_TAG
+        self.doubt = tag in DROP_UNLESS_CONTENT or bool(DROP_WORD & words) and tag not in ("html", "body", "article", "main")
+        self.doubt |= (tag == "header" or "header" in words and not words & {"article", "post", "entry", "title"} or "masthead" in words) and not inside
+        self.link = tag == "a" or parent is not None and parent.link
+        self.within = inside or tag in ("article", "main")
         self.path = (parent.path if parent else "") + "/" + tag + ("." + name if name else "")
         if parent is not None:
             parent.children.append(self)
 
 
-def _within(node) -> bool:
-    while node is not None:
-        if node.tag in ("article", "main"):
-            return True
-        node = node.parent
-    return False
-
-
 def _parse(page: str):
     """Text nodes in page order as (node, text, block number)."""
     root = node = _Node("", "", None)
@@ -134,38 +134,68 @@ def _content_paths(texts) -> set[str]:
     return {k for k, f in zip(sums, fused, strict=True) if f >= fused.std() / 2}
 
 
+def _weigh(texts, chosen: set[str], counts) -> None:
+    """Content characters under each node, of the text nodes that count."""
+    for node, text, _ in texts:
+        if not node.drop and node.path in chosen and counts(node):
+            n = float(len(text.strip()))
+            while node is not None:
+                node.score += n
+                node = node.parent
+
+
+def _exclude(root, texts) -> None:
+    """Drop what lies under a doubtful element, unless that encloses the article."""
+    chosen = _content_paths(texts)
+    _weigh(texts, chosen, lambda node: node.within)
+    articles = root.score > 0
+    if not articles:
+        _weigh(texts, chosen, lambda node: not node.link)
+    least = max(root.score / 2, 0 if articles else LEAST_CONTENT)
+    rest = [root]
+    while rest:
+        node = rest.pop()
+        node.drop |= node.parent is not None and node.parent.drop or node.doubt and (node.score < least or not node.score)
+        node.score = 0.0
+        rest += node.children
+
+
 def extract(page: str | None) -> str:
     """The article's text: white space inside a block is one space, blocks are joined by one space; empty if there is none."""
     if not page:
         return ""
     root, texts = _parse(page)
+    _exclude(root, texts)
     chosen = _content_paths(texts)
-    for node, text, _ in texts:
-        if not node.drop and node.path in chosen:
-            n = float(len(text.strip()))
-            while node is not None:
-                node.score += n
-                node = node.parent
+    _weigh(texts, chosen, lambda node: True)
     if not root.score:
         return ""
     article = root
-    while True:
-        inner = [c for c in article.children if not c.drop and c.tag in CONTAINER and c.score >= 0.7 * root.score]
-        if not inner or article.tag in ("article", "main") and inner[0].tag not in ("article", "main") and not inner[0].name:
+    while article.tag not in ("article", "main"):
+        inner = [c for c in article.children if not c.drop and c.tag in CONTAINER and (c.score >= root.score or c.tag in ("article", "main") and c.score >= 0.7 * root.score)]
+        if not inner:
             break
         article = inner[0]
     under: dict[int, bool] = {id(root): article is root}
 
     def inside(node) -> bool:
-        if id(node) not in under:
-            under[id(node)] = node is article or inside(node.parent)
+        chain = []
+        while id(node) not in under:
+            if node is article:
+                under[id(node)] = True
+                break
+            chain.append(node)
+            node = node.parent
+        for one in chain:
+            under[id(one)] = under[id(node)]
         return under[id(node)]
 
-    blocks: dict[int, list[str]] = {}
+    blocks: dict[int, list[tuple]] = {}
     for node, text, block in texts:
         if not node.drop and inside(node):
-            blocks.setdefault(block, []).append(text)
-    return " ".join(s for s in (" ".join("".join(b).split()) for b in blocks.values()) if s)
+            blocks.setdefault(block, []).append((node, text))
+    some = [b for b in blocks.values() if any(text.strip() for _, text in b)]
+    return " ".join(" ".join("".join(text for _, text in b).split()) for b in some)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

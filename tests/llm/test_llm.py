@@ -117,6 +117,25 @@ def test_op4_article_only():
     assert html_text.extract(None) == html_text.extract("") == html_text.extract("<nav>x</nav>") == ""
 
 
+ARTICLE = "<h1>Head</h1><p>One long, whole sentence of the article, with some commas.</p><p>Another one, as long as that; and it ends here.</p>"
+PLAIN = "Head One long, whole sentence of the article, with some commas. Another one, as long as that; and it ends here."
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="layout with-sidebar">', '<div id="content-side" class="side">', '<div class="search-page">', '<form id="aspnetForm">'])
+def test_op4_wrappers_keep_the_article(wrapper):
+    end = "</" + wrapper[1:].split(" ")[0] + ">"
+    other = '<div class="sidebar"><p>Buy this, and that, and all the others too.</p></div>'
+    assert html_text.extract(f"<body>{wrapper}<article>{ARTICLE}</article>{other}{end}</body>") == PLAIN
+    assert html_text.extract(f"<body>{wrapper}<div>{ARTICLE * 2}</div>{end}</body>") == PLAIN + " " + PLAIN
+
+
+def test_op4_leads_and_parts():
+    page = f'<body><article><h1>Title</h1><div class="lead">A short lead, before it.</div><div class="body">{ARTICLE * 3}</div></article></body>'
+    assert html_text.extract(page) == " ".join(["Title A short lead, before it.", *[PLAIN] * 3])
+    parts = f'<body><div class="one">{ARTICLE * 4}</div><div class="two">{ARTICLE}</div></body>'
+    assert html_text.extract(parts) == " ".join([PLAIN] * 5)
+
+
 def test_op5_fingerprints(spark):
     texts = corpus(5) + [(70, "a. b. c\nd. e."), (71, "a. b. c\nd. e.")]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
