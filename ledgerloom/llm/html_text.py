@@ -4,8 +4,9 @@ Every text node hangs on a path of tags from the root.  For each path the text
 length and the punctuation are summed and divided by the number of its nodes;
 both ratios are smoothed over neighbouring paths (in page order), fused by
 their product, and paths of at least half the standard deviation are content.
-The article is the container outside which no content lies, or the article
-element that holds most of it; all its blocks are kept.  Names and tags of navigation, adverts, comments and the
+Blocks with content text are kept.  Headings, short paragraphs and lone links
+on other paths are kept beside them, in the same container or in an article;
+runs of links are not.  Names and tags of navigation, adverts, comments and the
 like only exclude further, and not where they enclose the article: half of the
 content of all articles, or of the page if it has none.
 """
@@ -30,6 +31,8 @@ CLOSES_P = BLOCK - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"
 CONTAINER = frozenset("html body article main section div td center form details".split())
 DROP_TAG = frozenset("head nav aside footer button dialog object canvas menu audio video".split()) | RAW
 DROP_UNLESS_CONTENT = frozenset(["form", "fieldset"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+JOINS = frozenset(["", "html", "body", "article", "main", "section", "div", "form", "details"])
 #: Content characters outside links that an element with a dropped name must enclose to be kept, where no article tells.
 LEAST_CONTENT = 200
 DROP_WORD = frozenset(
@@ -160,6 +163,31 @@ def _exclude(root, texts) -> None:
         rest += node.children
 
 
+def _joined(blocks, chosen: set[str]) -> list[bool]:
+    """Which blocks (lists of text nodes) are kept."""
+    content, links, homes = [], [], []
+    for block in blocks:
+        sizes = [(node, len(text.strip())) for node, text in block]
+        content.append(any(n and node.path in chosen for node, n in sizes))
+        links.append(2 * sum(n for node, n in sizes if node.link) > sum(n for _, n in sizes))
+        home = next(node for node, n in sizes if n)
+        while home.tag not in JOINS:
+            home = home.parent
+        homes.append(home)
+    keep = list(content)
+    for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
+        before, near = None, False
+        for k in order:
+            many = links[k] and any(links[j] and not content[j] for j in (k - 1, k + 1) if 0 <= j < len(blocks))
+            if not keep[k] and near and not many and (homes[k].within or homes[k] is before or blocks[k][0][0].tag in HEADINGS):
+                keep[k] = True
+            if keep[k]:
+                before, near = homes[k], True
+            elif not homes[k].within:
+                near = False
+    return keep
+
+
 def extract(page: str | None) -> str:
     """The article's text: white space inside a block is one space, blocks are joined by one space; empty if there is none."""
     if not page:
@@ -195,7 +223,7 @@ def extract(page: str | None) -> str:
         if not node.drop and inside(node):
             blocks.setdefault(block, []).append((node, text))
     some = [b for b in blocks.values() if any(text.strip() for _, text in b)]
-    return " ".join(" ".join("".join(text for _, text in b).split()) for b in some)
+    return " ".join(" ".join("".join(text for _, text in b).split()) for b, keep in zip(some, _joined(some, chosen), strict=True) if keep)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

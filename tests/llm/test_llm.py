@@ -136,6 +136,12 @@ def test_op4_leads_and_parts():
     assert html_text.extract(parts) == " ".join([PLAIN] * 5)
 
 
+def test_op4_paths_choose():
+    links = "<div>" + "".join(f"<p><a>Go {k}</a></p>" for k in range(6)) + "</div>"
+    page = f'<body>{links}<div class="text">{ARTICLE}<p>Short.</p></div>{links}</body>'
+    assert html_text.extract(page) == PLAIN + " Short."
+
+
 def test_op5_fingerprints(spark):
     texts = corpus(5) + [(70, "a. b. c\nd. e."), (71, "a. b. c\nd. e.")]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
