@@ -1,11 +1,14 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections, in DataFrame functions only.
 
-A section is a line of the text, a paragraph a stretch of it that ends after a
-space behind one of ``. ! ? ; : % | e y`` (so texts without sentences have
-branches too, and an edit moves no boundary beyond itself).  Leaf: hash of a
-paragraph; node: hash of a section's leaves; root: hash of the nodes.  The
-fingerprint spells the tree ``root|node:leaf,leaf|node:leaf``: equal roots tell
-equal texts, and differing nodes and leaves tell where an edit is.
+A section is a line of the text, a paragraph a stretch of it that ends behind
+punctuation of any script (and its space, if the script has one).  Stretches of
+over LONG characters are cut further at white space behind words with a
+certain hash, runs without white space behind characters whose hash with the
+two before is a certain one, and at last after MOST characters; so an edit
+moves few boundaries beyond itself.  Leaf: hash of a paragraph; node: hash of
+its section's leaves; root: hash of the nodes.  The fingerprint spells the tree
+``root|node:leaf,leaf|node:leaf``: equal roots tell equal texts, and differing
+nodes and leaves tell where an edit is.
 """
 
 from __future__ import annotations
@@ -15,40 +18,75 @@ from pyspark.sql import functions as F
 
 from .shared import read_table
 
-PARAGRAPH = r"(?<=[.!?;:%|ey] )"
+PARAGRAPH = r"(?<=[\p{P}\p{S}]\s)|(?<=[\p{P}&&[^\x00-\x{2E7F}]])"
+LONG, MOST, WORDS_A_LEAF, CHARS_A_LEAF = 64, 256, 4, 32
+MARK = "\x01"
 ROWS_A_RANGE = 2000
 MAX_RANGES = 4096
+ROOT, NODE = 64, 32
 
 
-def _leaf(c: Column) -> Column:
-    return F.substring(F.lower(F.lpad(F.hex(F.xxhash64(c)), 16, "0")), 1, 6)
+def _marked(parts: Column, mark) -> Column:
+    """The parts cut anew behind those that ``mark(part, place)`` holds for; a mark of the text itself is told apart."""
+    def part(c: Column, k: Column) -> Column:
+        own = F.replace(c, F.lit(MARK), F.lit(MARK + "\x02"))
+        return F.when(mark(c, k), F.concat(own, F.lit(MARK))).otherwise(own)
+
+    return F.split(F.array_join(F.transform(parts, part), ""), "(?<=\x01)(?!\x02)")
+
+
+def _cutter(over: int, how):
+    """A function that has parts of more than ``over`` characters cut by ``how``."""
+    def cut(parts: Column) -> Column:
+        new = F.flatten(F.transform(parts, lambda c: F.when(F.length(c) > over, F.filter(how(c), lambda x: x != "")).otherwise(F.array(c))))
+        return F.when(F.exists(parts, lambda c: F.length(c) > over), new).otherwise(parts)
+
+    return cut
+
+
+def _by_words(c: Column) -> Column:
+    return _marked(F.split(c, r"(?<=\s)(?=\S)"), lambda w, _: F.pmod(F.xxhash64(w), F.lit(WORDS_A_LEAF)) == 0)
+
+
+def _by_characters(c: Column) -> Column:
+    chars = F.split(c, "(?s)(?<=.)(?=.)")
+    return F.flatten(F.transform(F.array(chars), lambda all_: _marked(all_, lambda x, k: F.pmod(F.xxhash64(x, F.get(all_, k - 1), F.get(all_, k - 2)), F.lit(CHARS_A_LEAF)) == 0)))
+
+
+def _let(c: Column, then) -> Column:
+    """``then(c)``, with ``c`` evaluated once."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
+def leaves_of(line: Column) -> Column:
+    """The paragraphs of a line."""
+    parts = F.split(line, PARAGRAPH)
+    for over, how in [(LONG, _by_words), (MOST, _by_characters), (MOST, lambda c: F.regexp_extract_all(c, F.lit(f"(?s).{{1,{MOST}}}"), F.lit(0)))]:
+        parts = _let(parts, _cutter(over, how))
+    return parts
 
 
 def fingerprint(text: Column) -> Column:
     """The tree of a text (null: empty)."""
     text = F.coalesce(text.cast("string"), F.lit(""))
-
-    def section(line: Column) -> Column:
-        leaves = F.array_join(F.transform(F.split(line, PARAGRAPH), _leaf), ",")
-        return F.concat(F.substring(F.md5(line), 1, 8), F.lit(":"), leaves)
-
-    tree = F.array_join(F.transform(F.split(text, "\n"), section), "|")
-    return F.concat(F.substring(F.sha2(text, 256), 1, 32), F.lit("|"), tree)
+    leaves = F.transform(F.split(text, "\n"), lambda line: F.array_join(F.transform(leaves_of(line), F.md5), ","))
+    nodes = F.transform(leaves, lambda c: F.concat(F.md5(c), F.lit(":"), c))
+    return _let(nodes, lambda n: F.concat(F.sha2(F.array_join(F.transform(n, lambda c: F.substring(c, 1, NODE)), ","), 256), F.lit("|"), F.array_join(n, "|")))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: equal roots 1, else the share of distinct leaves in common."""
     def leaves(c: Column) -> Column:
-        return F.regexp_extract_all(c, F.lit("(?<=[:,])[0-9a-f]{6}"), F.lit(0))
+        return F.regexp_extract_all(c, F.lit("(?<=[:,])[0-9a-f]{32}"), F.lit(0))
 
     common = F.size(F.array_intersect(leaves(a), leaves(b)))
-    return F.when(F.substring(a, 1, 32) == F.substring(b, 1, 32), 1.0).otherwise(common / F.greatest(F.lit(1), F.size(F.array_union(leaves(a), leaves(b)))))
+    return F.when(F.substring(a, 1, ROOT) == F.substring(b, 1, ROOT), 1.0).otherwise(common / F.greatest(F.lit(1), F.size(F.array_union(leaves(a), leaves(b)))))
 
 
 def changed_sections(a: Column, b: Column) -> Column:
     """Numbers (from 0) of the sections of ``a`` whose node ``b`` lacks: where the edits are."""
     def nodes(c: Column) -> Column:
-        return F.transform(F.split(F.substring(c, 34, 2**31 - 1), "\\|"), lambda s: F.substring(s, 1, 8))
+        return F.transform(F.split(F.substring(c, ROOT + 2, 2**31 - 1), "\\|"), lambda s: F.substring(s, 1, NODE))
 
     return F.filter(F.transform(nodes(a), lambda s, k: F.when(~F.array_contains(nodes(b), s), k)), lambda k: k.isNotNull())
 

@@ -157,6 +157,24 @@ def test_op5_fingerprints(spark):
     assert r["s"] == [1] and 0 < r["l"] < 1
 
 
+def test_op5_tree_and_bounded_leaves(spark):
+    r = random.Random(5)
+    texts = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(3000)), "これは文です。" * 3 + "つぎの文、です。", "x" * 3000, " ".join("".join(r.choice("abcdfgh") for _ in range(6)) for _ in range(400)), "a\x01" * 200, "", "p. q\n\n r\U0001f600"]
+    for t in texts:
+        edited = t[: len(t) // 3 * 2] + "".join(chr(r.randrange(0x3041, 0x3090)) for _ in range(len(t) // 3))
+        d = spark.createDataFrame([(t, edited)], "a string, b string")
+        f = d.select("*", fingerprints.fingerprint(F.col("a")).alias("f"), fingerprints.fingerprint(F.col("b")).alias("g")).select("*", F.transform(F.split("a", "\n"), fingerprints.leaves_of).alias("leaves"), fingerprints.likeness(F.col("f"), F.col("g")).alias("near")).first()
+        md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+        if "\x01" not in t:
+            assert "\n".join("".join(x) for x in f["leaves"]).replace("\x01", "") == t
+        assert all(len(x) <= 2 * fingerprints.MOST for s in f["leaves"] for x in s)
+        sections = [",".join(map(md5, s)) for s in f["leaves"]]
+        root = hashlib.sha256(",".join(map(md5, sections)).encode()).hexdigest()
+        assert f["f"] == root + "|" + "|".join(md5(s) + ":" + s for s in sections)
+        if len(t) > 1000 and "x" not in t:
+            assert len(f["leaves"][0]) > 20 and f["near"] > 0.3
+
+
 def test_op6_brute_force(spark):
     texts = corpus(6, 120)
     w = {i: re.findall(r"[^ \t-\r]+", (t or "").lower()) for i, t in texts}
