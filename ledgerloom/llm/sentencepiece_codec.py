@@ -2,31 +2,29 @@
 
 A text is cut before each run of word marks; no piece reaches across such a
 cut, so the lattice of a text is a chain of small lattices, one for each unit.
-Units are solved once and remembered: the BPE ids, the NBEST likeliest
-segmentations with their probabilities in the whole lattice, and what all the
-others hold together.  Units over UNIT_CHARS characters have only the latter.
-
-Sampling is Gumbel top-k over the whole text's segmentations, from the root
-down: a prefix carries the largest perturbed log probability of its
-completions, which is an exact bound, so the search keeps the k+1 best
-prefixes of each length and finds just what best-first (A-star) search would:
-the k largest of all leaves.  These are distinct samples without replacement.
-The segmentations of a unit beside the NBEST are one child with their summed
-weight; where it is among the best, its own k+1 best leaves are found on the
-unit's lattice (sums to the end, noise on the edges) and take its place, so
-every segmentation can be drawn, each with its share.
-The (k+1)th value is the threshold for their inclusion scores
-``1 - exp(-exp(log_prob - threshold))``.  Noise comes from a hash of the row's
-key and the place in the lattice, so a retried task samples the same.
+The whole lattice of a unit is kept: for each place its edges with their
+probabilities (weight times the summed weight of all ways from their end).
+
+Sampling is Gumbel top-k by perturbed A-star search.  A node of the search is
+a prefix with a set of ways on that are taken already; its bound is the largest
+perturbed log probability among all its other completions, which is the log
+probability they hold together plus Gumbel noise, cut off at the bound of its
+parent.  The best node of the queue is popped, one of its ways on is drawn by
+probability and followed to the end of the text, and what is left at each unit
+beside that path enters the queue.  So the first k pops are the k largest of
+all perturbed leaves, which are distinct samples without replacement, and the
+queue's next bound is the threshold of their inclusion scores
+``1 - exp(-exp(log_prob - threshold))``.  Bounds are kept as logs of arrival
+times (exp of their negative): what holds the mass m arrives an exponential
+time over m after its parent.  Noise comes from a hash of the row's key, the
+path and the place, so a retried task samples the same.
 """
 
 from __future__ import annotations
 
-import math
 import random
 import re
 import zlib
-from heapq import heappop, heappush
 from itertools import chain, islice
 
 import numpy as np
@@ -37,17 +35,18 @@ from pyspark.sql import functions as F
 
 from .shared import read_table
 
-SAMPLES, NBEST, UNIT_CHARS = 2, 8, 32
-#: Texts sampled side by side, in characters.
-GROUP_CHARS = 8_000_000
+SAMPLES = 2
+#: Texts handled side by side, in characters (a longer text is handled alone).
+GROUP_CHARS = 2_000_000
+#: Characters whose lattices are built side by side (a longer unit alone).
+BLOCK_CHARS = 150_000
+#: Lattice edges that a Python worker remembers; then it forgets all units.
+CACHE_EDGES = 8_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: log weight of a piece: -PIECE_COST - its rank / RANK_SCALE; of a byte piece -BYTE_COST.
 PIECE_COST, RANK_SCALE, BYTE_COST = 1.0, 8000.0, 6.0
-CACHE_UNITS = 400_000
-#: Characters of the units whose lattices are kept.
-LATTICE_CHARS = 60_000
 _UNIT = re.compile("▁+[^▁]*")
-SCHEMA = "doc_id long, ids binary, samples array<struct<ids: binary, log_prob: double, inclusion: double>>"
+SCHEMA = "doc_id long, ids binary, samples array<struct<ids: binary, log_prob: double, inclusion: double>>, decoded string"
 
 
 class _Numbers(dict):
@@ -64,48 +63,58 @@ def _gather(flat: np.ndarray, start: np.ndarray, lens: np.ndarray) -> np.ndarray
     return flat[np.repeat(start - past + lens, lens) + np.arange(past[-1] if len(past) else 0)]
 
 
+def _uniform(keys: np.ndarray, step: int) -> np.ndarray:
+    """Numbers in (0, 1) from a hash of keys and step."""
+    x = keys + np.uint64((step + 1) * 0xD1342543DE82EF95 % 2**64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    x >>= np.uint64(11)
+    return (x + 0.5) * 2.0**-53
+
+
 class Codec:
-    """Units of text, solved and remembered.  A unit is known by what follows its first word mark."""
+    """Units of text, their BPE ids and lattices, remembered.  A unit is known by what follows its first word mark."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.pieces = {m.id_to_piece(k): k for k in range(m.get_piece_size()) if not (m.is_byte(k) or m.is_control(k) or m.is_unknown(k))}
+        n = m.get_piece_size()
+        self.pieces = {m.id_to_piece(k): k for k in range(n) if not (m.is_byte(k) or m.is_control(k) or m.is_unknown(k))}
         self.bytes = np.array([m.piece_to_id(f"<0x{k:02X}>") for k in range(256)], np.uint32)
         byte_of = {int(k): bytes([b]) for b, k in enumerate(self.bytes)}
-        self.text = [byte_of[k] if m.is_byte(k) else b"" if m.is_control(k) or m.is_unknown(k) else m.id_to_piece(k).replace("▁", " ").encode() for k in range(m.get_piece_size())]
+        text = [byte_of[k] if m.is_byte(k) else b"" if m.is_control(k) or m.is_unknown(k) else m.id_to_piece(k).replace("▁", " ").encode() for k in range(n)]
+        self.text, self.text_len = np.frombuffer(b"".join(text), np.uint8), np.array([len(t) for t in text])
+        self.text_start = np.cumsum(self.text_len) - self.text_len
         # ranks: the library's scores count merges; runs of word marks have none, and cost as the last
-        weight = {p: -PIECE_COST - min(-min(m.get_score(k), 0.0), float(m.get_piece_size())) / RANK_SCALE for p, k in self.pieces.items()}
-        self.weight, self.longest = weight, max(map(len, weight))
-        self.random = random.Random()
+        self.weight = np.full(n, -BYTE_COST)
+        for k in self.pieces.values():
+            self.weight[k] = -PIECE_COST - min(-min(m.get_score(k), 0.0), float(n)) / RANK_SCALE
+        self.longest = max(map(len, self.pieces))
         self.tables, self.seen = {}, {}
-        for n in sorted({len(p) for p in self.pieces}):
-            names = [p for p in self.pieces if len(p) == n]
-            h = self._hash(np.array([[ord(c) for c in p] for p in names], np.uint64))
+        for size in sorted({len(p) for p in self.pieces}):
+            names = [p for p in self.pieces if len(p) == size]
+            h = np.zeros(len(names), np.uint64)
+            for k in range(size):
+                h = h * MULTIPLIER + np.array([ord(p[k]) for p in names], np.uint64)
             order = np.argsort(h)
-            self.tables[n] = (h[order], np.array([weight[p] for p in names])[order], np.array([self.pieces[p] for p in names], np.uint32)[order])
-            self.seen[n] = np.zeros(1 << 18, bool)
-            self.seen[n][h >> np.uint64(46)] = True
+            self.tables[size] = (h[order], np.array([self.pieces[p] for p in names], np.uint32)[order])
+            self.seen[size] = np.zeros(1 << 18, bool)
+            self.seen[size][h >> np.uint64(46)] = True
         self.forget()
 
-    @staticmethod
-    def _hash(codes: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(codes), np.uint64)
-        for k in range(codes.shape[1]):
-            h = h * MULTIPLIER + codes[:, k]
-        return h
-
     def forget(self):
-        """Units get numbers as they are seen.  ``way_*`` hold NBEST places for each unit, filled when first drawn."""
+        """Units get numbers as they are seen.
+
+        Of a unit: ``best_*`` its BPE ids, ``start`` and ``stop`` its first and last state, ``log_sum`` of its lattice.
+        Of a state: ``first``, its first edge; of an edge: piece, states it moves on, and probability summed up to it.
+        """
         self.index = _Numbers()
-        self.solved = 0
-        self.groups: list[tuple] = []
-        self.group_of, self.row_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.logp = np.zeros((0, NBEST + 1))
-        self.names, self.lattices, self.lattice_chars = [], {}, 0
-        self.best_ids, self.best_start, self.best_len = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.way_ids, self.way_start, self.way_len = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.best_ids, self.best_len = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.start, self.stop, self.log_sum = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.first, self.ids, self.width, self.upto = np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint8), np.zeros(0)
 
     def chain(self, text: str) -> np.ndarray:
         """The text as numbers of units; ``learn`` must follow before they are used."""
@@ -135,371 +144,315 @@ class Codec:
         return out
 
     def learn(self):
-        """Solve the units that have a number but no ids yet."""
-        new = list(islice(self.index, self.solved, None))
+        """BPE ids and lattices of the units that have a number but none yet."""
+        new = list(islice(self.index, len(self.start), None))
         if not new:
             return
         # the library returns nothing for a lone word mark, which its prefix would double
-        lens, flat = [], []
+        lens, flat = [self.best_len], [self.best_ids]
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             found = [ids if u else [self.pieces["▁"]] for u, ids in zip(part, self.model.encode([u.replace("▁", " ") for u in part], num_threads=1), strict=True)]
             lens.append(np.fromiter(map(len, found), np.int64, len(found)))
             flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(lens[-1].sum())))
-        lens, flat = np.concatenate(lens), np.concatenate(flat)
-        self.best_start = np.concatenate([self.best_start, len(self.best_ids) + np.cumsum(lens) - lens])
-        self.best_len, self.best_ids = np.concatenate([self.best_len, lens]), np.concatenate([self.best_ids, flat])
-        size = np.fromiter(map(len, new), np.int64, len(new)) + 1
-        order = np.argsort(np.where(size <= UNIT_CHARS, size, 0), kind="stable")
-        group, row, logp = np.empty(len(new), np.int64), np.empty(len(new), np.int64), np.full((len(new), NBEST + 1), -np.inf)
-        self.names += new
-        cut = np.flatnonzero(np.diff(size[order])) + 1
-        for same in np.split(order, cut):
-            for at in range(0, len(same), 1024):
-                part = same[at : at + 1024]
-                us = ["▁" + new[k] for k in part.tolist()]
-                if len(us[0]) <= UNIT_CHARS:
-                    came, codes, share = self._nbest(us)
-                    self.groups.append((came, codes))
-                else:
-                    share = np.array([-np.inf] * NBEST + [0.0])
-                    self.groups.append((None, None))
-                group[part], row[part], logp[part] = len(self.groups) - 1, np.arange(len(part)), share
-        self.group_of, self.row_of = np.concatenate([self.group_of, group]), np.concatenate([self.row_of, row])
-        self.logp = np.concatenate([self.logp, logp])
-        self.way_start = np.concatenate([self.way_start, np.full(len(new) * NBEST, -1)])
-        self.way_len = np.concatenate([self.way_len, np.zeros(len(new) * NBEST, np.int64)])
-        self.solved = len(self.index)
-
-    def _nbest(self, us: list[str]):
-        """The NBEST likeliest segmentations of equally long units: how each place was reached, the units' characters, log shares of each and of all the others."""
-        n, w = len(us[0]), len(us)
-        edge = np.full((w, n, n + 1), -np.inf, np.float32)
-        chars = np.frombuffer("".join(us).encode("utf-32-le", "surrogatepass"), "<u4").reshape(w, n)
-        codes = chars.astype(np.uint64)
-        h = np.zeros((w, n), np.uint64)
-        for size in range(1, min(n, max(self.tables)) + 1):
-            h = h[:, : n - size + 1] * MULTIPLIER + codes[:, size - 1 :]
+        self.best_len, self.best_ids = np.concatenate(lens), np.concatenate(flat)
+        self.best_start = np.cumsum(self.best_len) - self.best_len
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        # units of like length side by side: few steps from their ends are for a few long ones
+        order = np.argsort(sizes, kind="stable")
+        block = np.cumsum(sizes[order] + 2) // BLOCK_CHARS
+        parts, n = [], len(self.start)
+        self.start, self.stop, self.log_sum = (np.concatenate([a, np.zeros(len(new), a.dtype)]) for a in (self.start, self.stop, self.log_sum))
+        states, edges = len(self.first), len(self.ids)
+        for rows in np.split(order, np.flatnonzero(np.diff(block)) + 1):
+            start, stop, log_sum, first, *of_edges = self._lattice(["▁" + new[k] for k in rows.tolist()])
+            self.start[n + rows], self.stop[n + rows], self.log_sum[n + rows] = start + states, stop + states, log_sum
+            parts.append((first + edges, *of_edges))
+            states, edges = states + len(first), edges + len(of_edges[0])
+        self.first, self.ids, self.width, self.upto = (np.concatenate([a, *p]) for a, p in zip((self.first, self.ids, self.width, self.upto), zip(*parts, strict=True), strict=True))
+
+    def _lattice(self, us: list[str]):
+        """start, stop and log sum of each unit, first edge of each state; ids, widths and summed probabilities of the edges.
+
+        A state is a place in a unit or its end, or one between the bytes of a character that is no piece.
+        """
+        most = self.longest
+        codes = np.frombuffer(("\0".join(us) + "\0").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        n = len(codes)
+        sizes = np.fromiter(map(len, us), np.int64, len(us))
+        ends = np.cumsum(sizes + 1) - 1
+        left = np.repeat(ends, sizes + 1) - np.arange(n)
+        weight = np.full((n, most), -np.inf)  # the longest piece first
+        piece = np.zeros((n, most), np.uint32)
+        h = np.zeros(n, np.uint64)
+        for size in range(1, min(n, most) + 1):
+            h = h[: n - size + 1] * MULTIPLIER + codes[size - 1 :]
             if size in self.tables:
-                table, weights, _ = self.tables[size]
-                r, i = np.nonzero(self.seen[size][h >> np.uint64(46)])  # few strings pass that are no pieces
-                at = np.minimum(np.searchsorted(table, h[r, i]), len(table) - 1)
-                is_piece = table[at] == h[r, i]
-                r, i = r[is_piece], i[is_piece]
-                edge[r, i, i + size] = weights[at[is_piece]]
-        r, i = np.nonzero(edge[:, np.arange(n), np.arange(1, n + 1)] == -np.inf)
-        edge[r, i, i + 1] = -BYTE_COST * _utf8_len(codes[r, i])
-        best = np.full((w, n + 1, NBEST), -np.inf, np.float32)
-        best[:, 0, 0] = 0
-        came = np.zeros((w, n + 1, NBEST), np.int16)
-        rest = np.full((w, n + 1), -np.inf, np.float32)
-        for j in range(1, n + 1):
-            cand = (best[:, :j] + edge[:, :j, j, None]).reshape(w, -1)
-            if j > 2:
-                some = np.argpartition(-cand, NBEST - 1, axis=1)[:, :NBEST]
-                some.sort(axis=1)
-                top = np.take_along_axis(some, np.argsort(-np.take_along_axis(cand, some, 1), axis=1, kind="stable"), 1)
-            else:
-                top = np.argsort(-cand, axis=1, kind="stable")[:, :NBEST]
-            left = cand.copy()
-            np.put_along_axis(left, top, -np.inf, 1)
-            left = np.concatenate([left, rest[:, :j] + edge[:, :j, j]], 1)
-            most = left.max(1)
-            some = np.flatnonzero(most > -np.inf)
-            rest[some, j] = most[some] + np.log(np.exp(left[some] - most[some, None]).sum(1))
-            if top.shape[1] < NBEST:
-                top = np.pad(top, ((0, 0), (0, NBEST - top.shape[1])), mode="edge")
-                value = np.take_along_axis(cand, top, 1)
-                value[:, cand.shape[1] :] = -np.inf
-            else:
-                value = np.take_along_axis(cand, top, 1)
-            best[:, j], came[:, j] = value, top
-        score = np.concatenate([best[:, n], rest[:, n, None]], 1).astype(np.float64)
-        top = score[:, :1] + np.log(np.exp(score - score[:, :1]).sum(1, keepdims=True))
-        return came, chars.astype(np.uint32), score - top
-
-    def fill(self, drawn: np.ndarray):
-        """Write the ids of drawn ways (a flag for each unit * NBEST + rank) that are not known yet."""
-        need = np.flatnonzero(drawn & (self.way_start < 0))
-        group = self.group_of[need // NBEST]
-        order = np.argsort(group, kind="stable")
-        flat, base = [self.way_ids], len(self.way_ids)
-        for part in np.split(need[order], np.flatnonzero(np.diff(group[order])) + 1):
-            if not len(part):
-                continue
-            unit, k = np.divmod(part, NBEST)
-            came, chars = self.groups[self.group_of[unit[0]]]
-            ids, lens = self._walk(came, chars, self.row_of[unit], k)
-            self.way_start[part], self.way_len[part] = base + np.cumsum(lens) - lens, lens
-            base += len(ids)
-            flat.append(ids)
-        self.way_ids = np.concatenate(flat)
-
-    def _walk(self, came: np.ndarray, chars: np.ndarray, rows: np.ndarray, k: np.ndarray):
-        """Ids of the k-th segmentations of some rows of a group, one after the other, and their numbers."""
-        n = chars.shape[1]
-        c = chars[rows].astype(np.uint64)
-        prefix = np.zeros((len(rows), n + 1), np.uint64)
-        power = np.ones(n + 1, np.uint64)
-        for j in range(n):
-            prefix[:, j + 1] = prefix[:, j] * MULTIPLIER + c[:, j]
-            power[j + 1 : j + 2] = power[j : j + 1] * MULTIPLIER
-        slot, j, k = np.arange(len(rows)), np.full(len(rows), n), k.copy()
-        steps = []
-        while len(slot):
-            i, k = np.divmod(came[rows[slot], j, k].astype(np.int64), NBEST)
-            steps.append((slot, i, j))
-            go = i > 0
-            slot, j, k = slot[go], i[go], k[go]
-        slot, i, j = (np.concatenate(x) for x in zip(*steps, strict=True))
-        order = np.lexsort((i, slot))
-        slot, i, j = slot[order], i[order], j[order]
-        h = prefix[slot, j] - prefix[slot, i] * power[j - i]
-        ids = np.zeros((len(slot), 4), np.uint32)
-        count = np.ones(len(slot), np.int64)
-        for size in np.unique(j - i).tolist():
-            at = np.flatnonzero(j - i == size)
-            table, _, names = self.tables[size]
-            where = np.minimum(np.searchsorted(table, h[at]), len(table) - 1)
-            ids[at, 0] = names[where]
-            lost = at[table[where] != h[at]]  # single characters that are spelt in bytes
-            for x in lost.tolist():
-                raw = chr(int(c[slot[x], i[x]])).encode("utf-8", "surrogatepass")
-                count[x] = len(raw)
-                ids[x, : len(raw)] = self.bytes[list(raw)]
-        return ids[np.arange(4) < count[:, None]], np.bincount(slot, count, len(rows)).astype(np.int64)
-
-    def best(self, chain_: np.ndarray) -> bytes:
-        return _gather(self.best_ids, self.best_start[chain_], self.best_len[chain_]).astype("<u4").tobytes()
-
-    def ways(self, places: np.ndarray, rare: dict) -> bytes:
-        """The ids of ways, those at the places in ``rare`` spelt from the lattice."""
-        parts, at = [], 0
-        for t in [*sorted(rare), len(places)]:
-            p = places[at:t]
-            parts.append(_gather(self.way_ids, self.way_start[p], self.way_len[p]).astype("<u4").tobytes())
-            if t in rare:
-                parts.append(self._spell(*rare[t]))
-            at = t + 1
-        return b"".join(parts)
-
-    def _spell(self, unit: int, link) -> bytes:
-        """Ids of a segmentation, given as its last piece (the one before it, begin, end)."""
-        u, ids = "▁" + self.names[unit], []
-        while link:
-            link, i, j = link
-            one = self.pieces.get(u[i:j])
-            ids.append([one] if one is not None else self.bytes[list(u[i:j].encode("utf-8", "surrogatepass"))])
-        return np.concatenate(ids[::-1]).astype("<u4").tobytes()
-
-    def _lattice(self, unit: int):
-        """Of a unit: each place's edges as (end, log weight), log sums from each place to the end, and where the segmentations beside the NBEST leave those."""
-        if unit in self.lattices:
-            return self.lattices[unit]
-        u = "▁" + self.names[unit]
-        n, weight = len(u), self.weight
-        edges, past = [], [0.0] * (n + 1)
-        for i in range(n):
-            at = [(j, weight[u[i:j]]) for j in range(i + 1, min(n, i + self.longest) + 1) if u[i:j] in weight]
-            if not at or at[0][0] > i + 1:
-                at.insert(0, (i + 1, -BYTE_COST * len(u[i].encode("utf-8", "surrogatepass"))))
-            edges.append(at)
-        for i in range(n - 1, -1, -1):
-            to = [w + past[j] for j, w in edges[i]]
-            top = max(to)
-            past[i] = top + math.log(sum(math.exp(x - top) for x in to))
-        came, _ = self.groups[self.group_of[unit]]
-        if came is None:
-            starts = [(0.0, 0, ())]
+                table, ids = self.tables[size]
+                i = np.flatnonzero(self.seen[size][h >> np.uint64(46)] & (left[: len(h)] >= size))  # few strings pass that are no pieces
+                at = np.minimum(np.searchsorted(table, h[i]), len(table) - 1)
+                is_piece = table[at] == h[i]
+                i, at = i[is_piece], at[is_piece]
+                piece[i, most - size] = ids[at]
+                weight[i, most - size] = self.weight[ids[at]]
+        spelt = np.flatnonzero((weight[:, -1] == -np.inf) & (left > 0))
+        n_bytes = _utf8_len(codes[spelt])
+        weight[spelt, -1] = -BYTE_COST * n_bytes
+        past = np.zeros(n + most)
+        p = np.zeros((n, most))
+        order = np.argsort(left.astype(np.uint16) if len(left) and left.max() < 2**16 else left, kind="stable")
+        cut = np.searchsorted(left[order], np.arange(1, int(left.max()) + 2))
+        for r, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True), 1):
+            i, w = order[a:b], min(r, most)
+            t = weight[i, most - w :] + past[i[:, None] + np.arange(w, 0, -1)]
+            top = t.max(1)
+            t = np.exp(t - top[:, None])
+            total = t.sum(1)
+            past[i] = top + np.log(total)
+            p[i, most - w :] = t / total[:, None]
+        row, col = np.nonzero(p)
+        upto = np.cumsum(p, axis=1)[row, col]
+        upto[np.flatnonzero(np.diff(row, append=n))] = 1.0
+        ids, state = piece[row, col], row
+        place = np.arange(n + 1)
+        if len(spelt):
+            extra = np.zeros(n + 1, np.int64)
+            extra[spelt + 1] = n_bytes - 1
+            place = place + np.cumsum(extra)
+            state, width = place[row], place[row + most - col] - place[row]
+            raw = [chr(c).encode("utf-8", "surrogatepass") for c in codes[spelt].tolist()]
+            one = np.flatnonzero((col == most - 1) & np.isin(row, spelt))
+            ids[one], width[one] = self.bytes[[b[0] for b in raw]], 1
+            more = [(place[i] + k, b[k]) for i, b in zip(spelt.tolist(), raw, strict=True) for k in range(1, len(b))]
+            if more:
+                at, b = (np.array(x, np.int64) for x in zip(*more, strict=True))
+                state = np.concatenate([state, at])
+                by = np.argsort(state, kind="stable")
+                state, ids, width, upto = state[by], np.concatenate([ids, self.bytes[b]])[by], np.concatenate([width, np.ones(len(at), np.int64)])[by], np.concatenate([upto, np.ones(len(at))])[by]
         else:
-            known, links = {}, {(): (0.0, 0, ())}
-            for k in np.flatnonzero(self.logp[unit, :NBEST] > -np.inf).tolist():
-                ends, j = [], n
-                while j:
-                    ends.append(j)
-                    j, k = divmod(int(came[self.row_of[unit], j, k]), NBEST)
-                ends.reverse()
-                for x, j in enumerate(ends):
-                    head = tuple(ends[:x])
-                    known.setdefault(head, set()).add(j)
-                    p, i, link = links[head]
-                    links[*head, j] = (p + next(w for e, w in edges[i] if e == j), j, (link, i, j))
-            starts = [(links[head][0] + w, j, (links[head][2], links[head][1], j)) for head, on in known.items() for j, w in edges[links[head][1]] if j not in on]
-        if self.lattice_chars > LATTICE_CHARS:
-            self.lattices, self.lattice_chars = {}, 0
-        self.lattice_chars += n
-        found = self.lattices[unit] = (edges, past, starts)
-        return found
-
-    def rest(self, unit: int, seed: int, limit: float, many: int) -> list[tuple]:
-        """Of the segmentations beside the NBEST, the best perturbed log probabilities, the largest being ``limit``: (it, log share, the segmentation)."""
-        edges, past, starts = self._lattice(unit)
-        n, total = len(edges), past[0]
-        self.random.seed(seed)
-        noise, count = self.random.random, 0
-        heap, found = [], []
-
-        def push(children, most):
-            nonlocal count
-            noisy = [p + past[j] - math.log(-math.log(noise() or 2.0**-54)) for p, j, _ in children]
-            top = max(noisy)
-            for (p, j, link), x in zip(children, noisy, strict=True):
-                below = math.exp(x - top)
-                if below < 1:
-                    v = most - (x - total) + math.log1p(-below)
-                    g = most - max(v, 0.0) - math.log1p(math.exp(-abs(v)))
-                else:
-                    g = most
-                count += 1
-                heappush(heap, (-g, count, p, j, link))
-
-        if starts:
-            push(starts, limit)
-        while heap and len(found) < many:
-            g, _, p, i, link = heappop(heap)
-            if i == n:
-                found.append((-g, p - total, link))
-            else:
-                push([(p + w, j, (link, i, j)) for j, w in edges[i]], -g)
-        return found
+            width = most - col
+        count = np.bincount(state, minlength=place[n])
+        return place[ends - sizes], place[ends], past[ends - sizes], np.cumsum(count) - count, ids, width.astype(np.uint8), upto
+
+    def best(self, units: np.ndarray) -> bytes:
+        return _gather(self.best_ids, self.best_start[units], self.best_len[units]).astype("<u4").tobytes()
+
+    def walk(self, units: np.ndarray, keys: np.ndarray):
+        """A segmentation of each unit, drawn by probability: edges one after the other, their number for each unit, log probability, and the share of all others."""
+        state, stop = self.start[units], self.stop[units]
+        n = len(units)
+        steps, log_p, share, rest = np.zeros(n, np.int64), -self.log_sum[units], np.ones(n), np.zeros(n)
+        live, found = np.arange(n), []
+        while len(live):
+            u = _uniform(keys, len(found))
+            first = self.first[state]
+            e = first.copy()
+            on = np.flatnonzero(u >= self.upto[e])
+            while len(on):
+                e[on] += 1
+                on = on[u[on] >= self.upto[e[on]]]
+            p = self.upto[e]
+            on = np.flatnonzero(e > first)
+            p[on] -= self.upto[e[on] - 1]
+            rest[live] += share[live] * (1 - p)
+            share[live] *= p
+            log_p[live] += self.weight[self.ids[e]]
+            found.append((live, e))
+            state = state + self.width[e]
+            go = np.flatnonzero(state < stop)
+            steps[live] += 1
+            live, state, stop, keys = live[go], state[go], stop[go], keys[go]
+        begin = np.cumsum(steps) - steps
+        edges = np.empty(int(steps.sum()), np.int64)
+        for k, (live, e) in enumerate(found):
+            edges[begin[live] + k] = e
+        return edges, steps, log_p, rest
+
+    def other(self, unit: int, taken: list[tuple], seed: int):
+        """Another segmentation of a unit than those ``taken`` (edges each), drawn by probability: (edges, log probability, share of those still left); None if all are taken."""
+        stop, noise = int(self.stop[unit]), random.Random(seed).random
+        begin = int(self.start[unit])
+
+        def edges_of(state: int):
+            a, out, before = int(self.first[state]), [], 0.0
+            for e, upto, width in zip(range(a, a + self.longest), self.upto[a : a + self.longest].tolist(), self.width[a : a + self.longest].tolist(), strict=False):
+                out.append((e, upto - before, state + width))
+                before = upto
+                if upto == 1.0:
+                    return out
+            return out
+
+        def left_of(taken: list[tuple]):
+            """A tree of the taken ways: (child by edge, edges, share left) of each node."""
+            tree: list[tuple[dict, list]] = [({}, edges_of(begin))]
+            for way in taken:
+                node, state = 0, begin
+                for e in way:
+                    state += int(self.width[e])
+                    if e not in tree[node][0]:
+                        tree[node][0][e] = len(tree)
+                        tree.append(({}, edges_of(state) if state < stop else []))
+                    node = tree[node][0][e]
+            left = [0.0] * len(tree)
+            for k in range(len(tree) - 1, -1, -1):
+                child, edges = tree[k]
+                left[k] = sum(p * (left[child[e]] if e in child else 1.0) for e, p, _ in edges)
+            return tree, left
+
+        tree, left = left_of(taken)
+        if left[0] <= 0:
+            return None
+        node, state, way = 0, begin, []
+        while state < stop:
+            edges = tree[node][1] if node is not None else edges_of(state)
+            free = [p * (left[tree[node][0][e]] if node is not None and e in tree[node][0] else 1.0) for e, p, _ in edges]
+            u = noise() * sum(free)
+            k = max(j for j, f in enumerate(free) if f > 0)
+            for j, f in enumerate(free):
+                u -= f
+                if u < 0 and f > 0:
+                    k = j
+                    break
+            e, _, to = edges[k]
+            way.append(e)
+            node, state = tree[node][0].get(e) if node is not None else None, to
+        way_ = tuple(way)
+        return way_, float(self.weight[self.ids[list(way)]].sum() - self.log_sum[unit]), left_of([*taken, way_])[1][0]
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.text.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
+        return _gather(self.text, self.text_start[ids], self.text_len[ids])[1:].tobytes().decode("utf-8", "replace")
 
 
 def _utf8_len(codes: np.ndarray) -> np.ndarray:
     return 1 + (codes >= 0x80).astype(int) + (codes >= 0x800) + (codes >= 0x10000)
 
 
-def _gumbel(seed: np.ndarray, step: int, lanes: int) -> np.ndarray:
-    """Standard Gumbel noise from a hash of (seed, step, lane)."""
-    x = seed[:, None] + np.uint64((step * lanes * 0x9E3779B97F4A7C15) % 2**64) + np.arange(1, lanes + 1, dtype=np.uint64)[None] * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return -np.log(-np.log(((x >> np.uint64(41)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-23)))
-
-
-def sample_top_k(chains: list[np.ndarray], logp: np.ndarray, seeds: np.ndarray, k: int, rest=None):
-    """For each chain of unit numbers: its k samples as (choice of each unit, log_prob, inclusion, rare), largest first.
-
-    With ``rest`` the last column of ``logp`` is a unit's other segmentations
-    together, and ``rest(unit, seed, limit, many)`` finds the best of them;
-    ``rare`` has (unit, segmentation) for each place where one was drawn.
+class _Path:
+    """A way through a text: from unit ``at`` on its own edges (``begin``: of each unit, and their end); before that its parent's."""
+
+    def __init__(self, parent, at, head, edges, steps, log_p, rest, before, arrival, noise):
+        """``head``: (edges, log probability) of unit ``at`` where it leaves its parent; ``rest``, ``log_p``, ``steps`` of the units behind."""
+        self.parent, self.at, self.arrival = parent, at, arrival
+        self.edges = np.concatenate([np.array(head[0], np.int64), edges]) if head else edges
+        self.begin = np.concatenate([[0], np.cumsum(np.concatenate([[len(head[0])], steps]) if head else steps)])
+        self.log_p = before + np.concatenate([[0.0], np.cumsum(np.concatenate([[head[1]], log_p]) if head else log_p)])
+        self.shift = 1 if head else 0
+        with np.errstate(divide="ignore"):
+            mass = np.log(rest) + self.log_p[self.shift : -1]
+            self.queue = np.logaddexp(arrival, np.log(noise) - mass) if len(mass) else np.zeros(0)
+        self.taken: dict[int, list[tuple]] = {}
+        self.next()
+
+    def next(self):
+        k = int(np.argmin(self.queue)) if len(self.queue) else -1
+        self.soonest = (float(self.queue[k]), k) if k >= 0 else (np.inf, -1)
+
+    def way(self, k: int) -> tuple:
+        k += self.shift
+        return tuple(self.edges[self.begin[k] : self.begin[k + 1]].tolist())
+
+    def whole(self) -> np.ndarray:
+        if self.parent is None:
+            return self.edges
+        head = self.parent.whole()
+        return np.concatenate([head[: self.parent.upto(self.at)], self.edges])
+
+    def upto(self, at: int) -> int:
+        """Number of edges before unit ``at``."""
+        if at <= self.at:
+            return self.parent.upto(at) if self.parent is not None else 0
+        return (self.parent.upto(self.at) if self.parent is not None else 0) + int(self.begin[at - self.at])
+
+
+def _mixed(*numbers: int) -> int:
+    x = 0
+    for n in numbers:
+        x = (x + n + 1) * 0x9E3779B97F4A7C15 % 2**64
+        x ^= x >> 29
+    return x * 0xBF58476D1CE4E5B9 % 2**64
+
+
+def sample_top_k(codec: Codec, chains: list[np.ndarray], seeds: list[int], k: int):
+    """For each chain of unit numbers: its k samples as (edges, log_prob, inclusion), in the order of the search.
+
+    All paths of one turn are walked side by side; a text with fewer
+    segmentations than ``k`` gives them all.
     """
-    order = sorted(range(len(chains)), key=lambda d: -len(chains[d]))
-    lens = np.array([len(chains[d]) for d in order])
-    width, b, nb = int(lens[0]) if len(lens) else 0, k + 1, logp.shape[1]
-    seed = seeds[order].astype(np.uint64)
-    phi = np.full((len(order), b), -np.inf)
-    phi[:, 0] = 0
-    # perturbed less plain log probability of a prefix: a small number, so single precision does
-    over = np.full((len(order), b), -np.inf, np.float32)
-    over[:, :1] = _gumbel(seed ^ np.uint64(0xA0761D6478BD642F), 0, 1)
-    active = np.searchsorted(-lens, -np.arange(1, width + 1), "right") if width else []
-    flat = np.concatenate([chains[d] for d in order]) if width else np.zeros(0, np.int64)
-    base = np.cumsum(lens) - lens
-    picks, rows, drawn = [], np.arange(len(order))[:, None], {}
-    for t in range(width):
-        a = int(active[t])
-        lp = logp[flat[base[:a] + t]]
-        step = lp.astype(np.float32)[:, None, :]
-        noisy = step + _gumbel(seed[:a], t + 1, b * nb).reshape(a, b, nb)
-        top = noisy.max(2, keepdims=True)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            v = over[:a, :, None] - noisy + np.log(1 - np.exp(noisy - top))
-            cond = over[:a, :, None] - np.maximum(v, 0) - np.log(1 + np.exp(-np.abs(v)))
-            child = (phi[:a, :, None] + lp[:, None, :]).reshape(a, b * nb)
-            value = np.where(np.isfinite(child), phi[:a, :, None].repeat(nb, 2).reshape(a, b * nb) + cond.reshape(a, b * nb), -np.inf)
-            best = np.argsort(-value, axis=1)[:, :b]
-            row = rows[:a]
-            log_prob, g = child[row, best], value[row, best]
-            if rest is not None:
-                for r in np.flatnonzero(((best % nb == nb - 1) & (g > -np.inf)).any(1)).tolist():
-                    unit, kept = int(flat[base[r] + t]), []
-                    for p, x, y in zip(best[r].tolist(), g[r].tolist(), log_prob[r].tolist(), strict=True):
-                        if p % nb < nb - 1 or x == -np.inf:
-                            kept.append((x, y, p, None))
-                            continue
-                        was = float(phi[r, p // nb])
-                        key = (int(seed[r]) + (t * b + p // nb + 1) * int(MULTIPLIER)) % 2**64
-                        kept += [(was + x2, was + y2, p, link) for x2, y2, link in rest(unit, key, x - was, b)]
-                    kept.sort(key=lambda c: -c[0])
-                    for slot, (x, y, p, link) in enumerate(kept[:b]):
-                        g[r, slot], log_prob[r, slot], best[r, slot] = x, y, p
-                        if link is not None:
-                            drawn[t, r, slot] = unit, link
-            phi[:a] = log_prob
-            over[:a] = np.where(np.isfinite(phi[:a]), g - phi[:a], -np.inf)
-        picks.append(best.astype(np.int16))
-    choice = [np.zeros((n, k), np.int8) for n in lens]
-    rare: list = [[{} for _ in range(k)] for _ in order]
-    g = np.where(np.isfinite(phi), phi + over, -np.inf)
-    lane = np.tile(np.arange(k), (len(order), 1))
-    for t in range(width - 1, -1, -1):
-        a = int(active[t])
-        p = picks[t][rows[:a], lane[:a]]
-        way = p % nb
-        if drawn:
-            for r, s in np.argwhere(way == nb - 1).tolist():
-                if (t, r, int(lane[r, s])) in drawn:
-                    rare[r][s][t] = drawn[t, r, int(lane[r, s])]
-        for d in range(a) if a <= 2 else ():
-            choice[d][t] = way[d]
-        if a > 2:
-            picks[t] = way.astype(np.int8)
-        lane[:a] = p // nb
-    out: list = [None] * len(order)
-    many = int((np.asarray(active) > 2).sum())  # steps whose ways are still in picks
-    for r, d in enumerate(order):
-        n = int(lens[r])
-        upto = min(n, many)
-        if upto:
-            choice[r][:upto] = np.array([picks[t][r] for t in range(upto)])
-        limit = g[r, k] if np.isfinite(g[r, k]) else -np.inf
-        found = []
-        for s in range(k):
-            if np.isfinite(g[r, s]):
-                found.append((choice[r][:, s], float(phi[r, s]), float(-np.expm1(-np.exp(np.clip(phi[r, s] - limit, -700, 700)))) if np.isfinite(limit) else 1.0, rare[r][s]))
-        out[d] = found
+    paths: list[list[_Path]] = [[] for _ in chains]
+    for turn in range(k):
+        todo = []  # (text, unit from which to walk, how the path leaves its parent)
+        for d, units in enumerate(chains):
+            if not turn:
+                arrival = float(np.log(-np.log((_mixed(seeds[d]) + 0.5) / 2**64)))
+                todo.append((d, 0, (None, 0, None, 0.0, arrival)))
+            elif len(paths[d]) == turn:
+                p = min(paths[d], key=lambda p: p.soonest[0])
+                arrival, at = p.soonest
+                if arrival == np.inf:
+                    continue
+                unit = p.at + p.shift + at
+                taken = p.taken.setdefault(at, [p.way(at)])
+                found = codec.other(int(units[unit]), taken, _mixed(seeds[d], turn, unit))
+                before = float(p.log_p[p.shift + at])
+                if found is None:  # rounding held a share that is none
+                    p.queue[at] = np.inf
+                    p.next()
+                    continue
+                way, log_p, left = found
+                taken.append(way)
+                wait = -np.log(random.Random(_mixed(seeds[d], turn, unit, 1)).random() or 2.0**-54)
+                p.queue[at] = np.logaddexp(arrival, np.log(wait) - np.log(left) - before) if left > 0 else np.inf
+                p.next()
+                todo.append((d, unit + 1, (p, unit, (way, log_p), before, arrival)))
+        if not todo:
+            break
+        lens = np.array([len(chains[d]) - at for d, at, _ in todo])
+        flat = np.concatenate([chains[d][at:] for d, at, _ in todo])
+        seed = np.array([_mixed(seeds[d], turn) for d, _, _ in todo], np.uint64)
+        place = np.arange(len(flat)) + np.repeat(np.array([at for _, at, _ in todo]) - np.cumsum(lens) + lens, lens)
+        keys = np.repeat(seed, lens) + place.astype(np.uint64) * MULTIPLIER
+        edges, steps, log_p, rest = codec.walk(flat, keys)
+        noise = -np.log(_uniform(keys, -2))
+        unit_cut = np.concatenate([[0], np.cumsum(lens)])
+        edge_cut = np.concatenate([[0], np.cumsum(steps)])[unit_cut].tolist()
+        unit_cut = unit_cut.tolist()
+        for j, (d, _, (parent, at, head, before, arrival)) in enumerate(todo):
+            a, b = unit_cut[j], unit_cut[j + 1]
+            paths[d].append(_Path(parent, at, head, edges[edge_cut[j] : edge_cut[j + 1]], steps[a:b], log_p[a:b], rest[a:b], before, arrival, noise[a:b]))
+    out = []
+    for found in paths:
+        limit = min(p.soonest[0] for p in found)
+        out.append([(p.whole(), float(p.log_p[-1]), float(-np.expm1(-np.exp(np.clip(p.log_p[-1] + limit, -700, 700)))) if limit < np.inf else 1.0) for p in found])
     return out
 
 
 def _encode(batches, path: str, samples: int):
-    """Texts of like length side by side, so that few steps of the sampling are for a few long ones."""
     codec = Codec(path)
     for batch in batches:
         chars = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        order = np.argsort(-chars, kind="stable")
-        before = np.cumsum(chars[order]) - chars[order]
-        for rows in np.split(order, np.flatnonzero(np.diff(before // GROUP_CHARS)) + 1):
-            part = batch.take(pa.array(rows))
+        for rows in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff((np.cumsum(chars) - chars) // GROUP_CHARS)) + 1):
+            if not len(rows):
+                continue
+            part = batch.slice(int(rows[0]), len(rows))
             keys = part.column(0)
-            if len(codec.index) > CACHE_UNITS:
+            if len(codec.ids) > CACHE_EDGES:
                 codec.forget()
             chains = codec.chains(part.column(1))
             codec.learn()
-            seeds = np.array([zlib.crc32(str(key).encode()) * 0x9E3779B97F4A7C15 % 2**64 for key in keys.to_pylist()], np.uint64)
-            drawn, tops = np.zeros(len(codec.way_start), bool), []
-            for units, top in zip(chains, sample_top_k(chains, codec.logp, seeds, samples, codec.rest), strict=True):
-                tops.append([(units * NBEST + ways, p, q, rare) for ways, p, q, rare in top])
-                for places, _, _, rare in tops[-1]:
-                    drawn[np.delete(places, list(rare)) if rare else places] = True
-            codec.fill(drawn)
-            found = [[{"ids": codec.ways(places, rare), "log_prob": p, "inclusion": q} for places, p, q, rare in top] for top in tops]
+            seeds = [zlib.crc32(str(key).encode()) * 0x9E3779B97F4A7C15 % 2**64 for key in keys.to_pylist()]
+            found = [[{"ids": codec.ids[e].astype("<u4").tobytes(), "log_prob": p, "inclusion": q} for e, p, q in top] for top in sample_top_k(codec, chains, seeds, samples)]
+            best = [codec.best(units) for units in chains]
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array([codec.best(units) for units in chains], pa.binary()), pa.array(found, pa.list_(pa.struct([("ids", pa.binary()), ("log_prob", pa.float64()), ("inclusion", pa.float64())])))],
-                ["doc_id", "ids", "samples"],
+                [keys, pa.array(best, pa.binary()), pa.array(found, pa.list_(pa.struct([("ids", pa.binary()), ("log_prob", pa.float64()), ("inclusion", pa.float64())]))), pa.array([codec.decode(np.frombuffer(b, "<u4")) for b in best], pa.string())],
+                ["doc_id", "ids", "samples", "decoded"],
             )
 
 
 def encode(docs: DataFrame, path: str, samples: int = SAMPLES) -> DataFrame:
-    """doc_id, BPE ids and sampled segmentations (ids are little-endian unsigned 32-bit) of each whole text.
+    """doc_id, BPE ids, sampled segmentations (ids are little-endian unsigned 32-bit) and the decoded ids of each whole text.
 
     Null and empty texts have no ids and one sample, the empty one.  Rows with
-    equal doc_id and text get equal samples.
+    equal doc_id and text get equal samples; a null doc_id is a key like others.
     """
 
     def run(batches):
@@ -521,9 +474,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def digest(encoded: DataFrame) -> DataFrame:
-    """Counts and checksums in place of the ids."""
+    """Counts and checksums in place of the ids and the decoded text."""
     n = lambda c: (F.octet_length(c) / 4).cast("long")
-    return encoded.select("doc_id", n(F.col("ids")).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+    return encoded.select("doc_id", n(F.col("ids")).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"), F.sha1(F.encode("decoded", "UTF-8")).alias("decoded_sha1"),
                           F.transform("samples", lambda s: F.struct(n(s["ids"]).alias("n_tokens"), F.crc32(s["ids"]).alias("ids_crc32"), s["log_prob"].alias("log_prob"), s["inclusion"].alias("inclusion"))).alias("samples"))
 
 
