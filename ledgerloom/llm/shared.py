@@ -5,17 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (single-machine tests) a temporary
-    folder is taken and set.
+    Where the session names none, a temporary folder is taken and set on a
+    single machine; on a cluster, whose machines do not share such folders,
+    it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -31,3 +35,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Names a row by its doc_id and whole text (nulls are values of their own); rows that agree in both are copies."""
+    return F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.lit("/"), F.coalesce(F.md5(F.col(text).cast("string")), F.lit("null")))

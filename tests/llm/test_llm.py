@@ -65,10 +65,24 @@ def test_op1_brute_force(spark):
         r = got[i if i >= 0 else None]
         assert (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) == (len(w), len(hit), len(found), bool(hit) and 20 * len(hit) >= len(w))
         assert r["items_sha256"] == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+    kept = decontamination.decontaminate(docs_of(spark, texts), spark.createDataFrame(items, "item_id int, text string"))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == sorted((i < 0, max(i, 0), t or "") for i, t in texts if not got[i if i >= 0 else None]["contaminated"])
     spans = {r["doc_id"]: r["text"] for r in decontamination.decontaminate(docs_of(spark, texts), spark.createDataFrame(items[-1:], "item_id int, text string"), "spans").collect()}
     assert spans[100] == "a b  c" and spans[3] == texts[3][1]
 
 
+def test_op1_rows_go_by_their_text(spark):
+    """Null and repeated doc_ids, items without an id, copies."""
+    item = " ".join(f"q{k}" for k in range(20))
+    docs = docs_of(spark, [(-1, item), (-1, "clean one"), (7, "x " + item.upper()), (7, "clean two"), (7, "clean two"), (8, None), (8, "")])
+    bench = spark.createDataFrame([(None, item), (3, "clean three and more")], "item_id int, text string")
+    kept = decontamination.decontaminate(docs, bench)
+    assert sorted((r["doc_id"], r["text"]) for r in kept.where("text <> ''").collect() if r["doc_id"]) == [(7, "clean two")] * 2
+    assert kept.count() == 5 and kept.where("doc_id is null").first()["text"] == "clean one" and kept.columns == docs.columns
+    hit = decontamination.verdicts(docs, bench).where("contaminated").collect()
+    assert [(r["n_hit"], r["n_items"], r["items_sha256"]) for r in hit] == [(20, 1, hashlib.sha256(b"").hexdigest())] * 2
+
+
 def test_op1_slices(spark, monkeypatch):
     texts, items = corpus(2), [(k, t) for k, t in corpus(2)[:9] if t]
     b = spark.createDataFrame(items, "item_id int, text string")
