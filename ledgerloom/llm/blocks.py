@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 #: Stands for a null id inside blocks; it sorts after all others.
 NULL_ID = np.int64(2**63 - 1)
 PIECE_BYTES = 2 << 20
-MAX_BUCKETS = 20_000
 
 BLOCK_SCHEMA = "bid int, ids binary, lens binary, data binary"
 MESSAGE_SCHEMA = "bid int, bucket int, blob binary"
@@ -100,8 +99,9 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(NULL_ID))).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    parts = max(1, rows.rdd.getNumPartitions())
-    n = min(parts, MAX_BUCKETS)
+    n = max(1, rows.rdd.getNumPartitions())
+    if n > int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(n))
     # an id for each bucket, such that ids of different partitions meet in different buckets
     found = spark.range(32 * n).select(F.col("id").cast("int").alias("b")).groupBy(F.expr(f"pmod(hash(b), {n})").alias("k")).agg(F.min("b").alias("b")).orderBy("k").collect()
     bids = [r["b"] for r in found]
@@ -109,7 +109,7 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def pack(batches):
         from pyspark import TaskContext
 
-        bid = bids[TaskContext.get().partitionId() % len(bids)]
+        bid = bids[TaskContext.get().partitionId()]
         c = zstandard.ZstdCompressor(level=3)
         ids, lens, data, size = [], [], [], 0
 

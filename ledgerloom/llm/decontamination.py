@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import mix
-from .shared import materialize, read_table, row_key
+from .shared import ROW, materialize, read_table, row_key
 
 N = 13
 #: Benchmark text in one broadcast (about six times as much memory); a larger benchmark is scanned slice by slice.
@@ -288,9 +288,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, how: str = "documents")
     whatever its doc_id, null ones too.  ``spans`` returns doc_id and text.
     """
     if how == "documents":
-        keyed = docs.withColumn("_row", row_key())
-        bad = verdicts(keyed.select("_row", "doc_id", "text"), benchmark, ["_row"]).where("contaminated").select("_row").distinct()
-        return keyed.join(bad, "_row", "left_anti").drop("_row")
+        keyed = docs.withColumn(ROW, row_key())
+        bad = verdicts(keyed.select(ROW, "doc_id", "text"), benchmark, [ROW]).where("contaminated").select(ROW).distinct()
+        return keyed.join(bad, ROW, "left_anti").drop(ROW)
 
     def cut(batches):
         for batch in batches:

@@ -17,6 +17,8 @@ copies costs a pair for each member, not for each two.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,17 +26,19 @@ from pyspark.sql import functions as F
 
 from .blocks import NULL_ID, Blocks, answer, combine, join_blobs, mix, pack_array, ranges, split_blobs, unpack_array, write_blocks
 from .components import connected_components
-from .shared import materialize, read_table
+from .shared import ROW, materialize, read_table, row_key, row_key_of
 
 WORDS = 5
 #: Similarity as a percentage.
 PERCENT = 80
 MAX_MATCHES = 6
-#: Members of a group in one block, and shares in which blocks are dealt out.
-BLOCK, SHARES = 256, 1024
+#: Members of a group in one block.
+BLOCK = 256
+#: Sets that one call compares.
+SHARE_BYTES = 16 << 20
 LOW24 = np.uint64(2**24 - 1)
 
-SETS_SCHEMA = "doc_id long, n long, fp string, core binary, n_core long, prefix array<long>, lead int, matches int"
+SETS_SCHEMA = "doc_id long, text_md5 string, n long, fp string, core binary, n_core long, prefix array<long>, lead int, matches int"
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _PINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -90,6 +94,7 @@ class _Sets:
 
     def __init__(self, pieces):
         self.ids: list[int] = []
+        self.md5: list[str] = []
         self.keys: list[str] = []
         self.sets: dict[str, np.ndarray] = {}
         for ids, lens, data in pieces:
@@ -98,6 +103,10 @@ class _Sets:
                 self.ids.append(i)
                 self.keys.append(key)
                 self.sets.setdefault(key, s)
+            at = 0
+            for length in lens.tolist():
+                self.md5.append(hashlib.md5(data[at : at + length]).hexdigest())
+                at += length
         every = np.concatenate([np.zeros(0, np.uint64), *self.sets.values()])
         self.tokens, self.where, self.count = np.unique(every & ~LOW24, return_inverse=True, return_counts=True)
 
@@ -157,8 +166,8 @@ def candidate_sets(blocks: Blocks, percent: int = PERCENT) -> DataFrame:
                 prefix, lead, m = _prefix(s, c, percent)
                 if lead:
                     info[key] = (core.tobytes(), len(core), prefix.view(np.int64).tolist(), lead, m)
-        out = [(i if i != NULL_ID else None, int(k.split(".")[0], 16), k, *info.pop(k, (None,) * 5)) for i, k in sorted(zip(st.ids, st.keys, strict=True))]
-        types = (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32())
+        out = [(i if i != NULL_ID else None, md5, int(k.split(".")[0], 16), k, *info.pop(k, (None,) * 5)) for i, k, md5 in sorted(zip(st.ids, st.keys, st.md5, strict=True))]
+        types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32())
         cols = zip(*out, strict=True) if out else [()] * len(types)
         return pa.table({f.split()[0]: pa.array(c, t) for f, c, t in zip(SETS_SCHEMA.split(", "), cols, types, strict=True)})
 
@@ -179,7 +188,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFr
         for batch in batches:
             n = [batch.column(k).to_pylist() for k in (2, 3)]
             x, y = batch.column(4), batch.column(5)
-            shared, last, left = [], None, None
+            shared = []
             for k in range(batch.num_rows):
                 a, b = (np.frombuffer(c[k].as_buffer(), np.uint64) for c in (x, y))
                 at = np.minimum(np.searchsorted(b, a), len(b) - 1)
@@ -190,12 +199,8 @@ def verify(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFr
     return both.mapInArrow(run, "a string, b string, shared long")
 
 
-def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for every row of ``docs``.
-
-    Null and empty texts have no shingles and are linked with nothing.  Equal
-    sets are linked.  A null doc_id counts as the largest.
-    """
+def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``candidate_sets`` of all rows, and (fp, comp): the component of each set that has members."""
     sets = materialize(candidate_sets(write_blocks(docs), percent), "ngram-sets")
     named = sets.where("core is not null")
     one = named.groupBy("fp").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("k"), F.length("core").alias("l"))).alias("m")).select("fp", F.col("m.k").alias("k"))
@@ -210,10 +215,18 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     groups = connected_components(links)
 
     more = _across(nodes, groups, percent)
-    groups = connected_components(links.union(more))
+    return sets, connected_components(links.union(more)).select(F.col("v").alias("fp"), "comp")
+
 
+def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for every row of ``docs``.
+
+    Null and empty texts have no shingles and are linked with nothing.  Equal
+    sets are linked.  A null doc_id counts as the largest.
+    """
+    sets, groups = _linked(docs, percent)
     least = F.min(F.coalesce("doc_id", F.lit(int(NULL_ID)))).alias("k")
-    members = sets.where("n > 0").groupBy("fp").agg(least).join(groups.withColumnRenamed("v", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
+    members = sets.where("n > 0").groupBy("fp").agg(least).join(groups, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
     members = materialize(members, "ngram-members")
     of = members.select("fp", "comp").join(members.groupBy("comp").agg(F.min("k").alias("component_id")), "comp").select("fp", "component_id")
     found = sets.select("doc_id", F.col("n").alias("n_shingles"), "fp").join(of, "fp", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
@@ -243,7 +256,9 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     sets = ["v", "n", "core", "prefix", "matches"]
     asked = probes.join(blocks.withColumnRenamed("comp", "to"), "to").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     asked = materialize(asked.join(member.select(*sets), "v").select(F.col("to").alias("comp"), "block", *sets), "ngram-probes")
-    share = F.pmod(F.hash("comp", "block"), F.lit(SHARES)).alias("share")
+    # shares grow with the sets on both sides
+    size = asked.agg(F.coalesce(F.sum(F.octet_length("core")), F.lit(0))).first()[0] + nodes.agg(F.coalesce(F.sum(F.octet_length("core")), F.lit(0))).first()[0]
+    share = F.pmod(F.hash("comp", "block"), F.lit(max(64, size // SHARE_BYTES))).alias("share")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[str, str]] = []
@@ -282,10 +297,24 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, all columns, without the near duplicates of a smaller doc_id; of repeated doc_ids one row stays."""
-    found = link_components(docs, percent)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of ``docs``, all columns, one of each group of near duplicates: that with the smallest doc_id (a null is the largest), then the smallest MD5 of its text.
+
+    Rows that share a doc_id, or have none, are told apart by their texts.
+    Rows that agree in both are copies, of which the one with the smallest
+    other columns stays.  Texts without words are in no group: all stay.
+    """
+    sets, groups = _linked(docs, percent)
+    named = sets.where("n > 0").select("doc_id", "text_md5", "fp")
+    best = lambda: F.min(F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("id"), F.col("doc_id").isNull().alias("none"), "text_md5")).alias("b")
+    of_set = named.groupBy("fp").agg(best()).join(groups, "fp", "left")
+    first = of_set.groupBy(F.coalesce("comp", "fp").alias("comp")).agg(F.min("b").alias("b"))
+    first = first.select(row_key_of(F.when(~F.col("b.none"), F.col("b.id")), F.col("b.text_md5")).alias(ROW))
+    keyed = docs.withColumn(ROW, row_key())
+    worded = F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    # copies are put together before the shuffle
+    single = keyed.where(worded).groupBy(ROW).agg(F.min(F.struct(*docs.columns)).alias("r"))
+    kept = single.join(first, ROW, "left_semi").select("r.*")
+    return kept.unionByName(docs.where(~worded))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

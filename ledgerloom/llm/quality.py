@@ -1,10 +1,13 @@
 """Quality classifier by co-training.
 
 Two views of a document: its text (repetition, symbols, capitals, word
-shapes) and its page metadata (source, language, recorded length, line
-layout).  Each view has a logistic classifier.  Starting from labelled rows
-they exchange, round by round, the unlabelled rows they are surest of; at the
-end both scores are calibrated on labelled rows kept aside and combined.
+shapes) and its page's record (language, source, recorded length), which never
+looks at the text.  Each view has a logistic classifier, first fitted to
+labelled rows.  In each round a view gives the other the unlabelled rows, of
+the whole corpus, that it is surest of, a share that grows with the rounds and
+only where it is CONFIDENT; both are then fitted again by Newton steps whose
+sums Spark gathers.  At the end both scores are calibrated on labelled rows
+kept aside and combined.
 """
 
 from __future__ import annotations
@@ -16,13 +19,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize, read_table
+from .shared import materialize, read_table, sample_by_hash
 from .toxicity import logistic
 
-#: Bounds of the fit: labelled and unlabelled rows (smallest hash of doc_id), rounds, rows each view gives a round.
-LABELLED, UNLABELLED, ROUNDS, GIVEN = 6_000, 12_000, 5, 400
-BUCKETS = 32
+#: Bound of the fit: labelled rows (smallest hash of doc_id).
+LABELLED = 6_000
+#: Rounds, share of all unlabelled rows that a view gives more in each, Newton steps a round.
+ROUNDS, GIVEN, STEPS = 4, 0.02, 2
+CONFIDENT = 0.95
+#: What all given rows weigh against all labelled ones, at most.
+GIVEN_WEIGHT = 0.5
+LANGS, SOURCES = 16, 64
 THRESHOLD = 0.5
+BINS, SPAN = 2000, 12.0
 
 # Bytes by kind.
 _UPPER = bytes(range(65, 91))
@@ -49,105 +58,173 @@ def text_view(text: str | None) -> list[float]:
             sum(map(len, words)) / k / 10, np.log1p(k) / 10, len(set(lines)) / max(1, len(lines)), (len(set(words)) / k) * np.log1p(k) / 5, float(k < 5), 1.0]
 
 
-def metadata_view(lang: str | None, source: str | None, n_chars: int | None, text: str | None) -> list[float]:
-    raw = (text or "").encode()
-    lines = raw.count(b"\n") + 1
-    out = [0.0] * (2 * BUCKETS)
-    out[zlib.crc32((lang or "").encode()) % BUCKETS] = 0.5
-    out[BUCKETS + zlib.crc32((source or "").encode()) % BUCKETS] = 0.5
-    per_line = len(raw) / lines
-    spaces = len(raw) - len(raw.translate(None, _SPACE))
-    packed = len(zlib.compress(raw[:], 1)) / max(1, len(raw))
-    return [*out, np.log1p(n_chars if n_chars is not None else len(raw)) / 10, np.log1p(lines) / 5, np.log1p(per_line) / 10, 5 * spaces / max(1, len(raw)), packed, packed**2, 1.0]
+N_TEXT, N_META = 16, LANGS + SOURCES + 4
+TEXT, META = "__by_text", "__by_meta"
 
 
-N_TEXT, N_META = 16, 2 * BUCKETS + 7
+def features(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """The carried columns, the text view, and the record's (bucket of lang, bucket of source, n_chars), a row each."""
+    rest = [F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("double")]
+    inputs = docs.select(*carried, *(c.alias(f"__in{k}") for k, c in enumerate(rest)))
+    n = len(carried)
 
+    def bucket(value: str | None, buckets: int) -> float:
+        return 0.0 if value is None else float(1 + zlib.crc32(value.encode()) % (buckets - 1))
 
-def features(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for at in range(0, max(1, batch.num_rows), 500):
                 p = batch.slice(at, 500)
-                rows = list(zip(*(p.column(k).to_pylist() for k in range(5)), strict=True))
-                a = np.array([text_view(r[1]) for r in rows], np.float32).reshape(-1)
-                b = np.array([metadata_view(r[2], r[3], r[4], r[1]) for r in rows], np.float32).reshape(-1)
-                yield pa.RecordBatch.from_arrays([p.column(0), _lists(a, N_TEXT), _lists(b, N_META)], ["doc_id", "by_text", "by_meta"])
+                text = np.array([text_view(t) for t in p.column(n).to_pylist()], np.float32).reshape(-1)
+                record = zip(*(p.column(n + k).to_pylist() for k in (1, 2, 3)), strict=True)
+                meta = np.array([(bucket(lang, LANGS), bucket(source, SOURCES), -1.0 if size is None else size) for lang, source, size in record], np.float32).reshape(-1)
+                yield pa.RecordBatch.from_arrays([*(p.column(k) for k in range(n)), _lists(text, N_TEXT), _lists(meta, 3)], [*carried, TEXT, META])
 
-    cols = [F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("text", "lang", "source")), F.col("n_chars").cast("long").alias("n_chars")]
-    return docs.select(*cols).mapInArrow(run, "doc_id long, by_text array<float>, by_meta array<float>")
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in inputs.schema[:n])
+    return inputs.mapInArrow(run, f"{kinds}{TEXT} array<float>, {META} array<float>")
 
 
 def _lists(flat: np.ndarray, width: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width), pa.int32()), pa.array(flat, pa.float32()))
 
 
+def _views(text, meta) -> tuple[np.ndarray, np.ndarray]:
+    """Both views as matrices, from lists of all rows one after the other."""
+    x = np.asarray(text, np.float64).reshape(-1, N_TEXT)
+    raw = np.asarray(meta, np.float64).reshape(-1, 3)
+    m = np.zeros((len(raw), N_META))
+    rows = np.arange(len(raw))
+    m[rows, raw[:, 0].astype(int)] = 0.5
+    m[rows, LANGS + raw[:, 1].astype(int)] = 0.5
+    size = np.log1p(np.maximum(raw[:, 2], 0)) / 10
+    m[:, -4:] = np.stack([size, size**2, raw[:, 2] < 0, np.ones(len(raw))], 1)
+    return x, m
+
+
 def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, free: tuple[np.ndarray, np.ndarray]):
-    """Weights of both views, and (scale of each, shift) of the combination."""
+def _newton_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, weight: float) -> np.ndarray:
+    """Gradient, then Hessian, of the weighted log loss."""
+    p = _sigmoid(x @ w)
+    return weight * np.concatenate([x.T @ (p - y), ((x * (p * (1 - p))[:, None]).T @ x).ravel()])
+
+
+def _summed(table: DataFrame, fn, width: int) -> np.ndarray:
+    """The sum over all rows of ``fn(views) -> array``, added up in Spark."""
+    def run(batches):
+        total = np.zeros(width)
+        for batch in batches:
+            total += fn(_views(batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy()))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+    parts = table.select(TEXT, META).mapInArrow(run, "sums array<double>").select(F.posexplode("sums"))
+    out = np.zeros(width)
+    for r in parts.groupBy("pos").agg(F.sum("col").alias("s")).collect():  # ``width`` rows
+        out[r["pos"]] = r["s"]
+    return out
+
+
+def _cuts(hist: np.ndarray, share: float, prior: float) -> tuple[float, float]:
+    """Log odds below and above which a view gives rows: its surest, by class in proportion to the prior, and CONFIDENT."""
+    edges = np.linspace(-SPAN, SPAN, BINS + 1)
+    total = hist.sum()
+    low = edges[int(np.searchsorted(np.cumsum(hist), share * (1 - prior) * total, "right"))]
+    high = edges[BINS - int(np.searchsorted(np.cumsum(hist[::-1]), share * prior * total, "right"))]
+    sure = np.log(CONFIDENT / (1 - CONFIDENT))
+    return min(low, -sure), max(high, sure)
+
+
+def co_train(free: DataFrame, views: tuple[np.ndarray, np.ndarray], y: np.ndarray):
+    """Weights of both views, and (scale of each, shift) of the combination.  ``free``: features of all unlabelled rows."""
     aside = np.arange(len(y)) % 4 == 3
-    own = [(v[~aside], y[~aside]) for v in views]
-    pools = [[x], [t]] if False else [[[x], [t]] for x, t in own]
-    left = np.arange(len(free[0]))
-    weights = [logistic(x, t, l2=1e-4) for x, t in own]
-    for _ in range(ROUNDS):
-        if not len(left):
+    own, target = [v[~aside] for v in views], y[~aside]
+    prior, n = float(target.mean()), (N_TEXT, N_META)
+    weights = [logistic(x, target, l2=1e-4) for x in own]
+    size = [k + k * k for k in n]
+    for r in range(1, ROUNDS + 1):
+        given_by = [w.copy() for w in weights]
+
+        def histograms(v, given_by=given_by):
+            return np.concatenate([np.histogram(np.clip(x @ w, -SPAN, SPAN), BINS, (-SPAN, SPAN))[0] for x, w in zip(v, given_by, strict=True)])
+
+        hist = _summed(free, histograms, 2 * BINS).reshape(2, BINS)
+        if not hist.sum():
             break
-        taken = set()
-        for k in (0, 1):
-            p = _sigmoid(free[k][left] @ weights[k])
-            share = y.mean()
-            good, bad = int(GIVEN * share), int(GIVEN * (1 - share))
-            order = np.argsort(p, kind="stable")
-            pick = np.concatenate([c for c in (order[:bad][p[order[:bad]] < 0.1], order[len(order) - good :][p[order[len(order) - good :]] > 0.9])])
-            pools[1 - k][0].append(free[1 - k][left[pick]])
-            pools[1 - k][1].append((p[pick] > 0.5).astype(float))
-            taken |= set(pick.tolist())
-        left = np.delete(left, sorted(taken))
-        weights = [logistic(np.concatenate(x), np.concatenate(t), l2=1e-4) for x, t in pools]
-    z = np.stack([v[aside] @ w for v, w in zip(views, weights, strict=True)] + [np.ones(aside.sum())], 1)
-    return weights, logistic(np.clip(z, -8, 8), y[aside], l2=1e-3, steps=500)
+        cuts = [_cuts(h, GIVEN * r, prior) for h in hist]
+        for _ in range(STEPS):
+            def sums(v, given_by=given_by, cuts=cuts, now=tuple(weights)):
+                out = []
+                for k in (0, 1):  # what view 1 - k is sure of teaches view k
+                    z = v[1 - k] @ given_by[1 - k]
+                    sure = (z <= cuts[1 - k][0]) | (z >= cuts[1 - k][1])
+                    out += [_newton_sums(v[k][sure], (z[sure] > 0).astype(float), now[k], 1.0), [sure.sum()]]
+                return np.concatenate(out)
+
+            found = _summed(free, sums, sum(size) + 2)
+            at = 0
+            for k in (0, 1):
+                part, many = found[at : at + size[k]], found[at + size[k]]
+                at += size[k] + 1
+                total = _newton_sums(own[k], target, weights[k], 1.0) + part * min(1.0, GIVEN_WEIGHT * len(target) / max(many, 1.0))
+                g, h = total[: n[k]] + 1e-4 * len(target) * weights[k], total[n[k] :].reshape(n[k], n[k]) + 1e-4 * len(target) * np.eye(n[k])
+                step = np.linalg.solve(h, g)
+                weights[k] = weights[k] - step * min(1.0, 5.0 / max(1e-9, float(np.abs(step).max())))
+    z = np.stack([np.clip(v[aside] @ w, -8, 8) for v, w in zip(views, weights, strict=True)] + [np.ones(aside.sum())], 1)
+    return weights, logistic(z, y[aside], l2=1e-3, steps=500)
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, score (0 to 1: good), text_score, meta_score, rejected for every row.
+def _fit(table: DataFrame, labels: DataFrame):
+    """``table``: doc_id and features.  None where labels of one kind only, or too few, are known."""
+    chosen = labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality")).where("doc_id is not null")
+    chosen = materialize(sample_by_hash(chosen, "doc_id", LABELLED), "quality-labels")  # at most LABELLED rows
+    known = table.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min(F.struct(TEXT, META)).alias("f"))
+    known = sorted(known.collect(), key=lambda r: zlib.crc32(str(r["doc_id"]).encode()))  # at most LABELLED rows
+    y = np.array([r["quality"] for r in known], float)
+    if len(y) < 8 or y.min() == y.max() or len(set(y[3::4].tolist())) < 2:
+        return None
+    views = _views([r["f"][TEXT] for r in known], [r["f"][META] for r in known])
+    return co_train(table.join(F.broadcast(chosen), "doc_id", "left_anti"), views, y)
 
-    Nulls: a null text is empty, null metadata is a kind of its own.  Without
-    labels of both kinds nothing is rejected (scores 1).
-    """
-    table = materialize(features(docs), "quality-features")
-    model = _fit(table, labels)
+
+def _scored(docs: DataFrame, labels: DataFrame, carried: list[str]) -> DataFrame:
+    """The carried columns (doc_id among them) and score, text_score, meta_score of each row."""
+    table = materialize(features(docs, carried), "quality-features")
+    model = _fit(table.select(F.col("doc_id").cast("long").alias("doc_id"), TEXT, META), labels)
+    n = len(carried)
 
     def run(batches):
         for batch in batches:
-            n = batch.num_rows
-            zs = [batch.column(k + 1).flatten().to_numpy().reshape(n, -1) @ w for k, w in enumerate(model[0])] if model else [np.full(n, 30.0)] * 2
-            s = _sigmoid(np.clip(zs[0], -8, 8) * model[1][0] + np.clip(zs[1], -8, 8) * model[1][1] + model[1][2]) if model else np.ones(n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v.astype(float), pa.float64()) for v in (s, _sigmoid(zs[0]), _sigmoid(zs[1])))], ["doc_id", "score", "text_score", "meta_score"])
+            rows = batch.num_rows
+            if model:
+                zs = [v @ w for v, w in zip(_views(batch.column(n).flatten().to_numpy(), batch.column(n + 1).flatten().to_numpy()), model[0], strict=True)]
+                s = _sigmoid(np.clip(zs[0], -8, 8) * model[1][0] + np.clip(zs[1], -8, 8) * model[1][1] + model[1][2])
+            else:
+                zs, s = [np.full(rows, 30.0)] * 2, np.ones(rows)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(n)), *(pa.array(v.astype(float), pa.float64()) for v in (s, _sigmoid(zs[0]), _sigmoid(zs[1])))], [*carried, *SCORES])
 
-    return table.mapInArrow(run, "doc_id long, score double, text_score double, meta_score double").withColumn("rejected", F.col("score") < THRESHOLD)
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in table.schema[:n])
+    return table.select(*carried, TEXT, META).mapInArrow(run, f"{kinds}{', '.join(f'{c} double' for c in SCORES)}")
 
 
-def _fit(table: DataFrame, labels: DataFrame):
-    chosen = labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    chosen = materialize(chosen, "quality-labels")  # at most LABELLED rows
-    known = table.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(LABELLED).collect()
-    y = np.array([r["quality"] for r in known], float)
-    if len(y) < 8 or y.min() == y.max():
-        return None
-    free = table.join(F.broadcast(chosen), "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(UNLABELLED).collect()
-    views = tuple(np.array([r[c] for r in known], np.float64) for c in ("by_text", "by_meta"))
-    others = tuple(np.array([r[c] for r in free], np.float64).reshape(len(free), -1) for c in ("by_text", "by_meta"))
-    return co_train(views, y, others)
+SCORES = ["__score", "__text_score", "__meta_score"]
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, score (0 to 1: good), text_score, meta_score, rejected for every row.
+
+    Nulls: a null text is empty, null metadata is a kind of its own.  A label
+    counts for all rows with its doc_id, of which one is fitted.  Without
+    labels of both kinds nothing is rejected (scores 1).
+    """
+    out = _scored(docs.withColumn("doc_id", F.col("doc_id").cast("long")), labels, ["doc_id"])
+    return out.select("doc_id", *(F.col(c).alias(c[2:]) for c in SCORES), (F.col(SCORES[0]) < THRESHOLD).alias("rejected"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that the classifier does not reject.  The text decides, so rows with one doc_id stay or go together."""
-    bad = score(docs, labels).where("rejected").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs``, all columns, that the classifier does not reject; each row goes by its own text and record."""
+    return _scored(docs, labels, docs.columns).where(F.col(SCORES[0]) >= THRESHOLD).select(docs.columns)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

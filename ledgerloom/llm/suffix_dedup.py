@@ -25,14 +25,16 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .blocks import NULL_ID, answer, combine, join_blobs, mix, pack_array, ranges, split_blobs, unpack_array, write_blocks
-from .shared import materialize, read_table
+from .shared import ROW, materialize, read_table, row_key, row_key_of
 
 DEPTH = 50
 KEY = 24
 RUN = DEPTH - KEY + 1
 LOW24 = np.uint64(2**24 - 1)
+TEXT, EMPTY = "__text", "__empty"
 
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -91,7 +93,7 @@ def runs(lens: np.ndarray, data: np.ndarray):
         first = np.repeat(first, parts) + nth * RUN
         count = np.minimum(RUN, whole - nth * RUN)
     doc = np.searchsorted(starts[long], first, "right") - 1
-    return (first, count, np.flatnonzero(long)[doc], key[first]), w
+    return (first, count, np.flatnonzero(long)[doc], mix(key[first])), w  # mixed: minima crowd at the low end, and keys are dealt out by range
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -309,8 +311,22 @@ def dedup_digests(docs: DataFrame) -> DataFrame:
 
 
 def dedup_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) after removal; bytes of a character cut in half are dropped with it."""
-    return repeated_bytes(docs, lambda i, data, mask: {"doc_id": i, "text": (data[~mask] if mask.any() else data).tobytes().decode("utf-8", "ignore")}, "doc_id long, text string")
+    """(doc_id, text_md5 before, text) after removal; bytes of a character cut in half are dropped with it."""
+
+    def emit(i, data: np.ndarray, mask: np.ndarray) -> dict:
+        return {"doc_id": i, "text_md5": hashlib.md5(data).hexdigest(), "text": (data[~mask] if mask.any() else data).tobytes().decode("utf-8", "ignore")}
+
+    return repeated_bytes(docs, emit, "doc_id long, text_md5 string, text string")
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without the passages that a smaller doc_id has; null texts stay null.
+
+    Rows are found again by doc_id and text: rows that agree in both are cut alike.
+    """
+    cut = dedup_texts(docs).select(row_key_of(F.col("doc_id"), F.col("text_md5")).alias(ROW), F.col("text").alias(TEXT)).dropDuplicates([ROW])
+    rest = docs.select(*(c for c in docs.columns if c != "text"), F.col("text").isNull().alias(EMPTY), row_key().alias(ROW))
+    return rest.join(cut, ROW).withColumn("text", F.when(~F.col(EMPTY), F.col(TEXT))).select(docs.columns)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

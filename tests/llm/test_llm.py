@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -208,6 +209,44 @@ def test_op6_brute_force(spark):
     assert {r["doc_id"] for r in ngram_join.keep_one(docs).collect()} == {i for i in comp if comp[i] == i}
 
 
+def key(r):
+    return (r["doc_id"] is None, r["doc_id"] or 0, r["text"] is not None, r["text"] or "")
+
+
+def test_rows_with_null_or_equal_ids_stay_unless_copies(spark):
+    """Four unlike texts under no or one id, copies of one row, near copies, texts without words; extra and clashing columns."""
+    long_ = " ".join(f"n{k}" for k in range(200))
+    rows = [(-1, "a b c d e f"), (-1, "g h i j k l"), (7, "m n o p q r"), (7, "s t u v w x"), (7, "s t u v w x"), (9, long_ + " y"), (8, long_), (-1, long_ + " z"), (-1, None), (3, ""), (3, "")]
+    docs = docs_of(spark, rows).repartition(3)
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    want = [(None, "a b c d e f"), (None, "g h i j k l"), (7, "m n o p q r"), (7, "s t u v w x"), (8, long_), (None, None), (3, ""), (3, "")]
+    assert sorted(map(key, kept.collect())) == sorted(key({"doc_id": i, "text": t}) for i, t in want)
+    none = suffix_dedup.cut_repeats(docs)
+    first = {}
+    for i, t in sorted(((2**63 if i < 0 else i), t or "") for i, t in rows):
+        for k in range(len(t) - 49):
+            first.setdefault(t[k : k + 50], i)
+    want = []
+    for i, t in rows:
+        gone = {j for k in range(len(t or "") - 49) if first[t[k : k + 50]] < (2**63 if i < 0 else i) for j in range(k, k + 50)}
+        want.append({"doc_id": i if i >= 0 else None, "text": t if t is None else "".join(c for k, c in enumerate(t) if k not in gone)})
+    assert sorted(map(key, none.collect())) == sorted(map(key, want)) and none.columns == docs.columns
+
+
+def test_quality_goes_by_row(spark):
+    r = random.Random(4)
+    good = lambda: " ".join(r.choice(["some", "plain", "words", "of", "a", "text", "that", "reads", "well"]) + str(r.randrange(50)) for _ in range(60)) + "."
+    bad = lambda: "".join(r.choice("#$%&*@ |") for _ in range(300))
+    rows = [(k, good() if k % 2 else bad()) for k in range(200)] + [(-1, good()), (-1, bad()), (500, good()), (500, bad()), (501, None)]
+    docs = docs_of(spark, rows)
+    labels = spark.createDataFrame([(k, k % 2, "x") for k in range(0, 120)] + [(None, 1, "x"), (3, 1, "x")], "doc_id long, quality int, text string")
+    kept = quality.keep_good(docs, labels)
+    got = Counter((x["doc_id"], x["text"]) for x in kept.collect())
+    want = Counter((i if i >= 0 else None, t) for i, t in rows if t and "#" not in t)
+    assert kept.columns == docs.columns and not want - got and all(t is None for _, t in got - want)
+
+
 def test_op7_files(spark, tmp_path):
     from tokenizers import Tokenizer
 
@@ -329,11 +368,20 @@ def test_op9_held_out(spark):
     assert s["score"].between(0, 1).all()
 
 
-def test_op10_accuracy_and_no_clean_rejects(spark):
+def test_op10_held_out(spark):
     d = "/root/testdata/sf0.1"
-    s = quality.op10_quality(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").select("rejected", "quality").toPandas()
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    held = "crc32(cast(doc_id as string)) % 4 = 2"
+    s = quality.score(docs, labels.where(f"not {held}"))
+    assert s.count() == docs.count() and s.where("score is null").count() == 0
+    s = s.join(labels.where(held), "doc_id").select("rejected", "quality").toPandas()
     assert s[s["quality"] == 1]["rejected"].mean() < 0.02 and s[s["quality"] == 0]["rejected"].mean() > 0.9
-    assert quality.op10_quality(spark, d).where("score is null").count() == 0
+
+
+def test_op10_record_view_never_sees_the_text(spark):
+    rows = [(1, "some text", "en", "s", 9), (1, "#### other |||", "en", "s", 9)]
+    f = quality.features(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), ["doc_id"]).collect()
+    assert f[0][quality.META] == f[1][quality.META] and f[0][quality.TEXT] != f[1][quality.TEXT]
 
 
 def test_trained_operators_take_nulls(spark):
