@@ -21,15 +21,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest doc_id."""
+    """One document of each group of near duplicates stays, that with the smallest doc_id; documents that share an id, or have none, are told apart by their texts."""
     return ngram_join.keep_one(docs).select(COLUMNS)
 
 
 def repeated_passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 bytes and more that a smaller doc_id has are cut; documents of which nothing is left go."""
-    cut = suffix_dedup.dedup_texts(docs).withColumnRenamed("doc_id", "_id").withColumnRenamed("text", "_text")
-    joined = docs.drop("text", "n_chars").join(cut, docs["doc_id"].eqNullSafe(cut["_id"]))
-    return joined.where("_text <> ''").withColumn("text", F.col("_text")).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+    """Passages of 50 bytes and more that a smaller doc_id has are cut; documents that are nothing but such passages go."""
+    marked = docs.select(*COLUMNS, (F.coalesce("text", F.lit("")) == "").alias("was_empty"))
+    cut = suffix_dedup.cut_repeats(marked).where("was_empty or text <> ''")
+    return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
