@@ -1,7 +1,9 @@
 """The work queue: what is pending, in which lane, and who does it.
 
-A queue row is ``orgnr, year, create_time, processing_priority``; ``year`` is
-null in a stub, whose years are not known yet.
+A queue row is ``orgnr, year, create_time, processing_priority`` with times in
+whole seconds; ``year`` is null in a stub, whose years are not known yet.  The
+manifest's ``download_timestamp`` is ISO text; ``download_seconds`` is the one
+place that turns it into seconds.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import unix_or_zero, year_start
 from .keys import FILING, keep_last, upsert, without
 from .ranking import global_rank
 
@@ -17,9 +20,14 @@ def is_success(status: str = "status", path: str = "pdf_path") -> Column:
     return (F.col(status) == "success") & F.col(path).isNotNull() & (F.col(path) != "")
 
 
+def download_seconds(time: str = "download_timestamp") -> Column:
+    """Seconds of the manifest's time; text that is no time counts as 0, long ago."""
+    return unix_or_zero(F.col(time))
+
+
 def latest_success(manifest: DataFrame, time: str = "download_timestamp") -> DataFrame:
-    """Time of the latest success of each (orgnr, year)."""
-    return manifest.where(is_success()).groupBy(*FILING).agg(F.max(time).alias("latest"))
+    """Seconds of the latest success of each (orgnr, year)."""
+    return manifest.where(is_success()).groupBy(*FILING).agg(F.max(download_seconds(time)).alias("latest"))
 
 
 def merge_times(times: DataFrame, new: DataFrame) -> DataFrame:
@@ -52,17 +60,17 @@ def compact(queue: DataFrame, manifest: DataFrame) -> DataFrame:
     return _with_latest(queue, manifest).where(keep).drop("latest")
 
 
-def work_list(queue: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Pending rows by an anti join whose residual compares times; nothing is aggregated first."""
-    m = manifest.where(is_success()).select(F.col("orgnr").alias("_o"), F.col("year").alias("_y"), F.col("download_timestamp").alias("_t"))
+def work_list(queue: DataFrame, manifest: DataFrame, lane: str | None = None) -> DataFrame:
+    """Pending rows, of one lane if given, by an anti join whose residual compares times; nothing is aggregated first."""
+    m = manifest.where(is_success()).select(F.col("orgnr").alias("_o"), F.col("year").alias("_y"), download_seconds().alias("_t"))
     done = (queue["orgnr"] == m["_o"]) & (queue["year"] == m["_y"]) & (m["_t"] >= queue["create_time"])
-    return queue.where(F.col("year").isNotNull()).join(m, done, "left_anti")
+    open_ = queue.where(F.col("year").isNotNull()).join(m, done, "left_anti")
+    return with_lane(open_).where(F.col("lane") == lane).drop("lane") if lane else open_
 
 
 def prioritised(work: DataFrame) -> DataFrame:
-    """``position`` in the order of falling priority, then orgnr."""
-    seconds = work.withColumn("_p", F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', processing_priority)"))
-    return global_rank(seconds, "_p", "orgnr", descending=True).drop("_p")
+    """``position`` in the order of falling priority, then orgnr, then year."""
+    return global_rank(work, [F.col("processing_priority").desc_nulls_last(), F.col("orgnr").asc_nulls_last(), F.col("year").asc_nulls_last()])
 
 
 def slice_of(ranked: DataFrame, index: int, count: int) -> DataFrame:
@@ -77,15 +85,15 @@ def resume(ranked: DataFrame, cursor: int, batch: int = 0) -> DataFrame:
 
 
 def enqueue_fast(queue: DataFrame, entries: DataFrame, now: Column) -> DataFrame:
-    """``entries`` (orgnr, year, ordinal) enter again with ``now`` as time and priority; the last of equal keys counts."""
+    """``entries`` (orgnr, year, ordinal) enter again with ``now`` (seconds) as time and priority; the last of equal keys counts."""
     new = keep_last(entries, FILING, "ordinal").select(*FILING, now.alias("create_time"), now.alias("processing_priority"))
     return upsert(queue, new, FILING)
 
 
-def enqueue_slow(queue: DataFrame, candidates: DataFrame, manifest: DataFrame) -> DataFrame:
-    """New rows for years neither queued nor downloaded; their priority is the start of their year."""
+def enqueue_slow(queue: DataFrame, candidates: DataFrame, manifest: DataFrame, now: Column) -> DataFrame:
+    """New rows for years neither queued nor downloaded, made ``now`` (seconds); their priority is the start of their year."""
     new = without(without(candidates.select(*FILING).distinct(), queue, FILING), manifest.where(is_success()), FILING)
-    return new.withColumn("processing_priority", F.make_timestamp_ntz("year", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    return new.withColumns({"create_time": now.cast("long"), "processing_priority": year_start(F.col("year")).cast("long")})
 
 
 def new_stubs(queue: DataFrame, entities: DataFrame) -> DataFrame:

@@ -2,34 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES, PARTS = 64, 16
+from ..sources.scratch import materialize
 
+#: Rows of a partition are numbered from its number shifted by so many bits.
+PART_BITS = 33
 
-def global_rank(df: DataFrame, lead: str, tie: str, *, descending: bool = False, name: str = "position") -> DataFrame:
-    """Add the 0-based position in the order of two numeric columns (``lead``, then ``tie`` ascending; nulls last).
 
-    Rows are dealt out by ranges of ``lead``; a range of a single value (a hot
-    one may hold a third of all rows) is dealt out again by ``tie``.  Only the
-    at most RANGES * PARTS range sizes are summed in one place.
-    """
-    x = F.coalesce((-F.col(lead) if descending else F.col(lead)).cast("double"), F.lit(float("inf")))
-    y = F.coalesce(F.col(tie).cast("double"), F.lit(float("inf")))
-    d = df.withColumns({"_x": x, "_y": y})
-    cuts = d.agg(F.percentile_approx("_x", [i / RANGES for i in range(1, RANGES)], 20 * RANGES)).first()[0] or []
-
-    def place(c: str, edges):
-        return F.size(F.filter(edges, lambda e: e <= F.col(c)))
+def global_rank(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """Add the 0-based position in the order of any columns (which should end in tie-breakers).
 
-    edges = F.array(*(F.lit(float(c)) for c in sorted(set(cuts)))) if cuts else F.expr("cast(array() as array<double>)")
-    d = d.withColumn("_r", place("_x", edges))
-    inner = d.groupBy("_r").agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.percentile_approx("_y", [i / PARTS for i in range(1, PARTS)], 20 * PARTS).alias("p"))
-    inner = inner.select("_r", F.when(F.col("lo") == F.col("hi"), F.array_distinct("p")).otherwise(F.expr("cast(array() as array<double>)")).alias("_cuts"))
-    d = d.join(F.broadcast(inner), "_r").withColumn("_s", place("_y", F.col("_cuts")))
-    sizes = d.groupBy("_r", "_s").count()
-    before = F.sum("count").over(Window.orderBy("_r", "_s").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("_r", "_s", F.coalesce(before, F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_r", "_s").orderBy("_x", "_y"))
-    return d.join(F.broadcast(offsets), ["_r", "_s"]).withColumn(name, F.col("_before") + inside - 1).drop("_x", "_y", "_r", "_s", "_cuts", "_before")
+    Rows are dealt out by ranges of the whole order, so a hot leading value is
+    split by those that follow it; each range is sorted on its own and written
+    once.  Only the sizes of the ranges are summed in one place.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    d = materialize(ordered, "ranked").withColumn("_part", F.shiftright("_at", PART_BITS))
+    before = F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = d.groupBy("_part").count().select("_part", (F.coalesce(before, F.lit(0)) - F.shiftleft("_part", PART_BITS)).alias("_before"))  # a row for each range
+    return d.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_at", "_part", "_before")

@@ -109,21 +109,33 @@ def occurrences(text: Column, word: str) -> Column:
     return step["found"]
 
 
-def section_start(text: Column, markers: list[str]) -> Column:
-    """The first marker that a table follows (six bars in 500 characters), else the first marker; null without one."""
-    every = F.concat(*(occurrences(text, m) for m in markers))
+TABLE_BARS, TABLE_AHEAD = 6, 500
 
-    def table(at: Column) -> Column:
-        ahead = F.substring(text, at + 1, F.lit(500))
-        return F.length(ahead) - F.length(F.replace(ahead, F.lit("|"), F.lit(""))) >= 6
 
-    return F.coalesce(F.get(F.filter(every, table), F.lit(0)), F.get(every, F.lit(0)))
+def _first(text: Column, word: str) -> Column:
+    """0-based place of a word (in lower case, as the text); null without one."""
+    return F.nullif(F.locate(word, text) - 1, F.lit(-1))
+
+
+def _before_table(text: Column, word: str) -> Column:
+    """0-based place of the first occurrence that a table follows."""
+    ahead = F.regexp_extract_all(text, F.lit(f"(?s)\\Q{word}\\E(?=(.{{0,{TABLE_AHEAD - len(word)}}}))"), F.lit(1))
+    bars = TABLE_BARS - word.count("|")
+    nth = F.array_position(F.transform(ahead, lambda w: F.length(w) - F.length(F.replace(w, F.lit("|"), F.lit(""))) >= bars), True).cast("int")
+    place = F.get(F.transform(F.array(nth), lambda k: F.when(k > 0, F.length(F.array_join(F.slice(F.split(text, f"\\Q{word}\\E"), F.lit(1), k), word)))), F.lit(0))
+    return F.when(F.contains(text, F.lit(word)), place)
+
+
+def section_start(low: Column, markers: list[str]) -> Column:
+    """The first marker that a table follows (six bars in 500 characters), else the first marker; null without one.  ``low``: the text in lower case."""
+    words = [m.lower() for m in markers]
+    return F.coalesce(*(_before_table(low, w) for w in words), *(_first(low, w) for w in words))
 
 
 def sections(docs: DataFrame, keys: list[str], markers: dict[str, list[str]] = SECTION_MARKERS) -> DataFrame:
     """One row for each section found: its start, its end (the next section's start) and its text."""
-    starts = F.array(*(F.struct(F.lit(k).cast("int").alias("nth"), F.lit(s).alias("section"), section_start(F.col("text"), m).alias("start")) for k, (s, m) in enumerate(markers.items())))
-    found = docs.select(*keys, "text", F.inline(starts)).where("start is not null")
+    starts = F.array(*(F.struct(F.lit(k).cast("int").alias("nth"), F.lit(s).alias("section"), section_start(F.col("_low"), m).alias("start")) for k, (s, m) in enumerate(markers.items())))
+    found = docs.select(*keys, "text", F.lower("text").alias("_low")).select(*keys, "text", F.filter(starts, lambda x: x["start"].isNotNull()).alias("_s")).select(*keys, "text", F.inline("_s"))
     w = Window.partitionBy(*keys).orderBy("start", "nth")
     found = found.withColumn("end", F.coalesce(F.lead("start").over(w), F.length("text")))
     return found.select(*keys, "section", "start", "end", F.expr("substring(text, start + 1, end - start)").alias("chunk"))
@@ -183,11 +195,11 @@ def long_items(wide: DataFrame, keys: list[str], known: list[str]) -> DataFrame:
 def revenue_labels(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, revenue_label, sections_found): which kind of revenue leads, and the sections in fixed order."""
     has = items.where("current is not null").groupBy(*keys).agg(F.bool_or(F.col("item") == "salgsinntekt").alias("sales"), F.bool_or(F.col("item") == "annen_driftsinntekt").alias("other"))
-    starts = {s: section_start(F.col("text"), m) for s, m in SECTION_MARKERS.items()}
-    fee = F.locate("salær", F.lower("text")) - 1
+    starts = {s: section_start(F.col("_low"), m) for s, m in SECTION_MARKERS.items()}
+    fee = F.locate("salær", F.col("_low")) - 1
     label = F.when(F.col("sales"), F.when((fee >= 0) & (fee < F.coalesce(starts["pnl"], F.length("text")) + 2000), "salær_provisjon").otherwise("salgsinntekt")).when(F.col("other"), "annen_driftsinntekt_only")
     found = F.concat_ws(",", *(F.when(c.isNotNull(), F.lit(s)) for s, c in starts.items()))
-    return docs.join(has, keys, "left").select(*keys, label.alias("revenue_label"), found.alias("sections_found"))
+    return docs.withColumn("_low", F.lower("text")).join(has, keys, "left").select(*keys, label.alias("revenue_label"), found.alias("sections_found"))
 
 
 def notes(docs: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit, keys, queue, statements
 from ..operators.changes import entities_with_accounts, relevant_updates
 from ..sources import files
 from ..sources.sinks import current, publish
+from ..sources.tables import MANIFEST
 
 
 def seed(entities: DataFrame, years: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
     """First queue of a register: (fast rows for the latest accounts of each entity, stubs for the rest of their years)."""
     e = entities_with_accounts(entities).withColumnRenamed("organisasjonsnummer", "orgnr")
     latest = e.select("orgnr", F.col("sisteInnsendteAarsregnskap").try_cast("int").alias("year")).where("year is not null")
-    fast = latest.withColumns({"create_time": now, "processing_priority": now})
+    fast = latest.withColumns({"create_time": now.cast("long"), "processing_priority": now.cast("long")})
     return fast, queue.new_stubs(years, e)
 
 
@@ -33,9 +34,13 @@ def drain(spark: SparkSession, holding: str, manifest: DataFrame, accounts: Data
 
 
 def coordinate(spark: SparkSession, table: str, waiting: DataFrame, holding: str, accounts: DataFrame, now: str) -> DataFrame:
-    """Drain, publish the manifest, and give the prioritised work list."""
-    publish(drain(spark, holding, current(spark, table), accounts, now), table)
-    return queue.prioritised(queue.work_list(waiting, current(spark, table)))
+    """Drain, publish the manifest (the first one where there is none), and give the prioritised work list of the fast lane.
+
+    ``now`` is ISO text, as the manifest keeps it.
+    """
+    old = current(spark, table)
+    publish(drain(spark, holding, old if old is not None else spark.createDataFrame([], MANIFEST), accounts, now), table)
+    return queue.prioritised(queue.work_list(waiting, current(spark, table), "fast"))
 
 
 def next_work(waiting: DataFrame, manifest: DataFrame, *, discovery: DataFrame | None = None) -> tuple[str, DataFrame]:
@@ -62,11 +67,13 @@ def merge_manifests(spark: SparkSession, shards: list[DataFrame], table: str) ->
 
 
 def compact(spark: SparkSession, table: str, manifest: DataFrame) -> int:
-    """Drop done rows of the published queue; returns how many went."""
+    """Drop done rows of the published queue; returns how many went.  Rows are counted as they are written."""
     old = current(spark, table)
-    before = old.count()
-    publish(queue.compact(old, manifest), table)
-    return before - current(spark, table).count()
+    if old is None:
+        return 0
+    had, kept = Observation(), Observation()
+    publish(queue.compact(old.observe(had, F.count(F.lit(1)).alias("n")), manifest).observe(kept, F.count(F.lit(1)).alias("n")), table)
+    return had.get["n"] - kept.get["n"]
 
 
 def status(manifest: DataFrame, waiting: DataFrame) -> tuple[DataFrame, DataFrame]:

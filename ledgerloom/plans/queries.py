@@ -35,42 +35,44 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-# Stand-ins ------------------------------------------------------------------------
+# Stand-ins, with the column types of ``tables.MANIFEST`` and ``tables.QUEUE`` ----------
 
+SECONDS = "timestampdiff(SECOND, timestamp_ntz'1970-01-01', {0})"
 YEAR = "cast(2015 + {0} % 7 as int)"
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").selectExpr(
-        "l_orderkey as orgnr", f"{YEAR.format('l_orderkey')} as year", "cast(l_linenumber as bigint) as version", "l_shipdate as download_timestamp",
+        "cast(l_orderkey as string) as orgnr", f"{YEAR.format('l_orderkey')} as year", "cast(l_linenumber as int) as version", "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") as download_timestamp",
         "case l_linestatus when 'F' then 'success' else 'failed' end as status", "case when l_returnflag <> 'N' then concat('pdf/', l_orderkey, '_', l_linenumber) end as pdf_path",
         "cast(l_partkey % 50 as string) as file_hash", "case when l_suppkey % 3 > 0 then md5(cast(l_partkey as string)) else '' end as pdf_hash", "cast(l_suppkey % 4 as string) as journalnr",
     )
 
 
-M = """m AS (SELECT l_orderkey AS orgnr, CAST(2015 + l_orderkey % 7 AS INTEGER) AS year, CAST(l_linenumber AS BIGINT) AS version, l_shipdate AS download_timestamp,
+M = """m AS (SELECT CAST(l_orderkey AS VARCHAR) AS orgnr, CAST(2015 + l_orderkey % 7 AS INTEGER) AS year, CAST(l_linenumber AS INTEGER) AS version, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS download_timestamp,
   CASE l_linestatus WHEN 'F' THEN 'success' ELSE 'failed' END AS status, CASE WHEN l_returnflag <> 'N' THEN 'pdf/' || l_orderkey || '_' || l_linenumber END AS pdf_path,
   CAST(l_partkey % 50 AS VARCHAR) AS file_hash, CASE WHEN l_suppkey % 3 > 0 THEN md5(CAST(l_partkey AS VARCHAR)) ELSE '' END AS pdf_hash, CAST(l_suppkey % 4 AS VARCHAR) AS journalnr FROM lineitem),
-ok AS (SELECT * FROM m WHERE status = 'success' AND pdf_path IS NOT NULL),
-lat AS (SELECT orgnr, year, max(download_timestamp) AS latest FROM ok GROUP BY orgnr, year)"""
+ok AS (SELECT *, CAST(epoch(CAST(download_timestamp AS TIMESTAMP)) AS BIGINT) AS ts FROM m WHERE status = 'success' AND pdf_path IS NOT NULL),
+lat AS (SELECT orgnr, year, max(ts) AS latest FROM ok GROUP BY orgnr, year)"""
 
 
 def waiting(spark: SparkSession, sf: str) -> DataFrame:
+    made = SECONDS.format("o_orderdate")
     return table(spark, sf, "orders").selectExpr(
-        "o_orderkey as orgnr", f"case when o_custkey % 10 > 0 then {YEAR.format('o_orderkey')} end as year", "o_orderdate as create_time",
-        "case when o_orderpriority < '3' then o_orderdate else make_timestamp_ntz(1990 + cast(o_orderkey % 5 as int), 1, 1, 0, 0, 0) end as processing_priority",
+        "cast(o_orderkey as string) as orgnr", f"case when o_custkey % 10 > 0 then {YEAR.format('o_orderkey')} end as year", f"{made} as create_time",
+        f"case when o_orderpriority < '3' then {made} else {SECONDS.format('make_timestamp_ntz(1990 + cast(o_orderkey % 5 as int), 1, 1, 0, 0, 0)')} end as processing_priority",
     )
 
 
-Q = """q AS (SELECT o_orderkey AS orgnr, CASE WHEN o_custkey % 10 > 0 THEN CAST(2015 + o_orderkey % 7 AS INTEGER) END AS year, o_orderdate AS create_time,
-  CASE WHEN o_orderpriority < '3' THEN o_orderdate ELSE make_timestamp(1990 + o_orderkey % 5, 1, 1, 0, 0, 0) END AS processing_priority FROM orders)"""
+Q = """q AS (SELECT CAST(o_orderkey AS VARCHAR) AS orgnr, CASE WHEN o_custkey % 10 > 0 THEN CAST(2015 + o_orderkey % 7 AS INTEGER) END AS year, CAST(epoch(o_orderdate) AS BIGINT) AS create_time,
+  CAST(epoch(CASE WHEN o_orderpriority < '3' THEN o_orderdate ELSE make_timestamp(1990 + o_orderkey % 5, 1, 1, 0, 0, 0) END) AS BIGINT) AS processing_priority FROM orders)"""
 
 
 # Queue ----------------------------------------------------------------------------
 
 
 @query(f"""WITH {M}, {Q} SELECT q.* FROM q WHERE year IS NOT NULL
-AND NOT EXISTS (SELECT 1 FROM ok WHERE ok.orgnr = q.orgnr AND ok.year = q.year AND ok.download_timestamp >= q.create_time)""")
+AND NOT EXISTS (SELECT 1 FROM ok WHERE ok.orgnr = q.orgnr AND ok.year = q.year AND ok.ts >= q.create_time)""")
 def worklist_anti_join(spark, sf):
     return queue.work_list(waiting(spark, sf), manifest(spark, sf))
 
@@ -90,7 +92,7 @@ def latest_success(spark, sf):
     return queue.latest_success(manifest(spark, sf))
 
 
-@query(f"WITH {M} SELECT orgnr, year, max(download_timestamp) AS latest FROM ok GROUP BY orgnr, year")
+@query(f"WITH {M} SELECT orgnr, year, max(ts) AS latest FROM ok GROUP BY orgnr, year")
 def merge_times(spark, sf):
     m = manifest(spark, sf)
     old, new = (queue.latest_success(m.where(F.col("version") % 2 == k)) for k in (0, 1))
@@ -98,7 +100,7 @@ def merge_times(spark, sf):
 
 
 @query(f"""WITH {M}, {Q}, j AS (SELECT q.*, year IS NOT NULL AND (latest IS NULL OR create_time > latest) AS o, processing_priority = create_time AS f FROM q LEFT JOIN lat USING (orgnr, year))
-SELECT orgnr % 10 AS shard, count(*) AS total, count(*) FILTER (year IS NULL) AS stubs, count(*) FILTER (o) AS pending, count(*) FILTER (o AND f) AS fast, count(*) FILTER (o AND NOT f) AS slow FROM j GROUP BY ROLLUP (orgnr % 10)""")
+SELECT CAST(orgnr AS BIGINT) % 10 AS shard, count(*) AS total, count(*) FILTER (year IS NULL) AS stubs, count(*) FILTER (o) AS pending, count(*) FILTER (o AND f) AS fast, count(*) FILTER (o AND NOT f) AS slow FROM j GROUP BY ROLLUP (CAST(orgnr AS BIGINT) % 10)""")
 def shard_stats(spark, sf):
     return queue.shard_stats(waiting(spark, sf), manifest(spark, sf))
 
@@ -109,7 +111,7 @@ def lanes(spark, sf):
 
 
 _RANKED = f"""{M}, {Q}, p AS (SELECT q.* FROM q LEFT JOIN lat USING (orgnr, year) WHERE year IS NOT NULL AND (latest IS NULL OR create_time > latest)),
-r AS (SELECT orgnr, year, CAST(row_number() OVER (ORDER BY date_trunc('second', processing_priority) DESC, orgnr) - 1 AS BIGINT) AS position FROM p)"""
+r AS (SELECT orgnr, year, CAST(row_number() OVER (ORDER BY processing_priority DESC, orgnr, year) - 1 AS BIGINT) AS position FROM p)"""
 
 
 def _ranked(spark, sf):
@@ -126,37 +128,40 @@ def resumed_batch(spark, sf):
     return queue.resume(_ranked(spark, sf), 500, 1000)
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(row_number() OVER (ORDER BY l_quantity, l_partkey, l_orderkey * 100 + l_linenumber) - 1 AS BIGINT) AS position FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL)")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, key, CAST(row_number() OVER (ORDER BY l_quantity, key DESC, name, l_linenumber) - 1 AS BIGINT) AS position FROM (
+SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_quantity) AS l_quantity, 1152921504606846976 + min(l_partkey) % 10 AS key, lpad(CAST(l_orderkey AS VARCHAR), 9, '0') AS name FROM lineitem GROUP BY ALL)""")
 def global_positions(spark, sf):
+    """Hot leading values, ties that doubles could not tell apart, and names with leading zeros."""
     one = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"), F.min("l_quantity").alias("l_quantity"))
-    one = one.withColumn("tie", F.col("l_partkey") * 10_000_000_000 + F.col("l_orderkey") * 100 + F.col("l_linenumber"))
-    return ranking.global_rank(one, "l_quantity", "tie").select("l_orderkey", "l_linenumber", "l_partkey", F.col("position").cast("long").alias("position"))
+    one = one.withColumns({"key": F.lit(1 << 60) + F.col("l_partkey") % 10, "name": F.lpad(F.col("l_orderkey").cast("string"), 9, "0")})
+    ranked = ranking.global_rank(one, [F.col("l_quantity").asc(), F.col("key").desc(), F.col("name").asc(), F.col("l_linenumber").asc()])
+    return ranked.select("l_orderkey", "l_linenumber", "l_partkey", "key", F.col("position").cast("long").alias("position"))
 
 
-@query(f"""WITH {Q}, e AS (SELECT user_id * 30 AS orgnr, CAST(2015 + (user_id * 30) % 7 AS INTEGER) AS year, max(event_id) AS n FROM events WHERE event_type = 'purchase' GROUP BY ALL)
+@query(f"""WITH {Q}, e AS (SELECT CAST(user_id * 30 AS VARCHAR) AS orgnr, CAST(2015 + (user_id * 30) % 7 AS INTEGER) AS year, max(event_id) AS n FROM events GROUP BY ALL)
 SELECT q.orgnr, q.year, q.create_time, q.processing_priority FROM q LEFT JOIN e ON q.orgnr = e.orgnr AND q.year IS NOT DISTINCT FROM e.year WHERE e.n IS NULL
-UNION ALL SELECT orgnr, year, TIMESTAMP '2024-06-01', TIMESTAMP '2024-06-01' FROM e""")
+UNION ALL SELECT orgnr, year, CAST(1717200000 AS BIGINT), CAST(1717200000 AS BIGINT) FROM e""")
 def fast_reentry(spark, sf):
-    e = table(spark, sf, "events").where("event_type = 'purchase'").selectExpr("user_id * 30 as orgnr", f"{YEAR.format('(user_id * 30)')} as year", "event_id as ordinal")
-    return queue.enqueue_fast(waiting(spark, sf), e, F.expr("timestamp_ntz'2024-06-01'"))
+    e = table(spark, sf, "events").selectExpr("cast(user_id * 30 as string) as orgnr", f"{YEAR.format('(user_id * 30)')} as year", "event_id as ordinal")
+    return queue.enqueue_fast(waiting(spark, sf), e, F.lit(1_717_200_000).cast("long"))
 
 
-@query(f"""WITH {M}, {Q}, c AS (SELECT o_orderkey AS orgnr, unnest(range(2014, 2023)) AS year FROM orders WHERE o_orderstatus = 'P')
-SELECT orgnr, CAST(year AS INTEGER) AS year, make_timestamp(year, 1, 1, 0, 0, 0) AS processing_priority FROM c
+@query(f"""WITH {M}, {Q}, c AS (SELECT CAST(o_orderkey AS VARCHAR) AS orgnr, unnest(range(2014, 2023)) AS year FROM orders)
+SELECT orgnr, CAST(year AS INTEGER) AS year, CAST(1717200000 AS BIGINT) AS create_time, CAST(epoch(make_timestamp(year, 1, 1, 0, 0, 0)) AS BIGINT) AS processing_priority FROM c
 WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.orgnr = c.orgnr AND q.year = c.year) AND NOT EXISTS (SELECT 1 FROM ok WHERE ok.orgnr = c.orgnr AND ok.year = c.year)""")
 def slow_discovery(spark, sf):
-    c = audit.grid(table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("orgnr")), list(range(2014, 2023)))
-    return queue.enqueue_slow(waiting(spark, sf), c, manifest(spark, sf))
+    c = audit.grid(table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("orgnr")), list(range(2014, 2023)))
+    return queue.enqueue_slow(waiting(spark, sf), c, manifest(spark, sf), F.lit(1_717_200_000))
 
 
-@query(f"WITH {Q} SELECT c_custkey AS orgnr, CAST(NULL AS INTEGER) AS year FROM customer WHERE NOT EXISTS (SELECT 1 FROM q WHERE year IS NULL AND orgnr = c_custkey)")
+@query(f"WITH {Q} SELECT CAST(c_custkey AS VARCHAR) AS orgnr, CAST(NULL AS INTEGER) AS year FROM customer WHERE NOT EXISTS (SELECT 1 FROM q WHERE year IS NULL AND orgnr = CAST(c_custkey AS VARCHAR))")
 def new_stubs(spark, sf):
-    return queue.new_stubs(waiting(spark, sf), table(spark, sf, "customer").select(F.col("c_custkey").alias("orgnr")))
+    return queue.new_stubs(waiting(spark, sf), table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("orgnr")))
 
 
-@query(f"WITH {Q} SELECT * FROM q WHERE year IS NOT NULL OR orgnr NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+@query(f"WITH {Q} SELECT * FROM q WHERE year IS NOT NULL OR orgnr NOT IN (SELECT CAST(c_custkey * 2 AS VARCHAR) FROM customer)")
 def resolved_stubs(spark, sf):
-    return queue.drop_stubs(waiting(spark, sf), table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("orgnr")))
+    return queue.drop_stubs(waiting(spark, sf), table(spark, sf, "customer").select((F.col("c_custkey") * 2).cast("string").alias("orgnr")))
 
 
 # Keys and versions ------------------------------------------------------------------
@@ -164,16 +169,16 @@ def resolved_stubs(spark, sf):
 @query(f"WITH {M} SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY orgnr, year, version ORDER BY download_timestamp DESC NULLS LAST, status, journalnr, file_hash, pdf_hash, pdf_path NULLS LAST) = 1")
 def merge_latest(spark, sf):
     m = manifest(spark, sf)
-    shards = [m.where(F.col("orgnr") % 3 == k) for k in range(3)] + [m.where("orgnr % 3 = 1 and version < 3")]
+    shards = [m.where(F.col("orgnr").cast("long") % 3 == k) for k in range(3)] + [m.where("cast(orgnr as bigint) % 3 = 1 and version < 3")]
     return keys.merge_shards(shards, [F.col(c).asc_nulls_last() for c in ("status", "journalnr", "file_hash", "pdf_hash", "pdf_path")])
 
 
-@query(f"""WITH {M}, n AS (SELECT * REPLACE ('success' AS status) FROM m WHERE orgnr % 5 = 0 AND version <= 2)
+@query(f"""WITH {M}, n AS (SELECT * REPLACE ('success' AS status) FROM m WHERE CAST(orgnr AS BIGINT) % 5 = 0 AND version <= 2)
 SELECT orgnr, year, version, status, file_hash FROM m WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.orgnr = m.orgnr AND n.year = m.year AND n.version = m.version)
 UNION ALL SELECT orgnr, year, version, status, file_hash FROM n""")
 def upsert_by_key(spark, sf):
     m = manifest(spark, sf)
-    new = m.where("orgnr % 5 = 0 and version <= 2").withColumn("status", F.lit("success"))
+    new = m.where("cast(orgnr as bigint) % 5 = 0 and version <= 2").withColumn("status", F.lit("success"))
     return keys.upsert(m, new).select("orgnr", "year", "version", "status", "file_hash")
 
 
@@ -182,11 +187,11 @@ def keep_last_in_batch(spark, sf):
     return keys.keep_last(table(spark, sf, "events"), ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id", "value")
 
 
-@query(f"""WITH {M}, n AS (SELECT o_orderkey AS orgnr, CAST(2015 + o_orderkey % 7 AS INTEGER) AS year, o_orderdate, unnest([1, 2]) AS k FROM orders WHERE o_orderstatus = 'F'),
+@query(f"""WITH {M}, n AS (SELECT CAST(o_orderkey AS VARCHAR) AS orgnr, CAST(2015 + o_orderkey % 7 AS INTEGER) AS year, o_orderdate, unnest([1, 2]) AS k FROM orders),
 t AS (SELECT orgnr, year, max(version) AS top FROM m GROUP BY ALL)
-SELECT n.orgnr, n.year, CAST(k AS BIGINT) AS k, coalesce(top, 0) + row_number() OVER (PARTITION BY n.orgnr, n.year ORDER BY k) AS version, coalesce(top, 0) + row_number() OVER (PARTITION BY n.orgnr, n.year ORDER BY k) > 1 AS is_correction FROM n LEFT JOIN t USING (orgnr, year)""")
+SELECT n.orgnr, n.year, CAST(k AS BIGINT) AS k, CAST(coalesce(top, 0) + row_number() OVER (PARTITION BY n.orgnr, n.year ORDER BY k) AS INTEGER) AS version, coalesce(top, 0) + row_number() OVER (PARTITION BY n.orgnr, n.year ORDER BY k) > 1 AS is_correction FROM n LEFT JOIN t USING (orgnr, year)""")
 def version_assign(spark, sf):
-    new = table(spark, sf, "orders").where("o_orderstatus = 'F'").selectExpr("o_orderkey as orgnr", f"{YEAR.format('o_orderkey')} as year", "explode(array(1L, 2L)) as k")
+    new = table(spark, sf, "orders").selectExpr("cast(o_orderkey as string) as orgnr", f"{YEAR.format('o_orderkey')} as year", "explode(array(1L, 2L)) as k")
     return keys.next_versions(manifest(spark, sf), new, [F.col("k").asc()]).select("orgnr", "year", "k", "version", "is_correction")
 
 
@@ -195,9 +200,9 @@ def max_version(spark, sf):
     return keys.max_versions(manifest(spark, sf))
 
 
-@query(f"WITH {M} SELECT orgnr, version, status, download_timestamp FROM m WHERE orgnr BETWEEN 100 AND 140 AND year = 2016")
+@query(f"WITH {M} SELECT orgnr, version, status, download_timestamp FROM m WHERE CAST(orgnr AS BIGINT) BETWEEN 100 AND 140 AND year = 2016")
 def version_lookup(spark, sf):
-    return manifest(spark, sf).where("orgnr between 100 and 140 and year = 2016").select("orgnr", "version", "status", "download_timestamp")
+    return manifest(spark, sf).where("cast(orgnr as bigint) between 100 and 140 and year = 2016").select("orgnr", "version", "status", "download_timestamp")
 
 
 @query("SELECT n_name AS name, CAST(n_regionkey AS BIGINT) AS region, CAST(NULL AS DOUBLE) AS balance FROM nation UNION ALL SELECT s_name, NULL, s_acctbal FROM supplier")
@@ -209,17 +214,17 @@ def union_columns(spark, sf):
 # Audits -----------------------------------------------------------------------------
 
 
-@query(f"WITH {M} SELECT o_orderkey AS orgnr, CAST(2015 + o_orderkey % 7 AS INTEGER) AS year FROM orders WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.orgnr = o_orderkey)")
+@query(f"WITH {M} SELECT CAST(o_orderkey AS VARCHAR) AS orgnr, CAST(2015 + o_orderkey % 7 AS INTEGER) AS year FROM orders WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.orgnr = CAST(o_orderkey AS VARCHAR))")
 def list_missing(spark, sf):
-    return audit.missing(table(spark, sf, "orders").selectExpr("o_orderkey as orgnr", f"{YEAR.format('o_orderkey')} as year"), manifest(spark, sf))
+    return audit.missing(table(spark, sf, "orders").selectExpr("cast(o_orderkey as string) as orgnr", f"{YEAR.format('o_orderkey')} as year"), manifest(spark, sf))
 
 
-_NEW = "n AS (SELECT o_orderkey AS orgnr, CAST(2015 + o_orderkey % 7 AS INTEGER) AS year, CAST(o_custkey % 50 AS VARCHAR) AS file_hash, CASE WHEN o_orderstatus <> 'P' THEN md5(CAST(o_custkey AS VARCHAR)) END AS pdf_hash, CAST(o_custkey % 4 AS VARCHAR) AS journalnr, CASE WHEN o_custkey % 11 = 0 THEN 'timeout' END AS error FROM orders)"
+_NEW = "n AS (SELECT CAST(o_orderkey AS VARCHAR) AS orgnr, CAST(2015 + o_orderkey % 7 AS INTEGER) AS year, CAST(o_custkey % 50 AS VARCHAR) AS file_hash, CASE WHEN o_orderstatus <> 'P' THEN md5(CAST(o_custkey AS VARCHAR)) END AS pdf_hash, CAST(o_custkey % 4 AS VARCHAR) AS journalnr, CASE WHEN o_custkey % 11 = 0 THEN 'timeout' END AS error FROM orders)"
 
 
 def _new(spark, sf):
     return table(spark, sf, "orders").selectExpr(
-        "o_orderkey as orgnr", f"{YEAR.format('o_orderkey')} as year", "cast(o_custkey % 50 as string) as file_hash", "case when o_orderstatus <> 'P' then md5(cast(o_custkey as string)) end as pdf_hash",
+        "cast(o_orderkey as string) as orgnr", f"{YEAR.format('o_orderkey')} as year", "cast(o_custkey % 50 as string) as file_hash", "case when o_orderstatus <> 'P' then md5(cast(o_custkey as string)) end as pdf_hash",
         "cast(o_custkey % 4 as string) as journalnr", "case when o_custkey % 11 = 0 then 'timeout' end as error",
     )
 
@@ -250,19 +255,19 @@ def lost_paths(spark, sf):
     return audit.lost_paths(manifest(spark, sf).withColumn("json_path", F.lit(None).cast("string")), there).select("orgnr", "year", "kind", "path")
 
 
-@query(f"""WITH {M}, l AS (SELECT DISTINCT 'pdf/' || l_orderkey || '_' || l_linenumber AS path, l_orderkey AS orgnr FROM lineitem WHERE l_returnflag = 'N'),
+@query(f"""WITH {M}, l AS (SELECT DISTINCT 'pdf/' || l_orderkey || '_' || (l_linenumber + 2) AS path, CAST(l_orderkey AS VARCHAR) AS orgnr, CAST(2015 + l_orderkey % 7 AS INTEGER) AS year FROM lineitem),
 t AS (SELECT orgnr, year, max(version) AS top FROM m GROUP BY ALL),
-f AS (SELECT path, orgnr, CAST(2015 + orgnr % 7 AS INTEGER) AS year FROM l WHERE NOT EXISTS (SELECT 1 FROM m WHERE pdf_path = path))
-SELECT path, f.orgnr, f.year, coalesce(top, 0) + row_number() OVER (PARTITION BY f.orgnr, f.year ORDER BY path) AS version FROM f LEFT JOIN t USING (orgnr, year)""")
+f AS (SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM m WHERE pdf_path = path))
+SELECT path, f.orgnr, f.year, CAST(coalesce(top, 0) + row_number() OVER (PARTITION BY f.orgnr, f.year ORDER BY path) AS INTEGER) AS version FROM f LEFT JOIN t USING (orgnr, year)""")
 def orphan_versions(spark, sf):
-    found = table(spark, sf, "lineitem").where("l_returnflag = 'N'").select(F.concat(F.lit("pdf/"), "l_orderkey", F.lit("_"), "l_linenumber").alias("path")).distinct()
-    orgnr = F.regexp_extract("path", "([0-9]+)_", 1).cast("long")
-    return audit.orphans(found, manifest(spark, sf), F.struct(orgnr.alias("orgnr"), (2015 + orgnr % 7).cast("int").alias("year")))
+    found = table(spark, sf, "lineitem").select(F.concat(F.lit("pdf/"), "l_orderkey", F.lit("_"), F.col("l_linenumber") + 2).alias("path")).distinct()
+    orgnr = F.regexp_extract("path", "([0-9]+)_", 1)
+    return audit.orphans(found, manifest(spark, sf), F.struct(orgnr.alias("orgnr"), (2015 + orgnr.cast("long") % 7).cast("int").alias("year")))
 
 
-@query(f"WITH {M} SELECT orgnr, version, pdf_hash FROM m WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_size > 25 AND md5(CAST(p_partkey AS VARCHAR))[1:16] = pdf_hash[1:16])")
+@query(f"WITH {M} SELECT orgnr, version, pdf_hash FROM m WHERE NOT EXISTS (SELECT 1 FROM part WHERE md5(CAST(p_partkey * 2 AS VARCHAR))[1:16] = pdf_hash[1:16])")
 def not_extracted(spark, sf):
-    done = table(spark, sf, "part").where("p_size > 25").select(F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 16).alias("pdf_sha256_prefix"))
+    done = table(spark, sf, "part").select(F.substring(F.md5((F.col("p_partkey") * 2).cast("string")), 1, 16).alias("pdf_sha256_prefix"))
     return audit.not_extracted(manifest(spark, sf), done).select("orgnr", "version", "pdf_hash")
 
 
@@ -284,9 +289,9 @@ def content_versions(spark, sf):
     return audit.version_by_content(rows, [F.col("n").asc()], "h").select("orgnr", "n", "h", "repeat", F.col("version").cast("long").alias("version"))
 
 
-@query(f"WITH {M} SELECT orgnr, version, c_mktsegment AS segment FROM ok JOIN customer ON c_custkey = orgnr WHERE year = 2017 AND c_mktsegment IN ('BUILDING', 'MACHINERY')")
+@query(f"WITH {M} SELECT orgnr, version, c_mktsegment AS segment FROM ok JOIN customer ON CAST(c_custkey AS VARCHAR) = orgnr WHERE year = 2017 AND c_mktsegment IN ('BUILDING', 'MACHINERY')")
 def segment_targets(spark, sf):
-    e = table(spark, sf, "customer").select(F.col("c_custkey").alias("orgnr"), F.col("c_mktsegment").alias("segment"))
+    e = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("orgnr"), F.col("c_mktsegment").alias("segment"))
     return audit.targets(manifest(spark, sf), e, 2017, ["BUILDING", "MACHINERY"]).select("orgnr", "version", "segment")
 
 
@@ -565,12 +570,17 @@ def joined_pages(spark, sf):
     return statements.join_pages(table(spark, sf, "conversations"), ["conv_id"], "turn")
 
 
-@query(None)
+_LABELS = {"Sum driftsinntekter": "sum_driftsinntekter", "Lønnskostnad": "lonnskostnad", "Driftsresultat": "driftsresultat", "Sum eiendeler": "sum_eiendeler", "Varekostnad": "varekostnad", "Avskrivning": "avskrivning", "Sum gjeld": "sum_gjeld"}
+
+
+@query(f"""WITH r AS (SELECT l_orderkey AS doc, {list(_LABELS.values())}[l_linenumber] AS item, CAST(l_quantity * 10000 AS BIGINT) AS q, CASE WHEN l_linenumber IN (2, 5, 6) THEN 1 ELSE -1 END AS sign, l_partkey + 5000 AS p FROM lineitem),
+s AS (SELECT *, '| ' || (-q) || ' | ' || p || ' |' AS row FROM r)
+SELECT doc, item, CAST(sign * min_by(q, row) AS DOUBLE) AS current, CAST(min_by(p, row) AS DOUBLE) AS prior FROM s GROUP BY doc, item, sign""")
 def line_items(spark, sf):
-    """Statements made of figures: each order's lines as rows of a table under a heading."""
-    li = table(spark, sf, "lineitem").where("l_linenumber <= 4")
-    label = F.element_at(F.array(*map(F.lit, ["Sum driftsinntekter", "Lønnskostnad", "Driftsresultat", "Sum eiendeler"])), F.col("l_linenumber").cast("int"))
-    row = F.concat(F.lit("| "), label, F.lit(" | "), (F.col("l_quantity") * 10_000).cast("long"), F.lit(" | "), F.col("l_partkey") + 5000, F.lit(" |"))
+    """Statements made of figures: each order's lines as rows of a table under a heading; costs lose their minus, of rows with one label the first counts."""
+    li = table(spark, sf, "lineitem")
+    label = F.element_at(F.array(*map(F.lit, _LABELS)), F.col("l_linenumber").cast("int"))
+    row = F.concat(F.lit("| "), label, F.lit(" | -"), (F.col("l_quantity") * 10_000).cast("long"), F.lit(" | "), F.col("l_partkey") + 5000, F.lit(" |"))
     docs = li.groupBy(F.col("l_orderkey").alias("doc")).agg(F.concat(F.lit("RESULTATREGNSKAP\n"), F.array_join(F.array_sort(F.collect_list(row)), "\n")).alias("text"))
     return statements.line_items(docs, ["doc"])
 

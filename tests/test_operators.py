@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import amounts, scalars
-from ledgerloom.operators import keys, pages, queue, statements, validation
+from ledgerloom.operators import keys, pages, queue, ranking, statements, validation
 from ledgerloom.plans import commands
 from ledgerloom.sources import feed, files, sinks, tables
 from ledgerloom.streaming import flows, limiter
@@ -73,12 +73,66 @@ def test_upsert_is_idempotent_and_null_safe(spark):
 
 
 def test_slices_are_disjoint_and_complete(spark):
-    q = spark.range(1000).select(F.col("id").alias("orgnr"), F.lit(2020).alias("year"), F.expr("timestamp_ntz'2020-01-01' + make_interval(0,0,0,cast(id % 3 as int))").alias("processing_priority"))
+    q = spark.range(1000).select(F.col("id").alias("orgnr"), F.lit(2020).alias("year"), (F.col("id") % 3).alias("processing_priority"))
     ranked = queue.prioritised(q).cache()
     assert sorted(r[0] for r in ranked.select("position").collect()) == list(range(1000))
     assert sum(commands.collect(ranked, k, 3).count() for k in range(3)) == 1000
 
 
+def test_rank_keeps_the_columns_own_order(spark):
+    """Ties that doubles cannot tell apart, names with leading zeros and letters, nulls last, one hot value."""
+    rows = [(1, 2**60 + k, n) for k in (5, 4, 3, 1) for n in ("010", "01", "x", None)] + [(None, 1, "a")]
+    d = spark.createDataFrame(rows, "p int, k long, n string").repartition(5)
+    got = {(r["p"], r["k"], r["n"]): r["position"] for r in ranking.global_rank(d, [F.col("p").desc_nulls_last(), F.col("k").asc(), F.col("n").asc_nulls_last()]).collect()}
+    want = sorted(rows, key=lambda r: (r[0] is None, r[1], r[2] is None, r[2] or ""))
+    assert got == {r: k for k, r in enumerate(want)}
+    assert ranking.global_rank(d.limit(0), [F.col("k").asc()]).count() == 0
+
+
+QUEUED = [("1", 2020, 100, 100, None, "1"), ("2", 2020, 2_000_000_000, 2_000_000_000, None, "2"), ("3", 2020, 100, 50, None, "3"), ("4", None, 100, 100, None, "4"), ("5", 2021, 100, 7, None, "5"), ("6", 2021, 300, 300, None, "6")]
+
+
+def filed(spark, rows):
+    return spark.createDataFrame([(o, y, v, t, None, None, None, p, None, None, None, None, s, None) for o, y, v, t, p, s in rows], tables.MANIFEST)
+
+
+def test_queue_on_its_own_schemas(spark):
+    """ISO text in the manifest, seconds in the queue, text that is no time."""
+    q = spark.createDataFrame(QUEUED, tables.QUEUE)
+    m = filed(spark, [("1", 2020, 1, "2024-01-01T00:00:00Z", "a.pdf", "success"), ("2", 2020, 1, "2024-01-01T00:00:00Z", "b.pdf", "success"), ("3", 2020, 1, "2024-01-01T00:00:00Z", None, "success"), ("5", 2021, 1, "ukjent", "c.pdf", "success"), ("6", 2021, 1, None, "d.pdf", "success")])
+    assert sorted(r["orgnr"] for r in queue.work_list(q, m).collect()) == ["2", "3", "5", "6"]
+    assert sorted(r["orgnr"] for r in queue.pending(q, m).collect()) == ["2", "3", "5", "6"]
+    assert sorted(r["orgnr"] for r in queue.compact(q, m).collect()) == ["2", "3", "4", "5", "6"]
+    assert {r["orgnr"]: r["position"] for r in queue.prioritised(queue.work_list(q, m, "fast")).collect()} == {"2": 0, "6": 1}
+    assert dict(queue.latest_success(m).dtypes)["latest"] == "bigint"
+    slow = queue.enqueue_slow(q, spark.createDataFrame([("1", 2020), ("9", 2021)], "orgnr string, year int"), m, F.lit(77))
+    assert [(r["orgnr"], r["create_time"], r["processing_priority"]) for r in slow.collect()] == [("9", 77, 1609459200)]
+    both = q.unionByName(slow, allowMissingColumns=True)
+    assert dict(both.dtypes) == dict(q.dtypes)
+    fast = queue.enqueue_fast(q, spark.createDataFrame([("3", 2020, 1)], "orgnr string, year int, ordinal int"), F.lit(400).cast("long"))
+    assert {r["orgnr"]: r["processing_priority"] for r in fast.collect()}["3"] == 400 and dict(fast.dtypes) == dict(q.dtypes)
+    stats = {r["shard"]: (r["total"], r["stubs"], r["pending"], r["fast"], r["slow"]) for r in queue.shard_stats(q, m).collect()}
+    assert stats[None] == (6, 1, 4, 2, 2)
+
+
+def test_coordinate_from_nothing(spark, tmp_path):
+    """First run, a run with a holding area, and again: the second changes nothing."""
+    (tmp_path / "pdf").mkdir()
+    q = spark.createDataFrame(QUEUED, tables.QUEUE)
+    accounts = spark.createDataFrame([("6", 2021, "2021/7")], "orgnr string, json_year int, journalnr string")
+    t = f"file://{tmp_path}/manifest"
+    run = lambda: [r["orgnr"] for r in commands.coordinate(spark, t, q, f"file://{tmp_path}/pdf", accounts, "2024-05-01T00:00:00Z").orderBy("position").collect()]
+    assert run() == ["2", "6", "1"]
+    for n in ("6_2021.pdf", "2_2020.pdf"):
+        (tmp_path / "pdf" / n).write_bytes(b"x")
+    for _ in range(2):
+        assert run() == ["2", "1"]  # 2 was queued after the download
+        assert {(r["orgnr"], r["journalnr"]) for r in sinks.current(spark, t).collect()} == {("6", "2021/7"), ("2", None)}
+    sinks.publish(q, f"file://{tmp_path}/queue")
+    assert commands.compact(spark, f"file://{tmp_path}/queue", sinks.current(spark, t)) == 1
+    assert sinks.current(spark, f"file://{tmp_path}/queue").count() == 5
+
+
 def test_publish_and_sections(spark, tmp_path):
     t = f"file://{tmp_path}/t"
     assert sinks.current(spark, t) is None
