@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -40,85 +42,164 @@ DROP_WORD = frozenset(
     "comment comments disqus reply replies respond share sharing social breadcrumb breadcrumbs footer related recommended popup modal overlay widget newsletter subscribe subscription login signup "
     "search pagination pager toolbar copyright complementary contentinfo form".split()
 )
+# Of these, words that name much else too: inside an article they exclude only what has no content paths.
+WEAK_WORD = frozenset("side form reply respond search alert related widget overlay share sharing social promotion subscription menu banner".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _NAME = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PUNCT = re.compile(r"[.,;:!?…。、]")
+#: Quoted attribute values of one tag, at most; one that seems to have more ends at its first ``>``.
+QUOTED = 1000
+
+# What a start tag closes: an open element of these names, up to the nearest of those that stop.
+_CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
+_STOPS = {"ul", "ol", "dl", "table", "tbody", "thead", "div", "section", "article", "main", "body", "blockquote", ""}
+_ANCHORS = _STOPS | {"p", *_CLOSES}
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "doubt", "drop", "path", "children", "score", "link", "within")
+    """An element.  ``path`` numbers its root-to-leaf tag path, ``home`` is the nearest element that text blocks join in, ``anchor`` the nearest that matters to implied ends."""
+
+    __slots__ = ("tag", "parent", "doubt", "drop", "path", "children", "score", "link", "within", "home", "anchor", "weak")
 
-    def __init__(self, tag: str, name: str, parent):
+    def __init__(self, tag: str, name: str, parent, paths: dict):
         self.tag, self.parent, self.children, self.score = tag, parent, [], 0.0
         words = set(re.split(r"[^a-z]+", name)) if name else set()
         inside = parent is not None and parent.within
         self.drop = (parent is not None and parent.drop) or tag in DROP_TAG
+        self.weak = inside and not (DROP_WORD - WEAK_WORD) & words and tag not in DROP_UNLESS_CONTENT
         self.doubt = tag in DROP_UNLESS_CONTENT or bool(DROP_WORD & words) and tag not in ("html", "body", "article", "main")
         self.doubt |= (tag == "header" or "header" in words and not words & {"article", "post", "entry", "title"} or "masthead" in words) and not inside
         self.link = tag == "a" or parent is not None and parent.link
         self.within = inside or tag in ("article", "main")
-        self.path = (parent.path if parent else "") + "/" + tag + ("." + name if name else "")
+        self.path = paths.setdefault((parent.path if parent else -1, tag, name), len(paths))
+        self.home = self if tag in JOINS else parent.home
+        self.anchor = self if tag in _ANCHORS else parent.anchor
         if parent is not None:
             parent.children.append(self)
 
 
+class _Scanner:
+    """Ends of tags and comments, found without looking at any stretch of the page more than a few times."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends = [m.start() for m in re.finditer(">", page)]
+        self.quotes = {q: [m.start() for m in re.finditer(q, page)] for q in "\"'"}
+        self.none: set[str] = set()
+
+    @staticmethod
+    def _next(places: list[int], at: int) -> int:
+        k = bisect_left(places, at)
+        return places[k] if k < len(places) else -1
+
+    def past(self, mark: str, at: int) -> int:
+        """Place behind the next ``mark``, or -1."""
+        if mark in self.none:
+            return -1
+        k = self.page.find(mark, at)
+        if k < 0:
+            self.none.add(mark)
+        return k + len(mark) if k >= 0 else -1
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag, outside quoted values; the first one if quotes do not close; -1 without any."""
+        first = end = self._next(self.ends, at)
+        for _ in range(QUOTED):
+            opened = [(k, q) for q, places in self.quotes.items() if 0 <= (k := self._next(places, at)) < end]
+            if not opened:
+                return end
+            k, q = min(opened)
+            at = self._next(self.quotes[q], k + 1) + 1
+            if not at:
+                return first
+            if at > end:
+                end = self._next(self.ends, at)
+                if end < 0:
+                    return first
+        return first
+
+
 def _parse(page: str):
-    """Text nodes in page order as (node, text, block number)."""
-    root = node = _Node("", "", None)
-    texts, block, at = [], 0, 0
+    """The elements, parents before children, and the text nodes in page order as (node, text, block number)."""
+    paths: dict[tuple, int] = {}
+    node = _Node("", "", None, paths)
+    nodes, texts, block, at, scan = [node], [], 0, 0, _Scanner(page)
+    open_: Counter[str] = Counter()
     low = None
-    while at < len(page):
-        m = _TOKEN.search(page, at)
-        end = m.start() if m else len(page)
-        if end > at:
-            texts.append((node, html.unescape(page[at:end]), block))
+
+    def close_to(up):
+        """Make ``up`` the innermost open element."""
+        nonlocal node
+        while node is not up:
+            open_[node.tag] -= 1
+            node = node.parent
+
+    text_from = 0
+    while (begin := page.find("<", at)) >= 0:
+        m = _TAG.match(page, begin)
+        if m:
+            end = scan.tag_end(m.end())
+            after = end + 1
+        else:
+            end = begin
+            after = scan.past("-->", begin + 4) if page.startswith("<!--", begin) else scan.past("]]>", begin) if page.startswith("<![CDATA[", begin) else -1
+            if after < 0 and page.startswith("<!--", begin):
+                after = len(page)
+            elif after < 0 and page[begin + 1 : begin + 2] in ("!", "?"):
+                after = scan.past(">", begin)
+            if after < 0:
+                end = -1
+        if end < 0:  # a lone bracket is text
+            at = begin + 1
+            continue
+        if begin > text_from:
+            texts.append((node, html.unescape(page[text_from:begin]), block))
+        at = text_from = after
         if not m:
-            break
-        at = m.end()
-        close, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if not tag:
             continue
-        tag = tag.lower()
+        tag, rest = m[2].lower(), page[m.end() : end]
         if tag in BLOCK:
             block += 1
-        if close:
-            up = node
-            while up.parent is not None and up.tag != tag:
-                up = up.parent
-            if up.parent is not None:
-                node = up.parent
+        if m[1]:
+            if open_[tag] > 0:
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                close_to(up.parent)
             continue
         if tag in RAW:
             low = low if low is not None else page.lower()
-            stop = low.find(f"</{tag}", at)
             if not rest.rstrip().endswith("/"):
+                stop = low.find(f"</{tag}", at)
                 at = len(page) if stop < 0 else stop
                 after = page.find(">", at)
-                at = len(page) if after < 0 else after + 1
+                at = text_from = len(page) if after < 0 else after + 1
             continue
         if tag in VOID:
             continue
-        if tag in CLOSES_P or tag in ("li", "dd", "dt", "td", "th", "tr", "option"):
-            same = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th")}.get(tag, ()) + (("p",) if tag in CLOSES_P else ())
-            stop_at = ("ul", "ol", "dl", "table", "tbody", "thead", "div", "section", "article", "main", "body", "blockquote", "")
-            up = found = node
-            found = None
-            while up.tag not in stop_at:
+        same = _CLOSES.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
+        if any(open_[t] > 0 for t in same):
+            up, found = node.anchor, None
+            while up.tag not in _STOPS:
                 if up.tag in same:
                     found = up
-                up = up.parent
+                up = up.parent.anchor
             if found is not None:
-                node = found.parent
+                close_to(found.parent)
         name = " ".join(a or b or c for a, b, c in _NAME.findall(rest)).lower() if rest else ""
-        child = _Node(tag, name, node)
+        child = _Node(tag, name, node, paths)
+        nodes.append(child)
         if not rest.rstrip().endswith("/") or tag not in ("br", "hr", "img"):
             node = child
-    return root, texts
+            open_[tag] += 1
+    if text_from < len(page):
+        texts.append((node, html.unescape(page[text_from:]), block))
+    return nodes, texts
 
 
-def _content_paths(texts) -> set[str]:
-    sums: dict[str, list[float]] = {}
+def _content_paths(texts) -> set[int]:
+    sums: dict[int, list[float]] = {}
     for node, text, _ in texts:
         if not node.drop and (n := len(text.strip())):
             s = sums.setdefault(node.path, [0, 0, 0])
@@ -137,43 +218,37 @@ def _content_paths(texts) -> set[str]:
     return {k for k, f in zip(sums, fused, strict=True) if f >= fused.std() / 2}
 
 
-def _weigh(texts, chosen: set[str], counts) -> None:
+def _weigh(nodes, texts, chosen: set[int], counts) -> None:
     """Content characters under each node, of the text nodes that count."""
     for node, text, _ in texts:
         if not node.drop and node.path in chosen and counts(node):
-            n = float(len(text.strip()))
-            while node is not None:
-                node.score += n
-                node = node.parent
+            node.score += len(text.strip())
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.score += node.score
 
 
-def _exclude(root, texts) -> None:
+def _exclude(nodes, texts) -> None:
     """Drop what lies under a doubtful element, unless that encloses the article."""
-    chosen = _content_paths(texts)
-    _weigh(texts, chosen, lambda node: node.within)
+    chosen, root = _content_paths(texts), nodes[0]
+    _weigh(nodes, texts, chosen, lambda node: node.within)
     articles = root.score > 0
     if not articles:
-        _weigh(texts, chosen, lambda node: not node.link)
+        _weigh(nodes, texts, chosen, lambda node: not node.link)
     least = max(root.score / 2, 0 if articles else LEAST_CONTENT)
-    rest = [root]
-    while rest:
-        node = rest.pop()
-        node.drop |= node.parent is not None and node.parent.drop or node.doubt and (node.score < least or not node.score)
+    for node in nodes:
+        node.drop |= node.parent is not None and node.parent.drop or node.doubt and not (node.weak and node.score) and (node.score < least or not node.score)
         node.score = 0.0
-        rest += node.children
 
 
-def _joined(blocks, chosen: set[str]) -> list[bool]:
+def _joined(blocks, chosen: set[int]) -> list[bool]:
     """Which blocks (lists of text nodes) are kept."""
     content, links, homes = [], [], []
     for block in blocks:
         sizes = [(node, len(text.strip())) for node, text in block]
         content.append(any(n and node.path in chosen for node, n in sizes))
         links.append(2 * sum(n for node, n in sizes if node.link) > sum(n for _, n in sizes))
-        home = next(node for node, n in sizes if n)
-        while home.tag not in JOINS:
-            home = home.parent
-        homes.append(home)
+        homes.append(next(node for node, n in sizes if n).home)
     keep = list(content)
     for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
         before, near = None, False
@@ -192,10 +267,10 @@ def extract(page: str | None) -> str:
     """The article's text: white space inside a block is one space, blocks are joined by one space; empty if there is none."""
     if not page:
         return ""
-    root, texts = _parse(page)
-    _exclude(root, texts)
-    chosen = _content_paths(texts)
-    _weigh(texts, chosen, lambda node: True)
+    nodes, texts = _parse(page)
+    _exclude(nodes, texts)
+    chosen, root = _content_paths(texts), nodes[0]
+    _weigh(nodes, texts, chosen, lambda node: True)
     if not root.score:
         return ""
     article = root
@@ -204,23 +279,13 @@ def extract(page: str | None) -> str:
         if not inner:
             break
         article = inner[0]
-    under: dict[int, bool] = {id(root): article is root}
-
-    def inside(node) -> bool:
-        chain = []
-        while id(node) not in under:
-            if node is article:
-                under[id(node)] = True
-                break
-            chain.append(node)
-            node = node.parent
-        for one in chain:
-            under[id(one)] = under[id(node)]
-        return under[id(node)]
-
+    under = {id(root)} if article is root else set()
+    for node in nodes[1:]:
+        if node is article or id(node.parent) in under:
+            under.add(id(node))
     blocks: dict[int, list[tuple]] = {}
     for node, text, block in texts:
-        if not node.drop and inside(node):
+        if not node.drop and id(node) in under:
             blocks.setdefault(block, []).append((node, text))
     some = [b for b in blocks.values() if any(text.strip() for _, text in b)]
     return " ".join(" ".join("".join(text for _, text in b).split()) for b, keep in zip(some, _joined(some, chosen), strict=True) if keep)

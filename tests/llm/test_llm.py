@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -157,6 +158,35 @@ def test_op4_paths_choose():
     assert html_text.extract(page) == PLAIN + " Short."
 
 
+def test_op4_side_effects_are_text():
+    page = f'<body><article>{ARTICLE}<div class="side effects"><p>It may cause sleep, and some headache, as others do.</p></div></article><div class="side"><p>Buy it, now.</p></div></body>'
+    assert html_text.extract(page) == PLAIN + " It may cause sleep, and some headache, as others do."
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 10_000 + f"<p>{PLAIN}</p>" + "</div>" * 10_000, "<p>x, y.</p><span>" * 20_000, "<p><div>" + "<h1>" * 20_000, "<a href=\"x>" * 20_000, "<a title='it\"s>" * 20_000 + PLAIN, "<![CDATA[ x " * 50_000,
+    "<!-- " * 50_000, "<" * 200_000, "<b </c " * 50_000, "<td>" * 20_000 + "</table>" * 20_000, "<p>" + "&amp;" * 50_000, "<x a='1' " * 30_000 + ">",
+])
+def test_op4_odd_pages_take_little_time(page):
+    began = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - began < 5
+
+
+def test_op4_deep_and_broken_pages():
+    assert html_text.extract("<div>" * 10_000 + f"<article>{ARTICLE}</article>") == PLAIN
+    assert html_text.extract(f"<body><article><p title=it's>One, two.</p>{ARTICLE}") == "One, two. " + PLAIN
+    assert html_text.extract(f'<body><article><p title="a > b">One, two.</p>{ARTICLE}</article>') == "One, two. " + PLAIN
+    assert html_text.extract(f"<article>{ARTICLE}<p>3 < 4, and 5 > 4.</p></article>") == PLAIN + " 3 < 4, and 5 > 4."
+    assert html_text.extract(f"<!-- {ARTICLE} --><article>{ARTICLE}<!-- x") == PLAIN
+
+
+def test_op4_rows(spark):
+    rows = [(1, None, None, 0), (None, "u", f"<article>{ARTICLE}</article>", 1), (1, "u", "", 2), (1, "u", f"<article>{ARTICLE}</article>", 3)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int"))
+    assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in got.collect()) == [(0, PLAIN, len(PLAIN)), (1, "", 0), (1, "", 0), (1, PLAIN, len(PLAIN))]
+
+
 def test_op5_fingerprints(spark):
     texts = corpus(5) + [(70, "a. b. c\nd. e."), (71, "a. b. c\nd. e.")]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
