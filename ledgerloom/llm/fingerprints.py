@@ -13,6 +13,8 @@ nodes and leaves tell where an edit is.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +23,7 @@ from .shared import read_table
 PARAGRAPH = r"(?<=[\p{P}\p{S}]\s)|(?<=[\p{P}&&[^\x00-\x{2E7F}]])"
 LONG, MOST, WORDS_A_LEAF, CHARS_A_LEAF = 64, 256, 4, 32
 MARK = "\x01"
-ROWS_A_RANGE = 2000
-MAX_RANGES = 4096
+ROWS_A_RANGE = 4000
 ROOT, NODE = 64, 32
 
 
@@ -91,29 +92,34 @@ def changed_sections(a: Column, b: Column) -> Column:
     return F.filter(F.transform(nodes(a), lambda s, k: F.when(~F.array_contains(nodes(b), s), k)), lambda k: k.isNotNull())
 
 
-def _range_of(id_: Column, cuts: list[int], low: int = 0) -> Column:
-    """Number of cuts that are <= id, by binary search."""
-    if not cuts:
-        return F.lit(low)
-    k = len(cuts) // 2
-    return F.when(id_ < F.lit(cuts[k]), _range_of(id_, cuts[:k], low)).otherwise(_range_of(id_, cuts[k + 1 :], low + k + 1))
+def _range_of(id_: Column, cuts: list[int]) -> Column:
+    """Number of cuts that are <= id, by binary search in one constant array."""
+    array = F.from_json(F.lit(json.dumps(cuts)), "array<bigint>")
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length() + 1))
+
+    def half(s: Column, _: Column) -> Column:
+        middle = F.shiftright(s["low"] + s["high"], 1)
+        up = (s["low"] < s["high"]) & (F.get(array, middle) <= id_)
+        return F.struct(F.when(up, middle + 1).otherwise(s["low"]).alias("low"), F.when(up, s["high"]).otherwise(F.when(s["low"] < s["high"], middle).otherwise(s["high"])).alias("high"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.lit(len(cuts)).alias("high")), half, lambda s: s["low"])
 
 
 def with_next(docs: DataFrame, key: str, carry: list[str]) -> DataFrame:
     """Add ``next_<c>`` of the row that follows in descending ``key`` (the last row is followed by the first).
 
     Rows are dealt out by ranges of the key, each sorted on its own; the first
-    row of a range (at most MAX_RANGES rows in all) is also given to the range
+    row of a range (one for each ROWS_A_RANGE rows) is also given to the range
     before it, so no task sees more than its range.  Null keys come last; ties
     are in order of the carried columns.
     """
     spark = docs.sparkSession
     k = F.coalesce(F.col(key), F.lit(-(2**63)))
     rows = docs.count()
-    n = max(1, min(MAX_RANGES, max(64, rows // ROWS_A_RANGE)))
+    n = max(64, rows // ROWS_A_RANGE)
     cuts = docs.select(F.percentile_approx(k, [i / n for i in range(1, n)] or [0.5], 20 * n)).first()[0] or []
     ranged = docs.withColumns({"_k": k, "_range": _range_of(k, sorted(set(cuts)))})
-    heads = ranged.groupBy("_range").agg(F.max("_k").alias("_k"))  # at most MAX_RANGES rows
+    heads = ranged.groupBy("_range").agg(F.max("_k").alias("_k"))  # a row for each range
     heads = heads.withColumn("_to", F.coalesce(F.lead("_range").over(Window.orderBy("_range")), F.min("_range").over(Window.partitionBy(F.lit(1)))))
     first = ranged.join(F.broadcast(heads), ["_range", "_k"]).withColumn("_n", F.row_number().over(Window.partitionBy("_range").orderBy(*carry))).where("_n = 1")
     ghosts = first.select(*docs.columns, "_k", F.col("_to").alias("_range"), F.lit(True).alias("_ghost"))

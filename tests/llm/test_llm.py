@@ -105,6 +105,18 @@ def test_op2_round_trip(spark, tmp_path):
     assert {i: r["refers_to"] for i, r in got.items() if r["record_type"] == "revisit"} == {1: 2, 6: 7}
 
 
+def test_op2_rows(spark, tmp_path):
+    """Null and equal page_ids, equal payloads under them, chunks cut inside characters, clashing columns, one hot payload."""
+    same, other = "æøå" * 700, "z" * 1000
+    rows = [(None, "u", same, 1, "x"), (5, "u", same, 1, "x"), (5, "u", other, 1, "x"), (5, "u", other, 1, "x"), (9, "u", other, 1, "x"), (7, "u", "", 1, "x"), (7, None, None, 1, "x"), *((k, "u", "hot" * 500, 1, "x") for k in range(100, 160))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, chunk int, value string").repartition(4)
+    warc.write_archives(pages, f"file://{tmp_path}/w", 1000)
+    got = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"], r["intact"], r["n_chunks"]) for r in warc.read_archives(spark, f"file://{tmp_path}/w").collect())
+    want = Counter({(None, 4200, "revisit", 5, True, 1): 1, (5, 4200, "response", None, True, 5): 1, (5, 1000, "revisit", 9, True, 1): 2, (9, 1000, "response", None, True, 1): 1, (7, 0, "response", None, True, 1): 2, (159, 1500, "response", None, True, 2): 1})
+    want.update({(k, 1500, "revisit", 159, True, 1): 1 for k in range(100, 159)})
+    assert got == want
+
+
 def test_op3_brute_force(spark):
     texts = corpus(3) + [(200, "ab" * 300), (201, "ab" * 40 + "c" + "ab" * 40), (202, "é" * 60), (203, "x" + "é" * 60)]
     random.Random(3).shuffle(texts)
@@ -202,6 +214,30 @@ def test_op5_fingerprints(spark):
     assert r["s"] == [1] and 0 < r["l"] < 1
 
 
+def test_op5_query_against_brute_force(spark, tmp_path):
+    """Edited texts and likenesses, with null texts, null and equal ids, and extra columns."""
+    rows = [(None, None), (3, "a, b. c d e f"), (3, "a, b. c d e f g"), (9, ""), (12, "one two. three four. five six, seven eight.\nnine ten."), (11, "one two. three four. five six."), (-4, "x\U0001f600y" * 40)]
+    spark.createDataFrame([(i, t, "e", 1) for i, t in rows], "doc_id long, text string, edited string, next_text int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = fingerprints.op5_fingerprints(spark, str(tmp_path)).collect()
+    order = sorted(((i is None, -(i or 0), t or "") for i, t in rows))
+    want = Counter()
+    for (none, i, t), (_, _, u) in zip(order, order[1:] + order[:1], strict=True):
+        cut = len(t) // 3
+        want[None if none else -i, len(t), hashlib.sha256((t[: len(t) - cut] + u[:cut]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
+
+    def likeness(a, b):
+        x, y = (set(re.findall("(?<=[:,])[0-9a-f]{32}", f)) for f in (a, b))
+        return 1.0 if a[:64] == b[:64] else len(x & y) / max(1, len(x | y))
+
+    by = {(r["doc_id"], r["n_chars"]): r for r in got}
+    for (none, i, t), (none2, j, u) in zip(order, order[1:] + order[:1], strict=True):
+        r, n = by[None if none else -i, len(t)], by[None if none2 else -j, len(u)]
+        assert abs(r["near_next"] - likeness(r["fingerprint"], n["fingerprint"])) < 1e-12
+        assert abs(r["near_edited"] - likeness(r["fingerprint"], r["edited_fingerprint"])) < 1e-12
+    assert by[12, 53]["near_next"] > 0.2
+
+
 def test_op5_tree_and_bounded_leaves(spark):
     r = random.Random(5)
     texts = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(3000)), "これは文です。" * 3 + "つぎの文、です。", "x" * 3000, " ".join("".join(r.choice("abcdfgh") for _ in range(6)) for _ in range(400)), "a\x01" * 200, "", "p. q\n\n r\U0001f600"]
