@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 NULL_ID = np.int64(2**63 - 1)
 PIECE_BYTES = 2 << 20
 
-BLOCK_SCHEMA = "bid int, ids binary, lens binary, data binary"
+BLOCK_SCHEMA = "bid int, ids binary, lens binary, data binary, rest binary"
+NULL = "__text_is_null"
 MESSAGE_SCHEMA = "bid int, bucket int, blob binary"
 
 
@@ -44,6 +45,10 @@ class Blocks:
     def frame(self) -> DataFrame:
         return self.spark.table(self.table)
 
+    def drop(self) -> None:
+        """Delete the table; nothing that is still to be computed may read it."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def scatter(self, fn: Callable, *replies: DataFrame) -> DataFrame:
         """``fn(pieces, replies) -> iterable of (bucket, blob)`` for each block."""
 
@@ -65,7 +70,7 @@ class Blocks:
         """
         if not replies:
             def alone(table: pa.Table) -> pa.Table:
-                return body(table["bid"][0].as_py(), _pieces(table), ())
+                return body(table["bid"][0].as_py(), Pieces(table), ())
 
             return self.frame().groupBy("bid").applyInArrow(alone, schema)
         tagged = None
@@ -79,26 +84,36 @@ class Blocks:
             for rnd, bucket, blob in zip(right["round"].to_pylist(), right["bucket"].to_pylist(), right["blob"].to_pylist(), strict=True):
                 got[rnd][bucket] = blob
             bid = (left if left.num_rows else right)["bid"][0].as_py()
-            return body(bid, _pieces(left), got)
+            return body(bid, Pieces(left), got)
 
         return self.frame().groupBy("bid").cogroup(tagged.groupBy("bid")).applyInArrow(with_replies, schema)
 
 
-def _pieces(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, lens, bytes) of each piece, one piece in memory at a time."""
-    d = zstandard.ZstdDecompressor()
-    cols = [table[c].combine_chunks() if table.num_rows else [] for c in ("ids", "lens", "data")]
-    for ids, lens, data in zip(*cols, strict=True):
-        yield (np.frombuffer(ids.as_buffer(), np.int64), np.frombuffer(lens.as_buffer(), np.int64), np.frombuffer(d.decompress(data.as_buffer()), np.uint8))
+class Pieces:
+    """(ids, lens, bytes) of each piece of a block, one piece in memory at a time; ``rest(k)``: the carried columns of the k-th."""
+
+    def __init__(self, table: pa.Table):
+        self.cols = {c: table[c].combine_chunks() if table.num_rows else [] for c in ("ids", "lens", "data", "rest")}
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        d = zstandard.ZstdDecompressor()
+        for ids, lens, data in zip(*(self.cols[c] for c in ("ids", "lens", "data")), strict=True):
+            yield (np.frombuffer(ids.as_buffer(), np.int64), np.frombuffer(lens.as_buffer(), np.int64), np.frombuffer(d.decompress(data.as_buffer()), np.uint8))
 
+    def rest(self, k: int) -> pa.Table:
+        """The carried columns, and NULL: whether a text was null."""
+        return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(self.cols["rest"][k].as_buffer())).read_all()
 
-def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Blocks:
-    """Write ``docs`` as a bucketed table of packed pieces of about 2 MB of text; no shuffle.
 
-    Null texts are empty; null ids become NULL_ID.
+def write_blocks(docs: DataFrame, carried: list[str] | None = None) -> Blocks:
+    """Write ``docs`` (doc_id, text and the carried columns) as a bucketed table of packed pieces of about 2 MB of text; no shuffle.
+
+    Null texts are empty; null ids become NULL_ID.  ``rest`` holds the carried
+    columns of a piece's rows, so whole rows can come out again without a join.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(NULL_ID))).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    others = [F.col(c) for c in carried] + [F.col("text").isNull().alias(NULL)] if carried is not None else []
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NULL_ID))).alias("__id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"), *others)
     n = max(1, rows.rdd.getNumPartitions())
     if n > int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
         spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(n))
@@ -111,12 +126,22 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         bid = bids[TaskContext.get().partitionId()]
         c = zstandard.ZstdCompressor(level=3)
-        ids, lens, data, size = [], [], [], 0
+        ids, lens, data, rest, size = [], [], [], [], 0
+
+        def others() -> bytes:
+            if not rest:
+                return b""
+            sink = pa.BufferOutputStream()
+            whole = pa.Table.from_batches(rest).combine_chunks()
+            with pa.ipc.new_stream(sink, whole.schema) as out:
+                out.write_table(whole)
+            return c.compress(sink.getvalue())
 
         def flush():
             return pa.RecordBatch.from_pydict({
                 "bid": pa.array([bid], pa.int32()), "ids": pa.array([np.concatenate(ids).astype(np.int64).tobytes()], pa.binary()),
                 "lens": pa.array([np.concatenate(lens).astype(np.int64).tobytes()], pa.binary()), "data": pa.array([c.compress(b"".join(data))], pa.binary()),
+                "rest": pa.array([others()], pa.binary()),
             })
 
         for batch in batches:
@@ -131,11 +156,13 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ids.append(own[at:upto])
                 lens.append(np.diff(off[at : upto + 1]))
                 data.append(bytes(raw[off[at] : off[upto]]))
+                if carried is not None:
+                    rest.append(batch.slice(at, upto - at).select([*carried, NULL]))
                 size += int(off[upto] - off[at])
                 at = upto
                 if size >= PIECE_BYTES * 3 // 4:
                     yield flush()
-                    ids, lens, data, size = [], [], [], 0
+                    ids, lens, data, rest, size = [], [], [], [], 0
         if ids:
             yield flush()
 

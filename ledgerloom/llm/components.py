@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -13,11 +13,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = materialize(both, "edges")
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("comp")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("v", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
+    while True:  # the last labels are dropped once the new ones are written
+        near = both.join(labels.select(F.col("v").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("near"))
         low = labels.join(near, labels["v"] == near["a"]).select("v", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         up = labels.select(F.col("v").alias("comp"), F.col("comp").alias("up"))
         step = materialize(low.join(up, "comp", "left").select("v", "old", F.least("comp", F.coalesce("up", "comp")).alias("comp")), "labels")
-        labels = step.select("v", "comp")
+        discard(labels)
+        labels = step
         if step.where("comp <> old").isEmpty():
+            discard(both)
             return labels

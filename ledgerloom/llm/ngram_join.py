@@ -17,16 +17,15 @@ copies costs a pair for each member, not for each two.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import NULL_ID, Blocks, answer, combine, join_blobs, mix, pack_array, ranges, split_blobs, unpack_array, write_blocks
+from .blocks import NULL, NULL_ID, Blocks, answer, combine, join_blobs, mix, pack_array, ranges, split_blobs, unpack_array, write_blocks
 from .components import connected_components
-from .shared import ROW, materialize, read_table, row_key, row_key_of
+from .shared import discard, materialize, read_table
 
 WORDS = 5
 #: Similarity as a percentage.
@@ -38,7 +37,7 @@ BLOCK = 256
 SHARE_BYTES = 16 << 20
 LOW24 = np.uint64(2**24 - 1)
 
-SETS_SCHEMA = "doc_id long, text_md5 string, n long, fp string, core binary, n_core long, prefix array<long>, lead int, matches int"
+SETS_SCHEMA = "bid int, nth long, doc_id long, n long, fp string, core binary, n_core long, prefix array<long>, lead int, matches int"
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _PINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -94,7 +93,6 @@ class _Sets:
 
     def __init__(self, pieces):
         self.ids: list[int] = []
-        self.md5: list[str] = []
         self.keys: list[str] = []
         self.sets: dict[str, np.ndarray] = {}
         for ids, lens, data in pieces:
@@ -103,10 +101,6 @@ class _Sets:
                 self.ids.append(i)
                 self.keys.append(key)
                 self.sets.setdefault(key, s)
-            at = 0
-            for length in lens.tolist():
-                self.md5.append(hashlib.md5(data[at : at + length]).hexdigest())
-                at += length
         every = np.concatenate([np.zeros(0, np.uint64), *self.sets.values()])
         self.tokens, self.where, self.count = np.unique(every & ~LOW24, return_inverse=True, return_counts=True)
 
@@ -141,7 +135,7 @@ def _prefix(s: np.ndarray, cls: np.ndarray, percent: int):
 
 
 def candidate_sets(blocks: Blocks, percent: int = PERCENT) -> DataFrame:
-    """A row for each document; core (tokens that others have too), prefix and matches only where a link to another set is possible, once a block."""
+    """A row for each document, known by its block and place there, written; core (tokens that others have too), prefix and matches only where a link to another set is possible, once a block."""
     n = blocks.n_ranges
 
     def send(pieces, _):
@@ -166,12 +160,15 @@ def candidate_sets(blocks: Blocks, percent: int = PERCENT) -> DataFrame:
                 prefix, lead, m = _prefix(s, c, percent)
                 if lead:
                     info[key] = (core.tobytes(), len(core), prefix.view(np.int64).tolist(), lead, m)
-        out = [(i if i != NULL_ID else None, md5, int(k.split(".")[0], 16), k, *info.pop(k, (None,) * 5)) for i, k, md5 in sorted(zip(st.ids, st.keys, st.md5, strict=True))]
-        types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32())
+        # a set's tokens go with its smallest id
+        out = [(bid, nth, i if i != NULL_ID else None, int(k.split(".")[0], 16), k, *info.pop(k, (None,) * 5)) for i, k, nth in sorted(zip(st.ids, st.keys, range(len(st.ids)), strict=True))]
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32())
         cols = zip(*out, strict=True) if out else [()] * len(types)
         return pa.table({f.split()[0]: pa.array(c, t) for f, c, t in zip(SETS_SCHEMA.split(", "), cols, types, strict=True)})
 
-    return blocks.per_block(rows, SETS_SCHEMA, replies)
+    out = materialize(blocks.per_block(rows, SETS_SCHEMA, replies), "ngram-sets")
+    discard(replies)
+    return out
 
 
 def _possible(percent: int):
@@ -199,9 +196,9 @@ def verify(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFr
     return both.mapInArrow(run, "a string, b string, shared long")
 
 
-def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``candidate_sets`` of all rows, and (fp, comp): the component of each set that has members."""
-    sets = materialize(candidate_sets(write_blocks(docs), percent), "ngram-sets")
+def _linked(blocks: Blocks, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``candidate_sets`` of all rows, and (fp, comp): the component of each set that has links."""
+    sets = candidate_sets(blocks, percent)
     named = sets.where("core is not null")
     one = named.groupBy("fp").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("k"), F.length("core").alias("l"))).alias("m")).select("fp", F.col("m.k").alias("k"))
     nodes = named.withColumn("k", F.coalesce("doc_id", F.lit(int(NULL_ID)))).join(one, ["fp", "k"]).dropDuplicates(["fp"])
@@ -213,9 +210,11 @@ def _linked(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     star = star.where((F.col("a") != F.col("b")) & _possible(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = materialize(verify(star, nodes, percent).select("a", "b"), "ngram-links")
     groups = connected_components(links)
-
-    more = _across(nodes, groups, percent)
-    return sets, connected_components(links.union(more)).select(F.col("v").alias("fp"), "comp")
+    more = materialize(_across(nodes, groups, percent), "ngram-more")
+    discard(nodes, groups)
+    whole = connected_components(links.union(more))
+    discard(links, more)
+    return sets, whole.select(F.col("v").alias("fp"), "comp")
 
 
 def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -224,7 +223,9 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Null and empty texts have no shingles and are linked with nothing.  Equal
     sets are linked.  A null doc_id counts as the largest.
     """
-    sets, groups = _linked(docs, percent)
+    blocks = write_blocks(docs)
+    sets, groups = _linked(blocks, percent)
+    blocks.drop()
     least = F.min(F.coalesce("doc_id", F.lit(int(NULL_ID)))).alias("k")
     members = sets.where("n > 0").groupBy("fp").agg(least).join(groups, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
     members = materialize(members, "ngram-members")
@@ -297,24 +298,37 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, all columns, one of each group of near duplicates: that with the smallest doc_id (a null is the largest), then the smallest MD5 of its text.
+    """The rows of ``docs``, all columns, one of each group of near duplicates: that with the smallest doc_id (a null is the largest).
 
-    Rows that share a doc_id, or have none, are told apart by their texts.
-    Rows that agree in both are copies, of which the one with the smallest
-    other columns stays.  Texts without words are in no group: all stay.
+    Rows are known by their place, so those that share a doc_id, or have none,
+    are not mixed up; of copies under one id the first in the first block
+    stays.  Texts without words are in no group: all stay.
     """
-    sets, groups = _linked(docs, percent)
-    named = sets.where("n > 0").select("doc_id", "text_md5", "fp")
-    best = lambda: F.min(F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("id"), F.col("doc_id").isNull().alias("none"), "text_md5")).alias("b")
-    of_set = named.groupBy("fp").agg(best()).join(groups, "fp", "left")
-    first = of_set.groupBy(F.coalesce("comp", "fp").alias("comp")).agg(F.min("b").alias("b"))
-    first = first.select(row_key_of(F.when(~F.col("b.none"), F.col("b.id")), F.col("b.text_md5")).alias(ROW))
-    keyed = docs.withColumn(ROW, row_key())
-    worded = F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    # copies are put together before the shuffle
-    single = keyed.where(worded).groupBy(ROW).agg(F.min(F.struct(*docs.columns)).alias("r"))
-    kept = single.join(first, ROW, "left_semi").select("r.*")
-    return kept.unionByName(docs.where(~worded))
+    blocks = write_blocks(docs, [c for c in docs.columns if c != "text"])
+    sets, groups = _linked(blocks, percent)
+    place = F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("id"), "bid", "nth")
+    named = sets.where("n > 0").select("fp", place.alias("at"))
+    of_set = materialize(named.groupBy("fp").agg(F.min("at").alias("first")).join(groups, "fp", "left").select("fp", F.coalesce("comp", "fp").alias("comp"), "first"), "ngram-firsts")
+    first = of_set.select("fp", "comp").join(of_set.groupBy("comp").agg(F.min("first").alias("first")), "comp").select("fp", "first")
+    gone = named.join(first, "fp").where(F.col("at") != F.col("first")).groupBy(F.col("at.bid").alias("bid")).agg(F.collect_list("at.nth").alias("gone"))  # places of one block
+    gone = gone.select("bid", F.lit(0).alias("bucket"), F.encode(F.array_join(F.col("gone").cast("array<string>"), ","), "UTF-8").alias("blob"))
+    gone = materialize(gone, "ngram-gone")
+    discard(sets, groups, of_set)
+
+    def rest(bid, pieces, got):
+        blob = got[0].get(0)
+        out = np.array(bytes(blob).split(b","), np.int64) if blob else np.zeros(0, np.int64)
+        parts, at = [], 0
+        for k, (ids, lens, data) in enumerate(pieces):
+            others = pieces.rest(k)
+            text = pa.StringArray.from_buffers(len(ids), pa.py_buffer(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)), pa.py_buffer(data))
+            whole = others.drop_columns([NULL]).append_column("text", pc.if_else(others[NULL], pa.scalar(None, pa.string()), text))
+            parts.append(whole.filter(pa.array(~np.isin(np.arange(at, at + len(ids)), out))))
+            at += len(ids)
+        return pa.concat_tables(parts)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    return blocks.per_block(rest, f"{schema}, text string", gone).select(docs.columns)
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,51 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Name of a column with ``row_key``.
-ROW = "__row_key"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+from ..sources.scratch import discard, materialize, shared_dir
 
-    Where the session names none, a temporary folder is taken and set on a
-    single machine; on a cluster, whose machines do not share such folders,
-    it is an error.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+__all__ = ["ROW", "discard", "materialize", "read_table", "row_key", "sample_by_hash", "shared_dir"]
 
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Name of a column with ``row_key``.
+ROW = "__row_key"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def row_key_of(doc_id: Column, md5: Column) -> Column:
-    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("/"), md5)
-
-
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Names a row by its doc_id and whole text (a null doc_id is a value of its own, a null text is empty); rows that agree in both are copies."""
-    return row_key_of(F.col(doc_id).cast("long"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.lit("/"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
 
 
 def sample_by_hash(df: DataFrame, key: str, rows: int) -> DataFrame:

@@ -25,16 +25,14 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .blocks import NULL_ID, answer, combine, join_blobs, mix, pack_array, ranges, split_blobs, unpack_array, write_blocks
-from .shared import ROW, materialize, read_table, row_key, row_key_of
+from .blocks import NULL, NULL_ID, answer, combine, join_blobs, mix, pack_array, ranges, split_blobs, unpack_array, write_blocks
+from .shared import materialize, read_table
 
 DEPTH = 50
 KEY = 24
 RUN = DEPTH - KEY + 1
 LOW24 = np.uint64(2**24 - 1)
-TEXT, EMPTY = "__text", "__empty"
 
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -257,14 +255,14 @@ def covered(st: _State, reply1: dict, reply2: dict, reply3: dict, n: int):
         yield ids, lens, data, np.cumsum(edge[:-1], dtype=np.int16) > 0
 
 
-def repeated_bytes(docs: DataFrame, emit, schema: str) -> DataFrame:
-    """Run the passes over ``docs`` (doc_id, text); ``emit(id, bytes, mask) -> row dict`` makes each document's row.
+def repeated_bytes(docs: DataFrame, rows_of, schema: str, carried: list[str] | None = None) -> DataFrame:
+    """Run the passes over ``docs`` (doc_id, text); ``rows_of(carried columns, ids, lens, bytes, mask) -> pa.Table`` makes the rows of a piece.
 
     Nulls: a null text is empty, a null doc_id counts as the largest.  Rows
     with equal doc_id never remove each other's bytes.  Texts under 50 bytes
     keep everything; an empty table gives an empty result.
     """
-    blocks = write_blocks(docs)
+    blocks = write_blocks(docs, carried)
     n = blocks.n_ranges
 
     def send1(pieces, _):
@@ -283,50 +281,50 @@ def repeated_bytes(docs: DataFrame, emit, schema: str) -> DataFrame:
     r1 = materialize(answer(blocks.scatter(send1), _in_many), "suffix-1")
     r2 = materialize(answer(blocks.scatter(send2, r1), lambda b: _before(b, split_keys=True)), "suffix-2")
     r3 = materialize(answer(blocks.scatter(send3, r1, r2), lambda b: _before(b, split_keys=False)), "suffix-3")
-    names = [f.split()[0] for f in schema.split(", ")]
 
     def finish(bid, pieces, got):
-        rows: dict[str, list] = {k: [] for k in names}
-        for ids, lens, data, mask in covered(_State(pieces), *got, n):
-            at = 0
-            for i, length in zip(ids.tolist(), lens.tolist(), strict=True):
-                row = emit(None if i == NULL_ID else i, data[at : at + length], mask[at : at + length])
-                for k in names:
-                    rows[k].append(row[k])
-                at += length
-        return pa.table({k: pa.array(v, {"long": pa.int64(), "string": pa.string()}[s.split()[1]]) for (k, v), s in zip(rows.items(), schema.split(", "), strict=True)})
+        return pa.concat_tables([rows_of(pieces.rest(k) if carried is not None else None, *piece) for k, piece in enumerate(covered(_State(pieces), *got, n))])
 
     return blocks.per_block(finish, schema, r1, r2, r3)
 
 
-def _digest(i, data: np.ndarray, mask: np.ndarray) -> dict:
-    removed = int(mask.sum())
-    spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if removed else 0
-    return {"doc_id": i, "n_bytes": len(data), "n_removed": removed, "n_spans": spans, "kept_sha256": hashlib.sha256((data[~mask] if removed else data).tobytes()).hexdigest()}
+def _each(lens: np.ndarray, data: np.ndarray, mask: np.ndarray):
+    at = 0
+    for length in lens.tolist():
+        yield data[at : at + length], mask[at : at + length]
+        at += length
 
 
-def dedup_digests(docs: DataFrame) -> DataFrame:
-    """Per document: bytes, removed bytes, removed runs and SHA-256 of what is left."""
-    return repeated_bytes(docs, _digest, RESULT_SCHEMA)
-
-
-def dedup_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_md5 before, text) after removal; bytes of a character cut in half are dropped with it."""
+def _digests(_, ids, lens, data, mask) -> pa.Table:
+    rows = []
+    for i, (d, m) in zip(ids.tolist(), _each(lens, data, mask), strict=True):
+        removed = int(m.sum())
+        spans = int(m[0]) + int((m[1:] & ~m[:-1]).sum()) if removed else 0
+        rows.append((None if i == NULL_ID else i, len(d), removed, spans, hashlib.sha256((d[~m] if removed else d).tobytes()).hexdigest()))
+    kinds = {"long": pa.int64(), "string": pa.string()}
+    return pa.table({f.split()[0]: pa.array(c, kinds[f.split()[1]]) for f, c in zip(RESULT_SCHEMA.split(", "), zip(*rows, strict=True), strict=True)})
 
-    def emit(i, data: np.ndarray, mask: np.ndarray) -> dict:
-        return {"doc_id": i, "text_md5": hashlib.md5(data).hexdigest(), "text": (data[~mask] if mask.any() else data).tobytes().decode("utf-8", "ignore")}
 
-    return repeated_bytes(docs, emit, "doc_id long, text_md5 string, text string")
+def dedup_digests(docs: DataFrame) -> DataFrame:
+    """Per document: bytes, removed bytes, removed runs and SHA-256 of what is left."""
+    return repeated_bytes(docs, _digests, RESULT_SCHEMA)
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without the passages that a smaller doc_id has; null texts stay null.
 
-    Rows are found again by doc_id and text: rows that agree in both are cut alike.
+    Bytes of a character cut in half are dropped with it.  Whole rows travel
+    with their texts, so rows with one or no doc_id are not mixed up.
     """
-    cut = dedup_texts(docs).select(row_key_of(F.col("doc_id"), F.col("text_md5")).alias(ROW), F.col("text").alias(TEXT)).dropDuplicates([ROW])
-    rest = docs.select(*(c for c in docs.columns if c != "text"), F.col("text").isNull().alias(EMPTY), row_key().alias(ROW))
-    return rest.join(cut, ROW).withColumn("text", F.when(~F.col(EMPTY), F.col(TEXT))).select(docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+
+    def rows_of(rest: pa.Table, _, lens, data, mask) -> pa.Table:
+        texts = [(d[~m] if m.any() else d).tobytes().decode("utf-8", "ignore") for d, m in _each(lens, data, mask)]
+        texts = [None if none else t for t, none in zip(texts, rest[NULL].to_pylist(), strict=True)]
+        return rest.drop_columns([NULL]).append_column("text", pa.array(texts, pa.string()))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    return repeated_bytes(docs, rows_of, f"{schema}, text string", others).select(docs.columns)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
