@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sinks import remove
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -29,4 +31,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote; nothing that is still to be computed may read it."""
+    for t in tables:
+        if path := t.__dict__.pop("scratch_path", None):
+            remove(t.sparkSession, path)
