@@ -26,13 +26,13 @@ from .shared import materialize, read_table, shared_dir
 
 END_ID = 1
 BLOCK_BYTES = 1 << 20
-#: The dictionary is trained on this many documents (smallest hash of doc_id), their first SAMPLE_CHARS characters each.
-SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 512, 4000, 64 << 10
+#: The dictionary is trained on this many documents (smallest hash of doc_id), PIECES stretches of PIECE_IDS ids spread over each.
+SAMPLE_DOCS, PIECES, PIECE_IDS, DICT_BYTES = 512, 4, 1024, 64 << 10
 #: Distinct words and letter runs whose ids a Python worker remembers; then it forgets them all.
 CACHE_WORDS = 700_000
 
 FRAME_SCHEMA = "doc_id long, n_tokens long, frame binary"
-BLOCK_SCHEMA = "shard int, block int, dict_sha256 string, total long, doc_ids binary, counts binary, offsets binary, frames binary"
+BLOCK_SCHEMA = "shard int, block int, first_id long, last_id long, dict_sha256 string, total long, doc_ids binary, counts binary, offsets binary, frames binary"
 DOC_SCHEMA = "shard int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long"
 
 #: Marks before and after a run of letters, which the tokenizer cuts off.
@@ -116,13 +116,38 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def spread(ids: np.ndarray) -> list[bytes]:
+    """The whole array, or PIECES stretches of it from begin to end."""
+    if len(ids) <= PIECES * PIECE_IDS:
+        return [ids.tobytes()] if len(ids) else []
+    return [ids[int(k) : int(k) + PIECE_IDS].tobytes() for k in np.linspace(0, len(ids) - PIECE_IDS, PIECES)]
+
+
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
+    """A dictionary for the ids of ``docs``.
+
+    The sampled texts are also encoded by the tokenizer itself, and it is an
+    error if ``Encoder`` gives other ids: then the tokenizer is none of the
+    kind that ``Encoder`` can put together from words.
+    """
     place = F.xxhash64("doc_id")
     # hashes first: no task sends more texts than the sample has
     last = docs.select(place.alias("place")).orderBy("place").limit(SAMPLE_DOCS).agg(F.max("place").alias("last")).first()["last"]
-    near = docs.where(place <= F.lit(last).cast("long")).select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"))
-    sample = near.orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE_DOCS).collect()
-    ids = [b for b in encoder(path).encode(pa.array([r["text"] for r in sample], pa.string())) if b]
+    sample = docs.where(place <= F.lit(last).cast("long")).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE_DOCS)
+
+    def run(batches):
+        enc = encoder(path)
+        for batch in batches:
+            texts = batch.column(1)
+            found = enc.encode(texts)
+            for text, raw in zip(texts.to_pylist(), found, strict=True):
+                ids = np.frombuffer(raw, "<u4")
+                if ids.tolist() != enc.tokenizer.encode(text, add_special_tokens=False).ids:
+                    raise ValueError("this tokenizer's ids of a text are not those of its words put together")
+                parts = spread(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["ids"])
+
+    ids = [bytes(r["ids"]) for r in sample.mapInArrow(run, "ids binary").collect()]  # at most SAMPLE_DOCS * PIECES * PIECE_IDS ids
     try:
         return zstandard.train_dictionary(DICT_BYTES, ids).as_bytes()
     except zstandard.ZstdError:  # too few or too short samples
@@ -163,9 +188,10 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = END_ID
             ids, counts, blobs = zip(*held, strict=True)
             lens = np.cumsum([0, *map(len, blobs)])
             present = np.array([i is not None for i in ids])
+            known = [i for i in ids if i is not None]
             raw = np.array([i or 0 for i in ids], "<i8").tobytes() + np.packbits(present).tobytes()
             return pa.RecordBatch.from_pydict({
-                "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()), "dict_sha256": pa.array([sha]), "total": pa.array([sum(counts)], pa.int64()), "doc_ids": pa.array([raw], pa.binary()),
+                "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()), "first_id": pa.array([min(known, default=None)], pa.int64()), "last_id": pa.array([max(known, default=None)], pa.int64()), "dict_sha256": pa.array([sha]), "total": pa.array([sum(counts)], pa.int64()), "doc_ids": pa.array([raw], pa.binary()),
                 "counts": pa.array([np.array(counts, "<i8").tobytes()], pa.binary()), "offsets": pa.array([lens.astype("<i8").tobytes()], pa.binary()), "frames": pa.array([b"".join(blobs)], pa.binary()),
             })
 
@@ -180,18 +206,22 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = END_ID
             yield flush()
 
     ordered = frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", F.xxhash64("frame"))
-    ordered.mapInArrow(run, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{out}/blocks")
+    # small row groups: a reader of a few documents skips the others by first_id and last_id
+    ordered.mapInArrow(run, BLOCK_SCHEMA).write.option("compression", "none").option("parquet.block.size", 8 * BLOCK_BYTES).parquet(f"{out}/blocks")
 
 
-def _decode_block(row: dict, dictionary: bytes):
-    """(doc_id, ids as bytes) of each document of a block."""
+def _decode_block(row: dict, dictionary: bytes, wanted: set[int] | None = None):
+    """(doc_id, ids as bytes) of each document of a block, or of the wanted ones: no other frame is decompressed."""
     d = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
     off = np.frombuffer(row["offsets"], "<i8")
     n = len(off) - 1
     ids = np.frombuffer(row["doc_ids"][: 8 * n], "<i8")
     present = np.unpackbits(np.frombuffer(row["doc_ids"][8 * n :], np.uint8), count=n)
+    frames = memoryview(row["frames"])
     for k in range(n):
-        yield int(ids[k]) if present[k] else None, d.decompress(row["frames"][off[k] : off[k + 1]])
+        one = int(ids[k]) if present[k] else None
+        if wanted is None or one in wanted:
+            yield one, d.decompress(frames[off[k] : off[k + 1]])
 
 
 def dictionary_of(spark: SparkSession, out: str) -> bytes:
@@ -232,18 +262,26 @@ def read_token_files(spark: SparkSession, out: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, out: str, doc_ids: list[int]) -> dict[int, list[int]]:
-    """Ids of a few documents: reads the index, then only the frames of the blocks that hold them."""
+    """Ids of a few documents; of repeated doc_ids one.
+
+    Blocks are chosen by their first and last doc_id, which the scan skips row
+    groups by; in a block only the wanted frames, by their offsets, are
+    decompressed.
+    """
     dictionary = dictionary_of(spark, out)
-    wanted = set(doc_ids)
+    wanted = {int(i) for i in doc_ids}
+    if not wanted:
+        return {}
+    inside = F.exists(F.array(*(F.lit(i).cast("long") for i in sorted(wanted))), lambda i: (F.col("first_id") <= i) & (F.col("last_id") >= i))
+    blocks = spark.read.parquet(f"{out}/blocks").where((F.col("first_id") <= max(wanted)) & (F.col("last_id") >= min(wanted)) & inside).select("doc_ids", "offsets", "frames")
 
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                for i, raw in _decode_block(batch.slice(k, 1).to_pylist()[0], dictionary):
-                    if i in wanted:
-                        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([np.frombuffer(raw, "<u4").tolist()], pa.list_(pa.int64()))], ["doc_id", "ids"])
+                for i, raw in _decode_block(batch.slice(k, 1).to_pylist()[0], dictionary, wanted):
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([np.frombuffer(raw, "<u4").tolist()], pa.list_(pa.int64()))], ["doc_id", "ids"])
 
-    return {r["doc_id"]: r["ids"] for r in spark.read.parquet(f"{out}/blocks").mapInArrow(run, "doc_id long, ids array<long>").collect()}
+    return {r["doc_id"]: r["ids"] for r in blocks.mapInArrow(run, "doc_id long, ids array<long>").collect()}
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -328,6 +328,25 @@ def test_op7_files(spark, tmp_path):
         assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), (i, t)
         start += len(ids)
     assert token_output.lookup(spark, out, [301])[301][-1] == 1
+    some = {i: [*plain.encode(dict(texts)[i] or "", add_special_tokens=False).ids, 1] for i in (0, 7, 300)}
+    assert token_output.lookup(spark, out, [*some, -5, 999]) == some and token_output.lookup(spark, out, []) == {}
+
+
+def test_op7_rows(spark, tmp_path):
+    """Null and equal ids, a long text, an empty table, clashing columns, and a tokenizer of another kind."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(path)
+    texts = [(-1, "no id"), (5, "five"), (5, "also five"), (6, "long words and more " * 20_000), (-1, None)]
+    out = f"file://{tmp_path}/tok"
+    token_output.write_token_files(docs_of(spark, texts).repartition(3), out, path)
+    got = [(r["doc_id"], r["n_tokens"], r["start"]) for r in token_output.read_token_files(spark, out).orderBy("start").collect()]
+    sizes = {t: len(plain.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in texts}
+    assert sorted((i, n) for i, n, _ in got if i) == sorted((i, sizes[t]) for i, t in texts if i >= 0)
+    assert [i for i, _, _ in got] == [None, None, 5, 5, 6] and [s for _, _, s in got] == [sum(n for _, n, _ in got[:k]) for k in range(5)]
+    with pytest.raises(Exception, match="put together"):
+        token_output.train_dictionary(docs_of(spark, [(1, "Some words  with spaces, it's.")]), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_op8_round_trip_and_samples(spark):
