@@ -1,14 +1,15 @@
 """Toxicity by weak supervision.
 
-Many weak voters look at a text: lexicons (words and word beginnings, dealt to
-several voters) and patterns.  A generative label model over the counts of all
-documents' vote patterns estimates by expectation maximisation how often each
-voter speaks on toxic and on other texts, and how voters correlate within a
-class (correlated voters share their weight).  Its posterior labels train a
-linear classifier on the lexicon's terms, which scores every document.
+Many weak voters look at a text, each in its own way: a list of insults that
+is fixed beforehand, lexicons of whole words and of word beginnings, and
+patterns.  A generative label model over the counts of all documents' vote
+patterns estimates by expectation maximisation how often each voter speaks on
+toxic and on other texts, and how voters correlate within a class (correlated
+voters share their weight); it never sees a label.  Its posterior labels train
+a linear classifier on the lexicons' terms, which scores every document.
 
 Labels are used only from rows outside the held-out quarter, and from a sample
-of at most LABELLED of them: to build the lexicon, start the label model and
+of at most LABELLED of them: to find the terms of the lexicons and to
 calibrate the score.
 """
 
@@ -21,11 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize, read_table
-
-#: Bounds of the fit: labelled rows (smallest hash of doc_id), lexicon terms, rows the classifier is trained on.
-LABELLED, TERMS, TRAINED = 12_000, 400, 20_000
-LEXICON_VOTERS = 8
+from .shared import materialize, read_table, sample_by_hash
+
+#: Bounds of the fit: labelled rows (smallest hash of doc_id), which also train the classifier, and lexicon terms.
+LABELLED, TERMS = 12_000, 400
+#: Word beginnings of so many letters are terms.
+BEGINNINGS = (4, 5, 7)
+# Common insults.
+INSULTS = frozenset(
+    "idiot idiots moron morons imbecile stupid dumb dumbass fool scum loser losers trash garbage filth filthy vermin worthless pathetic disgusting "
+    "clown jerk creep coward liar bastard asshole bitch crap shit fuck fucking retard retarded pig swine freak ugly hateful despicable".split()
+)
+#: Voters: fixed list; lexicon of strong words, of other words, of each kind of beginnings; many hits; hits in a hundred words; exclamations; nothing found.
+FIXED, STRONG, OTHER, BEGIN, MANY, DENSE, LOUD, NONE = 0, 1, 2, 3, 6, 7, 8, 9
+N_VOTERS = 10
+STRONG_ODDS = 3.5
 THRESHOLD = 0.3
 CACHE_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -37,7 +48,11 @@ def held_out() -> F.Column:
 
 
 def _terms(word: str) -> tuple[str, ...]:
-    return (word, f"{word[:4]}-", f"{word[:5]}-") if len(word) > 5 else (word, f"{word[:4]}-") if len(word) > 4 else (word,)
+    return (word, *(f"{word[:n]}-" for n in BEGINNINGS if len(word) > n))
+
+
+def _voter(term: str, odds: float) -> int:
+    return BEGIN + BEGINNINGS.index(len(term) - 1) if term.endswith("-") else STRONG if odds > STRONG_ODDS else OTHER
 
 
 def build_lexicon(train: DataFrame) -> list[tuple[str, float]]:
@@ -59,10 +74,10 @@ def build_lexicon(train: DataFrame) -> list[tuple[str, float]]:
     return [(r["term"], r["odds"]) for r in strong.orderBy(F.desc(F.col("odds") * F.sqrt("t")), "term").limit(TERMS).collect()]
 
 
-def features(docs: DataFrame, lexicon: list[str]) -> DataFrame:
+def features(docs: DataFrame, lexicon: list[tuple[str, float]]) -> DataFrame:
     """Lexicon terms of each whole text with their counts, a few pattern measures, and the votes as bits."""
-    index = {t: k for k, t in enumerate(lexicon)}
-    voter = [k % LEXICON_VOTERS for k in range(len(lexicon))]
+    index = {t: k for k, (t, _) in enumerate(lexicon)}
+    voter = [_voter(t, odds) for t, odds in lexicon]
 
     def run(batches):
         known: dict[str, tuple] = {}
@@ -82,11 +97,11 @@ def features(docs: DataFrame, lexicon: list[str]) -> DataFrame:
                         found[k] = found.get(k, 0) + 1
                 n = max(1, len(words))
                 marks = text.count("!") / n
-                votes = 0
+                votes = (not INSULTS.isdisjoint(words)) << FIXED
                 for k in found:
                     votes |= 1 << voter[k]
                 hits = sum(found.values())
-                votes |= (hits >= 3) << LEXICON_VOTERS | (hits / n > 0.01) << LEXICON_VOTERS + 1 | (marks > 0.05) << LEXICON_VOTERS + 2 | (not found) << LEXICON_VOTERS + 3
+                votes |= (hits >= 3) << MANY | (hits / n > 0.01) << DENSE | (marks > 0.05) << LOUD | (not votes) << NONE
                 ks = sorted(found)
                 rows.append((doc, ks, [found[k] for k in ks], [marks, float(np.log1p(hits)), hits / n], votes))
             types = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int32())
@@ -95,11 +110,14 @@ def features(docs: DataFrame, lexicon: list[str]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FEATURE_SCHEMA)
 
 
-N_VOTERS = LEXICON_VOTERS + 4
+#: First guess of the label model: how often a voter speaks on other and on toxic texts (NONE the other way round), and the share of these.
+GUESS, PRIOR = (0.03, 0.5), 0.1
 
 
-def label_model(patterns: np.ndarray, counts: np.ndarray, start: np.ndarray, prior: float, rounds: int = 30) -> np.ndarray:
-    """Posterior of each vote pattern (bits); ``start``: first guess of P(vote | class), shape (2, voters)."""
+def label_model(patterns: np.ndarray, counts: np.ndarray, prior: float = PRIOR, rounds: int = 30) -> np.ndarray:
+    """Posterior of each vote pattern (bits)."""
+    start = np.repeat(np.array(GUESS)[:, None], N_VOTERS, 1)
+    start[:, NONE] = 1 - start[:, NONE]
     v = (patterns[:, None] >> np.arange(N_VOTERS)) & 1
     p = np.clip(start, 0.01, 0.99)
     weight = np.ones(N_VOTERS)
@@ -122,7 +140,7 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, start: np.ndarray, pri
 def _dense(rows, n_terms: int) -> np.ndarray:
     x = np.zeros((len(rows), n_terms + 4), np.float32)
     for k, r in enumerate(rows):
-        x[k, r["terms"]] = np.minimum(1 + np.log(r["counts"]), 3) if len(r["terms"]) else 0
+        x[k, r["terms"]] = 1 + np.log(r["counts"]) if len(r["terms"]) else 0
         x[k, n_terms : n_terms + 3] = r["extra"]
     x[:, -1] = 1
     return x
@@ -146,18 +164,18 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null texts are empty; repeated doc_ids are scored row by row.  Without
     labels of both kinds outside the held-out quarter every score is 0.
     """
-    d = docs.select("doc_id", "text")
-    chosen = labels.where(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    chosen = materialize(chosen, "toxic-labels")  # at most LABELLED rows
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chosen = labels.where(~held_out() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = materialize(sample_by_hash(chosen, "doc_id", LABELLED), "toxic-labels")  # at most LABELLED rows
     lexicon = build_lexicon(d.join(F.broadcast(chosen), "doc_id"))
-    terms = [t for t, _ in lexicon]
-    table = materialize(features(d, terms), "toxic-features")
-    weights, scale, shift = _fit(table, chosen, len(terms))
+    table = materialize(features(d, lexicon), "toxic-features")
+    n_terms = len(lexicon)
+    weights, scale, shift = _fit(table, chosen, n_terms)
 
     def run(batches):
         for batch in batches:
             rows = batch.to_pylist()
-            s = 1 / (1 + np.exp(-np.clip(scale * (_dense(rows, len(terms)) @ weights) + shift, -30, 30)))
+            s = 1 / (1 + np.exp(-np.clip(scale * (_dense(rows, n_terms) @ weights) + shift, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
     scored = table.mapInArrow(run, "doc_id long, score double")
@@ -165,20 +183,19 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _fit(table: DataFrame, chosen: DataFrame, n_terms: int):
-    known = table.join(F.broadcast(chosen), "doc_id").limit(2 * LABELLED).collect()
+    """Weights of the classifier, fitted to posteriors, and the scale and shift that labels calibrate."""
+    names = ("terms", "counts", "extra", "votes")
+    known = table.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min(F.struct(*names)).alias("f"))  # one row of each doc_id
+    known = known.select("doc_id", "toxic", "f.*").orderBy("doc_id").collect()  # at most LABELLED rows
     y = np.array([r["toxic"] for r in known], float)
     if not len(y) or y.min() == y.max():
         return np.zeros(n_terms + 4), 1.0, -30.0
-    votes = (np.array([r["votes"] for r in known])[:, None] >> np.arange(N_VOTERS)) & 1
-    start = np.stack([(votes[y == c].sum(0) + 1) / ((y == c).sum() + 2) for c in (0, 1)])
-    found = table.groupBy("votes").count().collect()  # at most 2 ** N_VOTERS rows
+    found = table.groupBy("votes").count().orderBy("votes").collect()  # at most 2 ** N_VOTERS rows
     patterns, counts = np.array([r["votes"] for r in found]), np.array([r["count"] for r in found], float)
-    post = dict(zip(patterns.tolist(), label_model(patterns, counts, start, float(np.clip(y.mean(), 0.01, 0.6))), strict=True))
-    rest = table.join(F.broadcast(chosen), "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED - len(known) if len(known) < TRAINED else 0).collect()
-    x = _dense(known + rest, n_terms)
-    soft = np.concatenate([0.5 * y + 0.5 * np.array([post[r["votes"]] for r in known]), [post[r["votes"]] for r in rest]])
-    w = logistic(x, soft)
-    z = (x[: len(known)] @ w)[:, None]
+    post = dict(zip(patterns.tolist(), label_model(patterns, counts), strict=True))
+    x = _dense(known, n_terms)
+    w = logistic(x, np.array([post[r["votes"]] for r in known]))
+    z = (x @ w)[:, None]
     scale, shift = logistic(np.hstack([z, np.ones_like(z)]), y, l2=1e-4, steps=500)
     return w, float(max(scale, 1e-3)), float(shift)
 
