@@ -17,6 +17,7 @@ a hot key costs one entry per block and never one per occurrence.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -35,6 +36,15 @@ NULL = "__text_is_null"
 MESSAGE_SCHEMA = "bid int, bucket int, blob binary"
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that a worker that is used again holds what its present block needs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 class Blocks:
     """The bucketed table, its number of buckets, and the number of hash ranges used in rounds."""
 
@@ -70,7 +80,9 @@ class Blocks:
         """
         if not replies:
             def alone(table: pa.Table) -> pa.Table:
-                return body(table["bid"][0].as_py(), Pieces(table), ())
+                out = body(table["bid"][0].as_py(), Pieces(table), ())
+                release()
+                return out
 
             return self.frame().groupBy("bid").applyInArrow(alone, schema)
         tagged = None
@@ -84,7 +96,10 @@ class Blocks:
             for rnd, bucket, blob in zip(right["round"].to_pylist(), right["bucket"].to_pylist(), right["blob"].to_pylist(), strict=True):
                 got[rnd][bucket] = blob
             bid = (left if left.num_rows else right)["bid"][0].as_py()
-            return body(bid, Pieces(left), got)
+            out = body(bid, Pieces(left), got)
+            got = ()
+            release()
+            return out
 
         return self.frame().groupBy("bid").cogroup(tagged.groupBy("bid")).applyInArrow(with_replies, schema)
 
@@ -218,6 +233,7 @@ def answer(messages: DataFrame, fn: Callable) -> DataFrame:
 
     def body(table: pa.Table) -> pa.Table:
         replies = fn(table["blob"].to_pylist())
+        release()
         return pa.table({"bid": table["bid"], "bucket": table["bucket"], "blob": pa.chunked_array([pa.array(replies, pa.binary())])})
 
     return messages.groupBy("bucket").applyInArrow(body, MESSAGE_SCHEMA)

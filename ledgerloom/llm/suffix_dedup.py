@@ -188,7 +188,11 @@ class _State:
             self.pieces.append((base, ids, lens, data))
             base += len(data)
         self.size = base
-        self.first, self.count, self.doc, self.key = (np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(cols, (np.int64, np.int64, np.int64, np.uint64), strict=True))
+        joined = []
+        for c, t in zip(cols, (np.int64, np.int64, np.int64, np.uint64), strict=True):
+            joined.append(np.concatenate(c) if c else np.zeros(0, t))
+            c.clear()
+        self.first, self.count, self.doc, self.key = joined
 
     def windows(self, at: np.ndarray, *seeds: int) -> list[np.ndarray]:
         """Window hashes at sorted or unsorted positions of the block."""
