@@ -13,9 +13,11 @@ FIRST_YEAR, LAST_YEAR = 1990, 2030
 
 
 def _plain(raw: Column) -> Column:
-    """Digits with an optional minus, without blanks; else null."""
-    c = F.regexp_replace(raw, BLANKS, "")
-    return F.when(F.regexp_like(c, F.lit(r"^-*[0-9]+$")), F.when(F.startswith(c, F.lit("-")), -F.regexp_replace(c, "-", "").try_cast("double")).otherwise(c.try_cast("double")))
+    """Digits without blanks, negative if a minus is among the first two characters; else null."""
+    bare = F.trim(raw)
+    c = F.regexp_replace(F.regexp_replace(bare, "^-+", ""), BLANKS, "")
+    value = F.when(F.regexp_like(c, F.lit(r"^[0-9]+$")), c.try_cast("double"))
+    return F.when(F.contains(F.substring(bare, 1, 2), F.lit("-")), -value).otherwise(value)
 
 
 def item_amount(raw: Column) -> Column:

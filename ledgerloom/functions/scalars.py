@@ -19,6 +19,11 @@ def unix_or_zero(iso: Column) -> Column:
     return F.coalesce(F.unix_seconds(F.try_to_timestamp(iso)), F.lit(0)).cast("long")
 
 
+def unix_strict(iso: Column) -> Column:
+    """Whole seconds of an ISO time; null stays null, and text that is no time is an error."""
+    return F.unix_seconds(F.to_timestamp(iso)).cast("long")
+
+
 def year_start(year: Column) -> Column:
     return F.unix_seconds(F.make_timestamp(year, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0), F.lit("UTC")))
 
@@ -68,10 +73,14 @@ def parse_filing_path(path: Column) -> Column:
     return F.struct(_group(path, p, 1).alias("orgnr"), _group(path, p, 2).try_cast("int").alias("year"), F.when(known, F.coalesce(_group(path, p, 3).try_cast("int"), F.lit(1))).alias("version"))
 
 
+# The names of files in archives.
+ARCHIVE_NAMES = (r"(?i)aarsregnskap_(\d{4})_(\d{9})\.pdf$", r"(?i)KopiAvAarsregnskap_(\d{9})_(\d{4})\.pdf$")
+
+
 def parse_file_name(path: Column) -> Column:
     """struct(orgnr, year) of the two names that archives use, in any case."""
     name = F.element_at(F.split(path, "/"), -1)
-    a, b = r"(?i)aarsregnskap_(\d{4})_(\d{9})\.pdf$", r"(?i)KopiAvAarsregnskap_(\d{9})_(\d{4})\.pdf$"
+    a, b = ARCHIVE_NAMES
     return F.struct(F.coalesce(_group(name, a, 2), _group(name, b, 1)).alias("orgnr"), F.coalesce(_group(name, a, 1), _group(name, b, 2)).try_cast("int").alias("year"))
 
 
@@ -101,8 +110,8 @@ def unfence(answer: Column) -> Column:
 
 
 def redact(text: Column) -> Column:
-    """Long digit runs (ids, accounts) and addresses of e-mail are replaced."""
-    return F.regexp_replace(F.regexp_replace(text, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<mail>"), r"[0-9]{9,}", "<number>")
+    """National ids (11 digits, or 6 and 5), account numbers (4, 2 and 5 with points between) and addresses of e-mail are replaced; other numbers stay."""
+    return F.regexp_replace(F.regexp_replace(text, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<mail>"), r"\b(?:[0-9]{6} ?[0-9]{5}|[0-9]{4}\.[0-9]{2}\.[0-9]{5})\b", "<number>")
 
 
 def has_any(text: Column, words: list[str]) -> Column:
@@ -114,15 +123,22 @@ def has_any(text: Column, words: list[str]) -> Column:
     return out
 
 
+# How the fields of a cover page are printed.
+COVER = {
+    "year": r"REGNSKAPSÅRET\s+(\d{4})",
+    "journal": r"(\d{4})\s+(\d{4,7})",
+    "period": r"(\d{2}\.\d{2}\.\d{4})\s*[-–]?\s*\n?\s*(\d{2}\.\d{2}\.\d{4})",
+    "rules": r"(Regnskapslovens alminnelige regler|Forenklet IFRS|IFRS)",
+    "settled": r"(?s)fastsettelse.*?(\d{2}\.\d{2}\.\d{4})",
+    "unaudited": "ikke skal revideres",
+}
+
+
 def cover_fields(text: Column) -> Column:
     """Fields of a filing's cover page."""
-    period = r"(\d{2}\.\d{2}\.\d{4})\s*[-–]?\s*\n?\s*(\d{2}\.\d{2}\.\d{4})"
-    number = r"(\d{4})\s+(\d{4,7})"
+    year, number = _group(text, COVER["journal"], 1), _group(text, COVER["journal"], 2)
     return F.struct(
-        _group(text, r"REGNSKAPSÅRET\s+(\d{4})", 1).try_cast("int").alias("regnskapsaar"),
-        F.when(F.regexp_like(text, F.lit(number)), F.concat_ws("/", _group(text, number, 1), _group(text, number, 2))).alias("journalnr"),
-        _group(text, period, 1).alias("periode_start"), _group(text, period, 2).alias("periode_slutt"),
-        _group(text, r"(Regnskapslovens alminnelige regler|Forenklet IFRS|IFRS)", 1).alias("regnskapsregler"),
-        F.coalesce(F.contains(text, F.lit("ikke skal revideres")), F.lit(False)).alias("fravalgt_revisjon"),
-        _group(text, r"(?s)fastsettelse.*?(\d{2}\.\d{2}\.\d{4})", 1).alias("dato_fastsettelse"),
+        _group(text, COVER["year"], 1).try_cast("int").alias("regnskapsaar"), F.when(number.isNotNull(), F.concat_ws("/", year, number)).alias("journalnr"),
+        _group(text, COVER["period"], 1).alias("periode_start"), _group(text, COVER["period"], 2).alias("periode_slutt"), _group(text, COVER["rules"], 1).alias("regnskapsregler"),
+        F.coalesce(F.contains(text, F.lit(COVER["unaudited"])), F.lit(False)).alias("fravalgt_revisjon"), _group(text, COVER["settled"], 1).alias("dato_fastsettelse"),
     )

@@ -20,6 +20,11 @@ def patched_year(kind: Column, patches: Column, field: str = FIELD) -> Column:
     return F.when(kind != "Ny", F.when(F.regexp_like(first, F.lit(r"^[0-9]+$")), first).try_cast("int"))
 
 
+def since_date(updates: DataFrame, date: str) -> DataFrame:
+    """Updates of a day (ISO text) and later; their times are text that sorts as it reads."""
+    return updates.where(F.substring("dato", 1, 10) >= date)
+
+
 def relevant_updates(updates: DataFrame, since_id: int | None = None) -> DataFrame:
     """(oppdateringsid, orgnr, year) after an id; pages repeat their last entry, so ids are made unique."""
     u = updates if since_id is None else updates.where(F.col("oppdateringsid") > since_id)

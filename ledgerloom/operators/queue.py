@@ -73,6 +73,12 @@ def prioritised(work: DataFrame) -> DataFrame:
     return global_rank(work, [F.col("processing_priority").desc_nulls_last(), F.col("orgnr").asc_nulls_last(), F.col("year").asc_nulls_last()])
 
 
+def free_shards(changed: DataFrame, now: Column, hours: int = 2, shards: int = 10) -> DataFrame:
+    """Shards that no file is known of in ``changed`` (shard, modified), or none changed within the hours; a worker picks any of them."""
+    held = changed.where(F.col("modified") >= now - F.make_interval(hours=F.lit(hours))).select(F.col("shard").cast("int").alias("shard")).distinct()
+    return changed.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")).join(held, "shard", "left_anti")
+
+
 def slice_of(ranked: DataFrame, index: int, count: int) -> DataFrame:
     """Every ``count``-th row from ``index`` on: the slices of all indexes are disjoint and complete."""
     return ranked.where(F.pmod("position", F.lit(count)) == index)

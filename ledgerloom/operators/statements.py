@@ -192,6 +192,22 @@ def long_items(wide: DataFrame, keys: list[str], known: list[str]) -> DataFrame:
     return wide.select(*keys, F.inline(each)).where("current is not null or prior is not null")
 
 
+def loaded_items(files: DataFrame, keys: list[str], raw: str = "value") -> DataFrame:
+    """(keys, item, current, prior) of cached JSON objects, whose keys name items and, with ``_prior``, last year's."""
+    meta = [*keys, "orgnr", "year", "revenue_label", "sections_found"]
+    d = files.select(*keys, F.explode(F.from_json(raw, "map<string, string>")).alias("k", "v")).where(~F.col("k").isin(meta))
+    prior = F.endswith("k", F.lit("_prior"))
+    d = d.withColumns({"item": F.when(prior, F.regexp_replace("k", "_prior$", "")).otherwise(F.col("k")), "v": F.col("v").try_cast("double")})
+    out = d.groupBy(*keys, "item").agg(F.max(F.when(~prior, F.col("v"))).alias("current"), F.max(F.when(prior, F.col("v"))).alias("prior"))
+    return out.where("current is not null or prior is not null")
+
+
+def loaded_excerpts(files: DataFrame, keys: list[str], raw: str = "value") -> DataFrame:
+    """(keys, excerpts) of cached notes: the text between rules, without empty parts."""
+    parts = F.split(F.coalesce(F.get_json_object(raw, "$.note_excerpts"), F.lit("")), "\n---\n")
+    return files.select(*keys, F.filter(parts, lambda p: F.trim(p) != "").alias("excerpts"))
+
+
 def revenue_labels(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, revenue_label, sections_found): which kind of revenue leads, and the sections in fixed order."""
     has = items.where("current is not null").groupBy(*keys).agg(F.bool_or(F.col("item") == "salgsinntekt").alias("sales"), F.bool_or(F.col("item") == "annen_driftsinntekt").alias("other"))

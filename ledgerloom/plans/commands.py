@@ -61,6 +61,21 @@ def collect(ranked: DataFrame, index: int, count: int, cursor: int = 0, batch: i
     return queue.resume(own, cursor, batch)
 
 
+def accounts_to_fetch(collected: DataFrame) -> DataFrame:
+    """The JSON side pass: each entity of collected filings once, in order."""
+    return collected.select("orgnr").distinct().orderBy("orgnr")
+
+
+def counted(results: DataFrame) -> tuple[DataFrame, Observation]:
+    """Results of a run (kind: pdf or json; outcome: success, failed or skipped), counted as they pass; the counts are there once a job has run."""
+    run = Observation("run")
+    ok = F.col("outcome") == "success"
+    return results.observe(
+        run, F.count(F.lit(1)).alias("processed"), F.count_if(ok).alias("success"), F.count_if(F.col("outcome") == "failed").alias("failed"), F.count_if(F.col("outcome") == "skipped").alias("skipped"),
+        F.count_if(ok & (F.col("kind") == "pdf")).alias("pdfs"), F.count_if(ok & (F.col("kind") == "json")).alias("jsons"),
+    ), run
+
+
 def merge_manifests(spark: SparkSession, shards: list[DataFrame], table: str) -> DataFrame:
     publish(keys.merge_shards(shards, [F.col("status").asc(), F.col("pdf_path").asc_nulls_last()]), table)
     return current(spark, table)

@@ -13,9 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import amounts, scalars
-from ..operators import audit, changes, keys, pages, queue, ranking, statements, validation
+from ..functions import amounts, paths, scalars
+from ..operators import audit, changes, documents, keys, pages, queue, ranking, statements, validation
+from ..sources import sections
 from ..streaming import limiter
+from . import commands
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -362,13 +364,35 @@ def yoy_continuity(spark, sf):
     return validation.continuity(y, "orgnr", "year", "opening", "closing").select("orgnr", "year", "prior_closing", "continuous")
 
 
-@query(f"""WITH {_PARTS}, s AS (SELECT doc, 'pledged_assets' AS signal, r <= total AS passed FROM f UNION ALL SELECT doc, 'restricted_funds', n <= r FROM f
-UNION ALL SELECT doc, 'tax_payable', abs(r - n) < 2 FROM f UNION ALL SELECT doc, 'related_receivable_sign', n - r >= 0 FROM f) SELECT * FROM s""")
+# of the sums r and n (null where an order has none), the total and the number of lines k: each signal's figures, and what it says of them
+_SIGNALS = {
+    "payroll_headcount": ({"aarsverk": "k % 3", "lonnskostnad": "r"}, "CASE WHEN k % 3 = 0 THEN r < 1000 ELSE r IS NOT NULL OR NULL END"),
+    "equity_opening": ({"egenkapital_inn": "r", "egenkapital_ut_forrige": "n"}, "abs(r - n) < 2"),
+    "equity_movement": ({"aarsresultat_note": "r", "aarsresultat": "total - n"}, "abs(r - total + n) < 2"),
+    "tax_payable": ({"betalbar_skatt_note": "n", "betalbar_skatt": "r + 1"}, "abs(n - r - 1) < 2"),
+    "fixed_assets": ({"bokfort_verdi_note": "total", "varige_driftsmidler": "r + n"}, "abs(total - r - n) < 2"),
+    "pledged_assets": ({"pantstillelse": "r", "sum_eiendeler": "n"}, "r <= n"),
+    "inventory": ({"varelager_note": "n", "varelager": "n + k - 3"}, "n IS NOT NULL AND abs(k - 3) < 2 OR CASE WHEN n IS NULL THEN NULL ELSE false END"),
+    "restricted_funds": ({"bundne_midler": "n", "bankinnskudd": "r"}, "n <= r"),
+    "restricted_covers_tax": ({"skyldig_skattetrekk": "k"}, "n >= k"),
+    "pledged_deposits": ({"pantsatt_bankinnskudd": "total - 20"}, "total - 20 <= r"),
+    "intercompany_net": ({"fordring_konsern": "r", "gjeld_konsern": "n", "netto_konsern": "total"}, "abs(r - n - total) < 2"),
+    "pension_declared": ({"antall_ansatte": "k - 2", "otp_erklart": "r > n"}, "CASE WHEN r > n IS NULL THEN NULL ELSE k <= 2 OR r > n END"),
+    "holiday_pay": ({"skyldige_feriepenger": "n / 8"}, "n / 8 BETWEEN 0.06 * r AND 0.18 * r"),
+    "personnel_chain": ({"leder_ansatt_annet": "n > 50"}, "CASE WHEN n IS NULL THEN NULL ELSE k % 3 > 0 OR n > 50 END"),
+    "related_receivable_sign": ({"fordring_naerstaende": "n - r"}, "n - r >= 0"),
+    "intercompany_symmetry": ({"salg_konsern": "total", "kjop_motpart": "n"}, "abs(total - n) < 2"),
+    "shareholder_loan_interest": ({"gjeld_aksjonaer": "r - n", "renter_beregnet": "k > 4"}, "CASE WHEN r - n IS NULL THEN NULL ELSE r - n <= 0 OR k > 4 END"),
+}
+
+
+@query("WITH f AS (SELECT l_orderkey AS doc, sum(l_quantity) AS total, sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS r, sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS n, count(*) AS k FROM lineitem GROUP BY 1) "
+       + " UNION ALL ".join(f"SELECT doc, '{name}' AS signal, {sql} AS passed FROM f" for name, (_, sql) in _SIGNALS.items()))
 def validation_signals(spark, sf):
-    q = F.col("l_quantity").cast("decimal(12,2)")
-    r, n = (F.sum(F.when(F.col("l_returnflag") == k, q)) for k in "RN")
-    f = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc")).agg(F.sum(q).alias("sum_eiendeler"), r.alias("pantstillelse"), n.alias("bundne_midler"), r.alias("bankinnskudd"), r.alias("betalbar_skatt_note"), n.alias("betalbar_skatt"), (n - r).alias("fordring_naerstaende"))
-    return validation.signals(f, ["doc"])
+    """All seventeen checks, over orders that stand for filings."""
+    r, n = (F.sum(F.when(F.col("l_returnflag") == k, F.col("l_quantity"))).alias(a) for k, a in (("R", "r"), ("N", "n")))
+    f = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc")).agg(F.sum("l_quantity").alias("total"), r, n, F.count("*").alias("k"))
+    return validation.signals(f.select("doc", *(F.expr(e).alias(c) for figures, _ in _SIGNALS.values() for c, e in figures.items())), ["doc"])
 
 
 @query("""SELECT l_orderkey AS doc, CAST(max(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS DOUBLE) AS A, CAST(max(CASE WHEN l_returnflag = 'A' THEN l_tax END) AS DOUBLE) AS A_prior,
@@ -411,7 +435,7 @@ UNION ALL SELECT e.user_id, e.n, CASE WHEN bad THEN greatest(0.5, rate * 0.7) WH
 CASE WHEN bad OR (rate < 3.0 AND streak + 1 >= 3 AND t - last >= 45) THEN 0 ELSE streak + 1 END, CASE WHEN bad THEN t ELSE last END FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
 SELECT user_id, round(rate, 9) AS rate, streak FROM r QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC) = 1""")
 def adaptive_rate(spark, sf):
-    r = limiter.adaptive_rate(table(spark, sf, "events"), "user_id", "ts", F.col("event_type") == "error", 3.0, clean=3)
+    r = limiter.adaptive_rate(table(spark, sf, "events"), "user_id", "ts", F.col("event_type") == "error", 3.0, clean=3, ties=["event_id"])
     return r.select("user_id", F.round("rate", 9).alias("rate"), "streak")
 
 
@@ -531,15 +555,18 @@ def first_label(spark, sf):
     return table(spark, sf, "part").select("p_partkey", statements.first_label(t, {"steel": "metal", "tin": "thin", "1": "one"}).alias("key"))
 
 
-@query("WITH o AS (SELECT o_orderkey, o_custkey % 900 + 100 AS c FROM orders) SELECT o_orderkey, CAST(CASE o_orderkey % 6 WHEN 0 THEN c * 1000.0 WHEN 1 THEN c * 1000.0 + 0.25 WHEN 2 THEN c + 0.5 WHEN 3 THEN -c * 1.0 WHEN 5 THEN 0.0 END AS DOUBLE) AS amount FROM o")
+# each way a number is printed, of a number c between 100 and 999, and its value
+_FORMS = [("c 000", "c * 1000.0"), ("c.000,25", "c * 1000.0 + 0.25"), ("c,50%", "c + 0.5"), ("(c)", "-c * 1.0"), ("c kr", "NULL"), ("-", "0.0"), ("-c 666", "-(c * 1000.0 + 666)"), ("c.00", "c * 1.0"), ("0", "0.0"), ("", "NULL"), ("c 000,0", "c * 1000.0")]
+
+
+@query(f"WITH o AS (SELECT o_orderkey, o_custkey % 900 + 100 AS c FROM orders) SELECT o_orderkey, CAST(CASE o_orderkey % {len(_FORMS)} {' '.join(f'WHEN {k} THEN {v}' for k, (_, v) in enumerate(_FORMS))} END AS DOUBLE) AS amount FROM o")
 def number_formats(spark, sf):
     c = (F.col("o_custkey") % 900 + 100).cast("string")
-    k = F.col("o_orderkey") % 6
-    raw = F.when(k == 0, F.concat(c, F.lit(" 000"))).when(k == 1, F.concat(c, F.lit(".000,25"))).when(k == 2, F.concat(c, F.lit(",50%"))).when(k == 3, F.concat(F.lit("("), c, F.lit(")"))).when(k == 4, F.concat(c, F.lit(" kr"))).otherwise("-")
+    raw = F.replace(F.element_at(F.array(*(F.lit(f) for f, _ in _FORMS)), (F.col("o_orderkey") % len(_FORMS) + 1).cast("int")), F.lit("c"), c)
     return table(spark, sf, "orders").select("o_orderkey", amounts.strict_amount(raw).alias("amount"))
 
 
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<mail>', 'g'), '[0-9]{9,}', '<number>', 'g') AS text FROM documents")
+@query(r"SELECT doc_id, regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<mail>', 'g'), '\b(?:[0-9]{6} ?[0-9]{5}|[0-9]{4}\.[0-9]{2}\.[0-9]{5})\b', '<number>', 'g') AS text FROM documents")
 def redacted(spark, sf):
     return table(spark, sf, "documents").select("doc_id", scalars.redact(F.col("text")).alias("text"))
 
@@ -585,6 +612,166 @@ def line_items(spark, sf):
     return statements.line_items(docs, ["doc"])
 
 
-@query(None)
+_NOTES = ["Note 1. Bundne bankinnskudd {0} kr.", "Klientmidler.\n| Klientinnskudd | {0} |\n| Klientgjeld | -{1} |", "Note. Felleskostnader {0} kroner.", "Forretningsfører er valgt.", "Poster som regnskapsføres ikke i selskapets balanse.", "Forskrift om årsregnskap for inkasso.", "Betrodde midler."]
+
+
+@query(f"""WITH d AS (SELECT o_orderkey AS doc, o_orderkey % {len(_NOTES) + 1} AS k, 6000 + o_custkey % 900000 AS a, 7000 + o_custkey % 1000 AS b FROM orders),
+t AS (SELECT *, CAST(CASE WHEN a BETWEEN 1990 AND 2030 THEN NULL ELSE a END AS DOUBLE) AS v FROM d)
+SELECT doc, k IN (1, 6) AS has_klientmidler, CASE WHEN k = 1 THEN v END AS klientmidler_amount, CASE WHEN k = 1 THEN -CAST(b AS DOUBLE) END AS klientansvar_amount, CASE WHEN k = 1 THEN v - b END AS klientkonto_balance,
+k = 4 AS has_nettopresentasjon, k = 0 AS has_bundne_midler, CASE WHEN k = 0 THEN v END AS bundne_midler_amount, k = 5 AS has_inkasso_forskrift, k = 2 AS has_felleskostnader, CASE WHEN k = 2 THEN v END AS felleskostnader_amount, k = 3 AS has_forretningsforer,
+CASE WHEN k = 1 THEN 'Klientmidler.' || chr(10) || '| Klientinnskudd | ' || a || ' |' || chr(10) || '| Klientgjeld | -' || b || ' |' WHEN k = 6 THEN 'Betrodde midler.' END AS note_excerpts FROM t""")
 def note_fields(spark, sf):
-    return statements.notes(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
+    """Notes of seven kinds, and documents without a text."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc"), (6000 + F.col("o_custkey") % 900_000).cast("string").alias("a"), (7000 + F.col("o_custkey") % 1000).cast("string").alias("b"))
+    text = F.get(F.array(*map(F.lit, _NOTES)), (F.col("doc") % (len(_NOTES) + 1)).cast("int"))
+    return statements.notes(o.select("doc", F.replace(F.replace(text, F.lit("{0}"), F.col("a")), F.lit("{1}"), F.col("b")).alias("text")), ["doc"])
+
+
+# Documents, sections, answers ------------------------------------------------------------
+
+_DOCUMENT = """pg AS (SELECT conv_id AS doc, turn + 1 AS page, CASE WHEN length(text) % 3 > 0 THEN 1728 ELSE 2480 END AS w, CASE WHEN length(text) % 4 = 0 THEN 2140 ELSE 3500 + length(text) % 4 END AS h, length(text) % 7 AS max_col_gaps, length(text) % 2 AS n_tables, length(text) % 5 * 255 AS hash FROM conversations),
+rn AS (SELECT *, min(CAST(w = 1728 AS INTEGER)) OVER (PARTITION BY doc ORDER BY page) = 1 AS in_run FROM pg),
+ty AS (SELECT *, CASE WHEN in_run THEN 'brreg' ELSE 'company' END AS source, CASE WHEN NOT in_run THEN count(*) FILTER (NOT in_run) OVER (PARTITION BY doc ORDER BY page) END AS nth FROM rn),
+dm AS (SELECT doc, count(*) AS total_pages, count(*) FILTER (in_run) AS n_brreg, count(*) FILTER (NOT in_run) AS n_company, array_to_string(list_sort(list(page) FILTER (w = 1728 AND NOT in_run)), ',') AS nested,
+ max(CASE WHEN nth = 2 THEN hash END) AS hash, count(*) FILTER (NOT in_run AND max_col_gaps >= 4) AS evidence FROM ty GROUP BY doc)"""
+_PLATFORM = "CASE WHEN n_company = 0 THEN 'brreg_only' WHEN n_company = 1 THEN 'single_page_company' WHEN hash = 0 THEN 'plain' ELSE 'unknown_' || printf('%016x', hash) END"
+
+
+def _document_pages(spark, sf):
+    n = F.length("text")
+    p = table(spark, sf, "conversations").select(
+        F.col("conv_id").alias("doc"), (F.col("turn") + 1).alias("page"), F.when(n % 3 > 0, 1728).otherwise(2480).alias("w"), F.when(n % 4 == 0, 2140).otherwise(3500 + n % 4).cast("long").alias("h"),
+        (n % 7).cast("long").alias("max_col_gaps"), (n % 2).alias("n_tables"), (n % 5 * 255).cast("long").alias("hash"), (n % 3 != 1).alias("has_image"),
+    )
+    return documents.classified_pages(p, "doc")
+
+
+@query(f"""WITH {_DOCUMENT} SELECT doc, page, CASE WHEN in_run THEN page > 1 WHEN h = 2140 THEN false ELSE n_tables > 0 END AS has_table FROM ty""")
+def page_tables(spark, sf):
+    return _document_pages(spark, sf).select("doc", "page", "has_table")
+
+
+@query(f"WITH {_DOCUMENT}, i AS (SELECT conv_id AS doc, turn + 1 AS page FROM conversations WHERE length(text) % 3 <> 1) SELECT doc, page FROM ty JOIN i USING (doc, page) WHERE NOT in_run AND h <> 2140")
+def note_pages(spark, sf):
+    return documents.note_pages(_document_pages(spark, sf)).select("doc", "page")
+
+
+@query(f"""WITH {_DOCUMENT} SELECT doc, total_pages, n_brreg AS brreg_last_page, n_brreg, n_company, coalesce(nested, '') AS nested, {_PLATFORM} AS platform, CASE WHEN n_company > 1 THEN printf('%016x', hash) END AS footer_hash,
+evidence >= 5 AS konsern_detected, evidence AS konsern_evidence_pages FROM dm""")
+def document_manifest(spark, sf):
+    d = documents.document_manifest(_document_pages(spark, sf), "doc", [(0, "plain")])
+    return d.withColumn("nested", F.array_join(F.col("nested_wrapper_pages").cast("array<string>"), ",")).drop("nested_wrapper_pages")
+
+
+@query(f"""WITH {_DOCUMENT}, c AS (SELECT c_custkey AS doc, c_custkey % 7 AS k FROM customer WHERE c_custkey % 2 = 0), f AS (SELECT dm.*, k FROM dm LEFT JOIN c USING (doc))
+SELECT {', '.join(f"CAST({dict(pdf_sha256_prefix='doc', orgnr='doc + 1', year='2020', journalnr='k', regnskapsaar='2000 + k', regler_smaa_foretak='k > 3', foretaksnavn='chr(CAST(65 + k AS INTEGER))', total_pages='total_pages', brreg_last_page='n_brreg', n_brreg='n_brreg', n_company='n_company', platform=_PLATFORM, footer_hash="CASE WHEN n_company > 1 THEN printf('%016x', hash) END", konsern_detected='evidence >= 5', konsern_evidence_pages='evidence', classifier_version="'0.5.0'", file_size_bytes='doc * 10').get(c, 'NULL')} AS {t.replace('string', 'VARCHAR')}) AS {c}" for c, t in sections.SECTIONS['manifests'].items())} FROM f""")
+def flat_manifest(spark, sf):
+    d = documents.document_manifest(_document_pages(spark, sf), "doc", [(0, "plain")])
+    d = d.selectExpr("*", "doc as pdf_sha256_prefix", "doc + 1 as orgnr", "2020 as year", "doc * 10 as file_size_bytes")
+    c = table(spark, sf, "customer").where("c_custkey % 2 = 0").selectExpr("c_custkey as doc", "c_custkey % 7 as journalnr", "2000 + c_custkey % 7 as regnskapsaar", "c_custkey % 7 > 3 as regler_smaa_foretak", "chr(65 + c_custkey % 7) as foretaksnavn")
+    return documents.flat_manifest(d, c, ["doc"])
+
+
+def _fits(spark, sf, extra):
+    return table(spark, sf, "orders").selectExpr("md5(cast(o_orderkey as string)) as pdf_sha256_prefix", "o_orderkey as orgnr", "concat(2000 + o_orderkey % 20, '.7') as year", "1 as unknown", *extra)
+
+
+@query(f"""SELECT {', '.join(f"CAST({dict(pdf_sha256_prefix='md5(CAST(o_orderkey AS VARCHAR))', orgnr='o_orderkey', year='2000 + o_orderkey % 20', note_nr='o_custkey', has_table="o_orderstatus = 'F'", extraction_cost_usd='o_totalprice', input_tokens='CASE WHEN o_custkey % 2 = 0 THEN o_custkey END').get(c, 'NULL')} AS {t.replace('string', 'VARCHAR')}) AS {c}" for c, t in sections.SECTIONS['noter'].items())} FROM orders""")
+def section_columns(spark, sf):
+    """Numbers as text with fractions, texts that are none, unknown and missing columns."""
+    return sections.section_rows(_fits(spark, sf, ["o_custkey as note_nr", "o_orderstatus = 'F' as has_table", "cast(o_totalprice as string) as extraction_cost_usd", "case when o_custkey % 2 = 0 then cast(o_custkey as string) else 'mange' end as input_tokens"]), "noter")
+
+
+@query(f"""SELECT {', '.join(f"CAST({dict(pdf_sha256_prefix='md5(CAST(o_orderkey AS VARCHAR))', orgnr='o_orderkey', year='2000 + o_orderkey % 20', raw_response="'{}'", status="CASE WHEN o_orderstatus = 'F' THEN 'ok' ELSE 'failed' END", cost_usd='o_totalprice', n_notes_found='o_custkey % 9').get(c, 'NULL')} AS {t.replace('string', 'VARCHAR')}) AS {c}" for c, t in sections.SECTIONS['raw_responses'].items())} FROM orders""")
+def raw_responses(spark, sf):
+    return sections.section_rows(_fits(spark, sf, ["'{}' as raw_response", "if(o_orderstatus = 'F', 'ok', 'failed') as status", "o_totalprice as cost_usd", "cast(o_custkey % 9 as double) as n_notes_found"]), "raw_responses")
+
+
+@query("""WITH o AS (SELECT o_orderkey AS doc, o_custkey % 5 AS k, o_custkey AS v FROM orders WHERE o_orderkey % 11 <> 10),
+r AS (SELECT doc, 'brreg' AS section, k, v FROM o WHERE doc % 3 > 0 UNION ALL SELECT doc, 'company', k, v FROM o WHERE doc % 4 > 0)
+SELECT doc, section, CAST(k AS INTEGER) AS split_page, v + CASE section WHEN 'company' THEN 1 ELSE 0 END AS salgsinntekt, CAST(NULL AS BIGINT) AS varekostnad, CASE section WHEN 'company' THEN CAST(k AS INTEGER) END AS note_antall_ansatte,
+CASE section WHEN 'company' THEN 'F' || k END AS rev_firma, CASE section WHEN 'company' THEN CAST(k AS INTEGER) END AS n_noter FROM r""")
+def answer_rows(spark, sf):
+    """Answers with both sections, one, none, and text that is no JSON."""
+    doc, k, v = F.col("o_orderkey"), (F.col("o_custkey") % 5).cast("string"), F.col("o_custkey")
+    brreg = F.when(doc % 3 > 0, F.concat(F.lit('"brreg": {"salgsinntekt": '), v, F.lit(', "varekostnad": "x"},'))).otherwise("")
+    company = F.when(doc % 4 > 0, F.concat(F.lit('"company": {"salgsinntekt": '), v + 1, F.lit("},"))).otherwise('"company": null,')
+    notes = F.concat(F.lit("["), F.array_join(F.array_repeat(F.lit('{"nr": "1"}'), k.cast("int")), ","), F.lit("]"))
+    answer = F.concat(F.lit('{"split": {"brreg_last_page": '), k, F.lit("},"), brreg, company, F.lit('"note_flags": {"antall_ansatte": '), k, F.lit('}, "revisjon": {"firma": "F'), k, F.lit('"}, "noter": '), notes, F.lit("}"))
+    a = table(spark, sf, "orders").select(doc.alias("doc"), F.when(doc % 11 == 10, "ikke json").otherwise(answer).alias("answer"))
+    return documents.answer_rows(a, ["doc"], {"salgsinntekt": "bigint", "varekostnad": "bigint"}, {"antall_ansatte": "int"}, {"firma": "string"})
+
+
+_HEIGHTS = [469, 575, 602, 635, 663, 693, 799, 828, 903, 933, 961, 1010, 1068, 1066, 1124, 1170, 1232, 1201, 1259, 40]
+
+
+def _cover_sql() -> str:
+    def at(y: int, low: int, high: int) -> str:
+        return f"nullif(trim(string_agg(text, ' ' ORDER BY x0, y0, text) FILTER (abs(y0 - {y}) < 15 AND x0 BETWEEN {low} AND {high})), '')"
+
+    def yes(c: str) -> str:
+        return f"CASE WHEN contains({c}, 'Ja') THEN true WHEN contains({c}, 'Nei') THEN false END"
+
+    cols = ", ".join(f"{at(*p)} AS {prefix}{k}" for prefix, places in (("s_", documents.STABLE), ("o_", documents.SINGLE), ("g_", documents.GROUP)) for k, p in places.items())
+    names = {"regnskapsregler": "regler", "representant": "representant", "dato_fastsettelse": "dato"}
+    both = ", ".join(f"CASE WHEN g THEN g_{k} ELSE o_{k} END AS {c}" for c, k in names.items())
+    return f"""WITH w AS (SELECT o_custkey AS doc, {_HEIGHTS}[o_orderkey % {len(_HEIGHTS)} + 1] + o_orderkey % 3 AS y0, 920 + o_orderkey % 430 AS x0,
+  CASE WHEN o_orderkey % {len(_HEIGHTS)} = 19 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'REGNSKAPSÅRET' ELSE CAST(2000 + o_orderkey % 20 AS VARCHAR) END WHEN o_orderkey % 7 = 0 THEN 'Ja' WHEN o_orderkey % 7 = 1 THEN 'Nei' WHEN o_orderkey % 31 = 5 THEN 'revideres' ELSE CAST(o_orderkey AS VARCHAR) END AS text FROM orders),
+a AS (SELECT doc, {cols}, bool_or(contains(text, 'revideres')) AS fravalgt_revisjon, min(CASE WHEN contains(text, 'REGNSKAPSÅRET') THEN (x0, y0) END) AS head FROM w GROUP BY doc),
+y AS (SELECT w.doc, min_by(text, (x0, y0, text)) AS year FROM w JOIN a USING (doc) WHERE abs(y0 - head[2]) < 10 AND x0 > head[1] + 9 AND regexp_full_match(text, '[0-9]+') GROUP BY w.doc),
+b AS (SELECT *, ({yes('g_morselskap')}) IS NOT NULL AS g FROM a)
+SELECT b.doc, regexp_replace(s_journalnr, ' ', '/') AS journalnr, replace(s_orgnr_ocr, ' ', '') AS orgnr_ocr, s_organisasjonsform AS organisasjonsform, s_foretaksnavn AS foretaksnavn,
+ nullif(trim(coalesce(s_adresse_1, '') || ' ' || coalesce(s_adresse_2, '')), '') AS forretningsadresse, CASE WHEN s_start_1 IS NULL THEN s_start_2 ELSE s_start_1 END AS periode_start, CASE WHEN s_start_1 IS NULL THEN s_slutt_2 ELSE s_slutt_1 END AS periode_slutt,
+ TRY_CAST(year AS INTEGER) AS regnskapsaar, CASE WHEN g THEN {yes('g_morselskap')} ELSE {yes('o_morselskap')} END AS morselskap_i_konsern, CASE WHEN g THEN {yes('g_vedlagt')} END AS konsernregnskap_vedlagt,
+ CASE WHEN g THEN {yes('g_smaa')} ELSE {yes('o_smaa')} END AS regler_smaa_foretak, {both}, fravalgt_revisjon FROM b LEFT JOIN y ON y.doc = b.doc"""
+
+
+@query(_cover_sql())
+def cover_by_position(spark, sf):
+    """Words that stand at the heights of both layouts, some between two fields."""
+    k = F.col("o_orderkey")
+    y0 = F.get(F.array(*map(F.lit, _HEIGHTS)), (k % len(_HEIGHTS)).cast("int")) + k % 3
+    head = F.when(k % 3 == 0, "REGNSKAPSÅRET").otherwise((2000 + k % 20).cast("string"))
+    text = F.when(k % len(_HEIGHTS) == 19, head).when(k % 7 == 0, "Ja").when(k % 7 == 1, "Nei").when(k % 31 == 5, "revideres").otherwise(k.cast("string"))
+    w = table(spark, sf, "orders").select(F.col("o_custkey").alias("doc"), y0.alias("y0"), (920 + k % 430).alias("x0"), (929 + k % 430).alias("x1"), text.alias("text"))
+    return documents.cover_by_position(w, "doc")
+
+
+@query("""WITH o AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS orgnr, CAST(year(o_orderdate) AS VARCHAR) AS y, CASE WHEN o_orderkey % 3 > 0 THEN '_v' || (o_orderkey % 3 + 1) ELSE '' END AS v, CASE WHEN o_orderkey % 2 = 0 THEN '_shard_' || (o_orderkey % 10) ELSE '' END AS s FROM orders)
+SELECT o_orderkey, unnest(['manifest' || s || '.parquet', 'checkpoint' || s || '.json', 'manifest-' || orgnr || '-' || y || '.parquet', 'regnskap/' || orgnr || '/regnskap_' || y || v || '.json', 'regnskap/' || orgnr || '/aarsregnskap_' || y || v || '.pdf',
+ 'entities/enheter_dump_' || y || '.json.gz', 'notes/' || orgnr || '/notes_' || y || '.json', 'notes/' || orgnr || '/ocr_' || y || '.txt', 'notes/' || orgnr || '/regnskap_' || y || '.json', 'notes/extractions.parquet', 'notes/regnskap_items.parquet',
+ 'orderflow/shard_' || (o_orderkey % 10) || '.parquet', 'metadata/etag.json', 'metadata/patch_cursor.json', 'coord/work_list.parquet', 'coord/cursor.json', 'holding']) AS path FROM o""")
+def path_layout(spark, sf):
+    o = table(spark, sf, "orders")
+    year, k = F.year("o_orderdate"), F.col("o_orderkey")
+    given = {"orgnr": F.col("o_custkey"), "year": year, "version": k % 3 + 1, "shard": F.when(k % 2 == 0, k % 10), "first": F.col("o_custkey"), "last": year, "date": year, "digit": k % 10}
+    every = [paths.path("", kind, **{n: c for n, c in given.items() if "{" + n + "}" in place}) for kind, place in paths.LAYOUT.items()]
+    return o.select("o_orderkey", F.explode(F.array(*(F.substring(p, 2, 1000) for p in every))).alias("path"))
+
+
+@query("SELECT CAST(s AS INTEGER) AS shard FROM range(10) AS t(s) WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id % 10 = s AND ts >= TIMESTAMP '2024-01-30 21:30:00')")
+def free_shards(spark, sf):
+    changed = table(spark, sf, "events").selectExpr("user_id % 10 as shard", "ts as modified")
+    return queue.free_shards(changed, F.expr("timestamp_ntz'2024-01-30 23:30:00'"))
+
+
+@query("SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS orgnr FROM lineitem")
+def accounts_to_fetch(spark, sf):
+    return commands.accounts_to_fetch(table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("orgnr")))
+
+
+@query("""WITH o AS (SELECT o_orderkey AS doc, o_custkey AS v FROM orders)
+SELECT doc, 'a' AS item, CAST(v AS DOUBLE) AS current, CASE WHEN doc % 2 = 0 THEN CAST(v + 1 AS DOUBLE) END AS prior FROM o UNION ALL SELECT doc, 'b', NULL, CAST(v + 2 AS DOUBLE) FROM o WHERE doc % 3 = 0""")
+def loaded_items(spark, sf):
+    doc, v = F.col("o_orderkey"), F.col("o_custkey")
+    body = F.concat(F.lit('{"orgnr": "1", "sections_found": "pnl", "a": '), v, F.when(doc % 2 == 0, F.concat(F.lit(', "a_prior": '), v + 1)).otherwise(""), F.when(doc % 3 == 0, F.concat(F.lit(', "b": null, "b_prior": "'), v + 2, F.lit('"'))).otherwise(""), F.lit("}"))
+    return statements.loaded_items(table(spark, sf, "orders").select(doc.alias("doc"), body.alias("value")), ["doc"])
+
+
+@query("SELECT event_id AS oppdateringsid, CAST(user_id AS VARCHAR) AS orgnr FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND event_type = 'signup'")
+def updates_since_date(spark, sf):
+    e = table(spark, sf, "events").select(
+        F.col("event_id").alias("oppdateringsid"), F.col("user_id").cast("string").alias("organisasjonsnummer"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("dato"), F.when(F.col("event_type") == "signup", "Ny").otherwise("Endring").alias("endringstype"),
+        F.array(F.struct(F.lit("replace").alias("op"), F.lit("/navn").alias("path"), F.lit("x").alias("value"))).alias("endringer"),
+    )
+    return changes.relevant_updates(changes.since_date(e, "2024-01-15")).select("oppdateringsid", "orgnr")

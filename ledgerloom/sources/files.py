@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import holding_name, parse_file_name
@@ -37,7 +37,7 @@ def years_of(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zip_members(spark: SparkSession, path: str, suffix: str = ".pdf") -> DataFrame:
-    """(archive, member, content) of ZIP archives, one member in memory at a time; broken archives and members give nothing."""
+    """(archive, member, content) of ZIP archives (up to 2 GB each, read whole), one member unpacked at a time; broken archives and members give nothing."""
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
 
     def run(batches):
@@ -58,19 +58,69 @@ def zip_members(spark: SparkSession, path: str, suffix: str = ".pdf") -> DataFra
     return archives.mapInPandas(run, "archive string, member string, content binary")
 
 
-def recognise(pdfs: DataFrame, client: Callable[[bytes], list[str]]) -> DataFrame:
-    """(path, page, text) from a recognition client that is made on the executors' side; what it cannot read has no pages."""
+def recognise(pdfs: DataFrame, make_client: Callable[[], Callable[[bytes], list[str]]], single_over: int = 0) -> DataFrame:
+    """(path, page, text) from a recognition client; what it cannot read has no pages.
+
+    ``make_client`` is called once for each partition, where it runs.  A text
+    that is alone counts only if it is longer than ``single_over`` characters.
+    """
 
     def run(batches):
+        client = make_client()
         for batch in batches:
             for path, raw in zip(batch["path"], batch["content"], strict=True):
                 pages = client(raw)
+                if pages and len(pages) == 1 and len(pages[0]) <= single_over:
+                    continue
                 if pages:
                     yield pd.DataFrame({"path": path, "page": range(1, len(pages) + 1), "text": pages})
 
     return pdfs.select("path", "content").mapInPandas(run, "path string, page int, text string")
 
 
+def recognise_images(images: DataFrame, make_client: Callable[[], Callable[[list[bytes]], list[str]]], size: int = 16) -> DataFrame:
+    """(path, page, text) of page images (path, page, image), sent ``size`` at a time; a page without an image has an empty text."""
+
+    def run(batches):
+        client = make_client()
+        for batch in batches:
+            some = batch["image"].notna()
+            texts = pd.Series("", index=batch.index)
+            rows = list(batch.index[some])
+            for at in range(0, len(rows), size):
+                part = rows[at : at + size]
+                texts[part] = client([batch["image"][k] for k in part])
+            yield pd.DataFrame({"path": batch["path"], "page": batch["page"], "text": texts})
+
+    return images.select("path", "page", "image").mapInPandas(run, "path string, page int, text string")
+
+
+def put_objects(objects: DataFrame, root: str) -> DataFrame:
+    """Write (path, content) under a root that all executors reach, each object beside its place first and then named; gives (path, size).
+
+    A task that runs again writes the same objects again.
+    """
+    def run(batches):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for path, raw in zip(batch["path"], batch["content"], strict=True):
+                to = f"{base}/{path}"
+                store.create_dir(to.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(f"{to}.part") as out:
+                    out.write(raw)
+                store.move(f"{to}.part", to)
+            yield pd.DataFrame({"path": batch["path"], "size": batch["content"].map(len)})
+
+    return objects.select("path", "content").mapInPandas(run, "path string, size long")
+
+
+def truncated(finish_reason: Column) -> Column:
+    """Whether a model stopped because its answer was too long."""
+    return F.coalesce(finish_reason == "MAX_TOKENS", F.lit(False))
+
+
 def split_pages(answers: DataFrame, keep: list[str], text: str = "text", mark: str = "---PAGE BREAK---") -> DataFrame:
     """Pages of an answer that holds them all, numbered from 1."""
     d = answers.select(*keep, F.posexplode(F.split(text, mark)).alias("page", "text"))

@@ -25,6 +25,14 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old}")
 
 
+def copy(spark: SparkSession, old: str, new: str) -> None:
+    """Copy an object; nothing happens if there is none."""
+    fs, p = _fs(spark, old)
+    if fs.exists(p):
+        to, q = _fs(spark, new)
+        spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, to, q, False, spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path; nothing happens if there is none."""
     fs, p = _fs(spark, path)
@@ -42,6 +50,9 @@ def publish(df: DataFrame, table: str) -> str:
     df.write.option("compression", "zstd").parquet(staged)
     have = versions(spark, table)
     path = f"{table}/v={(have[-1] if have else 0) + 1:010d}"
+    if exists(spark, path):  # another writer was first; a rename would move the snapshot into its folder
+        remove(spark, staged)
+        raise FileExistsError(f"{path} was published by another writer")
     rename(spark, staged, path)
     for old in have[:-1]:
         remove(spark, f"{table}/v={old:010d}")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.keys import keep_last, upsert
+from ..operators.keys import keep_last
 from ..sources.sinks import current, publish
 
 
@@ -18,17 +18,16 @@ def landed_json(spark: SparkSession, path: str, schema: str, files: int = 1000)
 
 
 def upsert_stream(stream: DataFrame, table: str, keys: list[str], order: str, checkpoint: str) -> StreamingQuery:
-    """Fold each batch into a published table: the latest row of a key replaces the table's.
+    """Fold each batch into a published table: the row of a key with the largest ``order``, of the table and the batch, stays.
 
-    A batch that runs twice after a failure changes nothing, as its rows
-    replace themselves.
+    A late batch with older rows changes nothing, nor does one that runs twice
+    after a failure.
     """
     spark = stream.sparkSession
 
     def fold(batch: DataFrame, _: int) -> None:
-        new = keep_last(batch, keys, order)
         old = current(spark, table)
-        publish(new if old is None else upsert(old, new, keys), table)
+        publish(keep_last(batch if old is None else old.unionByName(batch, allowMissingColumns=True), keys, order), table)
 
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

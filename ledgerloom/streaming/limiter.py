@@ -3,29 +3,48 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW_SECONDS, THRESHOLD = 90, 18
 
 
+def _recent(events: DataFrame, key: str, hit: Column, micros: int) -> DataFrame:
+    """``recent``: hits of a key within the last microseconds up to ``_t``, both ends included.
+
+    Time is cut in stretches of that length; a stretch sees its own events and
+    the hits of the one before, so no task needs more of a hot key than two.
+    """
+    d = events.withColumns({"_hit": F.coalesce(hit, F.lit(False)), "_own": F.lit(True), "_slot": F.expr(f"_t div {micros}")})
+    # the hits of the stretch before, counted by time
+    seen = d.where("_hit").groupBy(key, "_slot", "_t").agg(F.count("*").alias("_n"))
+    names = [c for c in d.columns if c not in (key, "_slot", "_t", "_own")]
+    before = seen.select(key, "_t", (F.col("_slot") + 1).alias("_slot"), F.col("_n"), F.lit(False).alias("_own"))
+    both = d.withColumn("_n", F.col("_hit").cast("long")).unionByName(before.select("*", *(F.lit(None).cast(dict(d.dtypes)[c]).alias(c) for c in names)))
+    w = Window.partitionBy(key, "_slot").orderBy("_t").rangeBetween(-micros, Window.currentRow)
+    return both.withColumn("recent", F.coalesce(F.sum("_n").over(w), F.lit(0))).where("_own").drop("_own", "_n", "_hit")
+
+
 def breaker(events: DataFrame, key: str, time: str, throttled: Column, seconds: int = WINDOW_SECONDS, threshold: int = THRESHOLD) -> DataFrame:
     """``recent``: throttles in the last seconds, both ends included; ``open``: the threshold was reached here or before."""
-    t = F.unix_micros(F.col(time).cast("timestamp"))
-    w = Window.partitionBy(key).orderBy("_t").rangeBetween(-seconds * 1_000_000, Window.currentRow)
-    d = events.withColumn("_t", t).withColumn("recent", F.count_if(throttled).over(w))
-    latch = Window.partitionBy(key).orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return d.withColumn("open", F.max((F.col("recent") >= threshold).cast("int")).over(latch) == 1).drop("_t")
+    d = _recent(events.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp"))), key, throttled, seconds * 1_000_000)
+    tripped = d.where(F.col("recent") >= threshold).groupBy(key).agg(F.min("_t").alias("_trip"))
+    return d.join(tripped, key, "left").withColumn("open", F.coalesce(F.col("_t") >= F.col("_trip"), F.lit(False))).drop("_t", "_trip", "_slot")
 
 
 def rates(events: DataFrame, key: str, time: str, success: Column, seconds: int = 60) -> DataFrame:
     """``run_rate`` since a key's first event and ``recent_rate`` over the last seconds (or since the first)."""
-    d = events.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
-    so_far = Window.partitionBy(key).orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last = Window.partitionBy(key).orderBy("_t").rangeBetween(-seconds * 1_000_000, Window.currentRow)
-    elapsed = F.greatest((F.col("_t") - F.min("_t").over(so_far)) / 1e6, F.lit(1e-3))
-    d = d.withColumns({"run_rate": F.count_if(success).over(so_far) / elapsed, "recent_rate": F.count_if(success).over(last) / F.least(F.lit(float(seconds)), elapsed)})
-    return d.drop("_t")
+    d = _recent(events.withColumns({"_t": F.unix_micros(F.col(time).cast("timestamp")), "_ok": F.coalesce(success, F.lit(False)).cast("long")}), key, success, seconds * 1_000_000)
+    # a key's sums by stretch, carried over the stretches before
+    slots = d.groupBy(key, "_slot").agg(F.sum("_ok").alias("_sum"), F.min("_t").alias("_from"))
+    past = Window.partitionBy(key).orderBy("_slot")
+    slots = slots.select(key, "_slot", F.coalesce(F.sum("_sum").over(past.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.min("_from").over(Window.partitionBy(key)).alias("_first"))
+    inside = Window.partitionBy(key, "_slot").orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_sum", F.sum("_ok").over(inside)).join(slots, [key, "_slot"])
+    elapsed = F.greatest((F.col("_t") - F.col("_first")) / 1e6, F.lit(1e-3))
+    d = d.withColumns({"run_rate": (F.col("_before") + F.col("_sum")) / elapsed, "recent_rate": F.col("recent") / F.least(F.lit(float(seconds)), elapsed)})
+    return d.drop("_t", "_ok", "_slot", "_sum", "_before", "_first", "recent")
 
 
 # The pacing of the collectors.
@@ -43,21 +62,36 @@ def next_rate(state: tuple[float, int, float], seconds: float, throttled: bool,
     return rate, streak, last
 
 
-def adaptive_rate(events: DataFrame, key: str, time: str, throttled: Column, max_rate: float, clean: int = CLEAN) -> DataFrame:
-    """(key, rate, streak) after all events of each key, by a fold over its ordered outcomes inside generated code."""
-    item = F.struct(F.col(time).alias("at"), (F.unix_micros(F.col(time).cast("timestamp")) / 1e6).alias("t"), throttled.alias("bad"))
-    ordered = events.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_e"))
-    start = F.struct(F.lit(float(max_rate)).alias("rate"), F.lit(0).alias("streak"), F.lit(-1e18).alias("last"))
+def adaptive_rate(events: DataFrame, key: str, time: str, throttled: Column, max_rate: float, clean: int = CLEAN, ties: list[str] = ()) -> DataFrame:
+    """(key, rate, streak) after all events of each key, folded in the order of time (then of ``ties``).
+
+    Keys are dealt out and sorted by Spark; a task folds its rows one after the
+    other with the state of one key in hand, however many events that has.
+    """
+    t = (F.unix_micros(F.col(time).cast("timestamp")) / 1e6).alias("t")
+    ordered = events.select(F.col(key).alias("key"), t, F.coalesce(throttled, F.lit(False)).alias("bad"), *ties).repartition("key").sortWithinPartitions("key", "t", *ties).select("key", "t", "bad")
+    kind = dict(events.dtypes)[key]
+
+    def run(batches):
+        now, state = None, None
+        for batch in batches:
+            out = []
+            for k, seconds, bad in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                if state is None or k != now:
+                    if state is not None:
+                        out.append((now, state[0], state[1]))
+                    now, state = k, (float(max_rate), 0, -1e18)
+                state = next_rate(state, seconds, bad, max_rate, clean)
+            if out:
+                yield _rates(out, batch.schema.field(0).type, key)
+        if state is not None:
+            yield _rates([(now, state[0], state[1])], batch.schema.field(0).type, key)
+
+    return ordered.mapInArrow(run, f"{key} {kind}, rate double, streak long")
 
-    def step(s: Column, e: Column) -> Column:
-        up = (s["rate"] < max_rate) & (s["streak"] + 1 >= clean) & (e["t"] - s["last"] >= COOLDOWN)
-        return F.struct(
-            F.when(e["bad"], F.greatest(F.lit(MIN_RATE), s["rate"] * CUT)).when(up, F.least(F.lit(float(max_rate)), s["rate"] + STEP)).otherwise(s["rate"]).alias("rate"),
-            F.when(e["bad"] | up, 0).otherwise(s["streak"] + 1).alias("streak"),
-            F.when(e["bad"], e["t"]).otherwise(s["last"]).alias("last"),
-        )
 
-    return ordered.select(key, F.aggregate("_e", start, step).alias("s")).select(key, "s.rate", F.col("s.streak").cast("long").alias("streak"))
+def _rates(rows: list[tuple], kind: pa.DataType, key: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (kind, pa.float64(), pa.int64()), strict=True)], [key, "rate", "streak"])
 
 
 def adaptive_rate_stream(events: DataFrame, key: str, time: str, bad: str, max_rate: float, clean: int = CLEAN) -> DataFrame:
@@ -65,8 +99,8 @@ def adaptive_rate_stream(events: DataFrame, key: str, time: str, bad: str, max_r
 
     def step(k, frames, state):
         now = state.get if state.exists else (float(max_rate), 0, -1e18)
-        for f in frames:
-            f = f.sort_values(time)
+        if frames := list(frames):  # a key's rows of one batch may come in several pieces
+            f = pd.concat(frames).sort_values(time, kind="stable")
             for t, b in zip(f[time].astype("int64") / 1e9 if str(f[time].dtype).endswith("[ns]") else f[time].astype("datetime64[ns]").astype("int64") / 1e9, f[bad], strict=True):
                 now = next_rate(now, float(t), bool(b), max_rate, clean)
         state.update(now)
