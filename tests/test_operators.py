@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import amounts, scalars
 from ledgerloom.operators import keys, pages, queue, ranking, statements, validation
 from ledgerloom.plans import commands
-from ledgerloom.sources import feed, files, sinks, tables
+from ledgerloom.sources import feed, files, sections, sinks, tables
 from ledgerloom.streaming import flows, limiter
 
 
@@ -201,3 +201,94 @@ def test_streams_agree_with_batch(spark, tmp_path):
     live = limiter.adaptive_rate_stream(stream, "k", "ts", "bad", 3.0, clean=3).writeStream.outputMode("update").format("memory").queryName("live").trigger(availableNow=True).start()
     live.awaitTermination(60)
     assert {r["k"]: round(r["rate"], 9) for r in spark.table("live").collect()} == plain
+
+
+def test_notes_amount_sign(spark):
+    """A minus among the first two characters makes an amount negative, one further on makes it none."""
+    sign = lambda c: amounts._plain(c)
+    assert [one(spark, t, sign) for t in ("-5 000", "- 5 000", "5-000", "5 0-0", "--7000")] == [-5000.0, -5000.0, None, None, -7000.0]
+
+
+def test_strict_time(spark):
+    assert one(spark, "2025-01-01T00:00:00Z", scalars.unix_strict) == 1735689600 and one(spark, None, scalars.unix_strict) is None
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE_TIMESTAMP"):
+        one(spark, "ukjent", scalars.unix_strict)
+
+
+def test_cover_fields(spark):
+    text = "REGNSKAPSÅRET 2021\nJournalnr 2022 123456\n01.01.2021 - 31.12.2021\nRegnskapslovens alminnelige regler\nDato for fastsettelse av\nregnskapet 30.06.2022. Skal ikke skal revideres"
+    r = one(spark, text, scalars.cover_fields)
+    assert (r["regnskapsaar"], r["periode_start"], r["periode_slutt"], r["regnskapsregler"], r["fravalgt_revisjon"], r["dato_fastsettelse"]) == (2021, "01.01.2021", "31.12.2021", "Regnskapslovens alminnelige regler", True, "30.06.2022")
+    assert one(spark, None, scalars.cover_fields)["fravalgt_revisjon"] is False
+
+
+def test_redaction_spares_amounts(spark):
+    assert one(spark, "id 01017012345 og 010170 12345, konto 1234.56.78901, orgnr 964118191, sum 123456789012, a.b@c.no", scalars.redact) == "id <number> og <number>, konto <number>, orgnr 964118191, sum 123456789012, <mail>"
+
+
+def test_footer_hash(spark):
+    page = np.full((100, 80), 255, np.uint8)
+    page[88:, :40] = 0
+    assert pages.footer_bits(page) & (2**64 - 1) == 0x0F0F0F0F0F0F0F0F
+    d = spark.createDataFrame([("a", 1, 80, 100, page.tobytes())], "doc string, page int, w int, h int, grey binary")
+    assert pages.footer_hashes(d).first()["hash"] == 0x0F0F0F0F0F0F0F0F
+
+
+def test_every_section_is_written_and_read(spark, tmp_path):
+    for name, columns in sections.SECTIONS.items():
+        rows = spark.createDataFrame([("0a", "1", "2020", {"x": 1})], "pdf_sha256_prefix string, orgnr string, year string, other map<string, int>")
+        sections.write_section(rows, f"file://{tmp_path}/store", name, "2025-01-02", "000102")
+        got = tables.read_section(spark, f"file://{tmp_path}/store", name)
+        assert got.columns == [*columns, "collection_date", "collection_time"] and got.first()["year"] == 2020 and got.first()["collection_time"] == "000102"
+
+
+def test_two_writers_do_not_mix(spark, tmp_path, monkeypatch):
+    t = f"file://{tmp_path}/t"
+    sinks.publish(spark.range(1), t)
+    monkeypatch.setattr(sinks, "versions", lambda *_: [])  # sees the table as it was before the other writer
+    with pytest.raises(FileExistsError):
+        sinks.publish(spark.range(2), t)
+    monkeypatch.undo()
+    assert sinks.current(spark, t).count() == 1
+    sinks.copy(spark, f"{t}/v=0000000001", f"{t}2")
+    sinks.copy(spark, f"{t}/none", f"{t}3")
+    assert spark.read.parquet(f"{t}2").count() == 1 and not sinks.exists(spark, f"{t}3")
+
+
+def test_late_rows_do_not_replace_newer_ones(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = flows.landed_json(spark, f"file://{tmp_path}/in", "k long, n long, x string", files=1)
+    for name, n, x in (("a", 5, "new"), ("b", 3, "old"), ("c", 5, "new")):
+        (tmp_path / "in" / f"{name}.json").write_text(json.dumps({"k": 1, "n": n, "x": x}) + "\n")
+        flows.upsert_stream(stream, f"file://{tmp_path}/out", ["k"], "n", f"file://{tmp_path}/cp").awaitTermination(60)
+        assert [(r["n"], r["x"]) for r in sinks.current(spark, f"file://{tmp_path}/out").collect()] == [(5, "new")]
+
+
+def test_recognition_and_objects(spark, tmp_path):
+    pdfs = spark.createDataFrame([("a", b"12"), ("b", b"1"), ("c", b"")], "path string, content binary")
+    got = files.recognise(pdfs, lambda: lambda raw: ["x" * 10] * len(raw), single_over=200).collect()
+    assert [(r["path"], r["page"]) for r in got] == [("a", 1), ("a", 2)]
+    images = spark.createDataFrame([("a", k, None if k == 3 else b"i") for k in range(1, 41)], "path string, page int, image binary").coalesce(1)
+    texts = {r["page"]: r["text"] for r in files.recognise_images(images, lambda: lambda batch: [str(len(batch))] * len(batch)).collect()}
+    assert texts[3] == "" and texts[1] == "16" and texts[40] == "7"
+    objects = spark.createDataFrame([("pdf/1_2020.pdf", b"abc"), ("json/1.json", b"{}")], "path string, content binary")
+    for _ in range(2):
+        assert {r["path"]: r["size"] for r in files.put_objects(objects, f"file://{tmp_path}/holding").collect()} == {"pdf/1_2020.pdf": 3, "json/1.json": 2}
+    assert (tmp_path / "holding/pdf/1_2020.pdf").read_bytes() == b"abc"
+
+
+def test_run_counters(spark):
+    rows = [("pdf", "success"), ("pdf", "failed"), ("json", "success"), ("pdf", "skipped")]
+    d, run = commands.counted(spark.createDataFrame(rows, "kind string, outcome string"))
+    assert d.count() == 4 and run.get == {"processed": 4, "success": 2, "failed": 1, "skipped": 1, "pdfs": 1, "jsons": 1}
+
+
+def test_throttle_windows_of_a_hot_key(spark):
+    """Against plain counting, with events at the edges of the stretches, ties and stretches without events."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [("hot", start + dt.timedelta(seconds=s), s % 3 == 0, n) for n, s in enumerate([0, 5, 5, 9, 10, 19, 20, 20, 30, 45, 46, 90, 99, 100, 110])]
+    d = spark.createDataFrame(rows, "k string, ts timestamp, bad boolean, n int")
+    got = {r["n"]: (r["recent"], r["open"]) for r in limiter.breaker(d, "k", "ts", F.col("bad"), seconds=10, threshold=3).collect()}
+    recent = {n: sum(b for _, u, b, _ in rows if t - dt.timedelta(seconds=10) <= u <= t) for _, t, _, n in rows}
+    opened = {n: any(recent[m] >= 3 for _, u, _, m in rows if u <= t) for _, t, _, n in rows}
+    assert got == {n: (recent[n], opened[n]) for n in recent}
