@@ -9,14 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANKS = r"[\s\x{00A0}]"
+BLANK_CHARS = " \t\n\x0b\f\r\u00a0"
 FIRST_YEAR, LAST_YEAR = 1990, 2030
 
 
 def _plain(raw: Column) -> Column:
     """Digits without blanks, negative if a minus is among the first two characters; else null."""
-    bare = F.trim(raw)
-    c = F.regexp_replace(F.regexp_replace(bare, "^-+", ""), BLANKS, "")
-    value = F.when(F.regexp_like(c, F.lit(r"^[0-9]+$")), c.try_cast("double"))
+    bare = F.trim(raw, F.lit(BLANK_CHARS))
+    c = F.translate(F.ltrim(bare, F.lit("-")), BLANK_CHARS, "")
+    value = F.when((c != "") & (F.translate(c, "0123456789", "") == ""), c.try_cast("double"))
     return F.when(F.contains(F.substring(bare, 1, 2), F.lit("-")), -value).otherwise(value)
 
 

@@ -121,9 +121,10 @@ def _before_table(text: Column, word: str) -> Column:
     """0-based place of the first occurrence that a table follows."""
     ahead = F.regexp_extract_all(text, F.lit(f"(?s)\\Q{word}\\E(?=(.{{0,{TABLE_AHEAD - len(word)}}}))"), F.lit(1))
     bars = TABLE_BARS - word.count("|")
+    some = F.contains(text, F.lit(word)) & (F.length(text) - F.length(F.replace(text, F.lit("|"), F.lit(""))) >= TABLE_BARS)
     nth = F.array_position(F.transform(ahead, lambda w: F.length(w) - F.length(F.replace(w, F.lit("|"), F.lit(""))) >= bars), True).cast("int")
     place = F.get(F.transform(F.array(nth), lambda k: F.when(k > 0, F.length(F.array_join(F.slice(F.split(text, f"\\Q{word}\\E"), F.lit(1), k), word)))), F.lit(0))
-    return F.when(F.contains(text, F.lit(word)), place)
+    return F.when(some, place)
 
 
 def section_start(low: Column, markers: list[str]) -> Column:
@@ -135,7 +136,7 @@ def section_start(low: Column, markers: list[str]) -> Column:
 def sections(docs: DataFrame, keys: list[str], markers: dict[str, list[str]] = SECTION_MARKERS) -> DataFrame:
     """One row for each section found: its start, its end (the next section's start) and its text."""
     starts = F.array(*(F.struct(F.lit(k).cast("int").alias("nth"), F.lit(s).alias("section"), section_start(F.col("_low"), m).alias("start")) for k, (s, m) in enumerate(markers.items())))
-    found = docs.select(*keys, "text", F.lower("text").alias("_low")).select(*keys, "text", F.filter(starts, lambda x: x["start"].isNotNull()).alias("_s")).select(*keys, "text", F.inline("_s"))
+    found = docs.select(*keys, "text", F.lower("text").alias("_low")).select(*keys, "text", F.inline_outer(starts)).where("start is not null")  # outer: a plain one has all starts worked out again in a filter before it
     w = Window.partitionBy(*keys).orderBy("start", "nth")
     found = found.withColumn("end", F.coalesce(F.lead("start").over(w), F.length("text")))
     return found.select(*keys, "section", "start", "end", F.expr("substring(text, start + 1, end - start)").alias("chunk"))
