@@ -210,8 +210,9 @@ def _linked(blocks: Blocks, percent: int) -> tuple[DataFrame, DataFrame]:
     star = star.where((F.col("a") != F.col("b")) & _possible(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = materialize(verify(star, nodes, percent).select("a", "b"), "ngram-links")
     groups = connected_components(links)
-    more = materialize(_across(nodes, groups, percent), "ngram-more")
-    discard(nodes, groups)
+    across, read = _across(nodes, groups, percent)
+    more = materialize(across, "ngram-more")
+    discard(nodes, groups, *read)
     whole = connected_components(links.union(more))
     discard(links, more)
     return sets, whole.select(F.col("v").alias("fp"), "comp")
@@ -234,8 +235,8 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.nullif("component_id", F.lit(int(NULL_ID))).alias("component_id"))
 
 
-def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Links between different groups, one for each document and group it is linked with.
+def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Links between different groups, one for each document and group it is linked with; and the written tables that they are read from.
 
     A pair that shares l tokens of its l-prefixes shares one of the prefixes
     for l = 1, so those tell which documents may be linked with which groups;
@@ -294,7 +295,7 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         return pa.table({"a": pa.array([f[0] for f in found], pa.string()), "b": pa.array([f[1] for f in found], pa.string())})
 
     left = held.select(share, "comp", "block", *sets).join(asked.select("comp", "block").distinct(), ["comp", "block"], "left_semi").select("share", "comp", "block", *sets)
-    return left.groupBy("share").cogroup(asked.select(share, "comp", "block", *sets).groupBy("share")).applyInArrow(meet, "a string, b string")
+    return left.groupBy("share").cogroup(asked.select(share, "comp", "block", *sets).groupBy("share")).applyInArrow(meet, "a string, b string"), [member, asked]
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

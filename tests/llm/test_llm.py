@@ -476,15 +476,81 @@ def test_trained_operators_take_nulls(spark):
     assert quality.score(docs, labels).count() == docs.count()
 
 
+def plain_links(sets):
+    """component (smallest id) of each id whose set is not empty, by comparing all pairs."""
+    comp = {i: i for i in sets}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            if comp[a] != comp[b]:
+                comp[a] = comp[b] = min(comp[a], comp[b])
+                changed = True
+    return comp
+
+
+def plain_words(pattern, text):
+    return re.findall(pattern, "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
 def test_pipeline(spark):
+    """The last three filters and the tokens by brute force, from what the classifier keeps."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    import sentencepiece
+
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, DATA).collect()}
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r["doc_id"]: r["text"] or "" for r in quality.keep_good(docs, labels).collect()}
+    w = {i: plain_words("[^ \t-\r]+", t) for i, t in texts.items()}
+    comp = plain_links({i: {tuple(x[k : k + 5]) for k in range(max(1, len(x) - 4))} if x else set() for i, x in w.items()})
+    one = {i: t.encode() for i, t in texts.items() if comp[i] == i}
+    first = {}
+    for i in sorted(one):
+        for k in range(len(one[i]) - 49):
+            first.setdefault(one[i][k : k + 50], i)
+    cut = {}
+    for i, raw in one.items():
+        gone = np.zeros(len(raw), bool)
+        for k in range(len(raw) - 49):
+            if first[raw[k : k + 50]] < i:
+                gone[k : k + 50] = True
+        text = np.frombuffer(raw, np.uint8)[~gone].tobytes().decode("utf-8", "ignore")
+        if text or not raw:
+            cut[i] = text
+    grams = set()
+    for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect():
+        x = plain_words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r["text"])
+        grams |= {tuple(x[k : k + min(13, len(x))]) for k in range(max(1, len(x) - 12)) if x}
+    m = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = {}
+    for i, text in cut.items():
+        x, hit = plain_words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text), set()
+        for n in {len(g) for g in grams}:
+            for k in range(len(x) - n + 1):
+                if tuple(x[k : k + n]) in grams:
+                    hit |= set(range(k, k + n))
+        if not (hit and 20 * len(hit) >= len(x)):
+            ids = m.encode(text)
+            want[i] = (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert len(want) < len(texts) and got == want
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Null and equal ids, null, empty and repeated texts, and columns of other names in every stage."""
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    out = corpus_pipeline.run(spark, DATA)
-    ids = [r["doc_id"] for r in out.select("doc_id").collect()]
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    labels = spark.read.parquet(f"{DATA}/labels.parquet")
-    good = quality.keep_good(docs, labels)
-    comp = ngram_join.link_components(good).where("doc_id = component_id")
-    one = good.join(comp.select("doc_id"), "doc_id", "left_semi")
-    cut = suffix_dedup.dedup_texts(one).where("text <> ''")
-    clean = decontamination.verdicts(cut, spark.read.parquet(f"{DATA}/benchmark.parquet")).where("not contaminated")
-    assert len(ids) == len(set(ids)) and sorted(ids) == sorted(r["doc_id"] for r in clean.select("doc_id").collect())
+    item = " ".join(f"q{k}" for k in range(30))
+    rows = [(-1, "one text of its own, number one"), (-1, "another text, and not the same"), (7, "a third text under seven"), (7, "a fourth text under seven"), (7, "a fourth text under seven"), (-1, item), (8, item + " " + item), (9, None), (9, ""), (10, "x" * 100), (11, "x" * 100 + " tail of its own")]
+    docs = docs_of(spark, rows).repartition(3)
+    spark.createDataFrame([(None, 1), (7, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == corpus_pipeline.COLUMNS
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert got == Counter([(None, rows[0][1]), (None, rows[1][1]), (7, rows[2][1]), (7, rows[3][1]), (9, None), (9, ""), (10, "x" * 100), (11, " tail of its own")])
+    assert corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path)).count() == 8
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
