@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import amounts, paths, scalars
 from ..operators import audit, changes, documents, keys, pages, queue, ranking, statements, validation
-from ..sources import sections
+from ..sources import sections, tables
 from ..streaming import limiter
 from . import commands
 
@@ -498,8 +498,7 @@ def template_match(spark, sf):
 SELECT doc, field, string_agg(text, ' ' ORDER BY x0, text) AS value FROM w JOIN b ON abs(y0 - y) < 15 AND x0 BETWEEN x_from AND x_to GROUP BY ALL""")
 def words_in_box(spark, sf):
     w = table(spark, sf, "orders").selectExpr("o_custkey as doc", "o_orderkey % 100 as y0", "o_orderkey % 977 as x0", "cast(o_orderkey as string) as text")
-    boxes = spark.createDataFrame([("name", 20, 100, 500), ("year", 60, 0, 300)], "field string, y long, x_from long, x_to long")
-    return pages.words_in_box(w, boxes, "doc")
+    return pages.words_in_box(w, [("name", 20, 100, 500), ("year", 60, 0, 300)], "doc")
 
 
 # Texts ---------------------------------------------------------------------------------
@@ -775,3 +774,59 @@ def updates_since_date(spark, sf):
         F.array(F.struct(F.lit("replace").alias("op"), F.lit("/navn").alias("path"), F.lit("x").alias("value"))).alias("endringer"),
     )
     return changes.relevant_updates(changes.since_date(e, "2024-01-15")).select("oppdateringsid", "orgnr")
+
+
+@query("""SELECT o_orderkey, CAST(epoch(make_timestamp(1990 + o_custkey % 40, 1, 1, 0, 0, 0)) AS BIGINT) AS year_start, strftime(o_orderdate, '%Y-%m-%d') AS collection_date, strftime(o_orderdate + INTERVAL (o_custkey) SECOND, '%H%M%S') AS collection_time,
+CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN '20' || lpad(CAST(o_custkey % 30 AS VARCHAR), 2, '0') || '-03-04' ELSE '2030-01-01' END AS cursor, CASE o_custkey % 4 WHEN 0 THEN true WHEN 1 THEN false END AS yes,
+'{"a":' || CASE WHEN o_custkey % 2 = 0 THEN 'null' ELSE CAST(o_custkey AS VARCHAR) END || ',"b":"x"}' AS unfenced, CAST(100000000 + o_custkey AS VARCHAR) AS orgnr, CAST(2000 + o_orderkey % 20 AS INTEGER) AS year FROM orders""")
+def small_functions(spark, sf):
+    """Times, cursors, yes and no, fences, JSON with nulls kept, and names of files in archives."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    o = table(spark, sf, "orders").withColumn("ts", F.col("o_orderdate") + F.make_interval(secs=c))
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    dump = F.concat(F.lit("20"), F.lpad((c % 30).cast("string"), 2, "0"), F.lit("0304"))
+    cursor = scalars.cursor_date(F.when(k % 3 == 0, iso).otherwise("ukjent"), F.when(k % 3 == 1, dump).otherwise("ukjent"), F.expr("timestamp'2030-01-01 00:00:00'"))
+    answer = scalars.encode_json(F.struct(F.when(c % 2 != 0, c).alias("a"), F.lit("x").alias("b")))
+    number, year = (100_000_000 + c).cast("string"), (2000 + k % 20).cast("string")
+    name = F.when(k % 2 == 0, F.concat(F.lit("x/aarsregnskap_"), year, F.lit("_"), number, F.lit(".PDF"))).otherwise(F.concat(F.lit("KopiAvAarsregnskap_"), number, F.lit("_"), year, F.lit(".pdf")))
+    said = F.get(F.array(F.lit("Ja"), F.lit(" Nei "), F.lit("?"), F.lit(None).cast("string")), (c % 4).cast("int"))
+    date, hour = scalars.stamps(F.col("ts"))
+    return o.select("o_orderkey", scalars.year_start((1990 + c % 40).cast("int")).alias("year_start"), date, hour, F.date_format(cursor, "yyyy-MM-dd").alias("cursor"), scalars.yes_no(said).alias("yes"),
+                    scalars.unfence(F.concat(F.lit("```json\n"), answer, F.lit("\n```"))).alias("unfenced"), scalars.parse_file_name(name)["orgnr"].alias("orgnr"), scalars.parse_file_name(name)["year"].alias("year"))
+
+
+@query("""SELECT o_orderkey AS doc, CAST(coalesce(n, 0) AS BIGINT) AS n_notes, CAST(coalesce(m, 0) AS BIGINT) AS n_with_amounts FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_linenumber > 3) AS m
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY 1) ON l_orderkey = o_orderkey""")
+def note_counts(spark, sf):
+    amounts_ = F.when(F.col("l_linenumber") > 3, F.create_map(F.lit("a"), F.lit(1))).otherwise(F.expr("map()").cast("map<string, int>"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct().groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", amounts_.alias("amounts"))).alias("notes"))
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc"))
+    counts = validation.note_counts(o.join(li, o["doc"] == li["l_orderkey"], "left"), "doc")
+    return counts.select("doc", F.col("n_notes").cast("long").alias("n_notes"), F.col("n_with_amounts").cast("long").alias("n_with_amounts"))
+
+
+@query("""WITH w AS (SELECT l_orderkey AS doc, l_returnflag AS item, CAST(max(l_quantity) AS DOUBLE) AS current, CAST(max(l_tax) AS DOUBLE) AS prior FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY ALL) SELECT * FROM w""")
+def wide_to_long(spark, sf):
+    items = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_returnflag").alias("item"), F.col("l_quantity").alias("current"), F.col("l_tax").alias("prior"))
+    return statements.long_items(statements.wide_items(items, ["doc"], ["A", "R"]), ["doc"], ["A", "R"])
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0")
+def entities_with_accounts(spark, sf):
+    c = table(spark, sf, "customer").withColumn("sisteInnsendteAarsregnskap", F.when(F.col("c_custkey") % 3 == 0, "2021").when(F.col("c_custkey") % 3 == 1, ""))
+    return changes.entities_with_accounts(c).select("c_custkey")
+
+
+@query(f"""WITH {M}, t AS (SELECT orgnr, version, pdf_hash FROM ok JOIN customer ON CAST(c_custkey AS VARCHAR) = orgnr WHERE year = 2017 AND c_mktsegment = 'BUILDING')
+SELECT orgnr, version FROM t WHERE NOT EXISTS (SELECT 1 FROM part WHERE md5(CAST(p_partkey * 3 AS VARCHAR))[1:16] = pdf_hash[1:16])""")
+def extraction_targets(spark, sf):
+    e = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("orgnr"), F.col("c_mktsegment").alias("segment"))
+    done = table(spark, sf, "part").select(F.substring(F.md5((F.col("p_partkey") * 3).cast("string")), 1, 16).alias("pdf_sha256_prefix"))
+    return commands.extraction_targets(manifest(spark, sf), e, done, 2017, ["BUILDING"]).select("orgnr", "version")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY rank() OVER (PARTITION BY l_partkey ORDER BY strftime(l_shipdate, '%Y-%m-%d') DESC, lpad(CAST(l_linenumber AS VARCHAR), 6, '0') DESC) = 1""")
+def latest_collection(spark, sf):
+    """Of each content all rows of its last run."""
+    runs = table(spark, sf, "lineitem").withColumns({"collection_date": F.date_format("l_shipdate", "yyyy-MM-dd"), "collection_time": F.lpad(F.col("l_linenumber").cast("string"), 6, "0")})
+    return tables.latest_collection(runs, ["l_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey")
