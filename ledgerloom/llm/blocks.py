@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 #: Stands for a null id inside blocks; it sorts after all others.
 NULL_ID = np.int64(2**63 - 1)
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 BLOCK_SCHEMA = "bid int, ids binary, lens binary, data binary, rest binary"
 NULL = "__text_is_null"
@@ -121,7 +121,7 @@ class Pieces:
 
 
 def write_blocks(docs: DataFrame, carried: list[str] | None = None) -> Blocks:
-    """Write ``docs`` (doc_id, text and the carried columns) as a bucketed table of packed pieces of about 2 MB of text; no shuffle.
+    """Write ``docs`` (doc_id, text and the carried columns) as a bucketed table of packed pieces of about 1 MB of text; no shuffle.
 
     Null texts are empty; null ids become NULL_ID.  ``rest`` holds the carried
     columns of a piece's rows, so whole rows can come out again without a join.

@@ -24,7 +24,7 @@ from .shared import ROW, materialize, read_table, row_key
 N = 13
 #: Benchmark text in one broadcast (about six times as much memory); a larger benchmark is scanned slice by slice.
 SLICE_BYTES = 16 << 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _SPANS = "spans array<struct<begin: long, end: long>>, items array<string>"
 _BASE = np.uint64(0x9E3779B97F4A7C15)

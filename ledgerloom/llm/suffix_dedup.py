@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .blocks import NULL, NULL_ID, answer, combine, join_blobs, mix, pack_array, ranges, split_blobs, unpack_array, write_blocks
+from .blocks import NULL, NULL_ID, answer, combine, join_blobs, mix, pack_array, ranges, release, split_blobs, unpack_array, write_blocks
 from .shared import materialize, read_table
 
 DEPTH = 50
@@ -193,6 +193,7 @@ class _State:
             joined.append(np.concatenate(c) if c else np.zeros(0, t))
             c.clear()
         self.first, self.count, self.doc, self.key = joined
+        release()
 
     def windows(self, at: np.ndarray, *seeds: int) -> list[np.ndarray]:
         """Window hashes at sorted or unsorted positions of the block."""
@@ -228,6 +229,7 @@ def _pass2(st: _State, reply: dict, n: int):
     (head,), (tail,) = st.windows(st.first[live], 1), st.windows(st.first[live] + st.count[live] - 1, 2)
     digit = combine(head, tail, st.count[live].astype(np.uint64), seed=3)
     keys, least, group = _local_min(st.doc[live], st.key[live], digit)
+    release()
     return live, keys, least, group
 
 
@@ -241,6 +243,7 @@ def _pass3(st: _State, reply1: dict, reply2: dict, n: int):
     doc = np.repeat(st.doc[still], nth)
     h1, h2 = st.windows(at, 4, 5)
     keys3, least3, group3 = _local_min(doc, h1, h2)
+    release()
     return live[gone], at, doc, keys3, least3, group3
 
 
