@@ -228,15 +228,18 @@ def ranges(sorted_hashes: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     return [(int(bucket[a]), int(a), int(b)) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def answer(messages: DataFrame, fn: Callable) -> DataFrame:
-    """For each bucket: ``fn([blob, ...]) -> [reply, ...]`` in the same order, one for each block that sent."""
+def answer(messages: DataFrame, n_ranges: int, fn: Callable) -> DataFrame:
+    """For each bucket: ``fn([blob, ...]) -> [reply, ...]`` in the same order, one for each block that sent.
+
+    Partitions grow with the ranges, whatever the session's number is.
+    """
 
     def body(table: pa.Table) -> pa.Table:
         replies = fn(table["blob"].to_pylist())
         release()
         return pa.table({"bid": table["bid"], "bucket": table["bucket"], "blob": pa.chunked_array([pa.array(replies, pa.binary())])})
 
-    return messages.groupBy("bucket").applyInArrow(body, MESSAGE_SCHEMA)
+    return messages.repartition(max(1, n_ranges // 2), "bucket").groupBy("bucket").applyInArrow(body, MESSAGE_SCHEMA)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

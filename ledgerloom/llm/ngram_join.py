@@ -143,7 +143,7 @@ def candidate_sets(blocks: Blocks, percent: int = PERCENT) -> DataFrame:
         for bucket, a, b in ranges(st.tokens, n):
             yield bucket, join_blobs([pack_array(st.tokens[a:b], is_sorted=True), pack_array(st.count[a:b].astype(np.uint64))])
 
-    replies = materialize(answer(blocks.scatter(send), _frequencies), "ngram-df")
+    replies = materialize(answer(blocks.scatter(send), n, _frequencies), "ngram-df")
 
     def rows(bid, pieces, got):
         st = _Sets(pieces)
@@ -260,7 +260,8 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> tuple[DataFram
     asked = materialize(asked.join(member.select(*sets), "v").select(F.col("to").alias("comp"), "block", *sets), "ngram-probes")
     # shares grow with the sets on both sides
     size = asked.agg(F.coalesce(F.sum(F.octet_length("core")), F.lit(0))).first()[0] + nodes.agg(F.coalesce(F.sum(F.octet_length("core")), F.lit(0))).first()[0]
-    share = F.pmod(F.hash("comp", "block"), F.lit(max(64, size // SHARE_BYTES))).alias("share")
+    shares = max(64, size // SHARE_BYTES)
+    share = F.pmod(F.hash("comp", "block"), F.lit(shares)).alias("share")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[str, str]] = []
@@ -295,7 +296,9 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> tuple[DataFram
         return pa.table({"a": pa.array([f[0] for f in found], pa.string()), "b": pa.array([f[1] for f in found], pa.string())})
 
     left = held.select(share, "comp", "block", *sets).join(asked.select("comp", "block").distinct(), ["comp", "block"], "left_semi").select("share", "comp", "block", *sets)
-    return left.groupBy("share").cogroup(asked.select(share, "comp", "block", *sets).groupBy("share")).applyInArrow(meet, "a string, b string"), [member, asked]
+    right = asked.select(share, "comp", "block", *sets)
+    left, right = (d.repartition(shares // 2, "share").groupBy("share") for d in (left, right))  # partitions grow with the shares
+    return left.cogroup(right).applyInArrow(meet, "a string, b string"), [member, asked]
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -285,9 +285,9 @@ def repeated_bytes(docs: DataFrame, rows_of, schema: str, carried: list[str] | N
         _, _, _, keys, least, _ = _pass3(_State(pieces), got[0], got[1], n)
         yield from _send(keys, least, n)
 
-    r1 = materialize(answer(blocks.scatter(send1), _in_many), "suffix-1")
-    r2 = materialize(answer(blocks.scatter(send2, r1), lambda b: _before(b, split_keys=True)), "suffix-2")
-    r3 = materialize(answer(blocks.scatter(send3, r1, r2), lambda b: _before(b, split_keys=False)), "suffix-3")
+    r1 = materialize(answer(blocks.scatter(send1), n, _in_many), "suffix-1")
+    r2 = materialize(answer(blocks.scatter(send2, r1), n, lambda b: _before(b, split_keys=True)), "suffix-2")
+    r3 = materialize(answer(blocks.scatter(send3, r1, r2), n, lambda b: _before(b, split_keys=False)), "suffix-3")
 
     def finish(bid, pieces, got):
         return pa.concat_tables([rows_of(pieces.rest(k) if carried is not None else None, *piece) for k, piece in enumerate(covered(_State(pieces), *got, n))])
