@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from .shared import discard, materialize
 
 
+SALTS = 16
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
+    """Left join by ``key``, unique in ``right``; rows of a hot key are dealt to SALTS tasks by their ``spread``."""
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    return dealt.join(right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [key, "_salt"], "left").drop("_salt")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(v, comp) of every end of an edge (a, b); comp is the smallest v of the component."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()

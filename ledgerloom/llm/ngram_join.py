@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import NULL, NULL_ID, Blocks, answer, combine, join_blobs, mix, pack_array, ranges, split_blobs, unpack_array, write_blocks
-from .components import connected_components
+from .components import connected_components, join_hot
 from .shared import discard, materialize, read_table
 
 WORDS = 5
@@ -230,7 +230,8 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     least = F.min(F.coalesce("doc_id", F.lit(int(NULL_ID)))).alias("k")
     members = sets.where("n > 0").groupBy("fp").agg(least).join(groups, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
     members = materialize(members, "ngram-members")
-    of = members.select("fp", "comp").join(members.groupBy("comp").agg(F.min("k").alias("component_id")), "comp").select("fp", "component_id")
+    several = members.groupBy("comp").agg(F.min("k").alias("first"), F.count("*").alias("many")).where("many > 1").drop("many")
+    of = join_hot(members, several, "comp", "fp").select("fp", F.coalesce("first", "k").alias("component_id"))
     found = sets.select("doc_id", F.col("n").alias("n_shingles"), "fp").join(of, "fp", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return found.select("doc_id", "n_shingles", F.nullif("component_id", F.lit(int(NULL_ID))).alias("component_id"))
 
@@ -253,10 +254,10 @@ def _across(nodes: DataFrame, groups: DataFrame, percent: int) -> tuple[DataFram
     b = sizes.select("token", F.col("comp").alias("to"), "most_core", "least_n")
     possible = (100 + percent) * F.least("n_core", "most_core") >= percent * (F.col("n") + F.col("least_n"))
     probes = a.join(b, "token").where((F.col("comp") != F.col("to")) & ((F.col("to") == F.col("top")) | (F.col("comp") < F.col("to"))) & possible).select("v", "to").distinct()
-    blocks = member.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    held = member.join(blocks, "comp").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    blocks = member.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    held = join_hot(member, blocks, "comp", "v").withColumn("block", F.pmod(F.xxhash64("v"), F.coalesce("blocks", F.lit(1))).cast("int"))
     sets = ["v", "n", "core", "prefix", "matches"]
-    asked = probes.join(blocks.withColumnRenamed("comp", "to"), "to").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = join_hot(probes, blocks.withColumnRenamed("comp", "to"), "to", "v").withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
     asked = materialize(asked.join(member.select(*sets), "v").select(F.col("to").alias("comp"), "block", *sets), "ngram-probes")
     # shares grow with the sets on both sides
     size = asked.agg(F.coalesce(F.sum(F.octet_length("core")), F.lit(0))).first()[0] + nodes.agg(F.coalesce(F.sum(F.octet_length("core")), F.lit(0))).first()[0]
@@ -313,7 +314,8 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     place = F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("id"), "bid", "nth")
     named = sets.where("n > 0").select("fp", place.alias("at"))
     of_set = materialize(named.groupBy("fp").agg(F.min("at").alias("first")).join(groups, "fp", "left").select("fp", F.coalesce("comp", "fp").alias("comp"), "first"), "ngram-firsts")
-    first = of_set.select("fp", "comp").join(of_set.groupBy("comp").agg(F.min("first").alias("first")), "comp").select("fp", "first")
+    several = of_set.groupBy("comp").agg(F.min("first").alias("least"), F.count("*").alias("many")).where("many > 1").drop("many")
+    first = join_hot(of_set, several, "comp", "fp").select("fp", F.coalesce("least", "first").alias("first"))
     gone = named.join(first, "fp").where(F.col("at") != F.col("first")).groupBy(F.col("at.bid").alias("bid")).agg(F.collect_list("at.nth").alias("gone"))  # places of one block
     gone = gone.select("bid", F.lit(0).alias("bucket"), F.encode(F.array_join(F.col("gone").cast("array<string>"), ","), "UTF-8").alias("blob"))
     gone = materialize(gone, "ngram-gone")
