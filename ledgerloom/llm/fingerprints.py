@@ -124,7 +124,7 @@ def with_next(docs: DataFrame, key: str, carry: list[str]) -> DataFrame:
     first = ranged.join(F.broadcast(heads), ["_range", "_k"]).withColumn("_n", F.row_number().over(Window.partitionBy("_range").orderBy(*carry))).where("_n = 1")
     ghosts = first.select(*docs.columns, "_k", F.col("_to").alias("_range"), F.lit(True).alias("_ghost"))
     w = Window.partitionBy("_range").orderBy("_ghost", F.desc("_k"), *carry)
-    both = ranged.withColumn("_ghost", F.lit(False)).unionByName(ghosts)
+    both = ranged.withColumn("_ghost", F.lit(False)).unionByName(ghosts).repartition(n // 2, "_range")  # partitions grow with the ranges
     return both.withColumns({f"next_{c}": F.lead(c).over(w) for c in carry}).where("not _ghost").drop("_k", "_range", "_ghost")
 
 
