@@ -29,7 +29,7 @@ BLOCK_BYTES = 1 << 20
 #: The dictionary is trained on this many documents (smallest hash of doc_id), PIECES stretches of PIECE_IDS ids spread over each.
 SAMPLE_DOCS, PIECES, PIECE_IDS, DICT_BYTES = 512, 4, 1024, 64 << 10
 #: Distinct words and letter runs whose ids a Python worker remembers; then it forgets them all.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 600_000
 
 FRAME_SCHEMA = "doc_id long, n_tokens long, frame binary"
 BLOCK_SCHEMA = "shard int, block int, first_id long, last_id long, dict_sha256 string, total long, doc_ids binary, counts binary, offsets binary, frames binary"
