@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, html_text, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_output, toxicity, warc
+from . import decontamination, fingerprints, html_text, importance, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_output, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_sentencepiece": sentencepiece_codec.op8_sentencepiece,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_quality": quality.op10_quality,
+        "op11_importance": importance.op11_importance,
     }
 
 
@@ -27,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": warc.ORACLE_SQL,
         "op3_suffix_dedup": suffix_dedup.ORACLE_SQL,
         "op6_ngram_join": ngram_join.ORACLE_SQL,
+        "op11_importance": importance.ORACLE_SQL,
     }
