@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, html_text, importance, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_output, toxicity, warc
+from . import decontamination, fingerprints, html_text, importance, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_output, toxicity, warc, whitening
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_quality": quality.op10_quality,
         "op11_importance": importance.op11_importance,
+        "op12_whitening": whitening.op12_whitening,
     }
 
 

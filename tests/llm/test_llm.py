@@ -44,7 +44,7 @@ def test_same_as_sql(spark, same_as_sql, name):
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_empty_tables(spark, tmp_path, name):
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         spark.read.parquet(f"{DATA}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert registry.queries()[name](spark, str(tmp_path)).count() == 0
 
