@@ -20,6 +20,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import remove, shared_dir
+
 #: Stands for a null id inside blocks; it sorts after all others.
 NULL_ID = np.int64(2**63 - 1)
 PIECE_BYTES = 1 << 20
@@ -45,19 +48,45 @@ def release() -> None:
         pass
 
 
+class Bucketed(NamedTuple):
+    """A table dealt into buckets, in the folder that the driver and all executors share."""
+
+    spark: SparkSession
+    table: str
+    path: str
+
+    def frame(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+    def drop(self) -> None:
+        """Delete the table; nothing that is still to be computed may read it."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        remove(self.spark, self.path)
+
+
+def write_bucketed(rows: DataFrame, n: int, key: str) -> Bucketed:
+    spark = rows.sparkSession
+    if n > int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(n))
+    table = f"blocks_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{table}"
+    rows.write.format("parquet").option("compression", "none").option("path", path).bucketBy(n, key).saveAsTable(table)
+    return Bucketed(spark, table, path)
+
+
 class Blocks:
     """The bucketed table, its number of buckets, and the number of hash ranges used in rounds."""
 
-    def __init__(self, spark: SparkSession, table: str, n_blocks: int):
-        self.spark, self.table, self.n_blocks = spark, table, n_blocks
+    def __init__(self, bucketed: Bucketed, n_blocks: int):
+        self.bucketed, self.n_blocks = bucketed, n_blocks
         self.n_ranges = max(64, 2 * n_blocks)
 
     def frame(self) -> DataFrame:
-        return self.spark.table(self.table)
+        return self.bucketed.frame()
 
     def drop(self) -> None:
         """Delete the table; nothing that is still to be computed may read it."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        self.bucketed.drop()
 
     def scatter(self, fn: Callable, *replies: DataFrame) -> DataFrame:
         """``fn(pieces, replies) -> iterable of (bucket, blob)`` for each block."""
@@ -130,8 +159,6 @@ def write_blocks(docs: DataFrame, carried: list[str] | None = None) -> Blocks:
     others = [F.col(c) for c in carried] + [F.col("text").isNull().alias(NULL)] if carried is not None else []
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NULL_ID))).alias("__id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"), *others)
     n = max(1, rows.rdd.getNumPartitions())
-    if n > int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
-        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(n))
     # an id for each bucket, such that ids of different partitions meet in different buckets
     found = spark.range(32 * n).select(F.col("id").cast("int").alias("b")).groupBy(F.expr(f"pmod(hash(b), {n})").alias("k")).agg(F.min("b").alias("b")).orderBy("k").collect()
     bids = [r["b"] for r in found]
@@ -181,9 +208,7 @@ def write_blocks(docs: DataFrame, carried: list[str] | None = None) -> Blocks:
         if ids:
             yield flush()
 
-    table = f"blocks_{uuid.uuid4().hex}"
-    rows.mapInArrow(pack, BLOCK_SCHEMA).write.format("parquet").option("compression", "none").bucketBy(n, "bid").saveAsTable(table)
-    return Blocks(spark, table, n)
+    return Blocks(write_bucketed(rows.mapInArrow(pack, BLOCK_SCHEMA), n, "bid"), n)
 
 
 # Sorted arrays as bytes ------------------------------------------------------

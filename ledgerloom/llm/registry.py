@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, html_text, importance, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_output, toxicity, warc, whitening
+from . import context_mixing, decontamination, fingerprints, html_text, importance, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_output, toxicity, warc, whitening
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_quality": quality.op10_quality,
         "op11_importance": importance.op11_importance,
         "op12_whitening": whitening.op12_whitening,
+        "op13_context_mixing": context_mixing.op13_context_mixing,
     }
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import discard, materialize, shared_dir
+from ..sources.sinks import remove
 
-__all__ = ["ROW", "discard", "materialize", "read_table", "row_key", "sample_by_hash", "shared_dir"]
+__all__ = ["ROW", "discard", "materialize", "read_table", "remove", "row_key", "sample_by_hash", "shared_dir"]
 
 #: Name of a column with ``row_key``.
 ROW = "__row_key"
