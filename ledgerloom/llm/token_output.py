@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 import uuid
 import zlib
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize, read_table, shared_dir
+from .shared import discard, materialize, read_table, shared_dir
 
 END_ID = 1
 BLOCK_BYTES = 1 << 20
@@ -42,6 +43,12 @@ _WORD = re.compile(rf"({_MARKS})([^\W\d_]+)({_MARKS})")
 JOINED = 512
 
 
+@cache
+def _stays_letter(c: str) -> bool:
+    """Whether the tokenizer sees one letter whatever stands beside it."""
+    return unicodedata.category(c)[0] == "L" and all(len(x) == 1 and unicodedata.category(x)[0] == "L" for x in (c.lower(), unicodedata.normalize("NFC", c), unicodedata.normalize("NFC", c.lower())))
+
+
 class Encoder:
     """Ids as little-endian bytes.
 
@@ -50,6 +57,9 @@ class Encoder:
     from marks, so a word is put together from its letters and its marks, and
     many letter runs are encoded as one text, whose ids are split where a token
     ends a word.  Where there are not as many ends as runs, the text is halved.
+    A word with a letter that is no single letter once lower-cased and composed
+    (dotted capital I leaves a combining dot, which joins the marks behind it)
+    is encoded whole, as are words with anything but letters and ASCII marks.
     """
 
     def __init__(self, path: str):
@@ -81,7 +91,7 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         known, parts, odd = self.known, {}, []
         for w in words:
-            if m := _WORD.fullmatch(w):
+            if (m := _WORD.fullmatch(w)) and (w.isascii() or all(map(_stays_letter, m[2]))):
                 parts[w] = m.groups()
             else:
                 odd.append(w)
@@ -205,9 +215,11 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = END_ID
         if held:
             yield flush()
 
-    ordered = frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", F.xxhash64("frame"))
+    order = ["doc_id", "n_tokens", F.xxhash64("frame")]  # the whole order, so that rows with one or no doc_id are split too
+    ordered = frames.repartitionByRange(*order).sortWithinPartitions(*order)
     # small row groups: a reader of a few documents skips the others by first_id and last_id
     ordered.mapInArrow(run, BLOCK_SCHEMA).write.option("compression", "none").option("parquet.block.size", 8 * BLOCK_BYTES).parquet(f"{out}/blocks")
+    discard(frames)
 
 
 def _decode_block(row: dict, dictionary: bytes, wanted: set[int] | None = None):

@@ -5,10 +5,12 @@ import itertools
 import random
 import re
 import time
+import unicodedata
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import DATA, rows_of
 from pyspark.sql import functions as F
@@ -332,6 +334,20 @@ def test_op7_files(spark, tmp_path):
     assert token_output.lookup(spark, out, [*some, -5, 999]) == some and token_output.lookup(spark, out, []) == {}
 
 
+def test_op7_every_letter():
+    """Every assigned character before and after letters and marks has the ids that the tokenizer gives."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode, plain = token_output.Encoder(path).encode, Tokenizer.from_file(path)
+    letters = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) not in ("Cs", "Co", "Cn")]
+    for at in range(0, len(letters), 50_000):
+        words = [w for c in letters[at : at + 50_000] for w in (f"AB{c}.", f"!{c}ab", f"{c},")]
+        want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch_fast(words, add_special_tokens=False)]
+        wrong = [w for w, a, b in zip(words, encode(pa.array(words)), want, strict=True) if a != b]
+        assert not wrong, wrong[:5]
+
+
 def test_op7_rows(spark, tmp_path):
     """Null and equal ids, a long text, an empty table, clashing columns, and a tokenizer of another kind."""
     path = public_tokenizers.path("word_bpe_49k.json")
