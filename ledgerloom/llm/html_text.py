@@ -8,7 +8,8 @@ Blocks with content text are kept.  Headings, short paragraphs and lone links
 on other paths are kept beside them, in the same container or in an article;
 runs of links are not.  Names and tags of navigation, adverts, comments and the
 like only exclude further, and not where they enclose the article: half of the
-content of all articles, or of the page if it has none.
+content of all articles, or of the page if it has none and they hold several
+paragraphs.  Inside an article a name counts only as a whole.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from .shared import read_table
 
 # Element names of HTML, and words in class, id and role that mark what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul caption br".split())
 CLOSES_P = BLOCK - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "head"}
 CONTAINER = frozenset("html body article main section div td center form details".split())
@@ -35,8 +36,6 @@ DROP_TAG = frozenset("head nav aside footer button dialog object canvas menu aud
 DROP_UNLESS_CONTENT = frozenset(["form", "fieldset"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 JOINS = frozenset(["", "html", "body", "article", "main", "section", "div", "form", "details"])
-#: Content characters outside links that an element with a dropped name must enclose to be kept, where no article tells.
-LEAST_CONTENT = 200
 DROP_WORD = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar sidebar side cookie cookies consent gdpr notice notices alert "
     "comment comments disqus reply replies respond share sharing social breadcrumb breadcrumbs footer related recommended popup modal overlay widget newsletter subscribe subscription login signup "
@@ -45,11 +44,15 @@ DROP_WORD = frozenset(
 # Of these, words that name much else too: inside an article they exclude only what has no content paths.
 WEAK_WORD = frozenset("side form reply respond search alert related widget overlay share sharing social promotion subscription menu banner".split())
 
+# Words that say nothing in a name: inside an article, a name excludes only if it is one of the above, alone or with these.
+PLAIN_WORD = frozenset(
+    "list box container wrapper wrap block section area bar item items link links post posts article articles slot unit inner outer content header title body button buttons icon icons top bottom left right "
+    "main thread meta text panel group row col column grid page site".split()
+)
+
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _NAME = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PUNCT = re.compile(r"[.,;:!?…。、]")
-#: Quoted attribute values of one tag, at most; one that seems to have more ends at its first ``>``.
-QUOTED = 1000
 
 # What a start tag closes: an open element of these names, up to the nearest of those that stop.
 _CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
@@ -67,8 +70,13 @@ class _Node:
         words = set(re.split(r"[^a-z]+", name)) if name else set()
         inside = parent is not None and parent.within
         self.drop = (parent is not None and parent.drop) or tag in DROP_TAG
-        self.weak = inside and not (DROP_WORD - WEAK_WORD) & words and tag not in DROP_UNLESS_CONTENT
-        self.doubt = tag in DROP_UNLESS_CONTENT or bool(DROP_WORD & words) and tag not in ("html", "body", "article", "main")
+        if inside:  # "ad-hoc" is no advert, "comment-list" is a list of comments
+            names = [set(re.split(r"[^a-z]+", n)) - {""} for n in name.split()]
+            dropped = set().union(*(DROP_WORD & n for n in names if n <= DROP_WORD | PLAIN_WORD))
+        else:
+            dropped = DROP_WORD & words
+        self.weak = inside and not dropped - WEAK_WORD and tag not in DROP_UNLESS_CONTENT
+        self.doubt = tag in DROP_UNLESS_CONTENT or bool(dropped) and tag not in ("html", "body", "article", "main")
         self.doubt |= (tag == "header" or "header" in words and not words & {"article", "post", "entry", "title"} or "masthead" in words) and not inside
         self.link = tag == "a" or parent is not None and parent.link
         self.within = inside or tag in ("article", "main")
@@ -85,13 +93,27 @@ class _Scanner:
     def __init__(self, page: str):
         self.page = page
         self.ends = [m.start() for m in re.finditer(">", page)]
-        self.quotes = {q: [m.start() for m in re.finditer(q, page)] for q in "\"'"}
+        self.quotes = [m.start() for m in re.finditer("[\"']", page)]
+        self.outside = self._outside()
         self.none: set[str] = set()
 
-    @staticmethod
-    def _next(places: list[int], at: int) -> int:
-        k = bisect_left(places, at)
-        return places[k] if k < len(places) else -1
+    def _outside(self) -> list[int]:
+        """For each quote, if it opens a value: the first ``>`` outside values from there on, or -1."""
+        out, ahead = [-1] * len(self.quotes), {'"': -1, "'": -1}
+        for k in range(len(self.quotes) - 1, -1, -1):
+            mark = self.page[self.quotes[k]]
+            shut = ahead[mark]
+            if shut >= 0:
+                out[k] = self._first(self.quotes[shut] + 1, shut + 1, out)
+            ahead[mark] = k
+        return out
+
+    def _first(self, at: int, quote: int, known: list[int]) -> int:
+        """The first ``>`` from ``at`` on outside values, ``quote`` being the number of the next quote."""
+        k = bisect_left(self.ends, at)
+        if k == len(self.ends):
+            return -1
+        return self.ends[k] if quote == len(self.quotes) or self.ends[k] < self.quotes[quote] else known[quote]
 
     def past(self, mark: str, at: int) -> int:
         """Place behind the next ``mark``, or -1."""
@@ -104,20 +126,11 @@ class _Scanner:
 
     def tag_end(self, at: int) -> int:
         """Place of the ``>`` that ends the tag, outside quoted values; the first one if quotes do not close; -1 without any."""
-        first = end = self._next(self.ends, at)
-        for _ in range(QUOTED):
-            opened = [(k, q) for q, places in self.quotes.items() if 0 <= (k := self._next(places, at)) < end]
-            if not opened:
-                return end
-            k, q = min(opened)
-            at = self._next(self.quotes[q], k + 1) + 1
-            if not at:
-                return first
-            if at > end:
-                end = self._next(self.ends, at)
-                if end < 0:
-                    return first
-        return first
+        k = bisect_left(self.ends, at)
+        if k == len(self.ends):
+            return -1
+        end = self._first(at, bisect_left(self.quotes, at), self.outside)
+        return end if end >= 0 else self.ends[k]
 
 
 def _parse(page: str):
@@ -228,16 +241,29 @@ def _weigh(nodes, texts, chosen: set[int], counts) -> None:
             node.parent.score += node.score
 
 
+def _above_several(nodes, some: set[int]) -> set[int]:
+    """Nodes with at least two of ``some`` under them."""
+    below: Counter[int] = Counter()
+    for node in reversed(nodes):
+        if n := below[id(node)] + (id(node) in some):
+            below[id(node)] = n
+            if node.parent is not None:
+                below[id(node.parent)] += n
+    return {k for k, n in below.items() if n > 1}
+
+
 def _exclude(nodes, texts) -> None:
-    """Drop what lies under a doubtful element, unless that encloses the article."""
+    """Drop what lies under a doubtful element, unless that encloses the article: half the content of all articles, or else of the page, and then several paragraphs."""
     chosen, root = _content_paths(texts), nodes[0]
     _weigh(nodes, texts, chosen, lambda node: node.within)
     articles = root.score > 0
+    several = set()
     if not articles:
         _weigh(nodes, texts, chosen, lambda node: not node.link)
-    least = max(root.score / 2, 0 if articles else LEAST_CONTENT)
+        several = _above_several(nodes, {id(node) for node, text, _ in texts if node.tag in ("p", "li", "td", "blockquote", "pre") and node.path in chosen and text.strip()})
     for node in nodes:
-        node.drop |= node.parent is not None and node.parent.drop or node.doubt and not (node.weak and node.score) and (node.score < least or not node.score)
+        keeps = node.score and (node.weak or node.score >= root.score / 2 and (articles or id(node) in several))
+        node.drop |= node.parent is not None and node.parent.drop or node.doubt and not keeps
         node.score = 0.0
 
 

@@ -570,3 +570,21 @@ def test_stages_take_odd_rows(spark, tmp_path):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("inner, kept", [
+    ('<div class="ad-hoc"><p>WORD it is, fine.</p></div>', True), ('<div class="nav-theory"><p>WORD it is.</p></div>', True), ('<div class="editor-comment"><p>WORD it is.</p></div>', True),
+    ('<section id="copyright-law"><p>WORD it is.</p></section>', True), ("<p>so <math><mi>WORD</mi></math> is</p>", True), ("<p " + " ".join(f'a{k}="v>{k}"' for k in range(1200)) + ">WORD</p>", True),
+    ('<div class="ad"><p>WORD it is.</p></div>', False), ('<div class="comment-list"><p>WORD it is.</p></div>', False), ('<div id="comments-3" class="x">WORD it is.</div>', False), ("<form><p>WORD it is.</p></form>", False),
+])
+def test_op4_names_inside_articles(inner, kept):
+    p = "<p>" + "Some words of an article, with marks. " * 8 + "</p>"
+    out = html_text.extract(f"<html><body><nav><a href=x>Home</a></nav><article><h1>T</h1>{p}{inner}{p}</article></body></html>")
+    assert ("WORD" in out) is kept and ">" not in out and out.count("Some words") == 16
+
+
+def test_op4_broken_quotes_are_linear():
+    began = time.time()
+    assert html_text.extract("<p>a</p>" + "<a b='" * 200_000) is not None
+    assert html_text.extract("<a b=\"c'd>" * 100_000) is not None
+    assert time.time() - began < 10
