@@ -261,8 +261,9 @@ def _exclude(nodes, texts) -> None:
     if not articles:
         _weigh(nodes, texts, chosen, lambda node: not node.link)
         several = _above_several(nodes, {id(node) for node, text, _ in texts if node.tag in ("p", "li", "td", "blockquote", "pre") and node.path in chosen and text.strip()})
+    half = root.score / 2
     for node in nodes:
-        keeps = node.score and (node.weak or node.score >= root.score / 2 and (articles or id(node) in several))
+        keeps = node.score and (node.weak or node.score >= half and (articles or id(node) in several))
         node.drop |= node.parent is not None and node.parent.drop or node.doubt and not keeps
         node.score = 0.0
 
