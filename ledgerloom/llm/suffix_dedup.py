@@ -14,19 +14,25 @@ sorts by the next digit and lets go what stands alone:
    of their key go on.
 3. *full depth*: the 50 bytes of each suffix still open (128-bit hash).
 
-Digits are compared by 128-bit hashes (pass 1 by 40 bits, where a false match
-only keeps a suffix for the next pass).  See ``blocks`` for how digits travel.
+Pass 1 compares 40 bits of a hash, where a false match only keeps a suffix for
+the next pass.  The digits of passes 2 and 3 decide, as 128 bits each: four
+multilinear hashes of 32 bits with keys drawn anew for every run, so two
+different strings, whatever they hold, agree with probability 2**-128.  Over
+10**14 windows (2**93 pairs) that is a chance of 2**-35 of any false match.
+See ``blocks`` for how digits travel.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .blocks import NULL, NULL_ID, answer, combine, join_blobs, mix, pack_array, ranges, release, split_blobs, unpack_array, write_blocks
+from .blocks import NULL, NULL_ID, answer, join_blobs, mix, pack_array, ranges, release, split_blobs, unpack_array, write_blocks
 from .shared import materialize, read_table
 
 DEPTH = 50
@@ -44,9 +50,41 @@ def _words(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,)).copy()
 
 
-def _window(words: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
-    """Hash of the 50 bytes from each position on."""
-    return combine(*(words[at + k] for k in (0, 8, 16, 24, 32, 40, DEPTH - 8)), seed=seed)
+#: Keys of one window: a row for each 32 bits of its words, a column for each hash.
+LANES, KEYS = 4, 14
+
+
+class Keys(NamedTuple):
+    """Random 64-bit numbers: for windows, for a run's first and last window, its length, and what is added."""
+
+    window: np.ndarray
+    head: np.ndarray
+    tail: np.ndarray
+    count: np.ndarray
+    plus: np.ndarray
+
+    @classmethod
+    def draw(cls) -> Keys:
+        raw = np.frombuffer(secrets.token_bytes(8 * LANES * (3 * KEYS + 2)), np.uint64).reshape(-1, LANES)
+        return cls(raw[:KEYS], raw[KEYS : 2 * KEYS], raw[2 * KEYS : 3 * KEYS], raw[-2], raw[-1])
+
+
+def _window(words: np.ndarray, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Multilinear sums (LANES, n) over the 50 bytes from each position on."""
+    sums = np.zeros((LANES, len(at)), np.uint64)
+    for j, k in enumerate((0, 8, 16, 24, 32, 40, DEPTH - 8)):
+        word = words[at + k]
+        for half, x in enumerate((word & np.uint64(0xFFFFFFFF), word >> np.uint64(32))):
+            for lane in range(LANES):
+                sums[lane] += x * keys[2 * j + half, lane]
+    return sums
+
+
+def _digits(sums: np.ndarray, plus: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The upper halves, which are what is evenly spread, as two numbers."""
+    sums += plus[:, None]
+    sums >>= np.uint64(32)
+    return sums[0] << np.uint64(32) | sums[1], sums[2] << np.uint64(32) | sums[3]
 
 
 def runs(lens: np.ndarray, data: np.ndarray):
@@ -94,16 +132,6 @@ def runs(lens: np.ndarray, data: np.ndarray):
     return (first, count, np.flatnonzero(long)[doc], mix(key[first])), w  # mixed: minima crowd at the low end, and keys are dealt out by range
 
 
-def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the keys (the first leads), and the number of each row's group in that order."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    return order, np.cumsum(new)
-
-
 def _local_min(ids: np.ndarray, *keys: np.ndarray):
     """Smallest id by key: (keys of each group..., id), sorted by keys, and for each row its group."""
     order = np.lexsort((ids, *keys[::-1]))
@@ -151,23 +179,20 @@ def _member(table: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 
 def _before(blobs: list[bytes], *, split_keys: bool) -> list[bytes]:
-    """Passes 2 and 3: does a smaller document have all digits alike; and, in pass 2, has the first digit several second ones?"""
+    """Passes 2 and 3: does a smaller document have all digits alike; and, in pass 2, has the first digit several others?"""
     rows = [split_blobs(b) for b in blobs]
     n = [0, *np.cumsum([int.from_bytes(r[0][:8], "little") for r in rows])]
-    a = np.concatenate([unpack_array(r[0], is_sorted=True) for r in rows])
-    b = np.concatenate([unpack_array(r[1]) for r in rows])
-    ids = np.concatenate([unpack_array(r[2]) for r in rows]).view(np.int64)
-    _, least, group = _local_min(ids, a, b)
+    first = np.concatenate([unpack_array(r[0], is_sorted=True) for r in rows])
+    digits = [first, *(np.concatenate([unpack_array(r[k]) for r in rows]) for k in range(1, len(rows[0]) - 1))]
+    ids = np.concatenate([unpack_array(r[-1]) for r in rows]).view(np.int64)
+    kinds, least, group = _local_min(ids, *digits)
     flags = [least[group] < ids]
     if split_keys:
-        order, g = _groups(a)
-        gg = group[order]
-        low, high = np.full(g[-1] + 1, len(least)), np.full(g[-1] + 1, -1)
-        np.minimum.at(low, g, gg)
-        np.maximum.at(high, g, gg)
-        several = np.empty(len(a), bool)
-        several[order] = (low != high)[g]
-        flags.append(several)
+        same = kinds[0][1:] == kinds[0][:-1]
+        several = np.zeros(len(least), bool)
+        several[1:] |= same
+        several[:-1] |= same
+        flags.append(several[group])
     return [join_blobs([np.packbits(f[x:y]).tobytes() for f in flags]) for x, y in zip(n[:-1], n[1:], strict=True)]
 
 
@@ -195,17 +220,15 @@ class _State:
         self.first, self.count, self.doc, self.key = joined
         release()
 
-    def windows(self, at: np.ndarray, *seeds: int) -> list[np.ndarray]:
-        """Window hashes at sorted or unsorted positions of the block."""
-        out = [np.empty(len(at), np.uint64) for _ in seeds]
+    def windows(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Window sums at sorted or unsorted positions of the block."""
+        out = np.empty((LANES, len(at)), np.uint64)
         order = np.argsort(at, kind="stable")
         s = at[order]
         for base, _, _, data in self.pieces:
             x, y = np.searchsorted(s, (base, base + len(data)))
             if x < y:
-                w = _words(data)
-                for o, seed in zip(out, seeds, strict=True):
-                    o[order[x:y]] = _window(w, s[x:y] - base, seed)
+                out[:, order[x:y]] = _window(_words(data), s[x:y] - base, keys)
         return out
 
 
@@ -222,34 +245,34 @@ def _pass1(st: _State) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return short, inverse, low != high
 
 
-def _pass2(st: _State, reply: dict, n: int):
+def _pass2(st: _State, draw: Keys, reply: dict, n: int):
     short, inverse, local = _pass1(st)
     (many,) = _receive(reply, short, n, 1)
     live = np.flatnonzero((many | local)[inverse])
-    (head,), (tail,) = st.windows(st.first[live], 1), st.windows(st.first[live] + st.count[live] - 1, 2)
-    digit = combine(head, tail, st.count[live].astype(np.uint64), seed=3)
-    keys, least, group = _local_min(st.doc[live], st.key[live], digit)
+    sums = st.windows(st.first[live], draw.head)
+    sums += st.windows(st.first[live] + st.count[live] - 1, draw.tail)
+    sums += st.count[live].astype(np.uint64) * draw.count[:, None]
+    keys, least, group = _local_min(st.doc[live], st.key[live], *_digits(sums, draw.plus))
     release()
     return live, keys, least, group
 
 
-def _pass3(st: _State, reply1: dict, reply2: dict, n: int):
-    live, keys, least, group = _pass2(st, reply1, n)
+def _pass3(st: _State, draw: Keys, reply1: dict, reply2: dict, n: int):
+    live, keys, least, group = _pass2(st, draw, reply1, n)
     before, several = _receive(reply2, keys[0], n, 2)
     gone = (st.doc[live] > least[group]) | before[group]
     still = live[~gone & several[group]]
     nth = st.count[still]
     at = np.repeat(st.first[still] - np.cumsum(nth) + nth, nth) + np.arange(nth.sum())
     doc = np.repeat(st.doc[still], nth)
-    h1, h2 = st.windows(at, 4, 5)
-    keys3, least3, group3 = _local_min(doc, h1, h2)
+    keys3, least3, group3 = _local_min(doc, *_digits(st.windows(at, draw.window), draw.plus))
     release()
     return live[gone], at, doc, keys3, least3, group3
 
 
-def covered(st: _State, reply1: dict, reply2: dict, reply3: dict, n: int):
+def covered(st: _State, draw: Keys, reply1: dict, reply2: dict, reply3: dict, n: int):
     """(ids, lens, bytes, mask) of each piece; the mask marks bytes under a window that a smaller document has."""
-    gone, at, doc, keys3, least3, group3 = _pass3(st, reply1, reply2, n)
+    gone, at, doc, keys3, least3, group3 = _pass3(st, draw, reply1, reply2, n)
     (before,) = _receive(reply3, keys3[0], n, 1)
     hit = np.sort(at[(doc > least3[group3]) | before[group3]])
     first, end = st.first[gone], st.first[gone] + st.count[gone] - 1 + DEPTH
@@ -270,7 +293,7 @@ def repeated_bytes(docs: DataFrame, rows_of, schema: str, carried: list[str] | N
     keep everything; an empty table gives an empty result.
     """
     blocks = write_blocks(docs, carried)
-    n = blocks.n_ranges
+    n, draw = blocks.n_ranges, Keys.draw()
 
     def send1(pieces, _):
         short, _, _ = _pass1(_State(pieces))
@@ -278,11 +301,11 @@ def repeated_bytes(docs: DataFrame, rows_of, schema: str, carried: list[str] | N
             yield bucket, pack_array(short[a:b], is_sorted=True)
 
     def send2(pieces, got):
-        _, keys, least, _ = _pass2(_State(pieces), got[0], n)
+        _, keys, least, _ = _pass2(_State(pieces), draw, got[0], n)
         yield from _send(keys, least, n)
 
     def send3(pieces, got):
-        _, _, _, keys, least, _ = _pass3(_State(pieces), got[0], got[1], n)
+        _, _, _, keys, least, _ = _pass3(_State(pieces), draw, got[0], got[1], n)
         yield from _send(keys, least, n)
 
     r1 = materialize(answer(blocks.scatter(send1), n, _in_many), "suffix-1")
@@ -290,7 +313,7 @@ def repeated_bytes(docs: DataFrame, rows_of, schema: str, carried: list[str] | N
     r3 = materialize(answer(blocks.scatter(send3, r1, r2), n, lambda b: _before(b, split_keys=False)), "suffix-3")
 
     def finish(bid, pieces, got):
-        return pa.concat_tables([rows_of(pieces.rest(k) if carried is not None else None, *piece) for k, piece in enumerate(covered(_State(pieces), *got, n))])
+        return pa.concat_tables([rows_of(pieces.rest(k) if carried is not None else None, *piece) for k, piece in enumerate(covered(_State(pieces), draw, *got, n))])
 
     return blocks.per_block(finish, schema, r1, r2, r3)
 

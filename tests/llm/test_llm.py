@@ -119,6 +119,25 @@ def test_op2_rows(spark, tmp_path):
     assert got == want
 
 
+def test_op3_digits_tell_strings_apart(spark):
+    """Strings that differ in a few bits anywhere never have one digit, though hashes without secret keys can be made to agree."""
+    r = np.random.default_rng(1)
+    base = r.integers(97, 123, (10_000, 50), np.uint8)
+    other = base.copy()
+    other[:4000, [7, 11, 15]] ^= 0x40
+    for row in other[4000:]:
+        row[r.choice(50, r.integers(1, 4), replace=False)] ^= np.uint8(r.integers(1, 256))
+    draw = suffix_dedup.Keys.draw()
+    at = np.arange(10_000) * 50
+    one, two = (suffix_dedup._digits(suffix_dedup._window(suffix_dedup._words(np.concatenate([x.ravel(), np.zeros(8, np.uint8)])), at, draw.window), draw.plus) for x in (base, other))
+    for a, b in zip(one, two, strict=True):
+        assert not (a == b).any() and len(np.unique(a)) == len(a)
+        assert abs(np.unpackbits((a ^ b).view(np.uint8)).mean() - 0.5) < 0.01
+    texts = [(k, base[k].tobytes().decode()) for k in range(300)] + [(1000 + k, other[k].tobytes().decode()) for k in range(300)]
+    texts += [(5000, "sszhldableteqnilzyhyfuirqvjywacdqjdcxpagrgthqcvtoq"), (5001, 'sszhlda"let%qni,zyhyfuirqvjywacdqjdcxpagrgthqcvtoq')]
+    assert {row["n_removed"] for row in suffix_dedup.dedup_digests(docs_of(spark, texts)).collect()} == {0}
+
+
 def test_op3_brute_force(spark):
     texts = corpus(3) + [(200, "ab" * 300), (201, "ab" * 40 + "c" + "ab" * 40), (202, "é" * 60), (203, "x" + "é" * 60)]
     random.Random(3).shuffle(texts)
