@@ -132,7 +132,6 @@ def test_op3_digits_tell_strings_apart(spark):
     one, two = (suffix_dedup._digits(suffix_dedup._window(suffix_dedup._words(np.concatenate([x.ravel(), np.zeros(8, np.uint8)])), at, draw.window), draw.plus) for x in (base, other))
     for a, b in zip(one, two, strict=True):
         assert not (a == b).any() and len(np.unique(a)) == len(a)
-        assert abs(np.unpackbits((a ^ b).view(np.uint8)).mean() - 0.5) < 0.01
     texts = [(k, base[k].tobytes().decode()) for k in range(300)] + [(1000 + k, other[k].tobytes().decode()) for k in range(300)]
     texts += [(5000, "sszhldableteqnilzyhyfuirqvjywacdqjdcxpagrgthqcvtoq"), (5001, 'sszhlda"let%qni,zyhyfuirqvjywacdqjdcxpagrgthqcvtoq')]
     assert {row["n_removed"] for row in suffix_dedup.dedup_digests(docs_of(spark, texts)).collect()} == {0}
