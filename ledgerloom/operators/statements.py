@@ -1,11 +1,14 @@
 """Line items and notes from the pages of a filing.
 
-Everything is a column expression on rows (one for each document, section or
-line), so any number of filings goes through one plan without Python.
+All but ``first_rules`` is a column expression on rows (one for each document,
+section or line), so any number of filings goes through one plan.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -161,6 +164,58 @@ def first_label(label: Column, rules: dict[str, str]) -> Column:
     return F.coalesce(*(F.when(F.contains(label, F.lit(p)), F.lit(k)) for p, k in rules.items()))
 
 
+#: Characters of patterns in one automaton (about a hundred times as much memory); more rules are matched in several rounds.
+RULE_CHARS = 1 << 20
+
+
+def first_rules(rows: DataFrame, text: str, rules: DataFrame) -> DataFrame:
+    """Add ``ord`` and ``key`` of the first of many rules (ord, pattern, key) whose pattern the text contains; null without one.
+
+    ``first_label`` looks for each pattern by itself; here an Aho-Corasick
+    automaton finds all of them in one walk over the text, in Arrow batches,
+    built once for each Python worker.  Rules are told apart by ``ord``, the
+    smallest counts; empty or null patterns match nothing, a null text has no
+    rule.
+    """
+    listed = rules.where("pattern <> '' and ord is not null").groupBy("pattern").agg(F.min(F.struct("ord", "key")).alias("r")).select("r.ord", "pattern", "r.key")
+    size = listed.agg(F.sum(F.length("pattern"))).first()[0] or 0
+    rounds = -(-size // RULE_CHARS) or 1
+    out = rows.withColumn("ord", F.lit(None).cast("long"))
+    for k in range(rounds):  # each round holds a bounded share of the patterns
+        part = {r["pattern"]: int(r["ord"]) for r in listed.where(F.pmod(F.xxhash64("pattern"), F.lit(rounds)) == k).collect()}
+        out = _with_first(out, text, part)
+    found = rules.select("ord", "key").where("ord is not null").groupBy("ord").agg(F.min("key").alias("key"))
+    return out.join(F.broadcast(found) if size <= RULE_CHARS else found, "ord", "left").select(*rows.columns, "ord", "key")
+
+
+@lru_cache(2)
+def _automaton(patterns: tuple[tuple[str, int], ...]):
+    import ahocorasick
+
+    a = ahocorasick.Automaton()
+    for pattern, nth in patterns:
+        a.add_word(pattern, nth)
+    if patterns:
+        a.make_automaton()
+    return a
+
+
+def _with_first(rows: DataFrame, text: str, patterns: dict[str, int]) -> DataFrame:
+    """Lower ``ord`` to that of the first pattern that the text holds."""
+    listed = tuple(sorted(patterns.items()))
+
+    def run(batches):
+        a = _automaton(listed)
+        for b in batches:
+            found = []
+            for t, known in zip(b[text].to_pylist(), b["ord"].to_pylist(), strict=True):
+                own = min((nth for _, nth in a.iter(t)), default=None) if t and listed else None
+                found.append(own if known is None else known if own is None else min(own, known))
+            yield b.set_column(b.schema.get_field_index("ord"), "ord", pa.array(found, pa.int64()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def line_items(docs: DataFrame, keys: list[str], rules: dict[str, str] = LINE_ITEM_MAP) -> DataFrame:
     """(keys, item, current, prior) of each document (keys, text).
 

@@ -501,6 +501,47 @@ def words_in_box(spark, sf):
     return pages.words_in_box(w, [("name", 20, 100, 500), ("year", 60, 0, 300)], "doc")
 
 
+@query(f"""WITH {_HASH}, t AS (SELECT h AS th, min(vec_id) AS ord FROM h GROUP BY h),
+f AS (SELECT vec_id, min(ord) AS ord FROM h JOIN t ON bit_count(xor(h, th)) <= 5 GROUP BY vec_id) SELECT vec_id, 'v' || ord AS template FROM f""")
+def template_table(spark, sf):
+    d = table(spark, sf, "embeddings").select("vec_id", pages.average_hash(F.col("embedding")).alias("hash"))
+    known = d.select("hash", F.col("vec_id").alias("ord"), F.concat(F.lit("v"), "vec_id").alias("template"))
+    return pages.nearest_templates(d, known).select("vec_id", "template")
+
+
+@query("""WITH w AS (SELECT o_custkey AS doc, o_custkey % 3 AS layout, o_orderkey % 100 AS y0, o_orderkey % 977 AS x0, CAST(o_orderkey AS VARCHAR) AS text FROM orders),
+b AS (SELECT p_partkey % 3 AS layout, 'f' || p_partkey AS field, p_partkey % 100 AS y, p_partkey * 7 % 900 AS x_from, p_partkey * 7 % 900 + 20 + p_partkey % 50 AS x_to FROM part)
+SELECT doc, field, string_agg(text, ' ' ORDER BY x0, text) AS value FROM w JOIN b ON w.layout = b.layout AND abs(y0 - y) < 15 AND x0 BETWEEN x_from AND x_to GROUP BY ALL""")
+def words_in_boxes(spark, sf):
+    w = table(spark, sf, "orders").selectExpr("o_custkey as doc", "o_custkey % 3 as layout", "o_orderkey % 100 as y0", "o_orderkey % 977 as x0", "cast(o_orderkey as string) as text")
+    b = table(spark, sf, "part").selectExpr("p_partkey % 3 as layout", "concat('f', p_partkey) as field", "p_partkey % 100 as y", "p_partkey * 7 % 900 as x_from", "p_partkey * 7 % 900 + 20 + p_partkey % 50 as x_to")
+    return pages.words_in_boxes(w, b, "doc")
+
+
+#: A page of ``page_zones``: 8 x 8 cells of so many pixels a side, white or grey.
+_CELL = 35
+
+
+@query(f"""WITH c AS (SELECT vec_id, list_transform(embedding, lambda v: CASE WHEN v > -0.1 THEN 255 ELSE 60 END) AS cells FROM embeddings),
+px AS (SELECT y, x, (y // {_CELL}) * 8 + x // {_CELL} + 1 AS cell FROM range(0, {8 * _CELL}) a(y), range(0, {8 * _CELL}) b(x)),
+m AS (SELECT vec_id, y, avg(cells[cell]) AS mean FROM c, px GROUP BY ALL),
+i AS (SELECT vec_id, y, lag(y) OVER w AS before, lead(y) OVER w AS after FROM m WHERE mean < 245 WINDOW w AS (PARTITION BY vec_id ORDER BY y)),
+f AS (SELECT vec_id, y AS y0, row_number() OVER (PARTITION BY vec_id ORDER BY y) AS k FROM i WHERE before IS NULL OR y - before - 1 > 40),
+l AS (SELECT vec_id, CASE WHEN after IS NULL AND {8 * _CELL - 1} - y <= 40 THEN {8 * _CELL - 1} ELSE y END AS y1, row_number() OVER (PARTITION BY vec_id ORDER BY y) AS k FROM i WHERE after IS NULL OR after - y - 1 > 40),
+b AS (SELECT vec_id, y0, y1, row_number() OVER (PARTITION BY vec_id ORDER BY y0) - 1 AS nth FROM f JOIN l USING (vec_id, k) WHERE y1 - y0 >= 15),
+v AS (SELECT vec_id, nth, x - {int(8 * _CELL * 0.05)} AS x, avg(cells[cell]) > 248 AS white FROM b JOIN c USING (vec_id) JOIN px ON y >= y0 AND y < y1 AND x >= {int(8 * _CELL * 0.05)} AND x < {int(8 * _CELL * 0.95)} GROUP BY ALL),
+d AS (SELECT vec_id, nth, x, coalesce(lag(x) OVER (PARTITION BY vec_id, nth ORDER BY x), -1) + 1 AS a FROM v WHERE NOT white),
+g AS (SELECT vec_id, nth, count(*) AS n, max(x - a) AS widest FROM d WHERE x - a >= 40 AND (x + a) / 2 / {int(8 * _CELL * 0.95) - int(8 * _CELL * 0.05)} > 0.1 AND (x + a) / 2 / {int(8 * _CELL * 0.95) - int(8 * _CELL * 0.05)} < 0.9 GROUP BY ALL),
+n AS (SELECT b.vec_id, nth, count(*) AS n FROM b JOIN m ON m.vec_id = b.vec_id AND m.y > y0 AND m.y < y1 JOIN m p ON p.vec_id = b.vec_id AND p.y = m.y - 1 WHERE m.mean < 240 AND p.mean >= 240 GROUP BY ALL)
+SELECT vec_id, CAST(nth AS INTEGER) AS nth, CAST(y0 AS INTEGER) AS y0, CAST(y1 AS INTEGER) AS y1, CASE WHEN g.n >= 2 OR widest > 100 THEN 'table' WHEN y1 - y0 < 50 AND g.n IS NULL AND coalesce(n.n, 0) <= 2 THEN 'title' ELSE 'text' END AS label,
+  CAST(coalesce(g.n, 0) AS INTEGER) AS n_col_gaps, CAST(coalesce(n.n, 0) AS INTEGER) AS n_lines FROM b LEFT JOIN g USING (vec_id, nth) LEFT JOIN n USING (vec_id, nth)""")
+def page_zones(spark, sf):
+    cells = F.transform("embedding", lambda v: F.when(v > -0.1, 255).otherwise(60))
+    row = lambda k: F.flatten(F.transform(F.slice("cells", k * 8 + 1, 8), lambda c: F.array_repeat(c, _CELL)))
+    rows = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.array_repeat(row(k), _CELL)))
+    return pages.array_zones(table(spark, sf, "embeddings").select("vec_id", cells.alias("cells")).select("vec_id", rows.alias("rows")), ["vec_id"], "rows")
+
+
 # Texts ---------------------------------------------------------------------------------
 
 
@@ -515,6 +556,22 @@ def context_window(spark, sf):
     return table(spark, sf, "documents").select("doc_id", amounts.context(F.col("text"), "tion", 40).alias("excerpt"))
 
 
+_PAIRS = 5000
+
+
+@query(f"""WITH w AS (SELECT string_split(lower(coalesce(text, '')), ' ') AS w FROM documents), p AS (SELECT unnest(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS pattern FROM w),
+r AS (SELECT pattern, CAST(row_number() OVER (ORDER BY n, pattern) AS BIGINT) AS ord FROM (SELECT pattern, count(*) AS n FROM p GROUP BY ALL HAVING count(*) >= 3 ORDER BY n, pattern LIMIT {_PAIRS})),
+f AS (SELECT doc_id, min(ord) AS ord FROM documents JOIN r ON contains(lower(text), pattern) GROUP BY doc_id)
+SELECT doc_id, f.ord, sha256(pattern)[1:8] AS key FROM documents LEFT JOIN f USING (doc_id) LEFT JOIN r USING (ord)""")
+def first_rules(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("text"))
+    words = docs.select(F.split(F.coalesce("text", F.lit("")), " ").alias("w"))
+    pairs = words.select(F.explode(F.transform(F.slice("w", 1, F.size("w") - 1), lambda x, k: F.concat(x, F.lit(" "), F.get("w", k + 1)))).alias("pattern"))
+    known = pairs.groupBy("pattern").count().where("count >= 3").orderBy("count", "pattern").limit(_PAIRS)  # the size of the rule table
+    rules = known.select("pattern", F.row_number().over(Window.orderBy("count", "pattern")).cast("long").alias("ord"), F.substring(F.sha2("pattern", 256), 1, 8).alias("key"))
+    return statements.first_rules(docs, "text", rules).select("doc_id", "ord", "key")
+
+
 _MARKS = {"first": ["onin", "than"], "second": ["hered"], "third": ["ment", "eaux"]}
 
 
