@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import unix_or_zero, year_start
 from .keys import FILING, keep_last, upsert, without
-from .ranking import global_rank
+from .ranking import global_rank, running
 
 
 def is_success(status: str = "status", path: str = "pdf_path") -> Column:
@@ -90,6 +90,22 @@ def resume(ranked: DataFrame, cursor: int, batch: int = 0) -> DataFrame:
     return rest.where(F.col("position") < cursor + batch) if batch else rest
 
 
+#: Seconds of a run that are kept back for its end.
+RESERVE = 120
+
+
+def budgeted(work: DataFrame, cost: Column, budget: float, reserve: float = RESERVE) -> DataFrame:
+    """The first rows of the prioritised order that a run has time for: a row starts while what the rows before it cost leaves ``reserve`` of the budget.
+
+    ``spent`` is the cost of the rows before.  The order is cut once, so no
+    cheap row jumps the queue; null and negative costs count as nothing.  Costs
+    are summed range by range, never in one task.
+    """
+    order = [F.col("processing_priority").desc_nulls_last(), F.col("orgnr").asc_nulls_last(), F.col("year").asc_nulls_last()]
+    own = F.greatest(F.coalesce(cost, F.lit(0)), F.lit(0))
+    return running(work.withColumn("_cost", own), order, F.col("_cost"), "_through").withColumn("spent", F.col("_through") - F.col("_cost")).drop("_cost", "_through").where(F.col("spent") <= budget - reserve)
+
+
 def enqueue_fast(queue: DataFrame, entries: DataFrame, now: Column) -> DataFrame:
     """``entries`` (orgnr, year, ordinal) enter again with ``now`` (seconds) as time and priority; the last of equal keys counts."""
     new = keep_last(entries, FILING, "ordinal").select(*FILING, now.alias("create_time"), now.alias("processing_priority"))

@@ -130,6 +130,28 @@ def resumed_batch(spark, sf):
     return queue.resume(_ranked(spark, sf), 500, 1000)
 
 
+@query(f"""WITH {M}, {Q}, w AS (SELECT q.*, CAST(orgnr AS BIGINT) % 50 + 1 AS cost FROM q LEFT JOIN lat USING (orgnr, year) WHERE year IS NOT NULL AND (latest IS NULL OR create_time > latest)),
+s AS (SELECT *, CAST(sum(cost) OVER (ORDER BY processing_priority DESC NULLS LAST, orgnr NULLS LAST, year NULLS LAST ROWS UNBOUNDED PRECEDING) - cost AS BIGINT) AS spent FROM w)
+SELECT orgnr, year, create_time, processing_priority, spent FROM s WHERE spent <= 20000 - 120""")
+def budgeted_batch(spark, sf):
+    return queue.budgeted(queue.pending(waiting(spark, sf), manifest(spark, sf)), F.col("orgnr").cast("bigint") % 50 + 1, 20000)
+
+
+#: Batch of an event whose work ends out of order: a tenth of the events around it, or one of the next two batches.
+_ENDS = "(event_id {div} (1 + (SELECT max(event_id) FROM events) {div} 10)) + event_id * 7919 % 101 {div} 40"
+
+
+@query(f"""WITH e AS (SELECT event_id, {_ENDS.format(div='//')} AS batch FROM events), r AS (SELECT event_id, max(batch) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS ready FROM e)
+SELECT CAST(b.batch AS BIGINT) AS batch, coalesce(max(event_id), -1) AS position FROM (SELECT DISTINCT batch FROM e) b LEFT JOIN r ON ready <= b.batch GROUP BY b.batch""")
+def inflight_cursor(spark, sf):
+    e = table(spark, sf, "events")
+    last = e.agg(F.max("event_id")).first()[0] or 0
+    ended = e.select("event_id", (F.floor(F.col("event_id") / (1 + last // 10)) + F.floor(F.col("event_id") * 7919 % 101 / 40)).cast("long").alias("batch"))
+    by_ready = ranking.running(ended, [F.col("event_id")], F.col("batch"), "ready", F.max).groupBy("ready").agg(F.max("event_id").alias("position"))
+    each = ended.select("batch").distinct().join(by_ready.withColumnRenamed("ready", "batch"), "batch", "left")  # a row for each batch
+    return each.select("batch", F.coalesce(F.max("position").over(Window.orderBy("batch")), F.lit(-1)).alias("position"))
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, key, CAST(row_number() OVER (ORDER BY l_quantity, key DESC, name, l_linenumber) - 1 AS BIGINT) AS position FROM (
 SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_quantity) AS l_quantity, 1152921504606846976 + min(l_partkey) % 10 AS key, lpad(CAST(l_orderkey AS VARCHAR), 9, '0') AS name FROM lineitem GROUP BY ALL)""")
 def global_positions(spark, sf):
