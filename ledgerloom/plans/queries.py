@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import amounts, paths, scalars
 from ..operators import audit, changes, documents, keys, pages, queue, ranking, statements, validation
 from ..sources import sections, tables
-from ..streaming import limiter
+from ..streaming import limiter, retry
 from . import commands
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -451,6 +451,16 @@ def rolling_rate(spark, sf):
     return r.select("event_id", "k", F.round("run_rate", 6).alias("run_rate"), F.round("recent_rate", 6).alias("recent_rate"))
 
 
+@query("""WITH e AS (SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(ts) // 1000 AS t, event_id AS seq, event_type = 'error' AS failed FROM events WHERE event_type IN ('error', 'purchase')),
+s AS (SELECT *, count(*) FILTER (NOT failed) OVER (PARTITION BY key ORDER BY t, seq ROWS UNBOUNDED PRECEDING) AS streak FROM e),
+n AS (SELECT key, t, CAST((row_number() OVER (PARTITION BY key, streak ORDER BY t, seq) - 1) % 5 + 1 AS INTEGER) AS attempt FROM s WHERE failed)
+SELECT key, t AS "at", attempt, CASE WHEN attempt = 5 THEN 'given_up' ELSE 'waiting' END AS state, CASE WHEN attempt < 5 THEN t + least(60000, 1000 * (1 << (attempt - 1)) + ('0x' || md5(key || ':' || attempt)[1:6])::BIGINT % 2000) END AS due FROM n""")
+def retry_schedule(spark, sf):
+    kind = F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("outcome")
+    e = table(spark, sf, "events").where("event_type in ('error', 'purchase')")
+    return retry.schedule(e.select(F.col("user_id").cast("string").alias("key"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at"), F.col("event_id").alias("seq"), kind))
+
+
 @query("""WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) / 1e6 AS t, event_type = 'error' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
 r(user_id, n, rate, streak, last) AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT), 3.0::DOUBLE, CAST(0 AS BIGINT), -1e18::DOUBLE FROM e
 UNION ALL SELECT e.user_id, e.n, CASE WHEN bad THEN greatest(0.5, rate * 0.7) WHEN rate < 3.0 AND streak + 1 >= 3 AND t - last >= 45 THEN least(3.0, rate + 0.1) ELSE rate END,
