@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import sys
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
@@ -30,6 +31,9 @@ def pages(client, since: int):
 
 
 def _client(options):
+    """The client; ``path`` names a folder or archive that holds its module, where that is not on Python's path (offsets are asked for in a process that ``addPyFile`` does not reach)."""
+    if (path := options.get("path")) and path not in sys.path:
+        sys.path.append(path)
     module, _, name = options["client"].partition(":")
     return getattr(importlib.import_module(module), name)
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import io
+import re
 import zipfile
+import zlib
 from collections.abc import Callable
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import holding_name, parse_file_name
+from .scratch import materialize
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -36,26 +38,70 @@ def years_of(spark: SparkSession, path: str) -> DataFrame:
     return archived(spark, path).groupBy("orgnr").agg(F.array_sort(F.collect_set("year")).alias("years"))
 
 
-def zip_members(spark: SparkSession, path: str, suffix: str = ".pdf") -> DataFrame:
-    """(archive, member, content) of ZIP archives (up to 2 GB each, read whole), one member unpacked at a time; broken archives and members give nothing."""
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
+def open_ranged(path: str):
+    """A file that can be read in parts, from any store that Arrow reaches."""
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path) if path.startswith("file:") else path)
+    return store.open_input_file(name)
+
+
+#: Bytes of packed members that one task reads.
+MEMBER_BYTES = 64 << 20
+MEMBER_SCHEMA = "archive string, member string, at long, packed long, size long, method int, crc long"
+
+
+def zip_entries(spark: SparkSession, path: str, suffix: str = ".pdf") -> DataFrame:
+    """Members of ZIP archives and where they lie, from the central directories alone; broken archives give nothing."""
 
     def run(batches):
         for batch in batches:
-            for name, raw in zip(batch["path"], batch["content"], strict=True):
+            for name in batch["path"]:
                 try:
-                    z = zipfile.ZipFile(io.BytesIO(raw))
-                except zipfile.BadZipFile:
+                    with open_ranged(name) as f, zipfile.ZipFile(f) as z:
+                        found = [(name, m.filename, m.header_offset, m.compress_size, m.file_size, m.compress_type, m.CRC) for m in z.infolist() if m.filename.lower().endswith(suffix) and not m.flag_bits & 1]
+                except (zipfile.BadZipFile, OSError, ValueError):
                     continue
-                for m in z.infolist():
-                    if m.filename.lower().endswith(suffix):
-                        try:
-                            content = z.read(m)
-                        except (zipfile.BadZipFile, NotImplementedError, RuntimeError):
-                            continue
-                        yield pd.DataFrame({"archive": [name], "member": [m.filename], "content": [content]})
-
-    return archives.mapInPandas(run, "archive string, member string, content binary")
+                yield pd.DataFrame(found, columns=[c.split()[0] for c in MEMBER_SCHEMA.split(", ")])
+
+    return listing(spark, path, "*.zip").select("path").mapInPandas(run, MEMBER_SCHEMA)
+
+
+def read_member(f, at: int, packed: int, size: int, method: int, crc: int) -> bytes | None:
+    """A member's content by one ranged read; None if it is broken or packed in an unknown way."""
+    f.seek(at)
+    head = f.read(30)
+    if len(head) < 30 or head[:4] != b"PK\3\4":
+        return None
+    f.seek(at + 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little"))
+    raw = f.read(packed)
+    try:
+        content = raw if method == zipfile.ZIP_STORED else zlib.decompressobj(-15).decompress(raw, size + 1) if method == zipfile.ZIP_DEFLATED else None
+    except zlib.error:
+        return None
+    return content if content is not None and len(content) == size and zlib.crc32(content) == crc else None
+
+
+def zip_members(spark: SparkSession, path: str, suffix: str = ".pdf") -> DataFrame:
+    """(archive, member, content) of ZIP archives of any size.
+
+    The entries are written first and dealt out by size, so an archive is read
+    by many tasks, each by ranges and one member in memory at a time; broken
+    archives and members, encrypted ones and other packings give nothing.
+    """
+    entries = materialize(zip_entries(spark, path, suffix), "members")
+    total = entries.agg(F.sum("packed")).first()[0] or 0
+
+    def run(batches):
+        for batch in batches:
+            for name, rows in batch.groupby("archive", sort=False):
+                with open_ranged(name) as f:
+                    for m in rows.itertuples(index=False):
+                        content = read_member(f, m.at, m.packed, m.size, m.method, m.crc)
+                        if content is not None:
+                            yield pd.DataFrame({"archive": [name], "member": [m.member], "content": [content]})
+
+    return entries.repartition(max(1, min(entries.count(), -(-total // MEMBER_BYTES))), "archive", "at").mapInPandas(run, "archive string, member string, content binary")
 
 
 def recognise(pdfs: DataFrame, make_client: Callable[[], Callable[[bytes], list[str]]], single_over: int = 0) -> DataFrame:
