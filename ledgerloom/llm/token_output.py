@@ -10,6 +10,7 @@ ids, offsets and counts as an index and the dictionary's SHA-256.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import unicodedata
 import uuid
@@ -23,6 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .blocks import release
 from .shared import discard, materialize, read_table, shared_dir
 
 END_ID = 1
@@ -63,6 +65,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads; others would each keep memory of their own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -109,6 +112,7 @@ class Encoder:
         distinct = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), "\n")[0].as_py().split("\n")[: len(coded.dictionary)]
         if len(self.known) > CACHE_WORDS:
             self.known = {"": b""}
+            release()
         self._learn({w for w in distinct if w not in self.known})
         pieces = list(map(self.known.__getitem__, distinct))
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
@@ -176,6 +180,7 @@ def encode_frames(docs: DataFrame, path: str, dictionary: bytes, end_id: int = E
                 part = batch.slice(at, 2000)
                 ids = [b + end for b in enc.encode(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array([c.compress(b) for b in ids], pa.binary())], ["doc_id", "n_tokens", "frame"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FRAME_SCHEMA)
 
