@@ -715,6 +715,30 @@ def note_fields(spark, sf):
     return statements.notes(o.select("doc", F.replace(F.replace(text, F.lit("{0}"), F.col("a")), F.lit("{1}"), F.col("b")).alias("text")), ["doc"])
 
 
+_NOTE_FIELDS = ["has_klientmidler", "klientmidler_amount", "klientansvar_amount", "klientkonto_balance", "has_nettopresentasjon", "has_bundne_midler", "bundne_midler_amount", "has_felleskostnader", "felleskostnader_amount", "has_forretningsforer"]
+
+
+@query(f"""WITH d AS (SELECT o_orderkey AS doc, o_orderkey % {len(_NOTES) + 1} AS k, CAST(6000 + o_custkey % 900000 AS DOUBLE) AS v, CAST(7000 + o_custkey % 1000 AS DOUBLE) AS b FROM orders),
+r AS (SELECT l_orderkey AS doc, {list(_LABELS.values())}[l_linenumber] AS item, CAST(l_quantity * 10000 AS BIGINT) AS q, CASE WHEN l_linenumber IN (2, 5, 6) THEN 1 ELSE -1 END AS sign, l_partkey + 5000 AS p FROM lineitem),
+s AS (SELECT *, '| ' || (-q) || ' | ' || p || ' |' AS row FROM r), i AS (SELECT doc, item, CAST(sign * min_by(q, row) AS DOUBLE) AS c, CAST(min_by(p, row) AS DOUBLE) AS p FROM s GROUP BY doc, item, sign)
+SELECT d.doc, k IN (1, 6) AS has_klientmidler, CASE WHEN k = 1 THEN v END AS klientmidler_amount, CASE WHEN k = 1 THEN -b END AS klientansvar_amount, CASE WHEN k = 1 THEN v - b END AS klientkonto_balance, k = 4 AS has_nettopresentasjon,
+  k = 0 AS has_bundne_midler, CASE WHEN k = 0 THEN v END AS bundne_midler_amount, k = 2 AS has_felleskostnader, CASE WHEN k = 2 THEN v END AS felleskostnader_amount, k = 3 AS has_forretningsforer,
+  {', '.join(f"max(CASE WHEN item = '{x}' THEN c END) AS {x}, max(CASE WHEN item = '{x}' THEN p END) AS {x}_prior" for x in _LABELS.values())},
+  concat_ws(',', CASE WHEN count(item) > 0 THEN 'pnl' END, CASE WHEN k = 0 THEN 'notes' END) AS sections_found
+FROM d LEFT JOIN i ON i.doc = d.doc GROUP BY d.doc, k, v, b""")
+def filing_extraction(spark, sf):
+    """From recognised pages to notes, wide line items and labels: a page of notes, then a page with the statement made of the order's lines."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc"), (6000 + F.col("o_custkey") % 900_000).cast("string").alias("a"), (7000 + F.col("o_custkey") % 1000).cast("string").alias("b"))
+    text = F.get(F.array(*map(F.lit, _NOTES)), (F.col("doc") % (len(_NOTES) + 1)).cast("int"))
+    first = o.select("doc", F.lit(1).alias("page"), F.replace(F.replace(text, F.lit("{0}"), F.col("a")), F.lit("{1}"), F.col("b")).alias("text"))
+    label = F.element_at(F.array(*map(F.lit, _LABELS)), F.col("l_linenumber").cast("int"))
+    row = F.concat(F.lit("| "), label, F.lit(" | -"), (F.col("l_quantity") * 10_000).cast("long"), F.lit(" | "), F.col("l_partkey") + 5000, F.lit(" |"))
+    rows = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc")).agg(F.array_sort(F.collect_list(row)).alias("r"))
+    second = rows.select("doc", F.lit(2).alias("page"), F.concat(F.lit("RESULTATREGNSKAP\n"), F.array_join("r", "\n")).alias("text"))
+    items = [c for x in _LABELS.values() for c in (x, f"{x}_prior")]
+    return commands.extract_text(first.unionByName(second), ["doc"]).select("doc", *_NOTE_FIELDS, *items, "sections_found")
+
+
 # Documents, sections, answers ------------------------------------------------------------
 
 _DOCUMENT = """pg AS (SELECT conv_id AS doc, turn + 1 AS page, CASE WHEN length(text) % 3 > 0 THEN 1728 ELSE 2480 END AS w, CASE WHEN length(text) % 4 = 0 THEN 2140 ELSE 3500 + length(text) % 4 END AS h, length(text) % 7 AS max_col_gaps, length(text) % 2 AS n_tables, length(text) % 5 * 255 AS hash FROM conversations),
