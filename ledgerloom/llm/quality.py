@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize, read_table, sample_by_hash
+from .shared import discard, materialize, read_table, sample_by_hash
 from .toxicity import logistic
 
 #: Bound of the fit: labelled rows (smallest hash of doc_id).
@@ -185,7 +185,9 @@ def _fit(table: DataFrame, labels: DataFrame):
     if len(y) < 8 or y.min() == y.max() or len(set(y[3::4].tolist())) < 2:
         return None
     views = _views([r["f"][TEXT] for r in known], [r["f"][META] for r in known])
-    return co_train(table.join(F.broadcast(chosen), "doc_id", "left_anti"), views, y)
+    out = co_train(table.join(F.broadcast(chosen), "doc_id", "left_anti"), views, y)
+    discard(chosen)
+    return out
 
 
 def _scored(docs: DataFrame, labels: DataFrame, carried: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ import re
 import unicodedata
 import uuid
 import zlib
-from functools import cache, lru_cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,6 @@ _WORD = re.compile(rf"({_MARKS})([^\W\d_]+)({_MARKS})")
 JOINED = 512
 
 
-@cache
 def _stays_letter(c: str) -> bool:
     """Whether the tokenizer sees one letter whatever stands beside it."""
     return unicodedata.category(c)[0] == "L" and all(len(x) == 1 and unicodedata.category(x)[0] == "L" for x in (c.lower(), unicodedata.normalize("NFC", c), unicodedata.normalize("NFC", c.lower())))
@@ -72,10 +71,18 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.letters: set[str] = set()  # known to stay letters
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _stay_letters(self, run: str) -> bool:
+        if not self.letters.issuperset(run):
+            if not all(map(_stays_letter, new := set(run) - self.letters)):
+                return False
+            self.letters |= new
+        return True
+
     def _learn_runs(self, runs: list[str]) -> None:
         groups = [runs[at : at + JOINED] for at in range(0, len(runs), JOINED)]
         while groups:
@@ -94,7 +101,7 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         known, parts, odd = self.known, {}, []
         for w in words:
-            if (m := _WORD.fullmatch(w)) and (w.isascii() or all(map(_stays_letter, m[2]))):
+            if (m := _WORD.fullmatch(w)) and (w.isascii() or self._stay_letters(m[2])):
                 parts[w] = m.groups()
             else:
                 odd.append(w)

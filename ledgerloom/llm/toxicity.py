@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize, read_table, sample_by_hash
+from .shared import discard, materialize, read_table, sample_by_hash
 
 #: Bounds of the fit: labelled rows (smallest hash of doc_id), which also train the classifier, and lexicon terms.
 LABELLED, TERMS = 12_000, 400
+#: Rows of the whole table that the classifier is trained on, by the posteriors of their votes.
+FITTED = 12_000
 #: Word beginnings of so many letters are terms.
 BEGINNINGS = (4, 5, 7)
 # Common insults.
@@ -171,6 +173,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     table = materialize(features(d, lexicon), "toxic-features")
     n_terms = len(lexicon)
     weights, scale, shift = _fit(table, chosen, n_terms)
+    discard(chosen)
 
     def run(batches):
         for batch in batches:
@@ -193,9 +196,9 @@ def _fit(table: DataFrame, chosen: DataFrame, n_terms: int):
     found = table.groupBy("votes").count().orderBy("votes").collect()  # at most 2 ** N_VOTERS rows
     patterns, counts = np.array([r["votes"] for r in found]), np.array([r["count"] for r in found], float)
     post = dict(zip(patterns.tolist(), label_model(patterns, counts), strict=True))
-    x = _dense(known, n_terms)
-    w = logistic(x, np.array([post[r["votes"]] for r in known]))
-    z = (x @ w)[:, None]
+    sample = sample_by_hash(table.select("doc_id", *names), "doc_id", FITTED).collect()  # at most FITTED rows, labelled or not: posteriors need no labels
+    w = logistic(_dense(sample, n_terms), np.array([post[r["votes"]] for r in sample]))
+    z = (_dense(known, n_terms) @ w)[:, None]
     scale, shift = logistic(np.hstack([z, np.ones_like(z)]), y, l2=1e-4, steps=500)
     return w, float(max(scale, 1e-3)), float(shift)
 
