@@ -101,17 +101,6 @@ def join_pages(pages: DataFrame, keys: list[str], page: str = "page", text: str
     return pages.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda p: p["_t"]), "\n\n").alias("text"))
 
 
-def occurrences(text: Column, word: str) -> Column:
-    """0-based places of a word (any case), none overlapping."""
-    low = word.lower()
-    parts = F.split(F.lower(text), "\\Q" + low + "\\E")
-    step = F.aggregate(
-        F.slice(parts, 1, F.size(parts) - 1), F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found")),
-        lambda s, p: F.struct((s["at"] + F.length(p) + len(low)).alias("at"), F.concat(s["found"], F.array(s["at"] + F.length(p))).alias("found")),
-    )
-    return step["found"]
-
-
 TABLE_BARS, TABLE_AHEAD = 6, 500
 
 

@@ -45,10 +45,6 @@ def test_line_items(spark):
     assert wide["sum_driftsinntekter"] == 10000.0 and wide["has_bundne_midler"] and wide["bundne_midler_amount"] == 12345.0 and wide["sections_found"] == "pnl,assets,notes"
 
 
-def test_occurrences_do_not_overlap(spark):
-    assert one(spark, "aaaa.Aa", lambda c: statements.occurrences(c, "aa")) == [0, 2, 5]
-
-
 def test_zones():
     page = np.full((400, 1000), 255, np.uint8)
     page[20:60, 100:900] = 0
