@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
+    when_done(lambda: discard(out))
     return out
 
 
@@ -41,3 +44,31 @@ def discard(*tables: DataFrame) -> None:
     for t in tables:
         if path := t.__dict__.pop("scratch_path", None):
             remove(t.sparkSession, path)
+
+
+_scopes: list[list[Callable[[], None]]] = []
+
+
+def when_done(delete: Callable[[], None]) -> None:
+    """Have something deleted at the end of the innermost ``temporary``, if there is one."""
+    if _scopes:
+        _scopes[-1].append(delete)
+
+
+@contextmanager
+def temporary() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside are deleted at its end, but for a written table that is given to the function it yields."""
+    kept: list[tuple[DataFrame, str]] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append((table, table.__dict__.pop("scratch_path")))  # without its path nothing deletes it
+        return table
+
+    _scopes.append([])
+    try:
+        yield keep
+    finally:
+        for delete in _scopes.pop():
+            delete()
+        for table, path in kept:
+            table.scratch_path = path

@@ -99,3 +99,24 @@ def test_lease(spark, tmp_path):
         raise ValueError
     with sinks.lease(spark, folder, "f", now=1701, max_age=600) as f:
         assert f
+
+
+def test_temporary_tables(spark):
+    from pathlib import Path
+
+    from ledgerloom.sources import scratch
+
+    folder = Path(scratch.shared_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    with scratch.temporary() as keep:
+        one = scratch.materialize(spark.range(3), "one")
+        with pytest.raises(ValueError), scratch.temporary():
+            scratch.materialize(spark.range(4), "two")
+            raise ValueError
+        kept = keep(scratch.materialize(one.selectExpr("id + 1 as id"), "kept"))
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["kept"] and kept.count() == 3
+    scratch.discard(kept)
+    assert set(folder.iterdir()) == before
+    outside = scratch.materialize(spark.range(2), "outside")
+    assert outside.count() == 2
+    scratch.discard(outside)
