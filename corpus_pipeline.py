@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontamination, ngram_join, quality, sentencepiece_codec, suffix_dedup
-from ledgerloom.llm.shared import discard, materialize, read_table
+from ledgerloom.llm.shared import discard, materialize, read_table, temporary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -59,7 +59,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        kept = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with temporary() as keep:  # what a stage has written on its way goes once its result is
+            kept = keep(materialize(stage(spark, docs, sf_dir), name.replace(" ", "-")))
         discard(docs)  # nothing reads an earlier stage's table any more
         docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

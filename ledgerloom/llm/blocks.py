@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import remove, shared_dir
+from .shared import remove, shared_dir, when_done
 
 #: Stands for a null id inside blocks; it sorts after all others.
 NULL_ID = np.int64(2**63 - 1)
@@ -71,7 +71,9 @@ def write_bucketed(rows: DataFrame, n: int, key: str) -> Bucketed:
     table = f"blocks_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{table}"
     rows.write.format("parquet").option("compression", "none").option("path", path).bucketBy(n, key).saveAsTable(table)
-    return Bucketed(spark, table, path)
+    out = Bucketed(spark, table, path)
+    when_done(out.drop)
+    return out
 
 
 class Blocks:

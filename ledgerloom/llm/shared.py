@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import discard, materialize, shared_dir
+from ..sources.scratch import discard, materialize, shared_dir, temporary, when_done
 from ..sources.sinks import remove
 
-__all__ = ["ROW", "discard", "materialize", "read_table", "remove", "row_key", "sample_by_hash", "shared_dir"]
+__all__ = ["ROW", "discard", "materialize", "read_table", "remove", "row_key", "sample_by_hash", "shared_dir", "temporary", "when_done"]
 
 #: Name of a column with ``row_key``.
 ROW = "__row_key"

@@ -606,3 +606,31 @@ def test_op4_broken_quotes_are_linear():
     assert html_text.extract("<p>a</p>" + "<a b='" * 200_000) is not None
     assert html_text.extract("<a b=\"c'd>" * 100_000) is not None
     assert time.time() - began < 10
+
+
+def test_clashing_columns_of_other_tables(spark):
+    """Columns of benchmark and labels with the operators' own names, and repeated labels, change nothing."""
+    docs = docs_of(spark, [*corpus(4), (-1, "w1 w2")])
+    items = [(1, corpus(4)[3][1]), (2, "w1 w2"), (3, None)]
+    plain = spark.createDataFrame(items, "item_id int, text string")
+    odd = plain.selectExpr("item_id", "text", "item_id as doc_id", "'x' as spans", "2 as items", "true as contaminated", "text as `_key`", "5 as n_words", "'z' as lang")
+    assert rows_of(decontamination.verdicts(docs, odd)) == rows_of(decontamination.verdicts(docs, plain))
+    assert rows_of(decontamination.decontaminate(docs, odd)) == rows_of(decontamination.decontaminate(docs, plain))
+    known = spark.createDataFrame([(k, k % 2, k % 3 == 0) for k in range(40)], "doc_id long, quality int, t boolean").selectExpr("doc_id", "quality", "cast(t as int) as toxic")
+    more = known.union(known).selectExpr("*", "'a' as text", "1.5 as score", "7 as votes", "'t' as terms", "9 as n_chars", "true as held_out")
+    one, two = toxicity.score(docs, known), toxicity.score(docs, more)
+    assert two.count() == docs.count() and rows_of(two) == rows_of(one)
+    assert rows_of(quality.score(docs, more)) == rows_of(quality.score(docs, known))
+
+
+def test_pipeline_leaves_its_last_table_only(spark):
+    from pathlib import Path
+
+    import corpus_pipeline
+    from ledgerloom.llm.shared import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    out = corpus_pipeline.run(spark, DATA)
+    assert [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before] == ["benchmark-decontamination"]
+    assert out.count() > 0
