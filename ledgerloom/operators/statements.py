@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.amounts import amount_near, cell_amount, context, table_amount
 from ..functions.scalars import has_any
+from ..sources.scratch import materialize
 
 # Headings that open a section, in order of preference.
 SECTION_MARKERS = {
@@ -167,13 +168,14 @@ def first_rules(rows: DataFrame, text: str, rules: DataFrame) -> DataFrame:
     rule.
     """
     listed = rules.where("pattern <> '' and ord is not null").groupBy("pattern").agg(F.min(F.struct("ord", "key")).alias("r")).select("r.ord", "pattern", "r.key")
+    listed = materialize(listed, "rules")  # read for its size, in each round and for the keys
     size = listed.agg(F.sum(F.length("pattern"))).first()[0] or 0
     rounds = -(-size // RULE_CHARS) or 1
     out = rows.withColumn("ord", F.lit(None).cast("long"))
     for k in range(rounds):  # each round holds a bounded share of the patterns
         part = {r["pattern"]: int(r["ord"]) for r in listed.where(F.pmod(F.xxhash64("pattern"), F.lit(rounds)) == k).collect()}
         out = _with_first(out, text, part)
-    found = rules.select("ord", "key").where("ord is not null").groupBy("ord").agg(F.min("key").alias("key"))
+    found = listed.groupBy("ord").agg(F.min("key").alias("key"))
     return out.join(F.broadcast(found) if size <= RULE_CHARS else found, "ord", "left").select(*rows.columns, "ord", "key")
 
 
