@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .plans import stored  # noqa: F401 - registers its queries
 from .plans.queries import ORACLES, QUERIES
 
 
