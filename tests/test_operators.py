@@ -241,7 +241,7 @@ def test_every_section_is_written_and_read(spark, tmp_path):
 def test_two_writers_do_not_mix(spark, tmp_path, monkeypatch):
     t = f"file://{tmp_path}/t"
     sinks.publish(spark.range(1), t)
-    monkeypatch.setattr(sinks, "versions", lambda *_: [])  # sees the table as it was before the other writer
+    monkeypatch.setattr(sinks, "_numbers", lambda *_: [])  # sees the table as it was before the other writer
     with pytest.raises(FileExistsError):
         sinks.publish(spark.range(2), t)
     monkeypatch.undo()
