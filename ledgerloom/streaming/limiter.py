@@ -15,14 +15,18 @@ def _recent(events: DataFrame, key: str, hit: Column, micros: int) -> DataFrame:
 
     Time is cut in stretches of that length; a stretch sees its own events and
     the hits of the one before, so no task needs more of a hot key than two.
+    Hits of the stretch before count from this one's start on and are taken
+    off again when they are too old, so one running sum gives every count.
     """
-    d = events.withColumns({"_hit": F.coalesce(hit, F.lit(False)), "_own": F.lit(True), "_slot": F.expr(f"_t div {micros}")})
+    start = F.col("_t") - F.pmod(F.col("_t"), F.lit(micros))
+    d = events.withColumns({"_hit": F.coalesce(hit, F.lit(False)), "_own": F.lit(True), "_slot": start})
     # the hits of the stretch before, counted by time
     seen = d.where("_hit").groupBy(key, "_slot", "_t").agg(F.count("*").alias("_n"))
+    steps = F.inline(F.array(F.struct((F.col("_slot") + micros).alias("_at"), F.col("_n").alias("_step")), F.struct((F.col("_t") + micros + 1).alias("_at"), (-F.col("_n")).alias("_step"))))
+    before = seen.select(key, (F.col("_slot") + micros).alias("_slot"), steps).select(key, "_slot", F.col("_at").alias("_t"), F.col("_step").alias("_n"), F.lit(False).alias("_own"))
     names = [c for c in d.columns if c not in (key, "_slot", "_t", "_own")]
-    before = seen.select(key, "_t", (F.col("_slot") + 1).alias("_slot"), F.col("_n"), F.lit(False).alias("_own"))
     both = d.withColumn("_n", F.col("_hit").cast("long")).unionByName(before.select("*", *(F.lit(None).cast(dict(d.dtypes)[c]).alias(c) for c in names)))
-    w = Window.partitionBy(key, "_slot").orderBy("_t").rangeBetween(-micros, Window.currentRow)
+    w = Window.partitionBy(key, "_slot").orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return both.withColumn("recent", F.coalesce(F.sum("_n").over(w), F.lit(0))).where("_own").drop("_own", "_n", "_hit")
 
 

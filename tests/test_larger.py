@@ -1,12 +1,17 @@
 """Queries on keys and tables that the test data is too small to have."""
 
+import random
+import time
 from collections import Counter
+from datetime import datetime, timedelta
 
 import duckdb
 import pytest
 from conftest import DATA, _plain, rows_of
+from pyspark.sql import functions as F
 
 from ledgerloom.plans import queries
+from ledgerloom.streaming import limiter
 
 
 @pytest.fixture
@@ -29,3 +34,21 @@ def sql_on(tmp_path):
 
 def test_small_functions_with_keys_of_more_seconds_than_a_day(spark, sql_on):
     sql_on(spark, "small_functions", orders="* REPLACE (o_custkey + 86_400 AS o_custkey)")
+
+
+def test_breaker_counts_as_its_definition_around_the_edges_of_stretches(spark):
+    rng = random.Random(5)
+    zero = datetime(1969, 12, 31, 23, 0)
+    rows = [(k, zero + timedelta(microseconds=rng.choice([0, 1, 59_999_999, 60_000_000, 60_000_001, rng.randrange(300_000_000)])), rng.random() < 0.5) for k in (1, 2, None) for _ in range(200)]
+    events = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "id int, k int, t timestamp_ntz, bad boolean")
+    got = {r["id"]: r["recent"] for r in limiter.breaker(events, "k", "t", F.col("bad"), seconds=60).collect()}
+    minute = timedelta(seconds=60)
+    assert got == {n: sum(b for j, s, b in rows if j == k and t - minute <= s <= t) for n, (k, t, _) in enumerate(rows)}
+
+
+def test_breaker_takes_time_in_proportion_to_a_crowded_stretch(spark):
+    """400,000 events of one key in one stretch; a frame added up for each of them would take hours."""
+    events = spark.range(400_000).select(F.lit(1).alias("k"), F.timestamp_micros(F.col("id") * 1000 + 86_400_000_000).alias("t"), (F.col("id") % 2 == 0).alias("bad"))
+    began = time.time()
+    assert limiter.breaker(events, "k", "t", F.col("bad"), seconds=86_400).agg(F.max("recent")).first()[0] == 200_000
+    assert time.time() - began < 60
