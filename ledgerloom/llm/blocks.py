@@ -2,8 +2,9 @@
 
 Operators that compare every text window with the whole corpus would move
 many times the corpus if each window were a row.  Here the texts are written
-once as a bucketed table (one bucket per input partition, so writing moves
-nothing).  Each round then
+once as a bucketed table (an input partition becomes as many buckets as its
+bytes ask for, so writing moves nothing and no block is larger than a worker
+can hold, however the input is cut).  Each round then
 
 1. reads a block, computes sorted arrays of hashes and *scatters* them, cut by
    hash range into buckets (``bid, bucket, blob``),
@@ -33,6 +34,8 @@ from .shared import remove, shared_dir, when_done
 #: Stands for a null id inside blocks; it sorts after all others.
 NULL_ID = np.int64(2**63 - 1)
 PIECE_BYTES = 1 << 20
+#: Text of a block; a worker holds about twenty times as much in a round.
+BLOCK_BYTES = 32 << 20
 
 BLOCK_SCHEMA = "bid int, ids binary, lens binary, data binary, rest binary"
 NULL = "__text_is_null"
@@ -154,13 +157,20 @@ class Pieces:
 def write_blocks(docs: DataFrame, carried: list[str] | None = None) -> Blocks:
     """Write ``docs`` (doc_id, text and the carried columns) as a bucketed table of packed pieces of about 1 MB of text; no shuffle.
 
+    Texts are measured first: a partition is cut into equal blocks of at most
+    about BLOCK_BYTES, so blocks and hash ranges grow with the text and not
+    with the session's partitions.
     Null texts are empty; null ids become NULL_ID.  ``rest`` holds the carried
     columns of a piece's rows, so whole rows can come out again without a join.
     """
     spark = docs.sparkSession
     others = [F.col(c) for c in carried] + [F.col("text").isNull().alias(NULL)] if carried is not None else []
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NULL_ID))).alias("__id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"), *others)
-    n = max(1, rows.rdd.getNumPartitions())
+    sizes = dict(rows.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("__text"))).collect())
+    sizes = [sizes.get(p) or 0 for p in range(max(1, rows.rdd.getNumPartitions()))]
+    shares = [max(1, -(-size // BLOCK_BYTES)) for size in sizes]
+    firsts = np.cumsum([0, *shares]).tolist()
+    n = firsts.pop()
     # an id for each bucket, such that ids of different partitions meet in different buckets
     found = spark.range(32 * n).select(F.col("id").cast("int").alias("b")).groupBy(F.expr(f"pmod(hash(b), {n})").alias("k")).agg(F.min("b").alias("b")).orderBy("k").collect()
     bids = [r["b"] for r in found]
@@ -168,7 +178,8 @@ def write_blocks(docs: DataFrame, carried: list[str] | None = None) -> Blocks:
     def pack(batches):
         from pyspark import TaskContext
 
-        bid = bids[TaskContext.get().partitionId()]
+        p = TaskContext.get().partitionId()
+        own_bids, whole, before = bids[firsts[p] : firsts[p] + shares[p]], max(1, sizes[p]), 0
         c = zstandard.ZstdCompressor(level=3)
         ids, lens, data, rest, size = [], [], [], [], 0
 
@@ -182,6 +193,7 @@ def write_blocks(docs: DataFrame, carried: list[str] | None = None) -> Blocks:
             return c.compress(sink.getvalue())
 
         def flush():
+            bid = own_bids[min(len(own_bids) - 1, before * len(own_bids) // whole)]
             return pa.RecordBatch.from_pydict({
                 "bid": pa.array([bid], pa.int32()), "ids": pa.array([np.concatenate(ids).astype(np.int64).tobytes()], pa.binary()),
                 "lens": pa.array([np.concatenate(lens).astype(np.int64).tobytes()], pa.binary()), "data": pa.array([c.compress(b"".join(data))], pa.binary()),
@@ -206,6 +218,7 @@ def write_blocks(docs: DataFrame, carried: list[str] | None = None) -> Blocks:
                 at = upto
                 if size >= PIECE_BYTES * 3 // 4:
                     yield flush()
+                    before += size
                     ids, lens, data, rest, size = [], [], [], [], 0
         if ids:
             yield flush()

@@ -6,10 +6,12 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import duckdb
+import numpy as np
 import pytest
 from conftest import DATA, _plain, rows_of
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import blocks, ngram_join, suffix_dedup
 from ledgerloom.plans import queries
 from ledgerloom.streaming import limiter
 
@@ -52,3 +54,17 @@ def test_breaker_takes_time_in_proportion_to_a_crowded_stretch(spark):
     began = time.time()
     assert limiter.breaker(events, "k", "t", F.col("bad"), seconds=86_400).agg(F.max("recent")).first()[0] == 200_000
     assert time.time() - began < 60
+
+
+def test_blocks_are_bounded_by_bytes_however_the_input_is_cut(spark, monkeypatch):
+    text = F.concat(F.lit("a passage that many of the documents have in common, longer than a window of bytes "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4000)), lambda k: F.hex(F.xxhash64(k, F.col("id") % 50))), " "))
+    docs = spark.range(120).select(F.col("id").alias("doc_id"), text.alias("text")).coalesce(1)  # 8 MB in one partition
+    want = [rows_of(f(docs)) for f in (suffix_dedup.dedup_digests, ngram_join.link_components)]
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2 << 20)
+    written = blocks.write_blocks(docs)
+    held = Counter()
+    for r in written.frame().select("bid", "lens").collect():
+        held[r["bid"]] += int(np.frombuffer(r["lens"], np.int64).sum())
+    assert sum(held.values()) == docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert len(held) == written.n_blocks >= 4 and max(held.values()) <= blocks.BLOCK_BYTES + blocks.PIECE_BYTES
+    assert [rows_of(f(docs)) for f in (suffix_dedup.dedup_digests, ngram_join.link_components)] == want
