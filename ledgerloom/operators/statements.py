@@ -135,11 +135,16 @@ def sections(docs: DataFrame, keys: list[str], markers: dict[str, list[str]] = S
     return found.select(*keys, "section", "start", "end", F.expr("substring(text, start + 1, end - start)").alias("chunk"))
 
 
+def _once(value: Column) -> Column:
+    """A value as a row of its own: filters on it are not moved before it, where they would work it out again for each place that names it."""
+    return F.explode_outer(F.array(value))
+
+
 def table_rows(chunks: DataFrame, keep: list[str], text: str = "chunk") -> DataFrame:
     """Lines with bars, cut in cells: (``keep``..., line, cells); rules and lines of under four parts are left out."""
     lines = chunks.select(*keep, F.posexplode(F.split(F.col(text), "\n")).alias("line", "_l")).withColumn("_l", F.trim("_l"))
     lines = lines.where(F.contains("_l", F.lit("|")) & ~F.startswith("_l", F.lit("|---")) & ~F.startswith("_l", F.lit("---")))
-    cells = lines.select(*keep, "line", F.transform(F.split("_l", r"\|"), lambda s: F.trim(s)).alias("cells"))
+    cells = lines.select(*keep, "line", _once(F.transform(F.split("_l", r"\|"), lambda s: F.trim(s))).alias("cells"))
     return cells.where(F.size("cells") >= 4)
 
 
@@ -214,10 +219,12 @@ def line_items(docs: DataFrame, keys: list[str], rules: dict[str, str] = LINE_IT
     several sections the last.  Notes close a section but give no items.
     """
     rows = table_rows(sections(docs, keys).where("section <> 'notes'"), [*keys, "start"])
-    rows = rows.withColumn("label", label_of(F.get("cells", F.lit(1)))).where(F.length("label") >= 3).withColumn("item", first_label(F.col("label"), rules)).where("item is not null")
+    rows = rows.select("*", _once(label_of(F.get("cells", F.lit(1)))).alias("label")).where(F.length("label") >= 3)
+    rows = rows.select("*", _once(first_label(F.col("label"), rules)).alias("item")).where("item is not null")
     amounts = F.filter(F.transform(F.slice("cells", 3, F.size("cells")), cell_amount), lambda v: F.abs(v) < MAX_AMOUNT)
     cost = F.col("item").isin(COST_KEYS)
-    rows = rows.select(*keys, "start", "line", "item", *(F.when(cost, F.abs(F.get(amounts, F.lit(k)))).otherwise(F.get(amounts, F.lit(k))).alias(c) for k, c in enumerate(("current", "prior"))))
+    rows = rows.select(*keys, "start", "line", "item", _once(amounts).alias("amounts"))
+    rows = rows.select(*keys, "start", "line", "item", *(F.when(cost, F.abs(F.get("amounts", F.lit(k)))).otherwise(F.get("amounts", F.lit(k))).alias(c) for k, c in enumerate(("current", "prior"))))
     # a row with an amount comes before one without
     best = rows.groupBy(*keys, "start", "item").agg(F.min(F.struct(F.col("current").isNull().alias("none"), "line", "current", "prior")).alias("b"))
     last = best.groupBy(*keys, "item").agg(
@@ -255,18 +262,33 @@ def loaded_excerpts(files: DataFrame, keys: list[str], raw: str = "value") -> Da
     return files.select(*keys, F.filter(parts, lambda p: F.trim(p) != "").alias("excerpts"))
 
 
-def revenue_labels(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, revenue_label, sections_found): which kind of revenue leads, and the sections in fixed order."""
-    has = items.where("current is not null").groupBy(*keys).agg(F.bool_or(F.col("item") == "salgsinntekt").alias("sales"), F.bool_or(F.col("item") == "annen_driftsinntekt").alias("other"))
+def _revenue_columns(sales: Column, other: Column) -> list[Column]:
+    """``revenue_label`` and ``sections_found`` of documents whose text in lower case is ``_low``."""
     starts = {s: section_start(F.col("_low"), m) for s, m in SECTION_MARKERS.items()}
     fee = F.locate("salær", F.col("_low")) - 1
-    label = F.when(F.col("sales"), F.when((fee >= 0) & (fee < F.coalesce(starts["pnl"], F.length("text")) + 2000), "salær_provisjon").otherwise("salgsinntekt")).when(F.col("other"), "annen_driftsinntekt_only")
+    label = F.when(sales, F.when((fee >= 0) & (fee < F.coalesce(starts["pnl"], F.length("text")) + 2000), "salær_provisjon").otherwise("salgsinntekt")).when(other, "annen_driftsinntekt_only")
     found = F.concat_ws(",", *(F.when(c.isNotNull(), F.lit(s)) for s, c in starts.items()))
-    return docs.withColumn("_low", F.lower("text")).join(has, keys, "left").select(*keys, label.alias("revenue_label"), found.alias("sections_found"))
+    return [label.alias("revenue_label"), found.alias("sections_found")]
+
+
+def revenue_labels(docs: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, revenue_label, sections_found): which kind of revenue leads, and the sections in fixed order."""
+    has = items.where("current is not null").groupBy(*keys).agg(F.bool_or(F.col("item") == "salgsinntekt").alias("sales"), F.bool_or(F.col("item") == "annen_driftsinntekt").alias("other"))
+    return docs.withColumn("_low", F.lower("text")).join(has, keys, "left").select(*keys, *_revenue_columns(F.col("sales"), F.col("other")))
+
+
+def extracted(docs: DataFrame, wide: DataFrame, keys: list[str]) -> DataFrame:
+    """``notes``, ``wide_items`` and ``revenue_labels`` of documents (keys, text) in one row each; texts and items are read once."""
+    both = docs.withColumn("_low", F.lower("text")).join(wide, keys, "left")
+    return both.select(*keys, *_note_columns(), *[c for c in wide.columns if c not in keys], *_revenue_columns(F.col("salgsinntekt").isNotNull(), F.col("annen_driftsinntekt").isNotNull()))
 
 
 def notes(docs: DataFrame, keys: list[str]) -> DataFrame:
     """Disclosures of each document: client funds, netting, restricted funds, common costs, manager; excerpts around the hits."""
+    return docs.select(*keys, *_note_columns())
+
+
+def _note_columns() -> list[Column]:
     t = F.coalesce(F.col("text"), F.lit(""))
     client = has_any(t, ["klientmidl", "klientinnskudd", "klientkonto", "klientansvar"])
     restricted, shared = has_any(t, ["bundne"]), has_any(t, ["felleskostnad"])
@@ -274,8 +296,8 @@ def notes(docs: DataFrame, keys: list[str]) -> DataFrame:
     held = F.when(client, F.coalesce(table_amount(t, "Klientinnskudd"), amount_near(t, "Innestående på klientkonto"), table_amount(t, "Klientmidler")))
     owed = F.when(client, F.coalesce(table_amount(t, "Klientansvar", True), table_amount(t, "Klientgjeld", True)))
     around = F.when(client, F.coalesce(context(t, "klientmidl"), context(t, "klientinnskudd"), context(t, "klientkonto")))
-    return docs.select(
-        *keys, (client | entrusted).alias("has_klientmidler"), held.alias("klientmidler_amount"), owed.alias("klientansvar_amount"), (held - F.abs(owed)).alias("klientkonto_balance"),
+    return [
+        (client | entrusted).alias("has_klientmidler"), held.alias("klientmidler_amount"), owed.alias("klientansvar_amount"), (held - F.abs(owed)).alias("klientkonto_balance"),
         has_any(t, ["nettopresentasjon", "regnskapsføres ikke i selskapets balanse"]).alias("has_nettopresentasjon"),
         restricted.alias("has_bundne_midler"),
         F.when(restricted, F.coalesce(table_amount(t, "bundne bankinnskudd"), amount_near(t, "bundne bankinnskudd"), amount_near(t, "bundne skattetrekksmidler"))).alias("bundne_midler_amount"),
@@ -283,4 +305,4 @@ def notes(docs: DataFrame, keys: list[str]) -> DataFrame:
         shared.alias("has_felleskostnader"), F.when(shared, F.coalesce(table_amount(t, "felleskostnad"), amount_near(t, "felleskostnad"))).alias("felleskostnader_amount"),
         has_any(t, ["forretningsfører"]).alias("has_forretningsforer"),
         F.nullif(F.concat_ws("\n---\n", F.trim(around), F.trim(F.when(entrusted, context(t, "betrodde midl")))), F.lit("")).alias("note_excerpts"),
-    )
+    ]

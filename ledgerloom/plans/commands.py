@@ -105,7 +105,7 @@ def extract_text(pages: DataFrame, doc_keys: list[str], page: str = "page") -> D
     items = statements.line_items(docs, doc_keys)
     known = list(dict.fromkeys(statements.LINE_ITEM_MAP.values()))
     wide = statements.wide_items(items, doc_keys, known)
-    return statements.notes(docs, doc_keys).join(wide, doc_keys, "left").join(statements.revenue_labels(docs, items, doc_keys), doc_keys)
+    return statements.extracted(docs, wide, doc_keys)
 
 
 def consolidate(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from conftest import DATA, _plain, rows_of
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import blocks, ngram_join, suffix_dedup
-from ledgerloom.plans import queries
+from ledgerloom.plans import commands, queries
 from ledgerloom.streaming import limiter
 
 
@@ -68,3 +68,14 @@ def test_blocks_are_bounded_by_bytes_however_the_input_is_cut(spark, monkeypatch
     assert sum(held.values()) == docs.agg(F.sum(F.octet_length("text"))).first()[0]
     assert len(held) == written.n_blocks >= 4 and max(held.values()) <= blocks.BLOCK_BYTES + blocks.PIECE_BYTES
     assert [rows_of(f(docs)) for f in (suffix_dedup.dedup_digests, ngram_join.link_components)] == want
+
+
+def test_extraction_reads_items_once_and_works_amounts_out_once(spark):
+    pages = spark.createDataFrame([("a", 1, "RESULTATREGNSKAP\n| Salgsinntekt | 1 | 10 000 | 2 000 |")], "doc string, page int, text string")
+    df = commands.extract_text(pages, ["doc"])
+    r = df.first()
+    assert (r["salgsinntekt"], r["revenue_label"], r["sections_found"]) == (10_000, "salgsinntekt", "pnl")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode(") == 1
+    items = commands.statements.line_items(pages.select("doc", "text"), ["doc"])._jdf.queryExecution().optimizedPlan().toString()
+    assert items.count("translate(") == 2
