@@ -12,6 +12,7 @@ from conftest import DATA, _plain, rows_of
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import blocks, ngram_join, suffix_dedup
+from ledgerloom.operators import pages
 from ledgerloom.plans import commands, queries
 from ledgerloom.streaming import limiter
 
@@ -71,11 +72,20 @@ def test_blocks_are_bounded_by_bytes_however_the_input_is_cut(spark, monkeypatch
 
 
 def test_extraction_reads_items_once_and_works_amounts_out_once(spark):
-    pages = spark.createDataFrame([("a", 1, "RESULTATREGNSKAP\n| Salgsinntekt | 1 | 10 000 | 2 000 |")], "doc string, page int, text string")
-    df = commands.extract_text(pages, ["doc"])
+    recognised = spark.createDataFrame([("a", 1, "RESULTATREGNSKAP\n| Salgsinntekt | 1 | 10 000 | 2 000 |")], "doc string, page int, text string")
+    df = commands.extract_text(recognised, ["doc"])
     r = df.first()
     assert (r["salgsinntekt"], r["revenue_label"], r["sections_found"]) == (10_000, "salgsinntekt", "pnl")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate posexplode(") == 1
-    items = commands.statements.line_items(pages.select("doc", "text"), ["doc"])._jdf.queryExecution().optimizedPlan().toString()
+    items = commands.statements.line_items(recognised.select("doc", "text"), ["doc"])._jdf.queryExecution().optimizedPlan().toString()
     assert items.count("translate(") == 2
+
+
+def test_hits_of_words_in_boxes_are_not_shuffled_and_rounds_give_the_same(spark, monkeypatch):
+    df = queries.words_in_boxes(spark, DATA)
+    want = rows_of(df)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1
+    monkeypatch.setattr(pages, "BOX_ROUND", 70)
+    assert rows_of(queries.words_in_boxes(spark, DATA)) == want
