@@ -33,15 +33,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blocks import release
 from .shared import read_table
 
 SAMPLES = 2
 #: Texts handled side by side, in characters (a longer text is handled alone).
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_500_000
 #: Characters whose lattices are built side by side (a longer unit alone).
-BLOCK_CHARS = 150_000
-#: Lattice edges that a Python worker remembers; then it forgets all units.
-CACHE_EDGES = 8_000_000
+BLOCK_CHARS = 40_000
+#: Lattice edges that a Python worker remembers; beyond that it keeps half of them, of the units met most often.
+CACHE_EDGES = 4_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: log weight of a piece: -PIECE_COST - its rank / RANK_SCALE; of a byte piece -BYTE_COST.
 PIECE_COST, RANK_SCALE, BYTE_COST = 1.0, 8000.0, 6.0
@@ -92,6 +93,7 @@ class Codec:
         self.weight = np.full(n, -BYTE_COST)
         for k in self.pieces.values():
             self.weight[k] = -PIECE_COST - min(-min(m.get_score(k), 0.0), float(n)) / RANK_SCALE
+        self.id_type = np.uint16 if n <= 1 << 16 else np.uint32
         self.longest = max(map(len, self.pieces))
         self.tables, self.seen = {}, {}
         for size in sorted({len(p) for p in self.pieces}):
@@ -103,18 +105,28 @@ class Codec:
             self.tables[size] = (h[order], np.array([self.pieces[p] for p in names], np.uint32)[order])
             self.seen[size] = np.zeros(1 << 18, bool)
             self.seen[size][h >> np.uint64(46)] = True
-        self.forget()
-
-    def forget(self):
-        """Units get numbers as they are seen.
-
-        Of a unit: ``best_*`` its BPE ids, ``start`` and ``stop`` its first and last state, ``log_sum`` of its lattice.
-        Of a state: ``first``, its first edge; of an edge: piece, states it moves on, and probability summed up to it.
-        """
+        # Units get numbers as they are seen.  Of a unit: ``hits``, how often it was met; ``best_*`` its BPE ids,
+        # ``start`` and ``stop`` its first and last state, ``log_sum`` of its lattice.
+        # Of a state: ``first``, its first edge; of an edge: piece, states it moves on, and probability summed up to it.
         self.index = _Numbers()
-        self.best_ids, self.best_start, self.best_len = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.start, self.stop, self.log_sum = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        self.first, self.ids, self.width, self.upto = np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint8), np.zeros(0)
+        self.best_ids, self.best_start, self.best_len = np.zeros(0, self.id_type), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hits, self.start, self.stop, self.log_sum = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.first, self.ids, self.width, self.upto = np.zeros(0, np.int64), np.zeros(0, self.id_type), np.zeros(0, np.uint8), np.zeros(0)
+
+    def forget(self, edges: int):
+        """Of all units those met most often stay, with so many edges at most, and have new numbers."""
+        size, states = self.first[self.stop] - self.first[self.start], self.stop - self.start + 1
+        by = np.argsort(-self.hits, kind="stable")
+        keep = np.sort(by[np.cumsum(size[by]) <= edges])
+        names, size, states = list(self.index), size[keep], states[keep]
+        self.index = _Numbers(zip(map(names.__getitem__, keep.tolist()), range(len(keep)), strict=True))
+        self.best_ids, self.best_len = _gather(self.best_ids, self.best_start[keep], self.best_len[keep]), self.best_len[keep]
+        self.best_start = np.cumsum(self.best_len) - self.best_len
+        start, begin = self.start[keep], self.first[self.start[keep]]
+        self.first = _gather(self.first, start, states) - np.repeat(begin - np.cumsum(size) + size, states)
+        self.ids, self.width, self.upto = (_gather(a, begin, size) for a in (self.ids, self.width, self.upto))
+        self.stop = np.cumsum(states) - 1
+        self.hits, self.start, self.log_sum = self.hits[keep] // 2, self.stop - states + 1, self.log_sum[keep]
 
     def chain(self, text: str) -> np.ndarray:
         """The text as numbers of units; ``learn`` must follow before they are used."""
@@ -141,6 +153,9 @@ class Codec:
             out[k] = part
         for k in np.flatnonzero(odd).tolist():
             out[k] = self.chain(texts[k].as_py())
+        hits = np.bincount(np.concatenate(out), minlength=len(self.index)) if out else np.zeros(len(self.index), np.int64)
+        hits[: len(self.hits)] += self.hits
+        self.hits = hits
         return out
 
     def learn(self):
@@ -154,7 +169,7 @@ class Codec:
             part = new[at : at + 20_000]
             found = [ids if u else [self.pieces["▁"]] for u, ids in zip(part, self.model.encode([u.replace("▁", " ") for u in part], num_threads=1), strict=True)]
             lens.append(np.fromiter(map(len, found), np.int64, len(found)))
-            flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(lens[-1].sum())))
+            flat.append(np.fromiter(chain.from_iterable(found), self.id_type, int(lens[-1].sum())))
         self.best_len, self.best_ids = np.concatenate(lens), np.concatenate(flat)
         self.best_start = np.cumsum(self.best_len) - self.best_len
         sizes = np.fromiter(map(len, new), np.int64, len(new))
@@ -176,52 +191,74 @@ class Codec:
 
         A state is a place in a unit or its end, or one between the bytes of a character that is no piece.
         """
-        most = self.longest
         codes = np.frombuffer(("\0".join(us) + "\0").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         n = len(codes)
         sizes = np.fromiter(map(len, us), np.int64, len(us))
         ends = np.cumsum(sizes + 1) - 1
         left = np.repeat(ends, sizes + 1) - np.arange(n)
-        weight = np.full((n, most), -np.inf)  # the longest piece first
-        piece = np.zeros((n, most), np.uint32)
-        h = np.zeros(n, np.uint64)
-        for size in range(1, min(n, most) + 1):
-            h = h[: n - size + 1] * MULTIPLIER + codes[size - 1 :]
+        found = {}  # places and ids of the pieces of each size
+        live, h = np.arange(n), np.zeros(n, np.uint64)
+        for size in range(1, min(int(sizes.max()), self.longest) + 1):
+            on = np.flatnonzero(left[live] >= size)
+            live = live[on]
+            h = h[on] * MULTIPLIER + codes[live + (size - 1)]
             if size in self.tables:
                 table, ids = self.tables[size]
-                i = np.flatnonzero(self.seen[size][h >> np.uint64(46)] & (left[: len(h)] >= size))  # few strings pass that are no pieces
-                at = np.minimum(np.searchsorted(table, h[i]), len(table) - 1)
-                is_piece = table[at] == h[i]
-                i, at = i[is_piece], at[is_piece]
-                piece[i, most - size] = ids[at]
-                weight[i, most - size] = self.weight[ids[at]]
-        spelt = np.flatnonzero((weight[:, -1] == -np.inf) & (left > 0))
+                i = np.flatnonzero(self.seen[size][h >> np.uint64(46)])  # few strings pass that are no pieces
+                own = h[i]
+                at = np.minimum(np.searchsorted(table, own), len(table) - 1)
+                is_piece = np.flatnonzero(table[at] == own)
+                found[size] = live[i[is_piece]], ids[at[is_piece]]
+        no_piece = left > 0
+        no_piece[found[1][0]] = False
+        spelt = np.flatnonzero(no_piece)
         n_bytes = _utf8_len(codes[spelt])
-        weight[spelt, -1] = -BYTE_COST * n_bytes
-        past = np.zeros(n + most)
-        p = np.zeros((n, most))
+        count = np.bincount(np.concatenate([spelt, *(i for i, _ in found.values())]), minlength=n)
+        first = np.cumsum(count) - count
+        row = np.repeat(np.arange(n), count)
+        ids, width, weight = np.zeros(len(row), np.uint32), np.ones(len(row), np.int64), np.empty(len(row))
+        free = first.copy()
+        for size in sorted(found, reverse=True):  # the longest piece first
+            i, own = found[size]
+            at = free[i]
+            ids[at], width[at], weight[at] = own, size, self.weight[own]
+            free[i] += 1
+        one = free[spelt]
+        weight[one] = -BYTE_COST * n_bytes
+        # sums over all ways from each place to its unit's end, places next to their ends first
+        past = np.zeros(n + self.longest)
+        p = np.empty(len(row))
         order = np.argsort(left.astype(np.uint16) if len(left) and left.max() < 2**16 else left, kind="stable")
         cut = np.searchsorted(left[order], np.arange(1, int(left.max()) + 2))
-        for r, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True), 1):
-            i, w = order[a:b], min(r, most)
-            t = weight[i, most - w :] + past[i[:, None] + np.arange(w, 0, -1)]
-            top = t.max(1)
-            t = np.exp(t - top[:, None])
-            total = t.sum(1)
-            past[i] = top + np.log(total)
-            p[i, most - w :] = t / total[:, None]
-        row, col = np.nonzero(p)
-        upto = np.cumsum(p, axis=1)[row, col]
-        upto[np.flatnonzero(np.diff(row, append=n))] = 1.0
-        ids, state = piece[row, col], row
+        order, cut = order[cut[0] :], cut - cut[0]
+        many = count[order]
+        begin = np.cumsum(many) - many
+        edges = _gather(np.arange(len(row)), first[order], many)
+        w, to = weight[edges], (row + width)[edges]
+        edge_cut = np.append(begin, len(edges))[cut]
+        for a, b, x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), edge_cut[:-1].tolist(), edge_cut[1:].tolist(), strict=True):
+            at, of = begin[a:b] - x, many[a:b]
+            t = w[x:y] + past[to[x:y]]
+            top = np.maximum.reduceat(t, at)
+            t = np.exp(t - np.repeat(top, of))
+            total = np.add.reduceat(t, at)
+            past[order[a:b]] = top + np.log(total)
+            p[edges[x:y]] = t / np.repeat(total, of)
+        upto = p
+        on, k = np.flatnonzero(count > 1), 1
+        while len(on):
+            upto[first[on] + k] += upto[first[on] + k - 1]
+            k += 1
+            on = on[count[on] > k]
+        upto[(first + count - 1)[count > 0]] = 1.0
+        state = row
         place = np.arange(n + 1)
         if len(spelt):
             extra = np.zeros(n + 1, np.int64)
             extra[spelt + 1] = n_bytes - 1
             place = place + np.cumsum(extra)
-            state, width = place[row], place[row + most - col] - place[row]
+            state, width = place[row], place[row + width] - place[row]
             raw = [chr(c).encode("utf-8", "surrogatepass") for c in codes[spelt].tolist()]
-            one = np.flatnonzero((col == most - 1) & np.isin(row, spelt))
             ids[one], width[one] = self.bytes[[b[0] for b in raw]], 1
             more = [(place[i] + k, b[k]) for i, b in zip(spelt.tolist(), raw, strict=True) for k in range(1, len(b))]
             if more:
@@ -229,10 +266,8 @@ class Codec:
                 state = np.concatenate([state, at])
                 by = np.argsort(state, kind="stable")
                 state, ids, width, upto = state[by], np.concatenate([ids, self.bytes[b]])[by], np.concatenate([width, np.ones(len(at), np.int64)])[by], np.concatenate([upto, np.ones(len(at))])[by]
-        else:
-            width = most - col
         count = np.bincount(state, minlength=place[n])
-        return place[ends - sizes], place[ends], past[ends - sizes], np.cumsum(count) - count, ids, width.astype(np.uint8), upto
+        return place[ends - sizes], place[ends], past[ends - sizes], np.cumsum(count) - count, ids.astype(self.id_type), width.astype(np.uint8), upto
 
     def best(self, units: np.ndarray) -> bytes:
         return _gather(self.best_ids, self.best_start[units], self.best_len[units]).astype("<u4").tobytes()
@@ -427,6 +462,7 @@ def sample_top_k(codec: Codec, chains: list[np.ndarray], seeds: list[int], k: in
 
 
 def _encode(batches, path: str, samples: int):
+    release()  # what an earlier task of the worker has left
     codec = Codec(path)
     for batch in batches:
         chars = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -436,7 +472,7 @@ def _encode(batches, path: str, samples: int):
             part = batch.slice(int(rows[0]), len(rows))
             keys = part.column(0)
             if len(codec.ids) > CACHE_EDGES:
-                codec.forget()
+                codec.forget(CACHE_EDGES // 2)
             chains = codec.chains(part.column(1))
             codec.learn()
             seeds = [zlib.crc32(str(key).encode()) * 0x9E3779B97F4A7C15 % 2**64 for key in keys.to_pylist()]

@@ -478,6 +478,28 @@ def test_op8_long_units_are_whole(codec):
     assert crossed and len(names) == 100
 
 
+def test_op8_common_units_stay(codec, monkeypatch):
+    """A full cache keeps the units met most often, and what is remembered does not change a result."""
+    own = sentencepiece_codec.Codec(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [f"the the of é\U0001f600 rare{k} word{k * k}" for k in range(60)]
+    chains = own.chains(pa.array(texts))
+    own.learn()
+    before = {u: [own.ids[own.first[s] : own.first[s + 1]].tolist() for s in range(own.start[k], own.stop[k])] for u, k in own.index.items()}
+    own.forget(len(own.ids) // 4)
+    assert {"the", "of"} <= own.index.keys() and len(own.index) < len(before) // 2 and len(own.index) == len(own.start) == len(own.best_len)
+    for u, k in own.index.items():
+        assert [own.ids[own.first[s] : own.first[s + 1]].tolist() for s in range(own.start[k], own.stop[k])] == before[u]
+    got = own.chains(pa.array(texts))
+    own.learn()
+    assert [own.best(units) for units in got] == [np.array(codec.model.encode(t), "<u4").tobytes() for t in texts] and len(chains) == len(got)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts)], ["doc_id", "text"])]
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    whole = [r for b in sentencepiece_codec._encode(batches, path, 2) for r in b.to_pylist()]
+    monkeypatch.setattr(sentencepiece_codec, "CACHE_EDGES", 300)
+    monkeypatch.setattr(sentencepiece_codec, "GROUP_CHARS", 100)
+    assert [r for b in sentencepiece_codec._encode(batches, path, 2) for r in b.to_pylist()] == whole
+
+
 def test_op9_held_out(spark):
     d = "/root/testdata/sf0.1"
     s = toxicity.op9_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").select("score", "toxic").toPandas()
