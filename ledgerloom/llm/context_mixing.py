@@ -6,9 +6,11 @@ bytes, and the word so far (up to 13 bytes, its far part hashed).  The
 predictors' log odds are combined by weights which three gates choose (the
 longest context that is known and how well, the bit and how certain order 5
 is, the kind of the last byte), a second layer combines the three, and a table
-of hit rates refines what comes out.  These numbers are learned online, STEP_BITS
-at a time, over a bounded sample of training documents, each judged without
-its own counts.  Within each document three temperatures of the prediction are
+of hit rates refines what comes out.  These numbers are learned from every byte
+of the training documents, each judged without itself: a range of keys learns
+weights online from its own keys, as often as they occur, and the ranges'
+weights are averaged, each by how many bits it had for them; hit rates are
+summed.  Within each document three temperatures of the prediction are
 weighed by how well they have done so far; summed over a document that is a
 mixture of three products, so it needs no order of bits.  ``score`` is the
 log10 probability of the whole text.
@@ -41,16 +43,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import NULL_ID, Bucketed, join_blobs, pack_array, ranges, release, split_blobs, unpack_array, write_blocks, write_bucketed
-from .shared import materialize, read_table, sample_by_hash
+from .shared import materialize, read_table
 
 END = 255  # never in UTF-8
 PAD = 13
 ORDERS = 7  # 0 to 5, and the word
 SHORT = 3  # orders below come from the broadcast table
 TEMPERATURES = (0.8, 1.0, 1.4)
-#: Documents, and bytes of the longest, that the weights are learned from.
-SAMPLE, SAMPLE_BYTES = 128, 8192
-STEP_BITS = 256
+#: Bits that are predicted before they move the weights, at least; and steps of a range, unless its keys are few or a step had over CHUNK.
+STEP_BITS, STEPS = 256, 64
+#: Averages of weights are taken in whole numbers of this fraction, so that sums do not depend on their order.
+UNIT = 1 << 16
 PRIOR = 0.3
 CHUNK = 1 << 14
 STRETCH = 1 << 14
@@ -167,13 +170,6 @@ class Counts(NamedTuple):
         return out
 
 
-def levels(keys: np.ndarray, counts: np.ndarray, asked: np.ndarray, orders: Iterable[int]) -> np.ndarray:
-    """(orders, 9, n) from keys with counts."""
-    known = counts > 0
-    keys, counts = keys[known], counts[known].astype(np.int64)
-    return np.stack([Counts.of(_of_order(keys, o), counts).levels(_of_order(asked, o)) for o in orders])
-
-
 # Mixing -----------------------------------------------------------------------
 
 
@@ -205,8 +201,35 @@ class Mixer:
         centre = 1 / (1 + np.exp(-(np.arange(self.STRENGTHS) + 0.5) / 2))
         self.hits = np.tile(centre * 16, (self.SIZES[0], 1))
         self.tries = np.full((self.SIZES[0], self.STRENGTHS), 16.0)
+        self.seen = [np.zeros(len(w), np.int64) for w in (*self.weights, self.upper)]  # bits that each row has learned from
         self._squares = [np.full(w.shape, 1e-3, np.float32) for w in (*self.weights, self.upper)]
 
+    def sums(self) -> np.ndarray:
+        """What of this mixer adds up with others: weights times the bits they have learned from, those bits, hits (twice) and tries."""
+        first = Mixer()
+        layers = [np.rint(w.astype(float) * UNIT).astype(np.int64) * n[:, None] for w, n in zip((*self.weights, self.upper), self.seen, strict=True)]
+        rates = [np.rint(2 * (self.hits - first.hits)).astype(np.int64), np.rint(self.tries - first.tries).astype(np.int64)]
+        return np.concatenate([a.ravel() for a in (*layers, *self.seen, *rates)])
+
+    @classmethod
+    def of_sums(cls, sums: np.ndarray) -> Mixer:
+        """The average of mixers from what ``sums`` add up to; rows that have learned nothing are as at first."""
+        out, at = cls(), 0
+
+        def take(like: np.ndarray) -> np.ndarray:
+            nonlocal at
+            at += like.size
+            return sums[at - like.size : at].reshape(like.shape)
+
+        layers = (*out.weights, out.upper)
+        totals = [take(w) for w in layers]
+        out.seen = [take(n) for n in out.seen]
+        for w, total, n in zip(layers, totals, out.seen, strict=True):
+            w[n > 0] = (total[n > 0] / n[n > 0][:, None] / UNIT).astype(np.float32)
+        out.hits += take(out.hits) / 2
+        out.tries += take(out.tries)
+        return out
+
     def layers(self, odds: np.ndarray, gates: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first = np.stack([np.einsum("ij,ij->i", w[g], odds) for w, g in zip(self.weights, gates, strict=True)], axis=1)
         first = np.clip(first, -16, 16)
@@ -222,25 +245,27 @@ class Mixer:
         rate = self.hits[gates[0], place] / self.tries[gates[0], place]
         return (s + np.sign(s) * np.log(rate / (1 - rate))) / 2
 
-    def learn(self, odds: np.ndarray, gates: np.ndarray, bit: np.ndarray) -> None:
-        """Online: a few bits are predicted, then they move weights and hit rates."""
-        for a in range(0, len(bit), STEP_BITS):
-            o, g, b = odds[a : a + STEP_BITS], gates[:, a : a + STEP_BITS], bit[a : a + STEP_BITS]
+    def learn(self, odds: np.ndarray, gates: np.ndarray, bit: np.ndarray, times: np.ndarray | None = None, step: int = STEP_BITS) -> None:
+        """Online: ``step`` bits are predicted, then they move weights and hit rates, each as many ``times`` as it occurs."""
+        times = np.ones(len(bit), np.int64) if times is None else times
+        for a in range(0, len(bit), step):
+            o, g, b, n = odds[a : a + step], gates[:, a : a + step], bit[a : a + step], times[a : a + step]
             first, s = self.layers(o, g, b)
-            place = self._place(s)
-            np.add.at(self.hits, (g[0], place), np.where(s > 0, 1.0, np.where(s < 0, 0.0, 0.5)))
-            np.add.at(self.tries, (g[0], place), 1.0)
-            steps = [(w, q, at, x / (1 + np.exp(f))[:, None]) for w, q, at, x, f in zip(self.weights, self._squares[:3], g, [o] * 3, first.T, strict=True)]
-            steps.append((self.upper, self._squares[3], b, first / (1 + np.exp(s))[:, None]))
-            for w, q, at, grad in steps:
-                move = np.zeros_like(w)
-                np.add.at(move, at, grad)
+            place = g[0] * self.STRENGTHS + self._place(s)
+            self.hits += np.bincount(place, n * np.where(s > 0, 1.0, np.where(s < 0, 0.0, 0.5)), self.hits.size).reshape(self.hits.shape)
+            self.tries += np.bincount(place, n, self.tries.size).reshape(self.tries.shape)
+            share = n / n.mean()
+            steps = [(w, at, o, share / (1 + np.exp(f))) for w, at, f in zip(self.weights, g, first.T, strict=True)]
+            steps.append((self.upper, b, first, share / (1 + np.exp(s))))
+            for (w, at, x, error), q, seen in zip(steps, self._squares, self.seen, strict=True):
+                move = np.stack([np.bincount(at, error * x[:, k], len(w)) for k in range(w.shape[1])], axis=1).astype(np.float32)
                 q += move * move
                 w += 0.1 * move / np.sqrt(q)
+                seen += np.rint(np.bincount(at, n, len(w))).astype(np.int64)
 
     def bits(self, n: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """(temperatures, keys): the cost of each key's byte, from its levels."""
-        s = self.refined(*evidence(n, _KIND[(_unmixed(keys >> np.uint64(40)) >> np.uint64(16)).astype(np.int64)]))
+        s = self.refined(*evidence(n, _kind_before(keys)))
         return np.stack([(np.logaddexp(0, -t * s) / math.log(2)).reshape(-1, 8).sum(axis=1) for t in TEMPERATURES])
 
 
@@ -382,55 +407,58 @@ def _sums(messages: Bucketed) -> tuple[Counts, int, int]:
     return Counts.of(k[k >= 0].astype(np.uint64), n[k >= 0].astype(np.int64)), both.get(-1, 0), both.get(-2, 0)
 
 
-def _short_levels(table: Counts, asked: np.ndarray) -> np.ndarray:
-    """Levels of orders 0 to 2 from the broadcast table."""
+def _short_counts(table: Counts) -> list[Counts]:
+    """Counts of orders 0 to 2 from the broadcast table."""
     counts = np.diff(table.sums)
-    out = []
-    for o in range(SHORT):
-        less = lambda k: (k >> np.uint64(8)) >> np.uint64(8 * (2 - o)) << np.uint64(8) | k & np.uint64(255)  # noqa: E731, B023
-        out.append(Counts.of(less(table.keys), counts).levels(_of_order(asked, o)))
-    return np.stack(out)
-
-
-def fit_mixer(docs: DataFrame, messages: Bucketed, n_ranges: int, table: Counts) -> Mixer:
-    """Weights from a bounded sample of training documents; what a document itself has put into the counts is taken out for it."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    learnable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(
-        (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 != 2) & F.octet_length(text).between(1, SAMPLE_BYTES))
-    texts = [r["text"].encode() for r in sample_by_hash(learnable, "doc_id", SAMPLE).collect()]
+    less = lambda k, o: (k >> np.uint64(8)) >> np.uint64(8 * (2 - o)) << np.uint64(8) | k & np.uint64(255)
+    return [Counts.of(less(table.keys, o), counts) for o in range(SHORT)]
+
+
+def _counted(r: Range, table: Counts) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+    """Keys of a range that training documents have, how often, and a function that gives the levels of keys in all orders."""
+    known = r.counts > 0
+    keys, counts = r.keys[known], r.counts[known]
+    by_order = [*_short_counts(table), *(Counts.of(_of_order(keys, o), counts) for o in range(SHORT, ORDERS))]
+    return keys, counts, lambda asked: np.stack([c.levels(_of_order(asked, o)) for o, c in enumerate(by_order)])
+
+
+def _kind_before(keys: np.ndarray) -> np.ndarray:
+    return _KIND[(_unmixed(keys >> np.uint64(40)) >> np.uint64(16)).astype(np.int64)]
+
+
+def learned_from(r: Range, table: Counts) -> Mixer:
+    """A mixer from all keys of a range; a step has keys from all over it, and an occurrence is judged by all the others."""
+    keys, counts, levels_of = _counted(r, table)
     mixer = Mixer()
-    if not texts:
-        return mixer
-    own = [keys_of(np.array([len(t)]), np.frombuffer(t, np.uint8))[0] for t in texts]
-    asked = np.unique(np.concatenate(own))
-    step = (2**64 - 1) // n_ranges + 1
-
-    def of(bucket: int, r: Range) -> pa.Table:
-        a, b = np.searchsorted(asked, np.array([bucket * step, min((bucket + 1) * step, 2**64 - 1)], np.uint64))
-        got = levels(r.keys, r.counts, asked[a:b], range(SHORT, ORDERS)) if b > a else np.zeros(0)
-        return pa.table({"at": pa.array([int(a)], pa.int64()), "n": pa.array([int(b - a)], pa.int64()), "blob": pa.array([_small(got.astype(np.int64).tobytes())], pa.binary())})
-
-    known = np.zeros((ORDERS, 9, len(asked)), np.int64)
-    known[:SHORT] = _short_levels(table, asked)
-    for r in _per_range(messages, of, "at long, n long, blob binary").where("n > 0").collect():
-        known[SHORT:, :, r["at"] : r["at"] + r["n"]] = np.frombuffer(_large(r["blob"]), np.int64).reshape(ORDERS - SHORT, 9, r["n"])
-    for keys in own:
-        mine, counts = _distinct(np.sort(keys))
-        n = known[:, :, np.searchsorted(asked, keys)] - levels(mine, counts, keys, range(ORDERS))
-        mixer.learn(*evidence(n, _KIND[(_unmixed(keys >> np.uint64(40)) >> np.uint64(16)).astype(np.int64)]))
+    steps = max(-(-len(keys) // CHUNK), min(STEPS, len(keys) * 8 // STEP_BITS), 1)
+    for k in range(steps if len(keys) else 0):
+        asked = keys[k::steps]
+        odds, gates, bit = evidence(levels_of(asked) - 1, _kind_before(asked))
+        mixer.learn(odds, gates, bit, np.repeat(counts[k::steps], 8), len(bit))
     return mixer
 
 
+def fit_mixer(messages: Bucketed, table: Counts) -> Mixer:
+    """The average of what each range of keys has learned."""
+
+    def of(_, r: Range) -> pa.Table:
+        sums = learned_from(r, table).sums()
+        at = np.flatnonzero(sums)
+        return pa.table({"at": pa.array(at, pa.int64()), "n": pa.array(sums[at], pa.int64())})
+
+    sums = np.zeros(len(Mixer().sums()), np.int64)
+    for r in _per_range(messages, of, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # some thousand numbers, whatever the input
+        sums[r["at"]] = r["n"]
+    return Mixer.of_sums(sums)
+
+
 def _costs(r: Range, table: Counts, mixer: Mixer) -> np.ndarray:
     """(temperatures, keys) in bits; half precision has three digits, and errors of many keys cancel."""
-    known = r.counts > 0
-    keys, counts = r.keys[known], r.counts[known]
-    by_order = [Counts.of(_of_order(keys, o), counts) for o in range(SHORT, ORDERS)]
+    _, _, levels_of = _counted(r, table)
     out = np.empty((len(TEMPERATURES), len(r.keys)), np.float16)
     for a in range(0, len(r.keys), CHUNK):
         asked = r.keys[a : a + CHUNK]
-        n = np.concatenate([_short_levels(table, asked), np.stack([c.levels(_of_order(asked, o)) for o, c in zip(range(SHORT, ORDERS), by_order, strict=True)])])
-        out[:, a : a + CHUNK] = mixer.bits(n, asked)
+        out[:, a : a + CHUNK] = mixer.bits(levels_of(asked), asked)
     return out
 
 
@@ -440,7 +468,7 @@ def score_texts(docs: DataFrame, mixer: Mixer | None = None) -> DataFrame:
     n = 1 << (blocks.n_ranges - 1).bit_length()  # a power of two, so that no range cuts through the last three bytes
     messages = write_bucketed(blocks.scatter(lambda pieces, _: _send(pieces, n)).repartition(n, "bucket"), n, "bucket")
     table, n_tokens, distinct = _sums(messages)
-    mixer = mixer or fit_mixer(docs, messages, n, table)
+    mixer = mixer or fit_mixer(messages, table)
 
     def answers(t: pa.Table) -> pa.Table:
         r = Range.of(t["blob"].to_pylist())

@@ -92,3 +92,17 @@ def test_op13_odd_tables(spark):
     (row,) = cm.score_texts(docs_of(spark, [(i, "a b") for i in range(40) if cm.held_out(i)][:1])).collect()
     assert (row["train_tokens"], row["n_known"], row["base_score"]) == (0, 0, 0) and row["score"] == pytest.approx(-32 * math.log10(2))
     assert registry.queries()["op13_context_mixing"](spark, DATA).count() == spark.read.parquet(f"{DATA}/documents.parquet").count()
+
+
+def test_op13_weights_are_of_all_training_bytes(spark, monkeypatch):
+    """Every byte and end of every training document moves the weights, in long documents and beyond 128 of them too."""
+    found = []
+    fit = cm.fit_mixer
+    monkeypatch.setattr(cm, "fit_mixer", lambda *a: found.append(fit(*a)) or found[0])
+    rows = [(k, f"text {k} of its own") for k in range(300)] + [(300 + k, "long words " * 2000) for k in range(3)]
+    cm.score_texts(docs_of(spark, rows).repartition(3)).collect()
+    bits = 8 * sum(len(t) + 1 for i, t in rows if not cm.held_out(i))
+    first = cm.Mixer()
+    assert (found[0].tries - first.tries).sum() == bits and [n.sum() for n in found[0].seen] == [bits] * 4
+    again = cm.Mixer.of_sums(found[0].sums())
+    assert np.allclose(again.hits, found[0].hits) and all(np.allclose(a, b, atol=1e-4) for a, b in zip(again.weights, found[0].weights, strict=True))
