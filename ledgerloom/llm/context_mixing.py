@@ -164,9 +164,14 @@ class Counts(NamedTuple):
     def levels(self, asked: np.ndarray) -> np.ndarray:
         """(9, n): how often the context was followed by a byte with the same first 0 to 8 bits."""
         out = np.empty((9, len(asked)), np.int64)
-        for j in range(9):
-            low = asked >> np.uint64(8 - j) << np.uint64(8 - j)
-            out[j] = self.sums[np.searchsorted(self.keys, low + np.uint64((1 << (8 - j)) - 1), "right")] - self.sums[np.searchsorted(self.keys, low)]
+        low, high = np.searchsorted(self.keys, asked & ~np.uint64(255)), np.searchsorted(self.keys, asked | np.uint64(255), "right")
+        out[0] = self.sums[high] - self.sums[low]
+        for j in range(1, 9):  # each bit leaves one half of the keys, so one bound stays
+            half = np.uint64(1 << (8 - j))
+            middle = np.searchsorted(self.keys, asked & ~(half - np.uint64(1)) | half)
+            one = (asked & half) != 0
+            low, high = np.where(one, middle, low), np.where(one, high, middle)
+            out[j] = self.sums[high] - self.sums[low]
         return out
 
 
