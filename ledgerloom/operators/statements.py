@@ -1,7 +1,7 @@
 """Line items and notes from the pages of a filing.
 
-All but ``first_rules`` is a column expression on rows (one for each document,
-section or line), so any number of filings goes through one plan.
+All but ``first_rules`` and ``rarest_pairs`` is a column expression on rows (one
+for each document, section or line), so any number of filings goes through one plan.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.amounts import amount_near, cell_amount, context, table_amount
 from ..functions.scalars import has_any
-from ..sources.scratch import materialize
+from ..sources.scratch import discard, materialize
 
 # Headings that open a section, in order of preference.
 SECTION_MARKERS = {
@@ -159,6 +159,49 @@ def first_label(label: Column, rules: dict[str, str]) -> Column:
     return F.coalesce(*(F.when(F.contains(label, F.lit(p)), F.lit(k)) for p, k in rules.items()))
 
 
+#: Pairs of words that are counted first, letters of a head, the heads among which theirs is looked for, and words of a task where all pairs are counted.
+PAIRS_FIRST, HEAD, HEADS, TASK_WORDS = 4_000_000, 3, 100_000, 4_000_000
+
+
+def _words(rows: DataFrame, text: str) -> DataFrame:
+    return rows.select(F.split(F.coalesce(text, F.lit("")), " ").alias("w"))
+
+
+def _pairs(rows: DataFrame, text: str) -> DataFrame:
+    zipped = F.arrays_zip(F.slice("w", 1, F.size("w") - 1).alias("a"), F.slice("w", 2, F.size("w")).alias("b"))
+    return _words(rows, text).where(F.size("w") > 1).select(F.inline_outer(zipped).alias("a", "b"))  # outer: a plain one zips once more in a filter before it
+
+
+def _first_pairs(pairs: DataFrame, least: int, most: int) -> DataFrame:
+    counted = pairs.select(F.concat("a", F.lit(" "), "b").alias("pattern")).groupBy("pattern").count()
+    return counted.where(F.col("count") >= least).orderBy("count", "pattern").limit(most)
+
+
+def rarest_pairs(rows: DataFrame, text: str, least: int, most: int) -> DataFrame:
+    """(pattern, count) of the ``most`` first pairs of neighbouring words, by count and pattern, of those that are met ``least`` times or more.
+
+    Words are what lies between spaces; a pattern is two of them with a space
+    between.  Patterns met just ``least`` times come first, so once those up to
+    some pattern are ``most``, no later pattern can be among the first.  The
+    pairs of the first heads (how a pattern begins) are therefore counted by
+    themselves, which leaves nearly all distinct pairs out of the shuffle.
+    Where that does not give ``most``, all are counted, by tasks small enough
+    to sum up their pairs in memory.
+    """
+    head = F.substring(F.concat("a", F.lit(" ")), 1, HEAD)  # in the order of the patterns, as no word has a space
+    heads = _words(rows, text).select(F.explode("w").alias("a")).groupBy(head.alias("head")).count().orderBy("head").limit(HEADS)
+    reached = heads.select("head", F.sum("count").over(Window.orderBy("head")).alias("n")).where(F.col("n") >= PAIRS_FIRST)
+    bound = reached.agg(F.min("head")).first()[0]
+    if bound is not None:
+        some = materialize(_first_pairs(_pairs(rows, text).where(head <= bound), least, most), "pairs")
+        if some.where(F.col("count") == least).count() == most:
+            return some
+        discard(some)
+    size = _words(rows, text).agg(F.sum(F.size("w"))).first()[0] or 0
+    tasks = max(-(-size // TASK_WORDS), rows.sparkSession.sparkContext.defaultParallelism)
+    return _first_pairs(_pairs(rows.select(text).repartition(tasks), text), least, most)
+
+
 #: Characters of patterns in one automaton (about a hundred times as much memory); more rules are matched in several rounds.
 RULE_CHARS = 1 << 20
 

@@ -1,6 +1,7 @@
 """Page zones, rule tables, template tables and boxes against plain versions."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -91,6 +92,27 @@ def test_first_rules(spark, monkeypatch):
     assert {row["ord"] for row in statements.first_rules(frame, "text", table.limit(0)).collect()} == {None}
 
 
+def test_rarest_pairs(spark, monkeypatch):
+    """Few pairs are counted where the first heads hold enough of the least count, all where they do not; the rows are those of a plain count."""
+    r = random.Random(8)
+    words = ["", "a", "ab", "abc", "abcd", "ab\n", "ab\t", "\n", "~", "Æ", "abÆ", "😀", "\uffff", *(f"{c}{k}" for c in "bcdz" for k in range(60))]
+    texts = [" ".join(r.choices(words, [9] * 13 + [1] * 240, k=r.randint(0, 40))) for _ in range(300)] + [None, "", "a", " "]
+    counted, first = [], statements._first_pairs
+    monkeypatch.setattr(statements, "_first_pairs", lambda pairs, *a: (counted.append(pairs.count()), first(pairs, *a))[1])
+    for copies in (1, 2):
+        frame = spark.createDataFrame([(t,) for t in texts * copies], "text string")
+        seen = Counter(f"{a} {b}" for t in texts * copies for a, b in zip((t or "").split(" "), (t or "").split(" ")[1:]))
+        for heads, most in ((1, 4), (500, 20), (2000, 20), (1000, 10**6), (10**9, 20)):
+            monkeypatch.setattr(statements, "PAIRS_FIRST", heads)
+            counted.clear()
+            got = [(row["count"], row["pattern"]) for row in statements.rarest_pairs(frame, "text", 3, most).collect()]
+            assert sorted(got) == sorted((n, p) for p, n in seen.items() if n >= 3)[:most]
+            if copies == 1 and most == 20 and heads == 2000:
+                assert len(counted) == 1 and counted[0] < seen.total()
+            if copies == 2 or most == 10**6 or heads == 10**9:  # copies: no pair is met three times
+                assert counted[-1] == seen.total()
+
+
 def test_nearest_templates(spark):
     r = random.Random(5)
     known = [r.getrandbits(64) for _ in range(60)] + [0, 2**64 - 1]
